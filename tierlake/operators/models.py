@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
@@ -34,7 +34,12 @@ def classify_top(
     the target does not make "never" the best answer. Returns, per row, the label,
     the prediction and the probability of the positive class.
     """
-    data = df.select(*id_cols, *[F.col(c).cast("string").alias(c) for c in features], label.cast("double").alias("label"))
+    cats = [f"{c}_cat" for c in features]
+    data = df.select(
+        *id_cols,
+        *[F.col(c).cast("string").alias(k) for c, k in zip(features, cats)],
+        F.coalesce(label.cast("double"), F.lit(0.0)).alias("label"),
+    )
     counts = data.agg(
         F.sum(F.when(F.col("label") == 1.0, 1).otherwise(0)).alias("pos"), F.count(F.lit(1)).alias("n")
     ).first()
@@ -44,7 +49,7 @@ def classify_top(
     idx_cols = [f"{c}_idx" for c in features]
     pipeline = Pipeline(
         stages=[
-            StringIndexer(inputCols=list(features), outputCols=idx_cols, handleInvalid="keep"),
+            StringIndexer(inputCols=cats, outputCols=idx_cols, handleInvalid="keep"),
             VectorAssembler(inputCols=idx_cols, outputCol="features"),
             RandomForestClassifier(
                 labelCol="label",
@@ -56,7 +61,11 @@ def classify_top(
             ),
         ]
     )
-    model = pipeline.fit(data)
+    fitted = pipeline.fit(data)
+    # Score with a copy of the forest: the copy carries no training summary, which
+    # holds the session and cannot be shipped to tasks once the session has used an
+    # Observation.
+    model = PipelineModel(stages=[*fitted.stages[:-1], fitted.stages[-1].copy()])
     scored = model.transform(data)
     return scored.select(
         *id_cols,
@@ -86,5 +95,6 @@ def cluster_scores(
             KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed),
         ]
     )
-    model = pipeline.fit(data)
+    fitted = pipeline.fit(data)
+    model = PipelineModel(stages=[*fitted.stages[:-1], fitted.stages[-1].copy()])
     return model.transform(data).select(*id_cols, *scores, F.col("cluster").cast("int").alias("cluster"))
