@@ -40,15 +40,29 @@ def test_exact_median_matches_brute_force_with_a_hot_group(spark):
         assert got[g] == pytest.approx(want[g], rel=1e-12, abs=1e-12)
 
 
-def test_exact_median_spreads_the_hot_group(spark):
+def test_exact_median_with_a_dominant_value(spark):
+    # A quarter-of-all-rows value (absentees at 0.0) inside a hot group, plus ties
+    # straddling the middle: duplicates collapse before the sort.
+    rnd = random.Random(11)
+    rows = [("hot", 0.0)] * 6000 + [("hot", float(rnd.randint(1, 50))) for _ in range(6001)]
+    rows += [("even", 1.0), ("even", 2.0), ("even", 2.0), ("even", 9.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(9)
+    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v").collect()}
+    for g in ("hot", "even"):
+        assert got[g] == statistics.median([v for k, v in rows if k == g])
+
+
+def test_exact_median_reads_one_materialised_sort(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         rows = [("hot", float(i)) for i in range(4000)] + [("x", 1.0)]
         df = spark.createDataFrame(rows, "g string, v double").repartition(8)
         med = exact_median(df, ["g"], "v")
         assert {r["g"]: r["median"] for r in med.collect()}["hot"] == 1999.5
+        # The range-sorted pairs were materialised once; the query reads them back
+        # and never sorts them again.
         plan = med._jdf.queryExecution().executedPlan().toString()
-        assert "rangepartitioning" in plan
+        assert "ExistingRDD" in plan and "rangepartitioning" not in plan
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 

@@ -86,7 +86,7 @@ def write_raw_csv(
     for n, (dropped, group_years) in enumerate(sorted(groups.items())):
         part = df.where(F.col(y).isin(group_years)).drop(*dropped)
         out = f"{staging}/g{n}"
-        writer = part.repartition(y).write.mode("overwrite").options(**spec.dialect.write_options())
+        writer = part.write.mode("overwrite").options(**spec.dialect.write_options())
         if max_records_per_file:
             writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
         writer.partitionBy(y).csv(out)
@@ -100,7 +100,6 @@ def write_raw_csv(
 
 def _zip_writer(cols: list[str], year_col: str, folder: str, prefix: str, member_name: str, spec_dialect: dict):
     def run(batches):
-        import pyarrow.fs as pafs
         from pyspark import TaskContext
 
         from tierlake.sources.zipcsv import _filesystem

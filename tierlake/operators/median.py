@@ -1,75 +1,108 @@
-"""Exact per-group median that never gathers a group into one task.
+"""Exact per-group median that never gathers a group, or a value, into one task.
 
 Spark's built-in exact ``median`` keeps, per group, a map of distinct value -> count
-in one aggregation buffer; a group holding a third of a continuous measure would
-put a third of all distinct values into one task. Here instead:
+in one aggregation buffer: a group holding a third of a continuous measure would
+put a third of all distinct values into one task. A plain sort of the rows has the
+opposite weakness: range partitioning cannot split equal sort keys, and a score
+column can hold one value (0.0 for absentees) in a quarter of all rows. So:
 
-1. one global sort on (keys, value): the range exchange samples the key space, so
-   a hot group is cut across many partitions;
-2. ``monotonically_increasing_id`` after the sort gives every row (partition,
-   position-in-partition) in sorted order;
-3. a small table of (partition, group) -> row count and first position, and a
-   running sum over it per group (rows per group <= number of partitions), gives
+1. ``groupBy(keys, value).count()``: duplicates collapse map-side (partial
+   aggregation), leaving distinct (group, value) pairs with their counts;
+2. a global sort of the pairs: pairs are distinct, so the sampled range bounds cut
+   a hot group across many partitions evenly;
+3. ``monotonically_increasing_id`` after the sort gives each pair its (partition,
+   position) in sorted order; a small table of (partition, group) -> count and a
+   running sum over it per group (rows per group <= number of partitions) gives
    each group's rank offset in each partition;
-4. the one or two middle ranks of each group are mapped to (partition, position)
-   and picked with an equi-join. The picked side has at most two rows per group; AQE
-   turns the join into a broadcast join when its runtime size is under the
-   broadcast threshold and keeps a shuffle join otherwise.
+4. the one or two middle ranks of each group are located in a (partition, group)
+   chunk; only those chunks (each at most one sorted partition) get a running count
+   per pair, which picks the pair covering each middle rank.
 
-Both uses of the sorted rows share one exchange (Spark reuses the identical
-subtree), and any recomputation after a lost executor sorts the same multiset, so
-the value at each rank is the same even if tied rows swap ids.
+The sorted, id-tagged pairs are checkpointed (reliably, to the shared checkpoint
+folder) before they are used three times: range bounds are sampled, so a
+recomputation could cut partitions differently and the ids would disagree. The
+target and chunk tables have a few rows per group; AQE broadcasts them when their
+runtime size is under the broadcast threshold and shuffles otherwise.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierlake.session import shared_root
+
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
+def _match(left: DataFrame, right: DataFrame, cols: Sequence[str], prefix: str) -> Column:
+    """Null-safe equality of ``cols`` between ``left`` and ``right`` (whose copies of
+    the columns carry ``prefix``)."""
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[prefix + c]) for c in cols])
+
+
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
     """(keys..., name): the median of ``value`` per group, NULLs skipped; the mean of
     the two middle values when the count is even (same as linear interpolation)."""
     keys = list(keys)
-    vals = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
+    freq = (
+        df.select(*keys, F.col(value).alias("_v"))
+        .where(F.col("_v").isNotNull())
+        .groupBy(*keys, "_v")
+        .agg(F.count(F.lit(1)).alias("_c"))
+    )
+    # Materialised once (reliable checkpoint in the shared checkpoint folder): the
+    # ids depend on the range bounds, which are sampled, so every later use must
+    # see this one sort rather than recompute it.
+    shared_root(df.sparkSession)
     ordered = (
-        vals.orderBy(*keys, "_v")
+        freq.orderBy(*keys, "_v")
         .withColumn("_id", F.monotonically_increasing_id())
         .select(
             *keys,
             "_v",
+            "_c",
             F.shiftright(F.col("_id"), _POS_BITS).alias("_part"),
             F.col("_id").bitwiseAND(F.lit(_POS_MASK)).alias("_pos"),
         )
+        .checkpoint(eager=True)
     )
-    chunks = ordered.groupBy("_part", *keys).agg(
-        F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first")
-    )
+    chunks = ordered.groupBy("_part", *keys).agg(F.sum("_c").alias("_cnt"))
     by_group = Window.partitionBy(*keys).orderBy("_part")
     chunks = chunks.withColumns(
         {
-            "_before": F.coalesce(
-                F.sum("_cnt").over(by_group.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ),
+            "_before": F.coalesce(F.sum("_cnt").over(by_group.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
             "_n": F.sum("_cnt").over(Window.partitionBy(*keys)),
         }
     )
     # Middle ranks (0-based): floor((n-1)/2) and floor(n/2); equal when n is odd.
-    targets = chunks.withColumn(
-        "_rank",
-        F.explode(
-            F.array_distinct(
-                F.array(F.floor((F.col("_n") - 1) / 2).cast("long"), F.floor(F.col("_n") / 2).cast("long"))
-            )
-        ),
-    ).where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_cnt")))
-    located = targets.select(
-        "_part", (F.col("_first") + F.col("_rank") - F.col("_before")).alias("_pos")
+    middle = F.array_distinct(
+        F.array(F.floor((F.col("_n") - 1) / 2).cast("long"), F.floor(F.col("_n") / 2).cast("long"))
+    )
+    targets = (
+        chunks.withColumn("_rank", F.explode(middle))
+        .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_cnt")))
+        .select(
+            F.col("_part").alias("_t_part"),
+            *[F.col(k).alias("_t_" + k) for k in keys],
+            (F.col("_rank") - F.col("_before")).alias("_t_local"),
+        )
+    )
+    in_target_chunk = (ordered["_part"] == targets["_t_part"]) & _match(ordered, targets, keys, "_t_") if keys else (
+        ordered["_part"] == targets["_t_part"]
+    )
+    cand = ordered.join(targets.select("_t_part", *["_t_" + k for k in keys]).distinct(), in_target_chunk, "left_semi")
+    in_chunk = Window.partitionBy("_part", *keys).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    cand = cand.withColumn("_hi", F.sum("_c").over(in_chunk)).withColumn("_lo", F.col("_hi") - F.col("_c"))
+    covers = (
+        (cand["_part"] == targets["_t_part"])
+        & (_match(cand, targets, keys, "_t_") if keys else F.lit(True))
+        & (targets["_t_local"] >= cand["_lo"])
+        & (targets["_t_local"] < cand["_hi"])
     )
-    picked = ordered.join(located, on=["_part", "_pos"], how="inner")
+    picked = cand.join(targets, covers, "inner").select(*[cand[k] for k in keys], cand["_v"])
     return picked.groupBy(*keys).agg(F.avg("_v").alias(name))
