@@ -41,6 +41,11 @@ class GoldPlan:
             df.unpersist()
 
 
+def _only(df: DataFrame, year_col: str, years: list[int], presence: dict) -> DataFrame:
+    """Restrict to ``years`` (a partition filter) unless that is every year."""
+    return df if set(years) == set(presence) else df.where(F.col(year_col).isin(years))
+
+
 def gold_tables(silver: DataFrame, presence: dict[int, list[str]], spec: LakeSpec, cache_shared: bool = False) -> GoldPlan:
     y, place, rank = spec.year_col, spec.place, spec.rank_score
     d = spec.digits
@@ -57,12 +62,12 @@ def gold_tables(silver: DataFrame, presence: dict[int, list[str]], spec: LakeSpe
         aggs = [F.round(F.avg(s), d).alias(spec.mean_name(s)) for s in scores_any]
         has_rank = bool(rank_years) and rank in scores_any
         if has_rank:
-            hit = positive(rank) & F.col(y).isin(rank_years)
+            hit = positive(rank) if set(rank_years) == set(mean_years) else positive(rank) & F.col(y).isin(rank_years)
             aggs += [
                 F.round(F.avg(F.when(hit, F.col(rank))), d).alias("_rank_mean"),
                 F.count(F.when(hit, F.lit(1))).alias("_rank_n"),
             ]
-        shared = silver.where(F.col(y).isin(mean_years)).groupBy(y, place).agg(*aggs)
+        shared = _only(silver, y, mean_years, presence).groupBy(y, place).agg(*aggs)
         if cache_shared:
             shared = shared.persist(StorageLevel.MEMORY_AND_DISK)
             plan.cached.append(shared)
@@ -77,7 +82,7 @@ def gold_tables(silver: DataFrame, presence: dict[int, list[str]], spec: LakeSpe
     if profile_years and profile_any:
         keys = [y, *profile_any]
         plan.tables[spec.profile_table] = count_by_group(
-            silver.where(F.col(y).isin(profile_years)), keys, spec.count_name
+            _only(silver, y, profile_years, presence), keys, spec.count_name
         ).orderBy(*keys)
     return plan
 

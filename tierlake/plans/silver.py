@@ -6,11 +6,14 @@ root shows every column in every year, with NULLs where a year lacked it, and a
 naive fill would turn "column absent that year" into a mean of 0. So the fill is
 guarded by a presence map read from each year's Parquet footer: a score is parsed
 and filled only in years that had it, and stays NULL elsewhere. The map is kept
-beside silver (``<silver>_presence``) for the gold stage.
+beside silver (``<silver>_presence.json``, a small metadata file written by the
+driver) for the gold stage.
 """
 
 from __future__ import annotations
 
+import json
+
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,14 +21,14 @@ from pyspark.sql import functions as F
 
 from tierlake.functions.scores import is_malformed, parse_score
 from tierlake.operators.columns import years_having
-from tierlake.sinks.parquet import WriteReport, write_partitioned, write_table
-from tierlake.sources.fs import exists
+from tierlake.sinks.parquet import WriteReport, write_partitioned
+from tierlake.sources.fs import exists, read_small_text, write_small_text
 from tierlake.sources.layers import leaf_columns, read_layer
 from tierlake.spec import LakeSpec
 
 
 def presence_path(silver_root: str) -> str:
-    return silver_root.rstrip("/") + "_presence"
+    return silver_root.rstrip("/") + "_presence.json"
 
 
 def kept_presence(cols_by_year: Mapping[int, Sequence[str]], spec: LakeSpec) -> dict[int, list[str]]:
@@ -91,21 +94,17 @@ def build_silver(
     if metrics:
         report.metrics.update({k: int(v or 0) for k, v in quality.get.items()})
 
-    rows = [(y, c) for y, cols in sorted(presence.items()) for c in cols]
-    fresh = spark.createDataFrame(rows, f"{spec.year_col} int, column string")
     ppath = presence_path(silver_root)
     if years is not None and exists(spark, ppath):
-        # Keep the other years' entries; materialise before overwriting the source.
-        old = spark.read.parquet(ppath).where(~F.col(spec.year_col).isin(sorted(presence)))
-        kept = [(r[0], r[1]) for r in old.collect()]
-        fresh = spark.createDataFrame(sorted(kept + rows), f"{spec.year_col} int, column string")
-    write_table(fresh.coalesce(1), ppath, table=f"{spec.name}:presence")
+        # Re-running some years keeps the other years' entries.
+        merged = load_presence(spark, silver_root, spec.year_col)
+        merged.update(presence)
+        presence = merged
+    write_small_text(spark, ppath, json.dumps({str(y): cols for y, cols in sorted(presence.items())}))
     return report
 
 
 def load_presence(spark: SparkSession, silver_root: str, year_col: str = "ano") -> dict[int, list[str]]:
     """The presence map (years x kept columns: small by construction)."""
-    out: dict[int, list[str]] = {}
-    for r in spark.read.parquet(presence_path(silver_root)).collect():
-        out.setdefault(int(r[year_col]), []).append(r["column"])
-    return out
+    raw = json.loads(read_small_text(spark, presence_path(silver_root)))
+    return {int(y): list(cols) for y, cols in raw.items()}

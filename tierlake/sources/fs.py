@@ -60,3 +60,27 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
     fs.mkdirs(d.getParent())
     if not fs.rename(s, d):
         raise OSError(f"rename failed: {src} -> {dst}")
+
+
+def write_small_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small metadata file from the driver, atomically (temp + rename)."""
+    fs, p = _fs(spark, path)
+    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p.getParent(), "." + p.getName() + ".tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(tmp, p):
+        raise OSError(f"rename failed: {tmp} -> {path}")
+
+
+def read_small_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

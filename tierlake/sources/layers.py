@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,7 +54,11 @@ def leaf_columns(spark: SparkSession, root: str, year_col: str = "ano") -> dict[
     This is the per-year presence map: a merged read of the whole root shows every
     column in every year, so it cannot tell "absent that year" from "NULL values".
     """
-    return {
-        y: spark.read.option("mergeSchema", "false").parquet(leaf_path(root, y, year_col)).columns
-        for y in leaf_years(spark, root, year_col)
-    }
+    years = leaf_years(spark, root, year_col)
+
+    def columns(y: int) -> list[str]:
+        return spark.read.option("mergeSchema", "false").parquet(leaf_path(root, y, year_col)).columns
+
+    # One footer per year; the reads are independent, so they run side by side.
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(years)))) as pool:
+        return dict(zip(years, pool.map(columns, years)))
