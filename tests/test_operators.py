@@ -29,7 +29,9 @@ def test_exact_median_matches_brute_force_with_a_hot_group(spark):
         rows += [(g, float(rnd.randint(0, 5))) for _ in range(n)]
     rows += [("nulls", None), ("nulls", None), (None, 3.0), (None, 5.0)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(13)
-    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v").collect()}
+    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v", max_distinct=None).collect()}
+    fast = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v").collect()}
+    assert fast == pytest.approx(got, rel=1e-12)
     want = {}
     for g in {r[0] for r in rows}:
         vals = [v for k, v in rows if k == g and v is not None]
@@ -47,7 +49,7 @@ def test_exact_median_with_a_dominant_value(spark):
     rows = [("hot", 0.0)] * 6000 + [("hot", float(rnd.randint(1, 50))) for _ in range(6001)]
     rows += [("even", 1.0), ("even", 2.0), ("even", 2.0), ("even", 9.0)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(9)
-    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v").collect()}
+    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v", max_distinct=None).collect()}
     for g in ("hot", "even"):
         assert got[g] == statistics.median([v for k, v in rows if k == g])
 
@@ -57,7 +59,7 @@ def test_exact_median_reads_one_materialised_sort(spark):
     try:
         rows = [("hot", float(i)) for i in range(4000)] + [("x", 1.0)]
         df = spark.createDataFrame(rows, "g string, v double").repartition(8)
-        med = exact_median(df, ["g"], "v")
+        med = exact_median(df, ["g"], "v", max_distinct=1000)  # 4000 distinct: over the bound
         assert {r["g"]: r["median"] for r in med.collect()}["hot"] == 1999.5
         # The range-sorted pairs were materialised once; the query reads them back
         # and never sorts them again.
@@ -67,12 +69,22 @@ def test_exact_median_reads_one_materialised_sort(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_mean_median_keeps_groups_without_values(spark):
+@pytest.mark.parametrize("max_distinct", [None, 1_000_000])
+def test_mean_median_keeps_groups_without_values(spark, max_distinct):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None)], "g string, v double")
-    got = {r["g"]: (r["media_v"], r["mediana_v"]) for r in mean_median_by_group(df, ["g"], ["v"]).collect()}
+    out = mean_median_by_group(df, ["g"], ["v"], max_distinct=max_distinct)
+    got = {r["g"]: (r["media_v"], r["mediana_v"]) for r in out.collect()}
     assert got == {"a": (2.0, 2.0), "b": (None, None)}
 
 
+def test_hll_bound_picks_the_path(spark):
+    from tierlake.operators.median import small_enough_for_builtin
+
+    df = spark.createDataFrame([("hot", float(i)) for i in range(5000)] + [("x", 1.0)], "g string, v double")
+    assert small_enough_for_builtin(df, ["g"], ["v"], 10_000)
+    assert not small_enough_for_builtin(df, ["g"], ["v"], 5_000)
+
+
 def test_union_years_aligns_by_name(spark):
     a = spark.createDataFrame([("k1", 1.0)], "k string, x double")
     b = spark.createDataFrame([(2.0, "k2", "z")], "x double, k string, extra string")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tierlake.functions.scores import bin_of
 from tierlake.operators.joins import join_dimension, join_null_safe
-from tierlake.operators.median import exact_median
+from tierlake.operators.median import DEFAULT_MAX_DISTINCT, exact_median, small_enough_for_builtin
 
 
 def mean_median_by_group(
@@ -21,14 +21,25 @@ def mean_median_by_group(
     digits: int = 2,
     mean_prefix: str = "media_",
     median_prefix: str = "mediana_",
+    max_distinct: int | None = DEFAULT_MAX_DISTINCT,
 ) -> DataFrame:
-    """Central tendency per group: rounded mean and exact median per measure."""
+    """Central tendency per group: rounded mean and exact median per measure.
+
+    When every group is proven to hold at most ``max_distinct`` distinct values
+    (one HLL-sketch aggregate), means and medians come from one aggregate with
+    Spark's exact ``median``; otherwise each median takes the range-sort path and
+    is joined back (both sides have one row per group)."""
     keys = list(keys)
-    means = df.groupBy(*keys).agg(
-        *[F.round(F.avg(m), digits).alias(f"{mean_prefix}{m}") for m in measures]
-    )
+    mean_cols = [F.round(F.avg(m), digits).alias(f"{mean_prefix}{m}") for m in measures]
+    if max_distinct is not None and small_enough_for_builtin(df, keys, measures, max_distinct):
+        return df.groupBy(*keys).agg(
+            *mean_cols, *[F.round(F.median(m), digits).alias(f"{median_prefix}{m}") for m in measures]
+        )
+    means = df.groupBy(*keys).agg(*mean_cols)
     medians = [
-        exact_median(df, keys, m, "_med").select(*keys, F.round("_med", digits).alias(f"{median_prefix}{m}"))
+        exact_median(df, keys, m, "_med", max_distinct=None).select(
+            *keys, F.round("_med", digits).alias(f"{median_prefix}{m}")
+        )
         for m in measures
     ]
     # Both sides have one row per group; a group whose measure is all NULL has no

@@ -18,6 +18,9 @@ column can hold one value (0.0 for absentees) in a quarter of all rows. So:
    chunk; only those chunks (each at most one sorted partition) get a running count
    per pair, which picks the pair covering each middle rank.
 
+When an HLL sketch proves that no group holds more than ``max_distinct`` distinct
+values, the built-in exact ``median`` is used instead: its buffer is then bounded.
+
 The sorted, id-tagged pairs are checkpointed (reliably, to the shared checkpoint
 folder) before they are used three times: range bounds are sampled, so a
 recomputation could cut partitions differently and the ids would disagree. The
@@ -38,6 +41,33 @@ from tierlake.session import shared_root
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
+# A group's exact-median buffer (Spark's built-in ``median``) holds one entry per
+# distinct value of the group. Below this many distinct values per group that is
+# a bounded, safe buffer; above it the range-sort path is used.
+DEFAULT_MAX_DISTINCT = 1_000_000
+# approx_count_distinct's relative standard deviation; the bound keeps 4 of them
+# as margin, so a group over the limit is not mistaken for one under it.
+_RSD = 0.02
+
+
+def widest_group(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> int:
+    """Estimated number of distinct values in the widest group, over ``values``
+    (HyperLogLog sketches: bounded memory per group, one aggregate job)."""
+    row = (
+        df.groupBy(*keys)
+        .agg(*[F.approx_count_distinct(v, _RSD).alias(f"_d{i}") for i, v in enumerate(values)])
+        .agg(*[F.max(f"_d{i}").alias(f"_m{i}") for i in range(len(values))])
+        .first()
+    )
+    return max([int(row[i] or 0) for i in range(len(values))] or [0])
+
+
+def small_enough_for_builtin(
+    df: DataFrame, keys: Sequence[str], values: Sequence[str], max_distinct: int = DEFAULT_MAX_DISTINCT
+) -> bool:
+    """Proof that every group's distinct values fit one buffer, with margin."""
+    return widest_group(df, keys, values) * (1 + 4 * _RSD) <= max_distinct
+
 
 def _match(left: DataFrame, right: DataFrame, cols: Sequence[str], prefix: str) -> Column:
     """Null-safe equality of ``cols`` between ``left`` and ``right`` (whose copies of
@@ -45,10 +75,27 @@ def _match(left: DataFrame, right: DataFrame, cols: Sequence[str], prefix: str)
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[prefix + c]) for c in cols])
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
-    """(keys..., name): the median of ``value`` per group, NULLs skipped; the mean of
-    the two middle values when the count is even (same as linear interpolation)."""
+def exact_median(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    name: str = "median",
+    max_distinct: int | None = DEFAULT_MAX_DISTINCT,
+) -> DataFrame:
+    """(keys..., name): the median of ``value`` per group, NULLs skipped (a group
+    with no value has no row); the mean of the two middle values when the count is
+    even (same as linear interpolation).
+
+    With ``max_distinct`` set, groups proven to hold at most that many distinct
+    values use Spark's built-in exact ``median`` (one aggregate); otherwise, or
+    with ``max_distinct=None``, the range-sort path below."""
     keys = list(keys)
+    if max_distinct is not None and small_enough_for_builtin(df, keys, [value], max_distinct):
+        return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.median(value).alias(name))
+    return _median_by_ranks(df, keys, value, name)
+
+
+def _median_by_ranks(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     freq = (
         df.select(*keys, F.col(value).alias("_v"))
         .where(F.col("_v").isNotNull())
