@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.functions.scores import year_of
+from tierlake.session import ship_package
 from tierlake.sources.fs import list_dir, rename
 from tierlake.spec import LakeSpec
 
@@ -139,9 +140,14 @@ def _zip_writer(cols: list[str], year_col: str, folder: str, prefix: str, member
                 member.close()
                 zf.close()
                 stream.close()
-        yield pd.DataFrame(
-            {"archive": [open_[y][5] for y in open_], year_col: list(open_), "rows": [counts[y] for y in open_]}
-        )
+        if open_:  # a task that received no rows writes nothing and reports nothing
+            yield pd.DataFrame(
+                {
+                    "archive": [open_[y][5] for y in open_],
+                    year_col: pd.Series(list(open_), dtype="int32"),
+                    "rows": pd.Series([counts[y] for y in open_], dtype="int64"),
+                }
+            )
 
     return run
 
@@ -151,6 +157,7 @@ def write_raw_zips(df: DataFrame, folder: str, spec: LakeSpec, prefix: str) -> D
     (input partition, year), each holding one member ``DADOS/RESULTADOS_<yyyy>.csv``.
     No shuffle: each task writes the rows it already has. Returns the small
     (archive, year, rows) listing after running the job."""
+    ship_package(df.sparkSession)
     y = spec.year_col
     cols = [c for c in df.columns if c != y]
     d = spec.dialect

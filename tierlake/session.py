@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import tempfile
+import threading
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -64,4 +69,41 @@ def to_local(path: str) -> str:
     return path
 
 
-__all__ = ["local_session", "shared_root", "run_dir", "to_local"]
+_SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
+
+
+def _package_zip() -> bytes:
+    root = Path(__file__).resolve().parent
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for f in sorted(root.rglob("*.py")):
+            zf.write(f, f"{root.name}/{f.relative_to(root)}")
+    return buf.getvalue()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (the zip source and the
+    pandas-batch writers run there): zip it once per application into the shared
+    folder and ``addPyFile`` it, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    with _SHIP_LOCK:
+        if sc.applicationId in _SHIPPED:
+            return
+        data = _package_zip()
+        digest = hashlib.sha1(data).hexdigest()[:12]
+        path = f"{shared_root(spark).rstrip('/')}/tierlake/_code/tierlake-{digest}.zip"
+        jvm = sc._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+        if not fs.exists(jpath):
+            out = fs.create(jpath, True)
+            try:
+                out.write(bytearray(data))
+            finally:
+                out.close()
+        sc.addPyFile(path)
+        _SHIPPED.add(sc.applicationId)
+
+
+__all__ = ["local_session", "ship_package", "shared_root", "run_dir", "to_local"]

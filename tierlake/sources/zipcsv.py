@@ -191,5 +191,9 @@ class ZipCsvDataSource(DataSource):
 
 
 def register(spark) -> None:
-    """Make ``format("zipcsv")`` available in this session (idempotent)."""
+    """Make ``format("zipcsv")`` available in this session (idempotent); the
+    reader runs in the Python workers, so the package is shipped to them."""
+    from tierlake.session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(ZipCsvDataSource)
