@@ -29,7 +29,7 @@ def build_bronze(
     bronze_root: str,
     spec: LakeSpec,
     mode: str = "skip",
-    parallel_years: int = 4,
+    parallel_years: int = 8,
 ) -> list[WriteReport]:
     if mode not in ("skip", "overwrite"):
         raise ValueError("mode must be 'skip' or 'overwrite'")
