@@ -105,7 +105,8 @@ def _zip_writer(cols: list[str], year_col: str, folder: str, prefix: str, member
 
         from tierlake.sources.zipcsv import _filesystem
 
-        pid = TaskContext.get().partitionId()
+        ctx = TaskContext.get()
+        pid, attempt = ctx.partitionId(), ctx.attemptNumber()
         fs, base = _filesystem(folder)
         fs.create_dir(base, recursive=True)
         open_: dict[int, tuple] = {}
@@ -121,7 +122,10 @@ def _zip_writer(cols: list[str], year_col: str, folder: str, prefix: str, member
                     year = int(year)
                     if year not in open_:
                         path = f"{base}/{prefix}-p{pid:05d}_{year}.zip"
-                        stream = fs.open_output_stream(path)
+                        # Each attempt writes its own hidden file and moves it into
+                        # place when complete: a retried or speculative attempt never
+                        # shares a half-written archive with another.
+                        stream = fs.open_output_stream(f"{base}/.{prefix}-p{pid:05d}_{year}.a{attempt}")
                         zf = zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED)
                         member = zf.open(member_name.format(year=year), "w", force_zip64=True)
                         text = io.TextIOWrapper(member, encoding=spec_dialect["encoding"], newline="")
@@ -140,6 +144,8 @@ def _zip_writer(cols: list[str], year_col: str, folder: str, prefix: str, member
                 member.close()
                 zf.close()
                 stream.close()
+        for year, entry in open_.items():
+            fs.move(f"{base}/.{prefix}-p{pid:05d}_{year}.a{attempt}", entry[5])
         if open_:  # a task that received no rows writes nothing and reports nothing
             yield pd.DataFrame(
                 {
