@@ -1,6 +1,7 @@
 """Zip source, CSV source and streaming ingest."""
 
 import io
+import os
 import zipfile
 
 from conftest import write_text
@@ -79,3 +80,19 @@ def test_stream_ingest_is_incremental_and_exactly_once(spark, workdir):
     ingest_stream(spark, f"{workdir}/raw", f"{workdir}/bronze", f"{workdir}/_ckpt", LINEITEM_SPEC)
     out = spark.read.parquet(f"{workdir}/bronze")
     assert out.select(*raw.columns).exceptAll(raw).count() == 0 and raw.exceptAll(out.select(*raw.columns)).count() == 0
+
+
+def test_archives_to_bronze_keep_each_years_header(spark, workdir):
+    from tierlake.plans import build_bronze_from_archives, build_silver
+
+    os.makedirs(f"{workdir}/z", exist_ok=True)
+    make_zip(f"{workdir}/z/microdados_enem_2021.zip", [("DADOS/RESULTADOS_2021.csv", "SG_UF_PROVA;NU_NOTA_CN\nSP;10\nRJ;\n")])
+    make_zip(f"{workdir}/z/microdados_enem_2022.zip", [("DADOS/RESULTADOS_2022.csv", "NU_NOTA_MT;SG_UF_PROVA\n7;SP\n")])
+    first = build_bronze_from_archives(spark, f"{workdir}/z", f"{workdir}/bronze", S)
+    assert [(r.year, r.action, r.rows) for r in first] == [(2021, "written", 2), (2022, "written", 1)]
+    again = build_bronze_from_archives(spark, f"{workdir}/z", f"{workdir}/bronze", S)
+    assert [r.action for r in again] == ["skipped", "skipped"]
+    build_silver(spark, f"{workdir}/bronze", f"{workdir}/silver", S)
+    got = {(r["ano"], r["SG_UF_PROVA"]): r for r in read_layer(spark, f"{workdir}/silver").collect()}
+    assert got[(2021, "RJ")]["NU_NOTA_CN"] == 0.0 and got[(2021, "RJ")]["NU_NOTA_MT"] is None
+    assert got[(2022, "SP")]["NU_NOTA_MT"] == 7.0 and got[(2022, "SP")]["NU_NOTA_CN"] is None

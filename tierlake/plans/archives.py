@@ -1,4 +1,4 @@
-"""L4: many yearly zip archives -> one table, tagged with the year.
+"""L4: many yearly zip archives -> one table tagged with the year, or -> bronze.
 
 The zip source already aligns members by header name; for a typed load the
 per-year presence map comes from the members' header lines (read on the driver,
@@ -7,10 +7,15 @@ one line per archive), so a score a year lacked stays NULL instead of being fill
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.plans.silver import clean_columns
+from tierlake.sinks.parquet import WriteReport, write_leaf
+from tierlake.sources.fs import is_complete
+from tierlake.sources.layers import leaf_path
 from tierlake.sources.zipcsv import FORMAT, list_members, read_header, register
 from tierlake.spec import LakeSpec
 
@@ -49,3 +54,44 @@ def load_archives_typed(spark: SparkSession, folder: str, spec: LakeSpec) -> Dat
     raw = load_archives(spark, folder, spec)
     presence = archive_presence(folder, spec)
     return raw.select(*clean_columns(raw, presence, spec), F.col(spec.year_col))
+
+
+def build_bronze_from_archives(
+    spark: SparkSession,
+    folder: str,
+    bronze_root: str,
+    spec: LakeSpec,
+    mode: str = "skip",
+    parallel_years: int = 8,
+) -> list[WriteReport]:
+    """Raw zip archives -> bronze leaves, without unpacking to disk.
+
+    Years come from the archive names; each year's archives are read together
+    through the zip source (so a year's schema is its own header, and silver's
+    presence map stays right) and written to that year's leaf. Committed leaves
+    (``_SUCCESS``) are skipped unless ``mode="overwrite"``.
+    """
+    if mode not in ("skip", "overwrite"):
+        raise ValueError("mode must be 'skip' or 'overwrite'")
+    register(spark)
+    by_year: dict[int, list[str]] = {}
+    for part in list_members(archive_options(spec, folder)):
+        by_year.setdefault(part.year, []).append(part.archive)
+    reports, todo = [], []
+    for year, archives in sorted(by_year.items()):
+        leaf = leaf_path(bronze_root, year, spec.year_col)
+        if mode == "skip" and is_complete(spark, leaf):
+            reports.append(WriteReport(spec.name, leaf, "skipped", year))
+        else:
+            todo.append((year, archives))
+
+    def ingest(item: tuple[int, list[str]]) -> WriteReport:
+        year, archives = item
+        opts = archive_options(spec, ",".join(archives))
+        df = spark.read.format(FORMAT).options(**opts).load()
+        return write_leaf(df, bronze_root, year, spec.year_col, table=spec.name)
+
+    if todo:
+        with ThreadPoolExecutor(max_workers=max(1, min(parallel_years, len(todo)))) as pool:
+            reports.extend(pool.map(ingest, todo))
+    return sorted(reports, key=lambda r: r.year)
