@@ -23,7 +23,7 @@ from tierlake.functions.scores import is_malformed, parse_score
 from tierlake.operators.columns import years_having
 from tierlake.sinks.parquet import WriteReport, write_partitioned
 from tierlake.sources.fs import exists, read_small_text, write_small_text
-from tierlake.sources.layers import leaf_columns, read_layer
+from tierlake.sources.layers import leaf_schemas, read_layer
 from tierlake.spec import LakeSpec
 
 
@@ -71,13 +71,13 @@ def silver_frame(
     spark: SparkSession, bronze_root: str, spec: LakeSpec, years: Sequence[int] | None = None
 ) -> tuple[DataFrame, dict[int, list[str]], dict[str, Column]]:
     """(silver DataFrame, presence map, quality metrics over the raw columns)."""
-    cols_by_year = leaf_columns(spark, bronze_root, spec.year_col)
+    schemas = leaf_schemas(spark, bronze_root, spec.year_col)
     if years is not None:
-        cols_by_year = {y: c for y, c in cols_by_year.items() if y in set(int(v) for v in years)}
-    if not cols_by_year:
+        schemas = {y: s for y, s in schemas.items() if y in set(int(v) for v in years)}
+    if not schemas:
         raise FileNotFoundError(f"no bronze years under {bronze_root}")
-    presence = kept_presence(cols_by_year, spec)
-    bronze = read_layer(spark, bronze_root, years=sorted(presence), year_col=spec.year_col)
+    presence = kept_presence({y: s.fieldNames() for y, s in schemas.items()}, spec)
+    bronze = read_layer(spark, bronze_root, years=sorted(presence), year_col=spec.year_col, schemas=schemas)
     return bronze, presence, quality_metrics(presence, spec)
 
 

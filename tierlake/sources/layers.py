@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tierlake.sources.fs import exists, has_data_files, list_dir
 
@@ -21,17 +22,45 @@ def read_layer(
     years: Sequence[int] | None = None,
     year_col: str = "ano",
     merge_schema: bool = True,
+    schemas: dict[int, StructType] | None = None,
 ) -> DataFrame:
     """The whole layer with its year partition column; with ``years`` the filter on
-    the partition column prunes the other leaves at planning time."""
+    the partition column prunes the other leaves at planning time.
+
+    With ``merge_schema`` the schema is the by-name union of the leaves' schemas,
+    one footer per year (``leaf_schemas``), handed to the reader: Spark's own
+    ``mergeSchema`` would instead run a job reading the footer of every file.
+    ``schemas`` passes leaf schemas the caller has already read."""
     if not exists(spark, root):
         raise FileNotFoundError(f"layer not found: {root}")
-    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(root)
+    if merge_schema:
+        schemas = schemas if schemas is not None else leaf_schemas(spark, root, year_col)
+        if not schemas:
+            raise FileNotFoundError(f"layer has no year leaves: {root}")
+        df = spark.read.schema(union_schema(schemas.values(), year_col)).parquet(root)
+    else:
+        df = spark.read.parquet(root)
     if years is not None:
         df = df.where(F.col(year_col).isin([int(y) for y in years]))
     return df
 
 
+def union_schema(schemas, year_col: str = "ano") -> StructType:
+    """By-name union of leaf schemas in first-seen order, plus the year partition
+    column. The same name with two types is an error, never a silent cast."""
+    fields: dict[str, StructField] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            if f.name == year_col:
+                continue
+            seen = fields.get(f.name)
+            if seen is None:
+                fields[f.name] = StructField(f.name, f.dataType, True)
+            elif seen.dataType != f.dataType:
+                raise TypeError(f"column {f.name} is {seen.dataType} in one year and {f.dataType} in another")
+    return StructType([*fields.values(), StructField(year_col, IntegerType(), True)])
+
+
 def layer_years(spark: SparkSession, root: str, year_col: str = "ano") -> DataFrame:
     """Distinct years that have rows, ascending. A missing layer raises."""
     return read_layer(spark, root, year_col=year_col, merge_schema=False).select(year_col).distinct().orderBy(year_col)
@@ -48,17 +77,22 @@ def leaf_years(spark: SparkSession, root: str, year_col: str = "ano") -> list[in
     return sorted(out)
 
 
+def leaf_schemas(spark: SparkSession, root: str, year_col: str = "ano") -> dict[int, StructType]:
+    """Each year's leaf schema from one Parquet footer (a leaf is written by one job,
+    so its files agree). The reads are independent and run side by side."""
+    years = leaf_years(spark, root, year_col)
+
+    def schema(y: int) -> StructType:
+        return spark.read.option("mergeSchema", "false").parquet(leaf_path(root, y, year_col)).schema
+
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(years)))) as pool:
+        return dict(zip(years, pool.map(schema, years)))
+
+
 def leaf_columns(spark: SparkSession, root: str, year_col: str = "ano") -> dict[int, list[str]]:
     """Column names each year's leaf physically has, from its Parquet footers.
 
     This is the per-year presence map: a merged read of the whole root shows every
     column in every year, so it cannot tell "absent that year" from "NULL values".
     """
-    years = leaf_years(spark, root, year_col)
-
-    def columns(y: int) -> list[str]:
-        return spark.read.option("mergeSchema", "false").parquet(leaf_path(root, y, year_col)).columns
-
-    # One footer per year; the reads are independent, so they run side by side.
-    with ThreadPoolExecutor(max_workers=max(1, min(8, len(years)))) as pool:
-        return dict(zip(years, pool.map(columns, years)))
+    return {y: s.fieldNames() for y, s in leaf_schemas(spark, root, year_col).items()}
