@@ -17,6 +17,7 @@ from __future__ import annotations
 import csv
 import io
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -70,7 +71,7 @@ def list_members(options: dict) -> list[MemberPartition]:
 
     roots = [p for p in options.get("path", "").split(",") if p]
     matches = _member_filter(options)
-    out = []
+    found = []
     for root in roots:
         fs, base = _filesystem(root)
         info = fs.get_file_info(base)
@@ -85,11 +86,17 @@ def list_members(options: dict) -> list[MemberPartition]:
             if year is None:
                 continue
             full = f.path if "://" not in root else f"{root.split('://')[0]}://{f.path}"
-            with fs.open_input_file(f.path) as handle, zipfile.ZipFile(handle) as zf:
-                member = next((n for n in zf.namelist() if matches(n)), None)
-            if member is not None:
-                out.append(MemberPartition(full, member, year))
-    return out
+            found.append((fs, f.path, full, year))
+
+    def first_member(item) -> MemberPartition | None:
+        fs, path, full, year = item
+        # Reads only the archive's central directory, not its data.
+        with fs.open_input_file(path) as handle, zipfile.ZipFile(handle) as zf:
+            member = next((n for n in zf.namelist() if matches(n)), None)
+        return MemberPartition(full, member, year) if member is not None else None
+
+    with ThreadPoolExecutor(max_workers=max(1, min(16, len(found)))) as pool:
+        return [m for m in pool.map(first_member, found) if m is not None]
 
 
 def _open_records(part: MemberPartition, options: dict):
@@ -178,8 +185,11 @@ class ZipCsvDataSource(DataSource):
     def schema(self) -> StructType:
         year_col = self.options.get("year_col", "ano")
         seen: dict[str, None] = {}
-        for part in list_members(self.options):
-            for h in read_header(part, self.options):
+        parts = list_members(self.options)
+        with ThreadPoolExecutor(max_workers=max(1, min(16, len(parts)))) as pool:
+            headers = list(pool.map(lambda p: read_header(p, self.options), parts))
+        for header in headers:
+            for h in header:
                 if h != year_col:
                     seen.setdefault(h, None)
         return StructType(
