@@ -82,3 +82,12 @@ def test_profile_table_sorted_as_text(spark, workdir):
     plan = gold_tables(read_layer(spark, f"{workdir}/silver"), load_presence(spark, f"{workdir}/silver"), LI)
     rows = [tuple(r)[:4] for r in plan.tables[LI.profile_table].collect()]
     assert rows == sorted(rows)  # line number is text in silver: "1" < "10" < "2"
+
+
+def test_missing_layer_raises(spark, workdir):
+    import pytest
+
+    with pytest.raises(FileNotFoundError):
+        read_layer(spark, f"{workdir}/nothing-here")
+    with pytest.raises(FileNotFoundError):
+        layer_years(spark, f"{workdir}/nothing-here")

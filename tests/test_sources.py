@@ -96,3 +96,16 @@ def test_archives_to_bronze_keep_each_years_header(spark, workdir):
     got = {(r["ano"], r["SG_UF_PROVA"]): r for r in read_layer(spark, f"{workdir}/silver").collect()}
     assert got[(2021, "RJ")]["NU_NOTA_CN"] == 0.0 and got[(2021, "RJ")]["NU_NOTA_MT"] is None
     assert got[(2022, "SP")]["NU_NOTA_MT"] == 7.0 and got[(2022, "SP")]["NU_NOTA_CN"] is None
+
+
+def test_stream_ingest_refuses_a_drifted_header(spark, workdir):
+    import pytest
+
+    write_text(f"{workdir}/raw/x_2020/DADOS/MICRODADOS_ENEM_2020.csv", "SG_UF_PROVA;NU_NOTA_CN\nSP;1\n")
+    write_text(f"{workdir}/raw/x_2021/DADOS/MICRODADOS_ENEM_2021.csv", "NU_NOTA_CN;SG_UF_PROVA\n2;RJ\n")
+    with pytest.raises(Exception) as err:
+        ingest_stream(spark, f"{workdir}/raw", f"{workdir}/bronze", f"{workdir}/_ckpt", S)
+    message = str(err.value)
+    # The drifted year's file is the one refused, and the failed batch commits nothing.
+    assert "x_2021/DADOS/MICRODADOS_ENEM_2021.csv" in message
+    assert "Current Committed Offsets: {}" in message
