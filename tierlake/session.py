@@ -47,8 +47,11 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before running lake jobs")
+        # Core configs cannot be set at runtime; the context's checkpoint dir is
+        # what later calls read back (its parent is the root).
         root = tempfile.mkdtemp(prefix="tierlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        sc.setCheckpointDir(root)
+        return sc.getCheckpointDir().rsplit("/", 1)[0]
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
