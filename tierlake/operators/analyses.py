@@ -6,7 +6,7 @@ Each returns plot- or report-ready rows; none collects data to the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.functions.scores import bin_of
@@ -110,11 +110,16 @@ def histogram_by_group(df: DataFrame, group: str, value: str, width: float, name
 
 
 def density_by_group(df: DataFrame, group: str, value: str, width: float, digits: int = 6) -> DataFrame:
-    """Histogram plus each bin's share of its group. The window runs over the
-    aggregated histogram (groups x bins rows), never over raw rows."""
+    """Histogram plus each bin's share of its group.
+
+    Group totals come from a second aggregate of the histogram (one row per group)
+    joined back on the group, rather than a window partitioned by group, which
+    would put every bin of a group into one task."""
     hist = histogram_by_group(df, group, value, width, "total")
-    share = F.col("total") / F.sum("total").over(Window.partitionBy(group))
-    return hist.withColumn("share", F.round(share, digits))
+    totals = hist.groupBy(group).agg(F.sum("total").alias("_group_total"))
+    return join_null_safe(hist, totals, [group], how="inner").select(
+        group, "bin", "total", F.round(F.col("total") / F.col("_group_total"), digits).alias("share")
+    )
 
 
 def compare_flag(df: DataFrame, flag: str, scores: Sequence[str], digits: int = 4) -> DataFrame:
