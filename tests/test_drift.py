@@ -100,3 +100,14 @@ def test_silver_rerun_of_one_year_keeps_others(spark, workdir):
 
     pres = load_presence(spark, f"{workdir}/silver")
     assert {y: set(c) for y, c in pres.items()} == {2021: {"SG_UF_PROVA", "NU_NOTA_CN"}, 2022: {"SG_UF_PROVA", "NU_NOTA_MT"}}
+
+
+def test_year_without_profile_columns_left_out_of_profile_table(spark, workdir):
+    raw = f"{workdir}/raw"
+    csv_year(raw, 2021, "SG_UF_PROVA;NU_NOTA_CN", ["SP;1"])  # no profile column at all
+    csv_year(raw, 2022, "SG_UF_PROVA;TP_SEXO;NU_NOTA_CN", ["SP;F;2", "SP;M;3"])
+    got = lake(spark, workdir)
+    assert {r["ano"] for r in got[S.profile_table]} == {2022}
+    assert {r["ano"] for r in got[S.mean_table]} == {2021, 2022}
+    # Only the profile columns some year had become keys.
+    assert set(got[S.profile_table][0].asDict()) == {"ano", "TP_SEXO", "TOTAL_CANDIDATOS"}
