@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tierlake import fixtures as fx
 from tierlake.plans import build_bronze, load_archives, load_archives_typed
+from tierlake.sources import read_year_csv
 from tierlake.sources import read_layer
 from tierlake.spec import DOCUMENTS_SPEC, EXAM_SPEC as S, LINEITEM_SPEC
 from tierlake.streaming import ingest_stream
@@ -109,3 +110,49 @@ def test_stream_ingest_refuses_a_drifted_header(spark, workdir):
     # The drifted year's file is the one refused, and the failed batch commits nothing.
     assert "x_2021/DADOS/MICRODADOS_ENEM_2021.csv" in message
     assert "Current Committed Offsets: {}" in message
+
+
+EDGE = (
+    "K;SG_UF_PROVA;NU_NOTA_CN;TXT\n"
+    "1;SP;650.5;plain\n"
+    "2;SP;;\n"  # unquoted empties -> NULL
+    '3;RJ;"";""\n'  # quoted empties -> NULL as well (Spark's CSV reader agrees)
+    "4;RJ\n"  # short row -> padded with NULL
+    "5;MG;1;x;extra;more\n"  # long row -> extra fields dropped
+    '6;"A;B";2;"line one\nline two"\n'  # quoted separator and newline
+    "7;São;3;ação\n"
+    '8;BA;4;"say ""hi"""\n'  # doubled quote inside quotes
+    "\n"
+    "9;AC;5;last\n"
+)
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_zip_parsers_agree_with_each_other_and_with_spark_csv(spark, workdir):
+    from tierlake.plans.archives import archive_options
+    from tierlake.sources.zipcsv import FORMAT, register
+    from tierlake.spec import CsvDialect
+
+    spec = S.with_(dialect=CsvDialect(escape='"', multi_line=True))
+    os.makedirs(f"{workdir}/z", exist_ok=True)
+    make_zip(f"{workdir}/z/microdados_enem_2020.zip", [("DADOS/RESULTADOS_2020.csv", EDGE)])
+    register(spark)
+    opts = archive_options(spec, f"{workdir}/z")
+    arrow = spark.read.format(FORMAT).options(**opts, parser="arrow").load()
+    python = spark.read.format(FORMAT).options(**opts, parser="python").load()
+    assert arrow.columns == python.columns == ["ano", "K", "SG_UF_PROVA", "NU_NOTA_CN", "TXT"]
+    assert _rows(arrow) == _rows(python)
+    got = {r["K"]: r for r in arrow.collect()}
+    assert got["2"]["NU_NOTA_CN"] is None and got["2"]["TXT"] is None
+    assert got["4"]["NU_NOTA_CN"] is None and got["4"]["SG_UF_PROVA"] == "RJ"
+    assert got["5"]["TXT"] == "x"
+    assert got["6"]["SG_UF_PROVA"] == "A;B" and got["6"]["TXT"] == "line one\nline two"
+    assert got["7"]["SG_UF_PROVA"] == "São" and got["8"]["TXT"] == 'say "hi"'
+    assert len(got) == 9
+    # Spark's own CSV reader on the same text, same dialect.
+    write_text(f"{workdir}/csv/x_2020/DADOS/MICRODADOS_ENEM_2020.csv", EDGE)
+    via_csv = read_year_csv(spark, f"{workdir}/csv/x_2020/DADOS/MICRODADOS_ENEM_2020.csv", spec.dialect)
+    assert _rows(arrow.drop("ano")) == _rows(via_csv.where("K is not null"))

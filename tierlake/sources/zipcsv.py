@@ -9,7 +9,8 @@ Spark as Arrow record batches.
 
 Columns are aligned by header name, not position: the output schema is the union
 of all members' headers in first-seen order, and a member lacking a column yields
-NULL there. Every value is a string, as in bronze.
+NULL there. Every value is a string, as in bronze, and an empty field (quoted or
+not) is NULL, as Spark's CSV reader gives it.
 """
 
 from __future__ import annotations
@@ -118,6 +119,12 @@ def read_header(part: MemberPartition, options: dict) -> list[str]:
 
 
 class ZipCsvReader(DataSourceReader):
+    """Reads one member per partition. The default parser is ``pyarrow.csv``'s
+    streaming reader (vectorised, Arrow batches straight through); rows whose field
+    count differs from the header are handed back by its invalid-row hook and
+    re-parsed here, padded with NULL or cut, as Spark's permissive CSV mode does.
+    ``parser=python`` uses the standard-library reader for every row."""
+
     def __init__(self, options: dict, schema: StructType):
         self.options = dict(options)
         self.schema = schema
@@ -126,48 +133,130 @@ class ZipCsvReader(DataSourceReader):
         return list_members(self.options)
 
     def read(self, partition: MemberPartition):
+        header = read_header(partition, self.options)
+        if not header:
+            return
+        if self.options.get("parser", "arrow") == "python" or len(set(header)) != len(header):
+            yield from self._read_python(partition)
+        else:
+            yield from self._read_arrow(partition, header)
+
+    # -- shared -------------------------------------------------------------------
+    def _layout(self):
         import pyarrow as pa
 
         names = [f.name for f in self.schema.fields]
         year_col = self.options.get("year_col", "ano")
-        value_names = [n for n in names if n != year_col]
+        arrow_schema = pa.schema([pa.field(n, pa.int32() if n == year_col else pa.string()) for n in names])
+        return names, year_col, arrow_schema
+
+    def _batch(self, partition, columns: dict, count: int):
+        """Arrow batch in the output schema from ``columns`` (name -> values)."""
+        import numpy as np
+        import pyarrow as pa
+
+        names, year_col, arrow_schema = self._layout()
+        arrays = []
+        for n in names:
+            if n == year_col:
+                arrays.append(pa.array(np.full(count, partition.year, dtype=np.int32)))
+            elif n in columns:
+                col = columns[n]
+                arrays.append(col if isinstance(col, (pa.Array, pa.ChunkedArray)) else pa.array(col, pa.string()))
+            else:
+                arrays.append(pa.nulls(count, pa.string()))
+        arrays = [a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a for a in arrays]
+        return pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
+
+    def _rows_batch(self, partition, header: list[str], rows: list[list]):
+        width = len(header)
+        cols = {h: [] for h in header}
+        for row in rows:
+            for i, h in enumerate(header):
+                cols[h].append((row[i] or None) if i < len(row) else None)
+        return self._batch(partition, cols, len(rows)) if rows and width else None
+
+    # -- pyarrow ------------------------------------------------------------------
+    def _read_arrow(self, partition: MemberPartition, header: list[str]):
+        import pyarrow as pa
+        import pyarrow.csv as pacsv
+
+        sep = self.options.get("sep", ";")
+        quote = self.options.get("quote", '"')
+        escape = self.options.get("escape", "\\")
+        odd: list[str] = []
+
+        def on_invalid(row) -> str:
+            odd.append(row.text)
+            return "skip"
+
+        parse = pacsv.ParseOptions(
+            delimiter=sep,
+            quote_char=quote,
+            double_quote=escape == quote,
+            escape_char=False if (not escape or escape == quote) else escape,
+            newlines_in_values=True,
+            ignore_empty_lines=True,
+            invalid_row_handler=on_invalid,
+        )
+        read = pacsv.ReadOptions(
+            encoding=self.options.get("encoding", "ISO-8859-1"),
+            block_size=int(self.options.get("block_bytes", str(16 << 20))),
+            use_threads=False,
+        )
+        convert = pacsv.ConvertOptions(
+            column_types={h: pa.string() for h in header},
+            strings_can_be_null=True,
+            quoted_strings_can_be_null=True,
+            null_values=[""],
+        )
+        kw = _csv_kwargs(self.options)
+        fs, path = _filesystem(partition.archive)
+        with fs.open_input_file(path) as handle, zipfile.ZipFile(handle) as zf, zf.open(partition.member) as raw:
+            for batch in pacsv.open_csv(raw, read_options=read, parse_options=parse, convert_options=convert):
+                if batch.num_rows:
+                    yield self._batch(partition, dict(zip(batch.schema.names, batch.columns)), batch.num_rows)
+                if odd:
+                    rows = [next(csv.reader(io.StringIO(t), **kw), []) for t in odd]
+                    odd.clear()
+                    extra = self._rows_batch(partition, header, [r for r in rows if r])
+                    if extra is not None:
+                        yield extra
+            if odd:
+                rows = [next(csv.reader(io.StringIO(t), **kw), []) for t in odd]
+                extra = self._rows_batch(partition, header, [r for r in rows if r])
+                if extra is not None:
+                    yield extra
+
+    # -- standard library ------------------------------------------------------------
+    def _read_python(self, partition: MemberPartition):
         batch_rows = int(self.options.get("batch_rows", "8192"))
         closers, records = _open_records(partition, self.options)
         try:
             header = next(records, None)
             if header is None:
                 return
-            first = {}
+            first: dict[str, int] = {}
             for i, h in enumerate(header):
                 first.setdefault(h, i)
+            names, year_col, _ = self._layout()
+            value_names = [n for n in names if n != year_col]
             index = [first.get(n, -1) for n in value_names]
-            arrow_schema = pa.schema(
-                [pa.field(n, pa.int32() if n == year_col else pa.string()) for n in names]
-            )
             buf: list[list] = [[] for _ in value_names]
             count = 0
-
-            def flush():
-                cols = {n: buf[j] for j, n in enumerate(value_names)}
-                arrays = [
-                    pa.array([partition.year] * count, pa.int32()) if n == year_col else pa.array(cols[n], pa.string())
-                    for n in names
-                ]
-                return pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
-
             for row in records:
                 if not row:
                     continue
                 width = len(row)
                 for j, i in enumerate(index):
-                    buf[j].append(row[i] if 0 <= i < width else None)
+                    buf[j].append((row[i] or None) if 0 <= i < width else None)
                 count += 1
                 if count >= batch_rows:
-                    yield flush()
+                    yield self._batch(partition, dict(zip(value_names, buf)), count)
                     buf = [[] for _ in value_names]
                     count = 0
             if count:
-                yield flush()
+                yield self._batch(partition, dict(zip(value_names, buf)), count)
         finally:
             for c in reversed(closers):
                 c.close()
@@ -176,7 +265,9 @@ class ZipCsvReader(DataSourceReader):
 class ZipCsvDataSource(DataSource):
     """Options: ``path`` (folder, archive, or comma list), ``sep``, ``encoding``,
     ``quote``, ``escape``, ``member_tokens`` (comma list of substrings the member
-    name must contain), ``member_suffix``, ``year_col``, ``batch_rows``."""
+    name must contain), ``member_suffix``, ``year_col``, ``parser`` (``arrow`` or
+    ``python``), ``block_bytes`` (arrow block; must exceed the longest record),
+    ``batch_rows`` (python parser)."""
 
     @classmethod
     def name(cls) -> str:
