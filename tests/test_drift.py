@@ -10,7 +10,7 @@ from tierlake.spec import EXAM_SPEC as S
 
 
 def csv_year(raw, year, header, rows, folder=None, ext=".csv"):
-    folder = folder or f"microdados_enem_{year}"
+    folder = folder or f"survey_{year}"
     write_text(f"{raw}/{folder}/DADOS/MICRODADOS_ENEM_{year}{ext}", header + "\n" + "\n".join(rows) + ("\n" if rows else ""))
 
 
@@ -61,7 +61,7 @@ def test_header_only_year_and_layout_rules(spark, workdir):
     raw = f"{workdir}/raw"
     csv_year(raw, 2020, "SG_UF_PROVA;NU_NOTA_CN", [])  # header only
     csv_year(raw, 2021, "SG_UF_PROVA;NU_NOTA_CN", ["SP;1"], ext=".CSV")  # upper-case extension
-    os.makedirs(f"{raw}/microdados_enem_2019/DADOS")  # no CSV in folder
+    os.makedirs(f"{raw}/survey_2019/DADOS")  # no CSV in folder
     write_text(f"{raw}/loose_2018.csv", "a\n")  # loose file
     csv_year(raw, 2017, "SG_UF_PROVA;NU_NOTA_CN", ["SP;2"], folder="microdados_extra")  # non-year folder
     years = [y for y, _ in discover_years(spark, raw, S)]

@@ -26,7 +26,7 @@ ROWS = [
 
 def build(spark, workdir, rows=ROWS, header=HEADER, year=2020):
     raw = f"{workdir}/raw"
-    write_text(f"{raw}/microdados_enem_{year}/DADOS/MICRODADOS_ENEM_{year}.csv", header + "\n".join(rows) + "\n")
+    write_text(f"{raw}/survey_{year}/DADOS/MICRODADOS_ENEM_{year}.csv", header + "\n".join(rows) + "\n")
     build_bronze(spark, raw, f"{workdir}/bronze", S)
     build_silver(spark, f"{workdir}/bronze", f"{workdir}/silver", S)
     return read_layer(spark, f"{workdir}/silver")

@@ -28,14 +28,14 @@ def make_zip(path, members):
 
 def test_zip_source_aligns_headers_and_picks_first_member(spark, workdir):
     make_zip(
-        f"{workdir}/microdados_enem_2021.zip",
+        f"{workdir}/survey_2021.zip",
         [
             ("LEIA-ME.txt", "x"),
             ("DADOS/RESULTADOS_2021.csv", "SG_UF_PROVA;NU_NOTA_CN\nSP;1.5\nRJ;\n"),
             ("DADOS/RESULTADOS_2021_b.csv", "SG_UF_PROVA;NU_NOTA_CN\nXX;9\n"),
         ],
     )
-    make_zip(f"{workdir}/microdados_enem_2022.zip", [("DADOS/RESULTADOS_2022.csv", "NU_NOTA_MT;SG_UF_PROVA\n7;São\n")])
+    make_zip(f"{workdir}/survey_2022.zip", [("DADOS/RESULTADOS_2022.csv", "NU_NOTA_MT;SG_UF_PROVA\n7;São\n")])
     make_zip(f"{workdir}/sem_ano.zip", [("DADOS/RESULTADOS_X.csv", "SG_UF_PROVA\nZZ\n")])
     make_zip(f"{workdir}/outro_2023.zip", [("DADOS/OUTRO_2023.csv", "SG_UF_PROVA\nZZ\n")])
     df = load_archives(spark, workdir, S)
@@ -87,8 +87,8 @@ def test_archives_to_bronze_keep_each_years_header(spark, workdir):
     from tierlake.plans import build_bronze_from_archives, build_silver
 
     os.makedirs(f"{workdir}/z", exist_ok=True)
-    make_zip(f"{workdir}/z/microdados_enem_2021.zip", [("DADOS/RESULTADOS_2021.csv", "SG_UF_PROVA;NU_NOTA_CN\nSP;10\nRJ;\n")])
-    make_zip(f"{workdir}/z/microdados_enem_2022.zip", [("DADOS/RESULTADOS_2022.csv", "NU_NOTA_MT;SG_UF_PROVA\n7;SP\n")])
+    make_zip(f"{workdir}/z/survey_2021.zip", [("DADOS/RESULTADOS_2021.csv", "SG_UF_PROVA;NU_NOTA_CN\nSP;10\nRJ;\n")])
+    make_zip(f"{workdir}/z/survey_2022.zip", [("DADOS/RESULTADOS_2022.csv", "NU_NOTA_MT;SG_UF_PROVA\n7;SP\n")])
     first = build_bronze_from_archives(spark, f"{workdir}/z", f"{workdir}/bronze", S)
     assert [(r.year, r.action, r.rows) for r in first] == [(2021, "written", 2), (2022, "written", 1)]
     again = build_bronze_from_archives(spark, f"{workdir}/z", f"{workdir}/bronze", S)
@@ -134,11 +134,11 @@ def _rows(df):
 def test_zip_parsers_agree_with_each_other_and_with_spark_csv(spark, workdir):
     from tierlake.plans.archives import archive_options
     from tierlake.sources.zipcsv import FORMAT, register
-    from tierlake.spec import CsvDialect
+    from dataclasses import replace
 
-    spec = S.with_(dialect=CsvDialect(escape='"', multi_line=True))
+    spec = S.with_(dialect=replace(S.dialect, escape='"', multi_line=True))
     os.makedirs(f"{workdir}/z", exist_ok=True)
-    make_zip(f"{workdir}/z/microdados_enem_2020.zip", [("DADOS/RESULTADOS_2020.csv", EDGE)])
+    make_zip(f"{workdir}/z/survey_2020.zip", [("DADOS/RESULTADOS_2020.csv", EDGE)])
     register(spark)
     opts = archive_options(spec, f"{workdir}/z")
     arrow = spark.read.format(FORMAT).options(**opts, parser="arrow").load()

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tierlake.functions.scores import year_of
 from tierlake.session import ship_package
 from tierlake.sources.fs import list_dir, rename
-from tierlake.spec import LakeSpec
+from tierlake.spec import LakeSpec, YEAR_COL
 
 LINEITEM_SCORES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
@@ -39,7 +39,7 @@ def raw_score_text(c: str) -> F.Column:
     )
 
 
-def lineitem_raw(lineitem: DataFrame, year_col: str = "ano") -> DataFrame:
+def lineitem_raw(lineitem: DataFrame, year_col: str = YEAR_COL) -> DataFrame:
     return lineitem.select(
         year_of("l_shipdate").alias(year_col),
         F.col("l_orderkey").cast("string").alias("l_orderkey"),
@@ -50,7 +50,7 @@ def lineitem_raw(lineitem: DataFrame, year_col: str = "ano") -> DataFrame:
     )
 
 
-def documents_raw(documents: DataFrame, year_col: str = "ano") -> DataFrame:
+def documents_raw(documents: DataFrame, year_col: str = YEAR_COL) -> DataFrame:
     year = (F.lit(2000) + F.regexp_extract("source", r"(\d+)$", 1).cast("int")).cast("int")
     return documents.select(
         year.alias(year_col),
@@ -94,7 +94,7 @@ def write_raw_csv(
         for e in list_dir(spark, out):
             if e.is_dir and e.name.startswith(f"{y}="):
                 yr = int(e.name.split("=", 1)[1])
-                dest = f"{raw_root.rstrip('/')}/{prefix}_{yr}/{spec.data_dir}/{spec.file_stem}_{yr}.csv"
+                dest = spec.raw_files(f"{raw_root.rstrip('/')}/{prefix}_{yr}", yr)[0]
                 rename(spark, e.path, dest)
     return years
 
@@ -160,14 +160,14 @@ def _zip_writer(cols: list[str], year_col: str, folder: str, prefix: str, member
 
 def write_raw_zips(df: DataFrame, folder: str, spec: LakeSpec, prefix: str) -> DataFrame:
     """Write ``df`` (string columns plus the year column) as zip archives, one per
-    (input partition, year), each holding one member ``DADOS/RESULTADOS_<yyyy>.csv``.
+    (input partition, year), each holding one member the spec's zip filter accepts.
     No shuffle: each task writes the rows it already has. Returns the small
     (archive, year, rows) listing after running the job."""
     ship_package(df.sparkSession)
     y = spec.year_col
     cols = [c for c in df.columns if c != y]
     d = spec.dialect
-    member = "DADOS/RESULTADOS_{year}" + spec.member_suffix
+    member = "".join(spec.member_tokens) + "_{year}" + spec.member_suffix  # as spec.member_name(year)
     fn = _zip_writer(cols, y, folder, prefix, member, {"sep": d.sep, "quote": d.quote, "escape": d.escape, "encoding": d.encoding})
     out = df.select(*[F.col(c).cast("string") for c in cols], F.col(y).cast("int")).mapInPandas(
         fn, f"archive string, {y} int, rows long"

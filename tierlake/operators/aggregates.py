@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.functions.scores import positive
+from tierlake.spec import YEAR_COL
 
 
 def mean_by_group(
@@ -21,13 +22,13 @@ def mean_by_group(
     keys: Sequence[str],
     measures: Sequence[str],
     digits: int = 2,
-    name: Callable[[str], str] = lambda c: f"MEDIA_{c}",
+    name: Callable[[str], str] = lambda c: f"mean_{c}",
 ) -> DataFrame:
     """Rounded mean of each measure per group (NULLs skipped, zeros counted)."""
     return df.groupBy(*keys).agg(*[F.round(F.avg(c), digits).alias(name(c)) for c in measures])
 
 
-def count_by_group(df: DataFrame, keys: Sequence[str], name: str = "TOTAL_CANDIDATOS") -> DataFrame:
+def count_by_group(df: DataFrame, keys: Sequence[str], name: str = "total") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
@@ -71,7 +72,7 @@ def preview(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def union_years(frames: Mapping[int, DataFrame] | Sequence[DataFrame], year_col: str = "ano") -> DataFrame:
+def union_years(frames: Mapping[int, DataFrame] | Sequence[DataFrame], year_col: str = YEAR_COL) -> DataFrame:
     """Concatenate yearly tables by column name; a column one year lacks is NULL.
 
     With a mapping, each frame is tagged with its year first. Positional union is

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.functions.scores import parse_score, positive
+from tierlake.spec import YEAR_COL
 
 
 def present(df: DataFrame, cols: Iterable[str]) -> list[str]:
@@ -42,7 +43,7 @@ def present_only(df: DataFrame, score: str) -> DataFrame:
     return df.where(positive(score))
 
 
-def with_year(df: DataFrame, year: int, name: str = "ano") -> DataFrame:
+def with_year(df: DataFrame, year: int, name: str = YEAR_COL) -> DataFrame:
     return df.withColumn(name, F.lit(int(year)))
 
 
@@ -57,6 +58,6 @@ def years_having(presence: Mapping[int, Iterable[str]], cols: Iterable[str], nee
     return sorted(y for y, have in presence.items() if test(c in set(have) for c in cols))
 
 
-def restrict_years(df: DataFrame, years: Sequence[int], year_col: str = "ano") -> DataFrame:
+def restrict_years(df: DataFrame, years: Sequence[int], year_col: str = YEAR_COL) -> DataFrame:
     """Keep the given years; on a partitioned layer this becomes partition pruning."""
     return df.where(F.col(year_col).isin([int(y) for y in years]))

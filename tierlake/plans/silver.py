@@ -24,7 +24,7 @@ from tierlake.operators.columns import years_having
 from tierlake.sinks.parquet import WriteReport, write_partitioned
 from tierlake.sources.fs import exists, read_small_text, write_small_text
 from tierlake.sources.layers import leaf_schemas, read_layer
-from tierlake.spec import LakeSpec
+from tierlake.spec import LakeSpec, YEAR_COL
 
 
 def presence_path(silver_root: str) -> str:
@@ -104,7 +104,7 @@ def build_silver(
     return report
 
 
-def load_presence(spark: SparkSession, silver_root: str, year_col: str = "ano") -> dict[int, list[str]]:
+def load_presence(spark: SparkSession, silver_root: str, year_col: str = YEAR_COL) -> dict[int, list[str]]:
     """The presence map (years x kept columns: small by construction)."""
     raw = json.loads(read_small_text(spark, presence_path(silver_root)))
     return {int(y): list(cols) for y, cols in raw.items()}

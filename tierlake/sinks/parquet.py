@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tierlake.sources.layers import leaf_path
+from tierlake.spec import YEAR_COL
 
 CODEC = "snappy"
 
@@ -38,7 +39,7 @@ def write_leaf(
     df: DataFrame,
     root: str,
     year: int,
-    year_col: str = "ano",
+    year_col: str = YEAR_COL,
     table: str = "",
     metrics: Mapping[str, Column] | None = None,
 ) -> WriteReport:
@@ -54,7 +55,7 @@ def write_leaf(
 def write_partitioned(
     df: DataFrame,
     root: str,
-    year_col: str = "ano",
+    year_col: str = YEAR_COL,
     table: str = "",
     metrics: Mapping[str, Column] | None = None,
 ) -> WriteReport:

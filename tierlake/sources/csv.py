@@ -40,10 +40,10 @@ def discover_years(spark: SparkSession, raw_root: str, spec: LakeSpec) -> list[t
         if year is None:
             log.warning("skipping %s: no year suffix", entry.path)
             continue
-        candidates = [f"{entry.path}/{spec.data_dir}/{n}" for n in spec.file_names(year)]
+        candidates = spec.raw_files(entry.path, year)
         path = next((c for c in candidates if exists(spark, c)), None)
         if path is None:
-            log.warning("skipping year %s: no raw file in %s/%s", year, entry.path, spec.data_dir)
+            log.warning("skipping year %s: none of %s", year, candidates)
             continue
         if year in found:
             log.warning("year %s found twice; keeping %s", year, found[year])

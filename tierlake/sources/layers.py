@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tierlake.sources.fs import exists, has_data_files, list_dir
+from tierlake.spec import YEAR_COL
 
 
-def leaf_path(root: str, year: int, year_col: str = "ano") -> str:
+def leaf_path(root: str, year: int, year_col: str = YEAR_COL) -> str:
     return f"{root.rstrip('/')}/{year_col}={int(year)}"
 
 
@@ -20,7 +21,7 @@ def read_layer(
     spark: SparkSession,
     root: str,
     years: Sequence[int] | None = None,
-    year_col: str = "ano",
+    year_col: str = YEAR_COL,
     merge_schema: bool = True,
     schemas: dict[int, StructType] | None = None,
 ) -> DataFrame:
@@ -45,7 +46,7 @@ def read_layer(
     return df
 
 
-def union_schema(schemas, year_col: str = "ano") -> StructType:
+def union_schema(schemas, year_col: str = YEAR_COL) -> StructType:
     """By-name union of leaf schemas in first-seen order, plus the year partition
     column. The same name with two types is an error, never a silent cast."""
     fields: dict[str, StructField] = {}
@@ -61,12 +62,12 @@ def union_schema(schemas, year_col: str = "ano") -> StructType:
     return StructType([*fields.values(), StructField(year_col, IntegerType(), True)])
 
 
-def layer_years(spark: SparkSession, root: str, year_col: str = "ano") -> DataFrame:
+def layer_years(spark: SparkSession, root: str, year_col: str = YEAR_COL) -> DataFrame:
     """Distinct years that have rows, ascending. A missing layer raises."""
     return read_layer(spark, root, year_col=year_col, merge_schema=False).select(year_col).distinct().orderBy(year_col)
 
 
-def leaf_years(spark: SparkSession, root: str, year_col: str = "ano") -> list[int]:
+def leaf_years(spark: SparkSession, root: str, year_col: str = YEAR_COL) -> list[int]:
     """Years with a leaf folder holding data files (listing only, no job)."""
     prefix = f"{year_col}="
     out = []
@@ -77,7 +78,7 @@ def leaf_years(spark: SparkSession, root: str, year_col: str = "ano") -> list[in
     return sorted(out)
 
 
-def leaf_schemas(spark: SparkSession, root: str, year_col: str = "ano") -> dict[int, StructType]:
+def leaf_schemas(spark: SparkSession, root: str, year_col: str = YEAR_COL) -> dict[int, StructType]:
     """Each year's leaf schema from one Parquet footer (a leaf is written by one job,
     so its files agree). The reads are independent and run side by side."""
     years = leaf_years(spark, root, year_col)
@@ -89,7 +90,7 @@ def leaf_schemas(spark: SparkSession, root: str, year_col: str = "ano") -> dict[
         return dict(zip(years, pool.map(schema, years)))
 
 
-def leaf_columns(spark: SparkSession, root: str, year_col: str = "ano") -> dict[int, list[str]]:
+def leaf_columns(spark: SparkSession, root: str, year_col: str = YEAR_COL) -> dict[int, list[str]]:
     """Column names each year's leaf physically has, from its Parquet footers.
 
     This is the per-year presence map: a merged read of the whole root shows every

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from tierlake.spec import year_from_name
+from tierlake.spec import YEAR_COL, year_from_name
 
 FORMAT = "zipcsv"
 
@@ -42,7 +42,7 @@ def _filesystem(path: str):
 
 
 def _csv_kwargs(options: dict) -> dict:
-    sep = options.get("sep", ";")
+    sep = options.get("sep", ",")
     quote = options.get("quote", '"')
     escape = options.get("escape", "\\")
     kw = {"delimiter": sep, "quotechar": quote, "quoting": csv.QUOTE_NOTNULL, "strict": False}
@@ -54,7 +54,7 @@ def _csv_kwargs(options: dict) -> dict:
 
 
 def _member_filter(options: dict):
-    tokens = [t for t in options.get("member_tokens", "DADOS/,RESULTADOS").split(",") if t]
+    tokens = [t for t in options.get("member_tokens", "").split(",") if t]
     suffix = options.get("member_suffix", ".csv")
     return lambda name: all(t in name for t in tokens) and name.endswith(suffix)
 
@@ -105,7 +105,7 @@ def _open_records(part: MemberPartition, options: dict):
     handle = fs.open_input_file(path)
     zf = zipfile.ZipFile(handle)
     raw = zf.open(part.member)
-    text = io.TextIOWrapper(raw, encoding=options.get("encoding", "ISO-8859-1"), newline="")
+    text = io.TextIOWrapper(raw, encoding=options.get("encoding", "UTF-8"), newline="")
     return (handle, zf, raw, text), csv.reader(text, **_csv_kwargs(options))
 
 
@@ -146,7 +146,7 @@ class ZipCsvReader(DataSourceReader):
         import pyarrow as pa
 
         names = [f.name for f in self.schema.fields]
-        year_col = self.options.get("year_col", "ano")
+        year_col = self.options.get("year_col", YEAR_COL)
         arrow_schema = pa.schema([pa.field(n, pa.int32() if n == year_col else pa.string()) for n in names])
         return names, year_col, arrow_schema
 
@@ -181,7 +181,7 @@ class ZipCsvReader(DataSourceReader):
         import pyarrow as pa
         import pyarrow.csv as pacsv
 
-        sep = self.options.get("sep", ";")
+        sep = self.options.get("sep", ",")
         quote = self.options.get("quote", '"')
         escape = self.options.get("escape", "\\")
         odd: list[str] = []
@@ -200,7 +200,7 @@ class ZipCsvReader(DataSourceReader):
             invalid_row_handler=on_invalid,
         )
         read = pacsv.ReadOptions(
-            encoding=self.options.get("encoding", "ISO-8859-1"),
+            encoding=self.options.get("encoding", "UTF-8"),
             block_size=int(self.options.get("block_bytes", str(16 << 20))),
             use_threads=False,
         )
@@ -274,7 +274,7 @@ class ZipCsvDataSource(DataSource):
         return FORMAT
 
     def schema(self) -> StructType:
-        year_col = self.options.get("year_col", "ano")
+        year_col = self.options.get("year_col", YEAR_COL)
         seen: dict[str, None] = {}
         parts = list_members(self.options)
         with ThreadPoolExecutor(max_workers=max(1, min(16, len(parts)))) as pool:

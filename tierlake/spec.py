@@ -21,8 +21,8 @@ class CsvDialect:
     each file is then read by one task, so write such files in bounded parts.
     """
 
-    sep: str = ";"
-    encoding: str = "ISO-8859-1"
+    sep: str = ","
+    encoding: str = "UTF-8"
     quote: str = '"'
     escape: str = "\\"
     multi_line: bool = False
@@ -60,23 +60,23 @@ class LakeSpec:
     profile: tuple[str, ...]
     rank_score: str
     score_prefix: str = ""
-    mean_prefix: str = "MEDIA_"
-    count_name: str = "TOTAL_CANDIDATOS"
-    rank_count_name: str = "TOTAL_PARTICIPANTES"
-    year_col: str = "ano"
+    mean_prefix: str = "mean_"
+    count_name: str = "total"
+    rank_count_name: str = "total"
+    year_col: str = "year"
     fill_value: float = 0.0
     digits: int = 2
     dialect: CsvDialect = field(default_factory=CsvDialect)
     # Raw layout: <raw>/<anything>_<year>/<data_dir>/<file_stem>_<year><ext>
-    data_dir: str = "DADOS"
-    file_stem: str = "MICRODADOS"
-    file_exts: tuple[str, ...] = (".csv", ".CSV")
+    data_dir: str = ""
+    file_stem: str = "data"
+    file_exts: tuple[str, ...] = (".csv",)
     # Zip members: every token must occur in the member name, plus the suffix.
-    member_tokens: tuple[str, ...] = ("DADOS/", "RESULTADOS")
+    member_tokens: tuple[str, ...] = ()
     member_suffix: str = ".csv"
-    mean_table: str = "media_notas_por_uf_ano"
-    profile_table: str = "distribuicao_perfil"
-    rank_table: str = "ranking_redacao_por_uf"
+    mean_table: str = "means"
+    profile_table: str = "profile"
+    rank_table: str = "ranking"
 
     def mean_name(self, score: str) -> str:
         base = score[len(self.score_prefix):] if score.startswith(self.score_prefix) else score
@@ -85,6 +85,15 @@ class LakeSpec:
     def file_names(self, year: int) -> list[str]:
         return [f"{self.file_stem}_{year}{ext}" for ext in self.file_exts]
 
+    def raw_files(self, folder: str, year: int) -> list[str]:
+        """Candidate raw files of one year folder, in preference order."""
+        base = folder.rstrip("/") + (f"/{self.data_dir}" if self.data_dir else "")
+        return [f"{base}/{n}" for n in self.file_names(year)]
+
+    def member_name(self, year: int) -> str:
+        """A member name this spec's zip filter accepts (for writing archives)."""
+        return "".join(self.member_tokens) + f"_{year}{self.member_suffix}"
+
     def member_matches(self, member: str) -> bool:
         return all(t in member for t in self.member_tokens) and member.endswith(self.member_suffix)
 
@@ -106,13 +115,18 @@ def year_from_name(name: str) -> int | None:
 
 
 # ---------------------------------------------------------------------------------
-# Fixed values of the exam-survey source: the column allow-list in silver order, the
-# five score columns, the three profile columns, the place column, the essay score,
-# the raw file stem and the gold table names. They must equal the source's for the
-# same tables to come out.
+# Fixed values of the exam-survey source. They must equal the source's for the same
+# files to be found and the same tables to come out: the silver column allow-list
+# in silver order; the five score columns; the place column; the three profile
+# columns; the essay score that is ranked; the score prefix and the mean prefix
+# that replaces it; the two count names; the year partition name; the raw text
+# dialect; the raw layout (data folder, file stem, extensions); the zip member
+# rule; the three gold table names.
 # ---------------------------------------------------------------------------------
+YEAR_COL = "ano"
+
 EXAM_SPEC = LakeSpec(
-    name="enem",
+    name="exam",
     keep=(
         "NU_INSCRICAO",
         "TP_FAIXA_ETARIA",
@@ -136,13 +150,23 @@ EXAM_SPEC = LakeSpec(
     mean_prefix="MEDIA_",
     count_name="TOTAL_CANDIDATOS",
     rank_count_name="TOTAL_PARTICIPANTES",
+    year_col=YEAR_COL,
+    dialect=CsvDialect(sep=";", encoding="ISO-8859-1"),
+    data_dir="DADOS",
     file_stem="MICRODADOS_ENEM",
+    file_exts=(".csv", ".CSV"),
+    member_tokens=("DADOS/", "RESULTADOS"),
+    member_suffix=".csv",
+    mean_table="media_notas_por_uf_ano",
+    profile_table="distribuicao_perfil",
+    rank_table="ranking_redacao_por_uf",
 )
 
 
-# The driver's lineitem table read as a survey: year = ship year, place = return
-# flag, scores = the four measures, profile = flag, status and line number.
-LINEITEM_SPEC = LakeSpec(
+# The driver's lineitem table read as a survey laid out like the exam source (same
+# dialect, folders and member rule): year = ship year, place = return flag, scores =
+# the four measures, profile = flag, status and line number.
+LINEITEM_SPEC = EXAM_SPEC.with_(
     name="lineitem",
     keep=(
         "l_orderkey",
@@ -170,8 +194,9 @@ LINEITEM_SPEC = LakeSpec(
 
 
 # The driver's documents table as a yearly text source (used by the CSV and zip
-# round trips). Texts hold newlines, so records span lines.
-DOCUMENTS_SPEC = LakeSpec(
+# round trips). Texts hold newlines and quotes, so records span lines and quotes
+# are doubled.
+DOCUMENTS_SPEC = EXAM_SPEC.with_(
     name="documents",
     keep=("doc_id", "text", "lang", "source", "n_chars"),
     scores=("n_chars",),
@@ -182,6 +207,6 @@ DOCUMENTS_SPEC = LakeSpec(
     mean_prefix="media_",
     count_name="total",
     rank_count_name="total",
-    dialect=CsvDialect(escape='"', multi_line=True),
+    dialect=CsvDialect(sep=";", encoding="ISO-8859-1", escape='"', multi_line=True),
     file_stem="MICRODADOS_DOCS",
 )

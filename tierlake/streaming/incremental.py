@@ -54,8 +54,9 @@ def ingest_stream(
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    source = f"{raw_root.rstrip('/')}/*/{spec.data_dir}"
-    year = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d{4})/" + spec.data_dir + "/", 1)
+    source = f"{raw_root.rstrip('/')}/*" + (f"/{spec.data_dir}" if spec.data_dir else "")
+    after = (spec.data_dir + "/") if spec.data_dir else ""
+    year = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d{4})/" + after, 1)
     stream = reader.csv(source).withColumn(spec.year_col, year.cast("int"))
     query = (
         stream.writeStream.format("parquet")
