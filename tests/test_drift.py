@@ -111,3 +111,18 @@ def test_year_without_profile_columns_left_out_of_profile_table(spark, workdir):
     assert {r["ano"] for r in got[S.mean_table]} == {2021, 2022}
     # Only the profile columns some year had become keys.
     assert set(got[S.profile_table][0].asDict()) == {"ano", "TP_SEXO", "TOTAL_CANDIDATOS"}
+
+
+def test_build_lake_runs_stages_in_order_and_skips_finished_years(spark, workdir):
+    from tierlake.plans import build_lake, layer_path
+
+    raw = f"{workdir}/raw"
+    csv_year(raw, 2021, "SG_UF_PROVA;NU_NOTA_REDACAO", ["SP;500", "RJ;0"])
+    first = build_lake(spark, raw, f"{workdir}/lake", S)
+    assert [r.action for r in first["bronze"]] == ["written"]
+    assert first["silver"][0].rows == 2
+    assert {r.table for r in first["gold"]} == {S.mean_table, S.rank_table}
+    again = build_lake(spark, raw, f"{workdir}/lake", S, stages=["bronze"])
+    assert [r.action for r in again["bronze"]] == ["skipped"] and set(again) == {"bronze"}
+    ranking = spark.read.parquet(f"{layer_path(f'{workdir}/lake', 'gold', S)}/{S.rank_table}").collect()
+    assert [(r["SG_UF_PROVA"], r["TOTAL_PARTICIPANTES"]) for r in ranking] == [("SP", 1)]

@@ -1,15 +1,18 @@
 from tierlake.plans.archives import build_bronze_from_archives, load_archives, load_archives_typed
 from tierlake.plans.bronze import build_bronze
 from tierlake.plans.gold import build_gold, gold_path, gold_tables
+from tierlake.plans.lake import build_lake, layer_path
 from tierlake.plans.silver import build_silver, load_presence, presence_path, silver_frame
 
 __all__ = [
     "build_bronze",
     "build_bronze_from_archives",
     "build_gold",
+    "build_lake",
     "build_silver",
     "gold_path",
     "gold_tables",
+    "layer_path",
     "load_archives",
     "load_archives_typed",
     "load_presence",
