@@ -91,3 +91,12 @@ def test_missing_layer_raises(spark, workdir):
         read_layer(spark, f"{workdir}/nothing-here")
     with pytest.raises(FileNotFoundError):
         layer_years(spark, f"{workdir}/nothing-here")
+
+
+def test_reports_frame_lists_each_write(spark, workdir):
+    from tierlake.sinks import reports_frame
+
+    df = spark.range(4).withColumn("ano", F.lit(2020))
+    reports = [write_leaf(df, f"{workdir}/t", 2020, table="t"), write_table(spark.range(2), f"{workdir}/g", table="g")]
+    rows = sorted((r["table"], r["ano"], r["action"], r["rows"]) for r in reports_frame(spark, reports).collect())
+    assert rows == [("g", None, "written", 2), ("t", 2020, "written", 4)]
