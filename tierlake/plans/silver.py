@@ -77,7 +77,8 @@ def silver_frame(
     if not schemas:
         raise FileNotFoundError(f"no bronze years under {bronze_root}")
     presence = kept_presence({y: s.fieldNames() for y, s in schemas.items()}, spec)
-    bronze = read_layer(spark, bronze_root, years=sorted(presence), year_col=spec.year_col, schemas=schemas)
+    subset = sorted(presence) if years is not None else None  # no filter when every year is read
+    bronze = read_layer(spark, bronze_root, years=subset, year_col=spec.year_col, schemas=schemas)
     return bronze, presence, quality_metrics(presence, spec)
 
 
