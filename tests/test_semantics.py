@@ -95,3 +95,12 @@ def test_quality_report(spark, workdir):
     assert rep.metrics["malformed_NU_NOTA_CN"] == 1  # abc (" 5.5 " parses)
     assert rep.metrics["nan_NU_NOTA_CN"] == 1
     assert rep.metrics["malformed_NU_NOTA_REDACAO"] == 2  # 7,5 and blank
+
+
+def test_nan_essay_is_ranked_and_poisons_its_mean(spark, workdir):
+    rows = ["1;SP;M;1;NaN", "2;SP;F;1;700", "3;RJ;M;1;600"]
+    build(spark, workdir, rows=rows)
+    build_gold(spark, f"{workdir}/silver", f"{workdir}/gold", S)
+    rank = {r["SG_UF_PROVA"]: r for r in spark.read.parquet(f"{workdir}/gold/{S.rank_table}").collect()}
+    assert rank["SP"]["TOTAL_PARTICIPANTES"] == 2 and math.isnan(rank["SP"]["MEDIA_REDACAO"])
+    assert rank["RJ"]["MEDIA_REDACAO"] == 600.0
