@@ -156,3 +156,14 @@ def test_zip_parsers_agree_with_each_other_and_with_spark_csv(spark, workdir):
     write_text(f"{workdir}/csv/x_2020/DADOS/MICRODADOS_ENEM_2020.csv", EDGE)
     via_csv = read_year_csv(spark, f"{workdir}/csv/x_2020/DADOS/MICRODADOS_ENEM_2020.csv", spec.dialect)
     assert _rows(arrow.drop("ano")) == _rows(via_csv.where("K is not null"))
+
+
+def test_load_archives_for_some_years_opens_only_those(spark, workdir):
+    os.makedirs(f"{workdir}/z", exist_ok=True)
+    make_zip(f"{workdir}/z/survey_2021.zip", [("DADOS/RESULTADOS_2021.csv", "SG_UF_PROVA;NU_NOTA_CN\nSP;1\n")])
+    make_zip(f"{workdir}/z/survey_2022.zip", [("DADOS/RESULTADOS_2022.csv", "SG_UF_PROVA;NU_NOTA_MT\nRJ;2\n")])
+    with open(f"{workdir}/z/broken_2023.zip", "wb") as f:  # never opened when 2023 is not asked for
+        f.write(b"not a zip")
+    df = load_archives(spark, f"{workdir}/z", S, years=[2022])
+    assert df.columns == ["ano", "SG_UF_PROVA", "NU_NOTA_MT"]
+    assert [tuple(r) for r in df.collect()] == [(2022, "RJ", "2")]

@@ -34,11 +34,15 @@ def archive_options(spec: LakeSpec, folder: str) -> dict[str, str]:
     }
 
 
-def load_archives(spark: SparkSession, folder: str, spec: LakeSpec) -> DataFrame:
+def load_archives(spark: SparkSession, folder: str, spec: LakeSpec, years=None) -> DataFrame:
     """All archives as one all-string DataFrame: the year column, then the union of
-    the members' columns."""
+    the members' columns. With ``years``, only those years' archives are listed into
+    the read (the year is in the archive name), so other archives are never opened."""
     register(spark)
-    return spark.read.format(FORMAT).options(**archive_options(spec, folder)).load()
+    opts = archive_options(spec, folder)
+    if years is not None:
+        opts["years"] = ",".join(str(int(y)) for y in years)
+    return spark.read.format(FORMAT).options(**opts).load()
 
 
 def archive_presence(folder: str, spec: LakeSpec) -> dict[int, list[str]]:

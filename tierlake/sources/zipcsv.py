@@ -72,6 +72,7 @@ def list_members(options: dict) -> list[MemberPartition]:
 
     roots = [p for p in options.get("path", "").split(",") if p]
     matches = _member_filter(options)
+    wanted = {int(y) for y in options.get("years", "").split(",") if y.strip()}
     found = []
     for root in roots:
         fs, base = _filesystem(root)
@@ -84,8 +85,8 @@ def list_members(options: dict) -> list[MemberPartition]:
             if f.type != pafs.FileType.File or not f.base_name.lower().endswith(".zip"):
                 continue
             year = year_from_name(f.base_name)
-            if year is None:
-                continue
+            if year is None or (wanted and year not in wanted):
+                continue  # the year is in the name: unwanted archives are never opened
             full = f.path if "://" not in root else f"{root.split('://')[0]}://{f.path}"
             found.append((fs, f.path, full, year))
 
@@ -265,7 +266,8 @@ class ZipCsvReader(DataSourceReader):
 class ZipCsvDataSource(DataSource):
     """Options: ``path`` (folder, archive, or comma list), ``sep``, ``encoding``,
     ``quote``, ``escape``, ``member_tokens`` (comma list of substrings the member
-    name must contain), ``member_suffix``, ``year_col``, ``parser`` (``arrow`` or
+    name must contain), ``member_suffix``, ``year_col``, ``years`` (comma list: read
+    only those years' archives; others are not opened), ``parser`` (``arrow`` or
     ``python``), ``block_bytes`` (arrow block; must exceed the longest record),
     ``batch_rows`` (python parser)."""
 
