@@ -99,7 +99,7 @@ def write_raw_csv(
     return years
 
 
-def _zip_writer(cols: list[str], year_col: str, folder: str, prefix: str, member_name: str, spec_dialect: dict):
+def _zip_writer(cols: list[str], year_col: str, folder: str, prefix: str, spec: LakeSpec):
     def run(batches):
         from pyspark import TaskContext
 
@@ -111,11 +111,12 @@ def _zip_writer(cols: list[str], year_col: str, folder: str, prefix: str, member
         fs.create_dir(base, recursive=True)
         open_: dict[int, tuple] = {}
         counts: dict[int, int] = {}
-        kw = {"delimiter": spec_dialect["sep"], "quotechar": spec_dialect["quote"], "lineterminator": "\n"}
-        if spec_dialect["escape"] == spec_dialect["quote"]:
+        d = spec.dialect
+        kw = {"delimiter": d.sep, "quotechar": d.quote, "lineterminator": "\n"}
+        if d.escape == d.quote:
             kw.update(doublequote=True)
         else:
-            kw.update(doublequote=False, escapechar=spec_dialect["escape"])
+            kw.update(doublequote=False, escapechar=d.escape)
         try:
             for pdf in batches:
                 for year, g in pdf.groupby(year_col, sort=False):
@@ -127,8 +128,8 @@ def _zip_writer(cols: list[str], year_col: str, folder: str, prefix: str, member
                         # shares a half-written archive with another.
                         stream = fs.open_output_stream(f"{base}/.{prefix}-p{pid:05d}_{year}.a{attempt}")
                         zf = zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED)
-                        member = zf.open(member_name.format(year=year), "w", force_zip64=True)
-                        text = io.TextIOWrapper(member, encoding=spec_dialect["encoding"], newline="")
+                        member = zf.open(spec.member_name(year), "w", force_zip64=True)
+                        text = io.TextIOWrapper(member, encoding=d.encoding, newline="")
                         w = csv.writer(text, **kw)
                         w.writerow(cols)
                         open_[year] = (stream, zf, member, text, w, path)
@@ -166,9 +167,7 @@ def write_raw_zips(df: DataFrame, folder: str, spec: LakeSpec, prefix: str) -> D
     ship_package(df.sparkSession)
     y = spec.year_col
     cols = [c for c in df.columns if c != y]
-    d = spec.dialect
-    member = "".join(spec.member_tokens) + "_{year}" + spec.member_suffix  # as spec.member_name(year)
-    fn = _zip_writer(cols, y, folder, prefix, member, {"sep": d.sep, "quote": d.quote, "escape": d.escape, "encoding": d.encoding})
+    fn = _zip_writer(cols, y, folder, prefix, spec)
     out = df.select(*[F.col(c).cast("string") for c in cols], F.col(y).cast("int")).mapInPandas(
         fn, f"archive string, {y} int, rows long"
     )

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tierlake.functions.scores import positive
 from tierlake.operators.aggregates import count_by_group
-from tierlake.operators.columns import years_having
+from tierlake.operators.columns import restrict_years, years_having
 from tierlake.plans.silver import load_presence
 from tierlake.sinks.parquet import WriteReport, write_table
 from tierlake.sources.layers import read_layer
@@ -44,7 +44,7 @@ class GoldPlan:
 
 def _only(df: DataFrame, year_col: str, years: list[int], presence: dict) -> DataFrame:
     """Restrict to ``years`` (a partition filter) unless that is every year."""
-    return df if set(years) == set(presence) else df.where(F.col(year_col).isin(years))
+    return df if set(years) == set(presence) else restrict_years(df, years, year_col)
 
 
 def gold_tables(silver: DataFrame, presence: dict[int, list[str]], spec: LakeSpec, cache_shared: bool = False) -> GoldPlan:

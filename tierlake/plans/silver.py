@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.functions.scores import is_malformed, parse_score
+from tierlake.functions.scores import is_malformed, is_nan, parse_score
 from tierlake.operators.columns import years_having
 from tierlake.sinks.parquet import WriteReport, write_partitioned
 from tierlake.sources.fs import exists, read_small_text, write_small_text
@@ -63,7 +63,7 @@ def quality_metrics(presence: Mapping[int, Sequence[str]], spec: LakeSpec) -> di
         in_year = F.col(y).isin(having)
         out[f"filled_{c}"] = F.sum((in_year & F.col(c).isNull()).cast("long"))
         out[f"malformed_{c}"] = F.sum((in_year & is_malformed(c)).cast("long"))
-        out[f"nan_{c}"] = F.sum((in_year & F.isnan(F.col(c).try_cast("double"))).cast("long"))
+        out[f"nan_{c}"] = F.sum((in_year & is_nan(c)).cast("long"))
     return out
 
 

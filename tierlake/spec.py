@@ -94,9 +94,6 @@ class LakeSpec:
         """A member name this spec's zip filter accepts (for writing archives)."""
         return "".join(self.member_tokens) + f"_{year}{self.member_suffix}"
 
-    def member_matches(self, member: str) -> bool:
-        return all(t in member for t in self.member_tokens) and member.endswith(self.member_suffix)
-
     def with_(self, **changes) -> "LakeSpec":
         return replace(self, **changes)
 
