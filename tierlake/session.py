@@ -13,8 +13,11 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tierlake") -> SparkSession:
-    """Session for tests and the bench. On a cluster callers bring their own."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tierlake", extra: dict | None = None
+) -> SparkSession:
+    """Session for tests and the bench. On a cluster callers bring their own.
+    ``extra`` adds configs (e.g. an event log in a scratch folder)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -26,6 +29,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
