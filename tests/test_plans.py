@@ -41,9 +41,16 @@ def test_gold_is_jvm_only_and_shares_one_aggregate(spark, workdir):
     assert means._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
 
 
-def test_silver_reads_bronze_once(spark, workdir):
+def test_silver_reads_bronze_once_and_never_shuffles(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from tierlake.plans.silver import clean_columns
+
     lake(spark, workdir)
     bronze, presence, _ = silver_frame(spark, f"{workdir}/bronze", LI)
-    p = plan_of(bronze)
+    silver_in = bronze.select(*clean_columns(bronze, presence, LI), F.col(LI.year_col))
+    p = plan_of(silver_in)
     assert p.count("FileScan parquet") == 1
     assert "Python" not in p
+    assert "Exchange" not in p  # no shuffle by year: a whole year never lands in one task
+    assert "*(1) Project" in p  # parse and fill run inside whole-stage codegen
