@@ -81,6 +81,11 @@ def test_stream_ingest_is_incremental_and_exactly_once(spark, workdir):
     ingest_stream(spark, f"{workdir}/raw", f"{workdir}/bronze", f"{workdir}/_ckpt", LINEITEM_SPEC)
     out = spark.read.parquet(f"{workdir}/bronze")
     assert out.select(*raw.columns).exceptAll(raw).count() == 0 and raw.exceptAll(out.select(*raw.columns)).count() == 0
+    # Silver reads a stream-written bronze like any other (through its commit log).
+    from tierlake.plans import build_silver
+
+    rep = build_silver(spark, f"{workdir}/bronze", f"{workdir}/silver", LINEITEM_SPEC)
+    assert rep.rows == raw.count() == read_layer(spark, f"{workdir}/silver").count()
 
 
 def test_archives_to_bronze_keep_each_years_header(spark, workdir):
