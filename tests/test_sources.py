@@ -172,3 +172,15 @@ def test_load_archives_for_some_years_opens_only_those(spark, workdir):
     df = load_archives(spark, f"{workdir}/z", S, years=[2022])
     assert df.columns == ["ano", "SG_UF_PROVA", "NU_NOTA_MT"]
     assert [tuple(r) for r in df.collect()] == [(2022, "RJ", "2")]
+
+
+def test_single_archive_path_and_no_match_is_an_error(spark, workdir):
+    import pytest
+
+    os.makedirs(f"{workdir}/z", exist_ok=True)
+    make_zip(f"{workdir}/z/survey_2024.zip", [("LEIA-ME.txt", "x"), ("DADOS/RESULTADOS_2024.csv", "SG_UF_PROVA\nSP\n")])
+    make_zip(f"{workdir}/z/survey_2023.zip", [("DADOS/OTHER_2023.csv", "SG_UF_PROVA\nRJ\n")])
+    one = load_archives(spark, f"{workdir}/z/survey_2024.zip", S)
+    assert [tuple(r) for r in one.collect()] == [(2024, "SP")]
+    with pytest.raises(Exception, match="no archive member matches"):
+        load_archives(spark, f"{workdir}/z/survey_2023.zip", S).collect()

@@ -279,6 +279,13 @@ class ZipCsvDataSource(DataSource):
         year_col = self.options.get("year_col", YEAR_COL)
         seen: dict[str, None] = {}
         parts = list_members(self.options)
+        if not parts:
+            raise FileNotFoundError(
+                f"no archive member matches under {self.options.get('path')!r} "
+                f"(tokens {self.options.get('member_tokens', '')!r}, suffix {self.options.get('member_suffix', '.csv')!r}"
+                + (f", years {self.options['years']}" if self.options.get("years") else "")
+                + ")"
+            )
         with ThreadPoolExecutor(max_workers=max(1, min(16, len(parts)))) as pool:
             headers = list(pool.map(lambda p: read_header(p, self.options), parts))
         for header in headers:
