@@ -77,17 +77,16 @@ def list_members(options: dict) -> list[MemberPartition]:
     for root in roots:
         fs, base = _filesystem(root)
         info = fs.get_file_info(base)
-        if info.type == pafs.FileType.File:
-            files = [info]
-        else:
-            files = fs.get_file_info(pafs.FileSelector(base, recursive=False))
+        single = info.type == pafs.FileType.File
+        files = [info] if single else fs.get_file_info(pafs.FileSelector(base, recursive=False))
         for f in sorted(files, key=lambda i: i.path):
             if f.type != pafs.FileType.File or not f.base_name.lower().endswith(".zip"):
                 continue
             year = year_from_name(f.base_name)
             if year is None or (wanted and year not in wanted):
                 continue  # the year is in the name: unwanted archives are never opened
-            full = f.path if "://" not in root else f"{root.split('://')[0]}://{f.path}"
+            # The archive's URI in the form the caller gave (scheme and authority kept).
+            full = root if single else root.rstrip("/") + "/" + f.path[len(base.rstrip("/")):].lstrip("/")
             found.append((fs, f.path, full, year))
 
     def first_member(item) -> MemberPartition | None:
