@@ -22,10 +22,11 @@ When an HLL sketch proves that no group holds more than ``max_distinct`` distinc
 values, the built-in exact ``median`` is used instead: its buffer is then bounded.
 
 The sorted, id-tagged pairs are checkpointed (reliably, to the shared checkpoint
-folder) before they are used three times: range bounds are sampled, so a
-recomputation could cut partitions differently and the ids would disagree. The
-target and chunk tables have a few rows per group; AQE broadcasts them when their
-runtime size is under the broadcast threshold and shuffles otherwise.
+folder) before they are used: range bounds are sampled, so a recomputation could
+cut partitions differently and the ids would disagree. The target table (at most
+two rows per group) is checkpointed too, so the pairs are scanned only twice. The
+target and chunk tables are small; AQE broadcasts them when their runtime size is
+under the broadcast threshold and shuffles otherwise.
 """
 
 from __future__ import annotations
@@ -138,6 +139,9 @@ def _median_by_ranks(df: DataFrame, keys: list[str], value: str, name: str) -> D
             *[F.col(k).alias("_t_" + k) for k in keys],
             (F.col("_rank") - F.col("_before")).alias("_t_local"),
         )
+        # At most two rows per group, used twice below: materialised so the large
+        # checkpointed pairs are scanned twice in all (chunk counts, candidates).
+        .checkpoint(eager=True)
     )
     in_target_chunk = (ordered["_part"] == targets["_t_part"]) & _match(ordered, targets, keys, "_t_") if keys else (
         ordered["_part"] == targets["_t_part"]
