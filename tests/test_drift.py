@@ -126,3 +126,44 @@ def test_build_lake_runs_stages_in_order_and_skips_finished_years(spark, workdir
     assert [r.action for r in again["bronze"]] == ["skipped"] and set(again) == {"bronze"}
     ranking = spark.read.parquet(f"{layer_path(f'{workdir}/lake', 'gold', S)}/{S.rank_table}").collect()
     assert [(r["SG_UF_PROVA"], r["TOTAL_PARTICIPANTES"]) for r in ranking] == [("SP", 1)]
+
+
+def test_incremental_gold_for_new_years_equals_full_rebuild(spark, workdir):
+    raw = f"{workdir}/raw"
+    header = "SG_UF_PROVA;TP_SEXO;NU_NOTA_CN;NU_NOTA_REDACAO"
+    csv_year(raw, 2021, header, ["SP;F;10;500", "RJ;M;;0", "SP;M;30;700"])
+    csv_year(raw, 2022, header, ["SP;F;20;600", "BA;F;5;900"])
+    build_bronze(spark, raw, f"{workdir}/bronze", S)
+    build_silver(spark, f"{workdir}/bronze", f"{workdir}/silver", S)
+    build_gold(spark, f"{workdir}/silver", f"{workdir}/gold", S)
+    # A new year arrives, with a score column the earlier years lacked.
+    csv_year(raw, 2023, "SG_UF_PROVA;TP_SEXO;NU_NOTA_CN;NU_NOTA_MT;NU_NOTA_REDACAO", ["SP;F;1;2;800", "RJ;F;3;;0"])
+    reports = build_bronze(spark, raw, f"{workdir}/bronze", S)
+    assert [(r.year, r.action) for r in reports] == [(2021, "skipped"), (2022, "skipped"), (2023, "written")]
+    build_silver(spark, f"{workdir}/bronze", f"{workdir}/silver", S, years=[2023])
+    build_gold(spark, f"{workdir}/silver", f"{workdir}/gold", S, years=[2023])
+    # The same lake rebuilt from scratch.
+    build_silver(spark, f"{workdir}/bronze", f"{workdir}/silver_full", S)
+    build_gold(spark, f"{workdir}/silver_full", f"{workdir}/gold_full", S)
+    for table in (S.mean_table, S.profile_table, S.rank_table):
+        inc = spark.read.parquet(f"{workdir}/gold/{table}")
+        full = spark.read.parquet(f"{workdir}/gold_full/{table}")
+        assert inc.columns == full.columns, table
+        assert [tuple(r) for r in inc.collect()] == [tuple(r) for r in full.collect()], table
+    means = {(r["ano"], r["SG_UF_PROVA"]): r for r in spark.read.parquet(f"{workdir}/gold/{S.mean_table}").collect()}
+    assert means[(2021, "SP")]["MEDIA_MT"] is None and means[(2023, "SP")]["MEDIA_MT"] == 2.0
+
+
+def test_build_lake_incremental_touches_only_new_years(spark, workdir):
+    from tierlake.plans import build_lake
+
+    raw = f"{workdir}/raw"
+    csv_year(raw, 2021, "SG_UF_PROVA;NU_NOTA_CN", ["SP;10", "RJ;20"])
+    build_lake(spark, raw, f"{workdir}/lake", S, incremental=True)
+    nothing_new = build_lake(spark, raw, f"{workdir}/lake", S, incremental=True)
+    assert set(nothing_new) == {"bronze"}  # no new year: silver and gold not run
+    csv_year(raw, 2022, "SG_UF_PROVA;NU_NOTA_CN", ["SP;30"])
+    out = build_lake(spark, raw, f"{workdir}/lake", S, incremental=True)
+    assert out["silver"][0].rows == 1  # only the new year was rebuilt
+    means = sorted(tuple(r) for r in spark.read.parquet(f"{workdir}/lake/gold/{S.name}/{S.mean_table}").collect())
+    assert means == [(2021, "RJ", 20.0), (2021, "SP", 10.0), (2022, "SP", 30.0)]

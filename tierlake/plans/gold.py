@@ -28,6 +28,8 @@ from tierlake.operators.aggregates import count_by_group
 from tierlake.operators.columns import restrict_years, years_having
 from tierlake.plans.silver import load_presence
 from tierlake.sinks.parquet import WriteReport, write_table
+from tierlake.session import shared_root
+from tierlake.sources.fs import exists
 from tierlake.sources.layers import read_layer
 from tierlake.spec import LakeSpec
 
@@ -36,6 +38,13 @@ from tierlake.spec import LakeSpec
 class GoldPlan:
     tables: dict[str, DataFrame]
     cached: list[DataFrame] = field(default_factory=list)
+    unsorted: dict[str, DataFrame] = field(default_factory=dict)
+    orders: dict[str, list] = field(default_factory=dict)
+
+    def add(self, name: str, df: DataFrame, order: list) -> None:
+        self.unsorted[name] = df
+        self.orders[name] = order
+        self.tables[name] = df.orderBy(*order)
 
     def release(self) -> None:
         for df in self.cached:
@@ -72,43 +81,79 @@ def gold_tables(silver: DataFrame, presence: dict[int, list[str]], spec: LakeSpe
         if cache_shared:
             shared = shared.persist(StorageLevel.MEMORY_AND_DISK)
             plan.cached.append(shared)
-        plan.tables[spec.mean_table] = shared.select(y, place, *[spec.mean_name(s) for s in scores_any]).orderBy(y, place)
+        means = shared.select(y, place, *[spec.mean_name(s) for s in scores_any])
+        plan.add(spec.mean_table, means, [F.col(y), F.col(place)])
         if has_rank:
             mean_col = spec.mean_name(rank)
-            plan.tables[spec.rank_table] = (
-                shared.where(F.col("_rank_n") > 0)
-                .select(y, place, F.col("_rank_mean").alias(mean_col), F.col("_rank_n").alias(spec.rank_count_name))
-                .orderBy(F.col(y), F.col(mean_col).desc(), F.col(place))
+            ranking = shared.where(F.col("_rank_n") > 0).select(
+                y, place, F.col("_rank_mean").alias(mean_col), F.col("_rank_n").alias(spec.rank_count_name)
             )
+            plan.add(spec.rank_table, ranking, [F.col(y), F.col(mean_col).desc(), F.col(place)])
     if profile_years and profile_any:
         keys = [y, *profile_any]
-        plan.tables[spec.profile_table] = count_by_group(
-            _only(silver, y, profile_years, presence), keys, spec.count_name
-        ).orderBy(*keys)
+        counts = count_by_group(_only(silver, y, profile_years, presence), keys, spec.count_name)
+        plan.add(spec.profile_table, counts, [F.col(k) for k in keys])
     return plan
 
 
+def _canonical_columns(columns: list[str], spec: LakeSpec) -> list[str]:
+    """Column order of a full rebuild: year, place, profile keys, means in score order,
+    then the counts; anything else keeps its place at the end."""
+    order = list(
+        dict.fromkeys(
+            [spec.year_col, spec.place, *spec.profile, *[spec.mean_name(s) for s in spec.scores], spec.count_name, spec.rank_count_name]
+        )
+    )
+    rank = {c: i for i, c in enumerate(order)}
+    return sorted(columns, key=lambda c: rank.get(c, len(order)))
+
+
 def gold_path(gold_root: str, table: str) -> str:
     return f"{gold_root.rstrip('/')}/{table}"
 
 
 def build_gold(
-    spark: SparkSession, silver_root: str, gold_root: str, spec: LakeSpec, persist_silver: bool = False
+    spark: SparkSession,
+    silver_root: str,
+    gold_root: str,
+    spec: LakeSpec,
+    persist_silver: bool = False,
+    years=None,
 ) -> list[WriteReport]:
     """Compute and overwrite the gold tables. ``persist_silver`` caches the projected
     silver columns across the writes (helps when silver is re-read from slow
-    storage; otherwise pruned Parquet scans are cheaper than a cache of the layer)."""
+    storage; otherwise pruned Parquet scans are cheaper than a cache of the layer).
+
+    With ``years``, only those years are recomputed (silver is read with partition
+    pruning) and each existing table keeps its rows for the other years: old and new
+    rows are unioned by name, checkpointed to the shared folder (so the table can be
+    overwritten without reading itself), re-sorted and written back. The result
+    equals a full rebuild."""
     presence = load_presence(spark, silver_root, spec.year_col)
-    silver = read_layer(spark, silver_root, year_col=spec.year_col)
+    if years is not None:
+        wanted = {int(v) for v in years}
+        presence = {yr: cols for yr, cols in presence.items() if yr in wanted}
+    silver = read_layer(spark, silver_root, years=None if years is None else sorted(presence), year_col=spec.year_col)
     cached = []
     if persist_silver:
         need = [c for c in dict.fromkeys([spec.year_col, spec.place, *spec.scores, *spec.profile]) if c in silver.columns]
         silver = silver.select(*need).persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(silver)
     plan = gold_tables(silver, presence, spec, cache_shared=True)
+    if years is not None:
+        shared_root(spark)  # the merge checkpoints there
+
+    def write_one(name: str) -> WriteReport:
+        path = gold_path(gold_root, name)
+        if years is None or not exists(spark, path):
+            return write_table(plan.tables[name], path, table=name)
+        kept = spark.read.parquet(path).where(~F.col(spec.year_col).isin(sorted(presence)))
+        merged = kept.unionByName(plan.unsorted[name], allowMissingColumns=True)
+        merged = merged.select(*_canonical_columns(merged.columns, spec)).checkpoint(eager=True)
+        return write_table(merged.orderBy(*plan.orders[name]), path, table=name)
 
     def write(names: list[str]) -> list[WriteReport]:
-        return [write_table(plan.tables[n], gold_path(gold_root, n), table=n) for n in names if n in plan.tables]
+        return [write_one(n) for n in names if n in plan.tables]
 
     # Two independent chains run side by side: the means table fills the cached
     # shared aggregate that the ranking then reads; the profile table is separate.
