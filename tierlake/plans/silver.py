@@ -45,9 +45,13 @@ def clean_columns(df: DataFrame, presence: Mapping[int, Sequence[str]], spec: La
         having = years_having(presence, [c])
         if not having or c not in df.columns:
             continue
-        e = parse_score(c, spec.fill_value) if c in spec.scores else F.col(c)
-        if set(having) != all_years:
-            e = F.when(F.col(y).isin(having), e)
+        if c in spec.scores:
+            e = parse_score(c, spec.fill_value)
+            if set(having) != all_years:
+                # Absent that year: the union read gives NULL, which must stay NULL.
+                e = F.when(F.col(y).isin(having), e)
+        else:
+            e = F.col(c)  # absent years already read as NULL
         out.append(e.alias(c))
     return out
 
