@@ -184,3 +184,14 @@ def test_single_archive_path_and_no_match_is_an_error(spark, workdir):
     assert [tuple(r) for r in one.collect()] == [(2024, "SP")]
     with pytest.raises(Exception, match="no archive member matches"):
         load_archives(spark, f"{workdir}/z/survey_2023.zip", S).collect()
+
+
+def test_crlf_line_endings_leave_no_carriage_returns(spark, workdir):
+    text = "SG_UF_PROVA;NU_NOTA_CN;TP_SEXO\r\nSP;1.5;F\r\nRJ;;M\r\n"
+    write_text(f"{workdir}/raw/x_2020/DADOS/MICRODADOS_ENEM_2020.csv", text)
+    build_bronze(spark, f"{workdir}/raw", f"{workdir}/bronze", S)
+    via_csv = sorted(tuple(r) for r in read_layer(spark, f"{workdir}/bronze").select("SG_UF_PROVA", "NU_NOTA_CN", "TP_SEXO").collect())
+    os.makedirs(f"{workdir}/z", exist_ok=True)
+    make_zip(f"{workdir}/z/survey_2020.zip", [("DADOS/RESULTADOS_2020.csv", text)])
+    via_zip = sorted(tuple(r) for r in load_archives(spark, f"{workdir}/z", S).select("SG_UF_PROVA", "NU_NOTA_CN", "TP_SEXO").collect())
+    assert via_csv == via_zip == [("RJ", None, "M"), ("SP", "1.5", "F")]
