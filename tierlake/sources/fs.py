@@ -39,9 +39,24 @@ def list_dir(spark: SparkSession, path: str) -> list[Entry]:
     return sorted(out, key=lambda e: e.name)
 
 
+def first_data_file(spark: SparkSession, path: str) -> str | None:
+    """The first visible file (not ``_x`` / ``.x``) of a folder, or None. Streams the
+    listing and stops at the first hit, so a leaf with 100k files costs one page."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    it = fs.listStatusIterator(p)
+    while it.hasNext():
+        status = it.next()
+        name = status.getPath().getName()
+        if not status.isDirectory() and not name.startswith(("_", ".")):
+            return status.getPath().toString()
+    return None
+
+
 def has_data_files(spark: SparkSession, path: str) -> bool:
-    """A folder holding at least one visible file (not ``_x`` / ``.x``)."""
-    return any(not e.is_dir and not e.name.startswith(("_", ".")) for e in list_dir(spark, path))
+    """A folder holding at least one visible file."""
+    return first_data_file(spark, path) is not None
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:

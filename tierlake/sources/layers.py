@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tierlake.sources.fs import exists, has_data_files, list_dir
+from tierlake.sources.fs import exists, first_data_file, list_dir
 from tierlake.spec import YEAR_COL
 
 
@@ -67,24 +67,32 @@ def layer_years(spark: SparkSession, root: str, year_col: str = YEAR_COL) -> Dat
     return read_layer(spark, root, year_col=year_col, merge_schema=False).select(year_col).distinct().orderBy(year_col)
 
 
-def leaf_years(spark: SparkSession, root: str, year_col: str = YEAR_COL) -> list[int]:
-    """Years with a leaf folder holding data files (listing only, no job)."""
+def _leaf_files(spark: SparkSession, root: str, year_col: str) -> dict[int, str]:
+    """year -> one data file of that year's leaf (listing only, no job)."""
     prefix = f"{year_col}="
-    out = []
+    out = {}
     for e in list_dir(spark, root):
         if e.is_dir and e.name.startswith(prefix) and e.name[len(prefix):].isdigit():
-            if has_data_files(spark, e.path):
-                out.append(int(e.name[len(prefix):]))
-    return sorted(out)
+            first = first_data_file(spark, e.path)
+            if first is not None:
+                out[int(e.name[len(prefix):])] = first
+    return out
+
+
+def leaf_years(spark: SparkSession, root: str, year_col: str = YEAR_COL) -> list[int]:
+    """Years with a leaf folder holding data files (listing only, no job)."""
+    return sorted(_leaf_files(spark, root, year_col))
 
 
 def leaf_schemas(spark: SparkSession, root: str, year_col: str = YEAR_COL) -> dict[int, StructType]:
-    """Each year's leaf schema from one Parquet footer (a leaf is written by one job,
-    so its files agree). The reads are independent and run side by side."""
-    years = leaf_years(spark, root, year_col)
+    """Each year's leaf schema from the footer of one of its files (a leaf is written
+    by one job, so its files agree; reading a single file also skips listing the
+    whole leaf). The reads are independent and run side by side."""
+    files = _leaf_files(spark, root, year_col)
+    years = sorted(files)
 
     def schema(y: int) -> StructType:
-        return spark.read.option("mergeSchema", "false").parquet(leaf_path(root, y, year_col)).schema
+        return spark.read.option("mergeSchema", "false").parquet(files[y]).schema
 
     with ThreadPoolExecutor(max_workers=max(1, min(8, len(years)))) as pool:
         return dict(zip(years, pool.map(schema, years)))
