@@ -124,3 +124,12 @@ def test_broadcast_only_when_bounded(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "BroadcastHashJoin" in p1
     assert "BroadcastHashJoin" not in p2
+
+
+def test_broadcast_bound_counts_bytes_too(spark):
+    from tierlake.operators.joins import bounded
+
+    wide = spark.range(50).withColumn("pad", F.expr("repeat('x', 1000)"))
+    assert bounded(wide, max_rows=100, max_bytes=1 << 20)
+    assert not bounded(wide, max_rows=100, max_bytes=10_000)  # few rows, too many bytes
+    assert not bounded(wide, max_rows=10)

@@ -1,4 +1,4 @@
-"""Joins to small dimensions, broadcast only behind a row-count check."""
+"""Joins to small dimensions, broadcast only behind a checked size bound."""
 
 from __future__ import annotations
 
@@ -8,18 +8,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+
+
+def bounded(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows whose encoded size (as JSON text)
+    sums to at most ``max_bytes``. Only ``max_rows + 1`` rows are ever looked at, so
+    the check itself stays small whatever the input."""
+    probe = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0)).alias("bytes"),
+    ).first()
+    return probe["n"] <= max_rows and probe["bytes"] <= max_bytes
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. ``limit(max+1).count()`` stops
-    as soon as the bound is exceeded, so the check costs at most max+1 rows."""
+    """True when ``df`` has at most ``max_rows`` rows (at most max+1 rows are read)."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it is proven small; otherwise leave the
-    choice to the planner (sort-merge, or AQE's own size-checked conversion)."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """Mark ``df`` for broadcast only if it is proven small in rows and bytes;
+    otherwise leave the choice to the planner (sort-merge, or AQE's own runtime
+    size-checked conversion)."""
+    return F.broadcast(df) if bounded(df, max_rows, max_bytes) else df
 
 
 def join_dimension(
@@ -28,9 +42,10 @@ def join_dimension(
     on: Sequence[str] | str,
     how: str = "inner",
     max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Equi-join facts to a dimension, which is broadcast if its size is bounded."""
-    return facts.join(broadcast_if_small(dim, max_rows), on=on, how=how)
+    return facts.join(broadcast_if_small(dim, max_rows, max_bytes), on=on, how=how)
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
