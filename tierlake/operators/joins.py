@@ -15,9 +15,9 @@ def bounded(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST
     """True when ``df`` has at most ``max_rows`` rows whose encoded size (as JSON text)
     sums to at most ``max_bytes``. Only ``max_rows + 1`` rows are ever looked at, so
     the check itself stays small whatever the input."""
+    size = F.octet_length(F.to_json(F.struct(*df.columns))) if df.columns else F.lit(0)
     probe = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0)).alias("bytes"),
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")
     ).first()
     return probe["n"] <= max_rows and probe["bytes"] <= max_bytes
 
