@@ -167,3 +167,24 @@ def test_build_lake_incremental_touches_only_new_years(spark, workdir):
     assert out["silver"][0].rows == 1  # only the new year was rebuilt
     means = sorted(tuple(r) for r in spark.read.parquet(f"{workdir}/lake/gold/{S.name}/{S.mean_table}").collect())
     assert means == [(2021, "RJ", 20.0), (2021, "SP", 10.0), (2022, "SP", 30.0)]
+
+
+def test_generic_spec_with_a_flat_layout(spark, workdir):
+    from tierlake.spec import CsvDialect, LakeSpec
+
+    spec = LakeSpec(
+        name="generic",
+        keep=("region", "score"),
+        scores=("score",),
+        place="region",
+        profile=("region",),
+        rank_score="score",
+        dialect=CsvDialect(),  # Spark's defaults: comma, UTF-8
+    )
+    write_text(f"{workdir}/raw/batch_2020/data_2020.csv", "region,score,extra\nN,1.5,x\nS,,y\n", encoding="utf-8")
+    write_text(f"{workdir}/raw/batch_2021/data_2021.csv", "score,region\n4,N\n", encoding="utf-8")
+    assert [y for y, _ in discover_years(spark, f"{workdir}/raw", spec)] == [2020, 2021]
+    build_bronze(spark, f"{workdir}/raw", f"{workdir}/bronze", spec)
+    build_silver(spark, f"{workdir}/bronze", f"{workdir}/silver", spec)
+    got = sorted(tuple(r) for r in read_layer(spark, f"{workdir}/silver", year_col="year").collect())
+    assert got == [("N", 1.5, 2020), ("N", 4.0, 2021), ("S", 0.0, 2020)]
