@@ -40,6 +40,7 @@ def raw_score_text(c: str) -> F.Column:
 
 
 def lineitem_raw(lineitem: DataFrame, year_col: str = YEAR_COL) -> DataFrame:
+    """lineitem as raw survey text: every column a string, year = ship year."""
     return lineitem.select(
         year_of("l_shipdate").alias(year_col),
         F.col("l_orderkey").cast("string").alias("l_orderkey"),
@@ -51,6 +52,7 @@ def lineitem_raw(lineitem: DataFrame, year_col: str = YEAR_COL) -> DataFrame:
 
 
 def documents_raw(documents: DataFrame, year_col: str = YEAR_COL) -> DataFrame:
+    """documents as raw text, year = 2000 + the number in its source name."""
     year = (F.lit(2000) + F.regexp_extract("source", r"(\d+)$", 1).cast("int")).cast("int")
     return documents.select(
         year.alias(year_col),

@@ -29,6 +29,7 @@ def mean_by_group(
 
 
 def count_by_group(df: DataFrame, keys: Sequence[str], name: str = "total") -> DataFrame:
+    """Rows per group; a NULL key is its own group."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 

@@ -44,6 +44,7 @@ def present_only(df: DataFrame, score: str) -> DataFrame:
 
 
 def with_year(df: DataFrame, year: int, name: str = YEAR_COL) -> DataFrame:
+    """Tag every row with a constant year (an int column)."""
     return df.withColumn(name, F.lit(int(year)))
 
 

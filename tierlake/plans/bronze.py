@@ -31,6 +31,8 @@ def build_bronze(
     mode: str = "skip",
     parallel_years: int = 8,
 ) -> list[WriteReport]:
+    """Ingest every year found under ``raw_root`` into ``<bronze_root>/<year_col>=<yyyy>``;
+    returns one report per year (written with its row count, or skipped)."""
     if mode not in ("skip", "overwrite"):
         raise ValueError("mode must be 'skip' or 'overwrite'")
     todo, reports = [], []

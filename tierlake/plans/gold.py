@@ -36,6 +36,9 @@ from tierlake.spec import LakeSpec
 
 @dataclass
 class GoldPlan:
+    """Gold tables by name: sorted (to write), unsorted plus sort order (to merge),
+    and the cached shared aggregate to release after the writes."""
+
     tables: dict[str, DataFrame]
     cached: list[DataFrame] = field(default_factory=list)
     unsorted: dict[str, DataFrame] = field(default_factory=dict)
@@ -57,6 +60,8 @@ def _only(df: DataFrame, year_col: str, years: list[int], presence: dict) -> Dat
 
 
 def gold_tables(silver: DataFrame, presence: dict[int, list[str]], spec: LakeSpec, cache_shared: bool = False) -> GoldPlan:
+    """The gold tables of ``silver`` as lazy DataFrames (sorted and unsorted), for
+    the years and columns that ``presence`` says each table may use."""
     y, place, rank = spec.year_col, spec.place, spec.rank_score
     d = spec.digits
     scores_any = [s for s in spec.scores if years_having(presence, [s])]

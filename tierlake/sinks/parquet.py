@@ -21,6 +21,9 @@ CODEC = "snappy"
 
 @dataclass
 class WriteReport:
+    """What one write did: table, path, action, year (for leaves), rows and the
+    extra observed metrics."""
+
     table: str
     path: str
     action: str  # "written" | "skipped"

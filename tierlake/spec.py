@@ -53,6 +53,10 @@ class CsvDialect:
 
 @dataclass(frozen=True)
 class LakeSpec:
+    """One source's names and layout: silver allow-list, scores, place, profile and
+    rank columns, output names, year partition column, raw dialect and layout, zip
+    member rule and gold table names."""
+
     name: str
     keep: tuple[str, ...]
     scores: tuple[str, ...]
