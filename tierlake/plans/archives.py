@@ -46,10 +46,15 @@ def load_archives(spark: SparkSession, folder: str, spec: LakeSpec, years=None)
 
 
 def archive_presence(folder: str, spec: LakeSpec) -> dict[int, list[str]]:
+    """year -> kept columns its members' headers have (one header line per archive,
+    read concurrently on the driver)."""
     opts = archive_options(spec, folder)
+    parts = list_members(opts)
+    with ThreadPoolExecutor(max_workers=max(1, min(16, len(parts)))) as pool:
+        headers = list(pool.map(lambda p: read_header(p, opts), parts))
     out: dict[int, set[str]] = {}
-    for part in list_members(opts):
-        out.setdefault(part.year, set()).update(read_header(part, opts))
+    for part, header in zip(parts, headers):
+        out.setdefault(part.year, set()).update(header)
     return {y: [c for c in spec.keep if c in cols] for y, cols in out.items()}
 
 
