@@ -195,3 +195,16 @@ def test_crlf_line_endings_leave_no_carriage_returns(spark, workdir):
     make_zip(f"{workdir}/z/survey_2020.zip", [("DADOS/RESULTADOS_2020.csv", text)])
     via_zip = sorted(tuple(r) for r in load_archives(spark, f"{workdir}/z", S).select("SG_UF_PROVA", "NU_NOTA_CN", "TP_SEXO").collect())
     assert via_csv == via_zip == [("RJ", None, "M"), ("SP", "1.5", "F")]
+
+
+def test_record_longer_than_the_arrow_block_falls_back_to_the_row_parser(spark, workdir):
+    from tierlake.plans.archives import archive_options
+    from tierlake.sources.zipcsv import FORMAT, register
+
+    long_text = "x" * 5000
+    os.makedirs(f"{workdir}/z", exist_ok=True)
+    make_zip(f"{workdir}/z/survey_2020.zip", [("DADOS/RESULTADOS_2020.csv", f'K;TXT\n1;"{long_text}"\n2;short\n')])
+    register(spark)
+    df = spark.read.format(FORMAT).options(**archive_options(S, f"{workdir}/z"), block_bytes="1024").load()
+    got = {r["K"]: r["TXT"] for r in df.collect()}
+    assert got == {"1": long_text, "2": "short"}

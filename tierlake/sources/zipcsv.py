@@ -138,8 +138,22 @@ class ZipCsvReader(DataSourceReader):
             return
         if self.options.get("parser", "arrow") == "python" or len(set(header)) != len(header):
             yield from self._read_python(partition)
-        else:
-            yield from self._read_arrow(partition, header)
+            return
+        import pyarrow as pa
+
+        emitted = False
+        try:
+            for batch in self._read_arrow(partition, header):
+                emitted = True
+                yield batch
+        except pa.ArrowInvalid as err:
+            # A record longer than the parse block: before anything was emitted the
+            # member can be read again with the row parser; after, that would repeat rows.
+            if emitted:
+                raise ValueError(
+                    f"{partition.archive}!{partition.member}: {err}; raise the block_bytes option"
+                ) from err
+            yield from self._read_python(partition)
 
     # -- shared -------------------------------------------------------------------
     def _layout(self):
