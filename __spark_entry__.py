@@ -47,6 +47,7 @@ from tierlake.operators.models import classify_top, cluster_scores  # noqa: E402
 from tierlake.plans import (  # noqa: E402
     build_bronze,
     build_bronze_from_archives,
+    build_lake,
     build_gold,
     build_silver,
     gold_path,
@@ -55,7 +56,7 @@ from tierlake.plans import (  # noqa: E402
 from tierlake.session import run_dir  # noqa: E402
 from tierlake.sinks import write_partitioned, write_table  # noqa: E402
 from tierlake.sources import discover_years, layer_years, read_layer, read_year_csv  # noqa: E402
-from tierlake.spec import DOCUMENTS_SPEC, LINEITEM_SPEC  # noqa: E402
+from tierlake.spec import DOCUMENTS_SPEC, EXAM_SPEC, LINEITEM_SPEC  # noqa: E402
 from tierlake.streaming import ingest_stream  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -101,6 +102,18 @@ def lineitem_lake(spark: SparkSession, sf_dir: str, drift: bool = False) -> str:
     return _memo(("lineitem", sf_dir, drift, spark.sparkContext.applicationId), build)
 
 
+def exam_lake(spark: SparkSession, sf_dir: str) -> str:
+    """The exam source's own spec, end to end over the whole lineitem table."""
+
+    def build() -> str:
+        d = run_dir(spark, "exam-lake")
+        fx.write_raw_csv(spark, fx.exam_raw(_t(spark, sf_dir, "lineitem")), f"{d}/raw", EXAM_SPEC, "survey")
+        build_lake(spark, f"{d}/raw", f"{d}/lake", EXAM_SPEC)
+        return f"{d}/lake/gold/{EXAM_SPEC.name}"
+
+    return _memo(("exam", sf_dir, spark.sparkContext.applicationId), build)
+
+
 def documents_raw_lake(spark: SparkSession, sf_dir: str) -> str:
     def build() -> str:
         d = run_dir(spark, "documents-raw")
@@ -363,6 +376,18 @@ def q_drift_silver(spark, sf_dir):
     return read_layer(spark, f"{lineitem_lake(spark, sf_dir, drift=True)}/silver")
 
 
+def q_exam_gold_means(spark, sf_dir):
+    return spark.read.parquet(gold_path(exam_lake(spark, sf_dir), EXAM_SPEC.mean_table))
+
+
+def q_exam_gold_profile(spark, sf_dir):
+    return spark.read.parquet(gold_path(exam_lake(spark, sf_dir), EXAM_SPEC.profile_table))
+
+
+def q_exam_gold_ranking(spark, sf_dir):
+    return spark.read.parquet(gold_path(exam_lake(spark, sf_dir), EXAM_SPEC.rank_table))
+
+
 def q_ml_classify(spark, sf_dir):
     silver = read_layer(spark, f"{lineitem_lake(spark, sf_dir)}/silver")
     return classify_top(
@@ -423,6 +448,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_ranking": q_gold_ranking,
         "drift_silver": q_drift_silver,
         "drift_gold": q_drift_gold,
+        "exam_gold_means": q_exam_gold_means,
+        "exam_gold_profile": q_exam_gold_profile,
+        "exam_gold_ranking": q_exam_gold_ranking,
         "ml_classify": q_ml_classify,
         "ml_cluster": q_ml_cluster,
     }
@@ -544,4 +572,15 @@ def oracle_sql() -> dict[str, str]:
         "gold_ranking": f"with s as ({_silver_sql()}) select ano, l_returnflag, round(avg(l_tax), 2) as media_tax, count(*) as total from s where l_tax > 0 group by all",
         "drift_silver": _silver_sql(drift=True),
         "drift_gold": f"with s as ({_silver_sql(drift=True)}) select ano, l_returnflag, {_MEANS} from s group by all",
+        "exam_gold_means": f"""with s as ({_silver_sql()})
+            select ano, l_returnflag as SG_UF_PROVA, round(avg(l_quantity), 2) as MEDIA_CN,
+                   round(avg(l_extendedprice), 2) as MEDIA_CH, round(avg(l_discount), 2) as MEDIA_LC,
+                   round(avg(l_tax), 2) as MEDIA_REDACAO
+            from s group by all""",
+        "exam_gold_profile": f"""with s as ({_silver_sql()})
+            select ano, l_linenumber as TP_FAIXA_ETARIA, l_linestatus as TP_SEXO, count(*) as TOTAL_CANDIDATOS
+            from s group by all""",
+        "exam_gold_ranking": f"""with s as ({_silver_sql()})
+            select ano, l_returnflag as SG_UF_PROVA, round(avg(l_tax), 2) as MEDIA_REDACAO, count(*) as TOTAL_PARTICIPANTES
+            from s where l_tax > 0 group by all""",
     }

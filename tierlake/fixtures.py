@@ -51,6 +51,24 @@ def lineitem_raw(lineitem: DataFrame, year_col: str = YEAR_COL) -> DataFrame:
     )
 
 
+def exam_raw(lineitem: DataFrame, year_col: str = YEAR_COL) -> DataFrame:
+    """lineitem under the exam source's column names, as raw text, so the exam spec
+    itself runs over a whole driver table: place = return flag, sex = line status,
+    age band = line number, the four measures and the tax (as essay) are scores."""
+    text = {c: raw_score_text(c) for c in LINEITEM_SCORES}
+    return lineitem.select(
+        year_of("l_shipdate").alias(year_col),
+        F.col("l_orderkey").cast("string").alias("NU_INSCRICAO"),
+        F.col("l_linenumber").cast("string").alias("TP_FAIXA_ETARIA"),
+        F.col("l_linestatus").alias("TP_SEXO"),
+        F.col("l_returnflag").alias("SG_UF_PROVA"),
+        text["l_quantity"].alias("NU_NOTA_CN"),
+        text["l_extendedprice"].alias("NU_NOTA_CH"),
+        text["l_discount"].alias("NU_NOTA_LC"),
+        text["l_tax"].alias("NU_NOTA_REDACAO"),
+    )
+
+
 def documents_raw(documents: DataFrame, year_col: str = YEAR_COL) -> DataFrame:
     """documents as raw text, year = 2000 + the number in its source name."""
     year = (F.lit(2000) + F.regexp_extract("source", r"(\d+)$", 1).cast("int")).cast("int")
