@@ -188,3 +188,14 @@ def test_generic_spec_with_a_flat_layout(spark, workdir):
     build_silver(spark, f"{workdir}/bronze", f"{workdir}/silver", spec)
     got = sorted(tuple(r) for r in read_layer(spark, f"{workdir}/silver", year_col="year").collect())
     assert got == [("N", 1.5, 2020), ("N", 4.0, 2021), ("S", 0.0, 2020)]
+
+
+def test_command_line_runs_the_chosen_stages(spark, workdir):
+    from tierlake.__main__ import main
+
+    raw = f"{workdir}/raw"
+    csv_year(raw, 2021, "SG_UF_PROVA;NU_NOTA_CN", ["SP;10"])
+    first = main(["--raw", raw, "--lake", f"{workdir}/lake", "--stages", "bronze"])
+    assert set(first) == {"bronze"} and first["bronze"][0][2] == "written"
+    rest = main(["--raw", raw, "--lake", f"{workdir}/lake", "--stages", "silver,gold"])
+    assert set(rest) == {"silver", "gold"} and rest["silver"][0][3] == 1
