@@ -109,11 +109,19 @@ def exam_lake(spark: SparkSession, sf_dir: str) -> str:
         d = run_dir(spark, "exam-lake")
         fx.write_raw_csv(spark, fx.exam_raw(_t(spark, sf_dir, "lineitem")), f"{d}/raw", EXAM_SPEC, "survey")
         build_lake(spark, f"{d}/raw", f"{d}/lake", EXAM_SPEC)
-        return f"{d}/lake/gold/{EXAM_SPEC.name}"
+        return f"{d}/lake"
 
     return _memo(("exam", sf_dir, spark.sparkContext.applicationId), build)
 
 
+def _exam_gold(spark, sf_dir):
+    return f"{exam_lake(spark, sf_dir)}/gold/{EXAM_SPEC.name}"
+
+
+def _exam_silver(spark, sf_dir):
+    return read_layer(spark, f"{exam_lake(spark, sf_dir)}/silver/{EXAM_SPEC.name}")
+
+
 def documents_raw_lake(spark: SparkSession, sf_dir: str) -> str:
     def build() -> str:
         d = run_dir(spark, "documents-raw")
@@ -377,15 +385,25 @@ def q_drift_silver(spark, sf_dir):
 
 
 def q_exam_gold_means(spark, sf_dir):
-    return spark.read.parquet(gold_path(exam_lake(spark, sf_dir), EXAM_SPEC.mean_table))
+    return spark.read.parquet(gold_path(_exam_gold(spark, sf_dir), EXAM_SPEC.mean_table))
 
 
 def q_exam_gold_profile(spark, sf_dir):
-    return spark.read.parquet(gold_path(exam_lake(spark, sf_dir), EXAM_SPEC.profile_table))
+    return spark.read.parquet(gold_path(_exam_gold(spark, sf_dir), EXAM_SPEC.profile_table))
 
 
 def q_exam_gold_ranking(spark, sf_dir):
-    return spark.read.parquet(gold_path(exam_lake(spark, sf_dir), EXAM_SPEC.rank_table))
+    return spark.read.parquet(gold_path(_exam_gold(spark, sf_dir), EXAM_SPEC.rank_table))
+
+
+def q_exam_abstention_by_sex(spark, sf_dir):
+    """D8 over the exam lake's silver layer: share of zero essays per sex."""
+    return abstention_rate(_exam_silver(spark, sf_dir), ["TP_SEXO"], "NU_NOTA_REDACAO")
+
+
+def q_exam_mean_median_by_age(spark, sf_dir):
+    """D1 over the exam lake's silver layer: mean and exact median per age band."""
+    return mean_median_by_group(_exam_silver(spark, sf_dir), ["TP_FAIXA_ETARIA"], ["NU_NOTA_CN"])
 
 
 def q_ml_classify(spark, sf_dir):
@@ -451,6 +469,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "exam_gold_means": q_exam_gold_means,
         "exam_gold_profile": q_exam_gold_profile,
         "exam_gold_ranking": q_exam_gold_ranking,
+        "exam_abstention_by_sex": q_exam_abstention_by_sex,
+        "exam_mean_median_by_age": q_exam_mean_median_by_age,
         "ml_classify": q_ml_classify,
         "ml_cluster": q_ml_cluster,
     }
@@ -583,4 +603,11 @@ def oracle_sql() -> dict[str, str]:
         "exam_gold_ranking": f"""with s as ({_silver_sql()})
             select ano, l_returnflag as SG_UF_PROVA, round(avg(l_tax), 2) as MEDIA_REDACAO, count(*) as TOTAL_PARTICIPANTES
             from s where l_tax > 0 group by all""",
+        "exam_abstention_by_sex": f"""with s as ({_silver_sql()})
+            select l_linestatus as TP_SEXO, round(avg(cast(l_tax = 0 as double)), 4) as taxa_abstencao
+            from s group by all""",
+        "exam_mean_median_by_age": f"""with s as ({_silver_sql()})
+            select l_linenumber as TP_FAIXA_ETARIA, round(avg(l_quantity), 2) as media_NU_NOTA_CN,
+                   round(median(l_quantity), 2) as mediana_NU_NOTA_CN
+            from s group by all""",
     }
