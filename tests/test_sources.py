@@ -208,3 +208,12 @@ def test_record_longer_than_the_arrow_block_falls_back_to_the_row_parser(spark,
     df = spark.read.format(FORMAT).options(**archive_options(S, f"{workdir}/z"), block_bytes="1024").load()
     got = {r["K"]: r["TXT"] for r in df.collect()}
     assert got == {"1": long_text, "2": "short"}
+
+
+def test_stream_ingest_in_several_micro_batches_writes_each_row_once(spark, workdir):
+    raw = fx.lineitem_raw(spark.read.parquet(f"{SF}/lineitem.parquet"))
+    fx.write_raw_csv(spark, raw, f"{workdir}/raw", LINEITEM_SPEC, "lineitem")
+    ingest_stream(spark, f"{workdir}/raw", f"{workdir}/bronze", f"{workdir}/_ckpt", LINEITEM_SPEC, max_files_per_trigger=1)
+    out = spark.read.parquet(f"{workdir}/bronze").select(*raw.columns)
+    assert out.count() == raw.count()
+    assert out.exceptAll(raw).count() == 0 and raw.exceptAll(out).count() == 0
