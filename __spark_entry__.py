@@ -59,6 +59,12 @@ from tierlake.sources import discover_years, layer_years, read_layer, read_year_
 from tierlake.spec import DOCUMENTS_SPEC, EXAM_SPEC, LINEITEM_SPEC  # noqa: E402
 from tierlake.streaming import ingest_stream  # noqa: E402
 
+try:  # the training-data operators are an optional part
+    import corpus_pipeline
+    from tierlake.llm import queries as llm
+except ImportError:
+    llm = corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 LI = LINEITEM_SPEC
 DOC = DOCUMENTS_SPEC
@@ -427,7 +433,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    more = {**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}
     return {
+        **more,
         "mean_by_group": q_mean_by_group,
         "count_by_group": q_count_by_group,
         "rank_by_mean": q_rank_by_mean,
@@ -531,8 +539,10 @@ _ORDERS_LAYER = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_or
 
 
 def oracle_sql() -> dict[str, str]:
+    more = {**llm.oracle_sql(), "pipeline": corpus_pipeline.ORACLE_SQL} if llm else {}
     li_means = f"select {_YEAR_LI} as ano, l_returnflag, {_MEANS} from lineitem group by all"
     return {
+        **{name: sql for name, sql in more.items() if sql},
         "mean_by_group": li_means,
         "count_by_group": f"select {_YEAR_LI} as ano, l_returnflag, l_linestatus, l_linenumber, count(*) as total from lineitem group by all",
         "rank_by_mean": f"select {_YEAR_LI} as ano, l_returnflag, round(avg(l_tax), 2) as media_tax, count(*) as total from lineitem where l_tax > 0 group by all",
