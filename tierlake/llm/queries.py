@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import ann, bpe, token_files, topk
+from tierlake.llm import ann, bpe, mixing, quality, token_files, topk
 from tierlake.llm.common import table
 from tierlake.session import run_dir
 
@@ -19,6 +19,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder)
 
 
+def op2_quality_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "source", "lang", *quality.OUT)
+
+
 def op3_ann_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -27,6 +32,12 @@ def op6_topk_exhaustive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(topk.scaled(table(spark, sf_dir, "embeddings"), 1024), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op8_mixing_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    exact = {c: F.round(c, 9) for c in ("factor", "prob")}
+    return mixed.withColumns(exact).select("doc_id", "source", "lang", "topic", "n_tokens", "factor", "prob", "sampled")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -46,11 +57,13 @@ select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 1
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
+        "op2_quality_sites": op2_quality_sites,
         "op3_ann_collision": op3_ann_collision,
         "op6_topk_exhaustive": op6_topk_exhaustive,
+        "op8_mixing_raking": op8_mixing_raking,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_topk_exhaustive": _TOPK_SQL}
+    return {"op6_topk_exhaustive": _TOPK_SQL, "op8_mixing_raking": mixing.mix_sql()}
