@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import ann, bpe, mixing, quality, token_files, topk
+from tierlake.llm import ann, bpe, mixing, pii, quality, token_files, topk, toxicity
 from tierlake.llm.common import table
 from tierlake.session import run_dir
 
@@ -28,6 +28,11 @@ def op3_ann_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op5_pii_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.learn(docs))
+
+
 def op6_topk_exhaustive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(topk.scaled(table(spark, sf_dir, "embeddings"), 1024), F.col("vec_id") % 100 == 0, k=10)
 
@@ -38,6 +43,11 @@ def op8_mixing_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumns(exact).select("doc_id", "source", "lang", "topic", "n_tokens", "factor", "prob", "sampled")
 
 
+def op9_toxicity_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -59,8 +69,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_files": op1_token_files,
         "op2_quality_sites": op2_quality_sites,
         "op3_ann_collision": op3_ann_collision,
+        "op5_pii_weak": op5_pii_weak,
         "op6_topk_exhaustive": op6_topk_exhaustive,
         "op8_mixing_raking": op8_mixing_raking,
+        "op9_toxicity_channel": op9_toxicity_channel,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
