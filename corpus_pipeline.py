@@ -1,23 +1,47 @@
-"""Pipeline over ``documents``: each stage calls one operator of ``tierlake.llm``."""
+"""Pipeline over ``documents``: each stage calls one operator of ``tierlake.llm``.
+
+A stage takes (spark, docs, sf_dir) and works on every row its predecessor kept; all but the
+last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tierlake.llm import bpe
+from tierlake.llm import bagminhash, bpe, mixing, pii, quality
 from tierlake.llm.common import table
 from tierlake.session import run_dir
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.classify(docs, table(spark, sf_dir, "labels")).where("keep").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates stays, that of the smallest doc_id."""
+    return bagminhash.deduplicated(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is masked; n_chars follows the new text."""
+    return pii.mask(docs, pii.learn(docs))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are sampled by their calibrated probabilities."""
+    return mixing.sample(docs)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE: the ids of each whole text."""
+    """Byte-level BPE: the ids of each whole text, digested, and the proof of decoding."""
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-STAGES = [("encode", encode)]
+STAGES = [("quality", quality_filter), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("mix", mix), ("encode", encode)]
 
-#: The quality, personal-data and encoding stages have no SQL form.
+#: The quality, near-duplicate, personal-data and encoding stages have no SQL form.
 ORACLE_SQL = None
 
 

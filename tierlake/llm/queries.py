@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import ann, bpe, mixing, pii, quality, token_files, topk, toxicity
+from tierlake.llm import ann, bagminhash, bpe, mixing, pii, quality, token_files, topk, toxicity
 from tierlake.llm.common import table
 from tierlake.session import run_dir
 
@@ -37,6 +37,10 @@ def op6_topk_exhaustive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(topk.scaled(table(spark, sf_dir, "embeddings"), 1024), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
 def op8_mixing_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     exact = {c: F.round(c, 9) for c in ("factor", "prob")}
@@ -71,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_ann_collision": op3_ann_collision,
         "op5_pii_weak": op5_pii_weak,
         "op6_topk_exhaustive": op6_topk_exhaustive,
+        "op7_bagminhash": op7_bagminhash,
         "op8_mixing_raking": op8_mixing_raking,
         "op9_toxicity_channel": op9_toxicity_channel,
         "op10_byte_bpe": op10_byte_bpe,

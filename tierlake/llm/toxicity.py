@@ -57,7 +57,8 @@ READ, DROP, SHORTEN, CLOSE = 1.0, 4.0, 0.7, 0.5
 SIGNS = re.compile(r"[0-9@$!|+(<*#%&€£]")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 GAPPED = re.compile(r"(?<![\w])(?:[^\W\d_][ ._*-]){2,}[^\W\d_](?![\w])")
-EDGE = re.compile(r"^[\W_]*?(?=[\w@$!|+(<*#%&€£])|(?:[^\w]{3,}|[.,;:?!\"')\]_-]+)$")
+LEAD = re.compile(r"^(?:\W{3,}|[^\w@$!|+(<*#%&€£]+)")
+TAIL = re.compile(r"(?:\W{3,}|[.,;:?!\"')\]_-]+)$")
 LONGEST = 64
 
 
@@ -162,7 +163,7 @@ def decode(word: str, lm: CharModel) -> str:
 
 
 def core(token: str) -> str:
-    return EDGE.sub("", token)
+    return TAIL.sub("", LEAD.sub("", token))
 
 
 def restored(token: str, lm: CharModel) -> str:
