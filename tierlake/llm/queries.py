@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import ann, bagminhash, bpe, mixing, pii, quality, token_files, topk, toxicity
+from tierlake.llm import ann, bagminhash, bpe, mixing, pii, quality, suffix_dedup, token_files, topk, toxicity
 from tierlake.llm.common import table
 from tierlake.session import run_dir
 
@@ -28,6 +28,10 @@ def op3_ann_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_pii_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.find(docs, pii.learn(docs))
@@ -73,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_files": op1_token_files,
         "op2_quality_sites": op2_quality_sites,
         "op3_ann_collision": op3_ann_collision,
+        "op4_suffix_dedup": op4_suffix_dedup,
         "op5_pii_weak": op5_pii_weak,
         "op6_topk_exhaustive": op6_topk_exhaustive,
         "op7_bagminhash": op7_bagminhash,
