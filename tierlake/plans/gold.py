@@ -26,10 +26,9 @@ from pyspark.sql import functions as F
 from tierlake.functions.scores import positive
 from tierlake.operators.aggregates import count_by_group
 from tierlake.operators.columns import restrict_years, years_having
-from tierlake.plans.silver import load_presence
+from tierlake.plans.silver import load_presence, record_path
 from tierlake.sinks.parquet import WriteReport, write_table
-from tierlake.session import shared_root
-from tierlake.sources.fs import exists
+from tierlake.sources.fs import delete, exists, read_years, write_years
 from tierlake.sources.layers import read_layer
 from tierlake.spec import LakeSpec
 
@@ -54,9 +53,9 @@ class GoldPlan:
             df.unpersist()
 
 
-def _only(df: DataFrame, year_col: str, years: list[int], presence: dict) -> DataFrame:
-    """Restrict to ``years`` (a partition filter) unless that is every year."""
-    return df if set(years) == set(presence) else restrict_years(df, years, year_col)
+def _only(df: DataFrame, year_col: str, years: list[int]) -> DataFrame:
+    """Restrict to ``years`` (a partition filter)."""
+    return restrict_years(df, years, year_col)
 
 
 def gold_tables(silver: DataFrame, presence: dict[int, list[str]], spec: LakeSpec, cache_shared: bool = False) -> GoldPlan:
@@ -82,7 +81,7 @@ def gold_tables(silver: DataFrame, presence: dict[int, list[str]], spec: LakeSpe
                 F.round(F.avg(F.when(hit, F.col(rank))), d).alias("_rank_mean"),
                 F.count(F.when(hit, F.lit(1))).alias("_rank_n"),
             ]
-        shared = _only(silver, y, mean_years, presence).groupBy(y, place).agg(*aggs)
+        shared = _only(silver, y, mean_years).groupBy(y, place).agg(*aggs)
         if cache_shared:
             shared = shared.persist(StorageLevel.MEMORY_AND_DISK)
             plan.cached.append(shared)
@@ -96,23 +95,11 @@ def gold_tables(silver: DataFrame, presence: dict[int, list[str]], spec: LakeSpe
             plan.add(spec.rank_table, ranking, [F.col(y), F.col(mean_col).desc(), F.col(place)])
     if profile_years and profile_any:
         keys = [y, *profile_any]
-        counts = count_by_group(_only(silver, y, profile_years, presence), keys, spec.count_name)
+        counts = count_by_group(_only(silver, y, profile_years), keys, spec.count_name)
         plan.add(spec.profile_table, counts, [F.col(k) for k in keys])
     return plan
 
 
-def _canonical_columns(columns: list[str], spec: LakeSpec) -> list[str]:
-    """Column order of a full rebuild: year, place, profile keys, means in score order,
-    then the counts; anything else keeps its place at the end."""
-    order = list(
-        dict.fromkeys(
-            [spec.year_col, spec.place, *spec.profile, *[spec.mean_name(s) for s in spec.scores], spec.count_name, spec.rank_count_name]
-        )
-    )
-    rank = {c: i for i, c in enumerate(order)}
-    return sorted(columns, key=lambda c: rank.get(c, len(order)))
-
-
 def gold_path(gold_root: str, table: str) -> str:
     return f"{gold_root.rstrip('/')}/{table}"
 
@@ -129,15 +116,28 @@ def build_gold(
     silver columns across the writes (helps when silver is re-read from slow
     storage; otherwise pruned Parquet scans are cheaper than a cache of the layer).
 
-    With ``years``, only those years are recomputed (silver is read with partition
-    pruning) and each existing table keeps its rows for the other years: old and new
-    rows are unioned by name, checkpointed to the shared folder (so the table can be
-    overwritten without reading itself), re-sorted and written back. The result
-    equals a full rebuild."""
-    presence = load_presence(spark, silver_root, spec.year_col)
-    if years is not None:
-        wanted = {int(v) for v in years}
-        presence = {yr: cols for yr, cols in presence.items() if yr in wanted}
+    With ``years`` (also an empty list) only those years are recomputed, and besides all
+    that gold lacks in silver's version; silver is read with partition pruning, and each
+    table keeps its rows of the other years that silver still has. If a table is missing,
+    everything is recomputed. The result equals a full rebuild: a table's columns are
+    those that all years call for, years whose rows or keys are gone lose theirs, and a
+    table that no year supports any more is removed. Tables are written beside the old
+    ones and swapped in."""
+    everything = load_presence(spark, silver_root, spec.year_col)
+    versions = read_years(spark, record_path(silver_root)) or {}
+    record = read_years(spark, record_path(gold_root)) or {}
+    whole = gold_tables(read_layer(spark, silver_root, year_col=spec.year_col), everything, spec)
+    missing = [n for n in whole.tables if not exists(spark, gold_path(gold_root, n))]
+    if years is None or missing or not record:
+        years, presence = None, everything
+    else:
+        todo = {int(v) for v in years} | {y for y in everything if record.get(y) != versions.get(y)}
+        presence = {y: cols for y, cols in everything.items() if y in todo}
+    names = (spec.mean_table, spec.rank_table, spec.profile_table)
+    stale = [n for n in names if n not in whole.tables and exists(spark, gold_path(gold_root, n))]
+    if years is not None and not presence and not stale and set(record) == set(everything):
+        return [WriteReport(n, gold_path(gold_root, n), "skipped") for n in whole.tables]
+    write_years(spark, record_path(gold_root), {y: v for y, v in record.items() if years is not None and y not in presence})
     silver = read_layer(spark, silver_root, years=None if years is None else sorted(presence), year_col=spec.year_col)
     cached = []
     if persist_silver:
@@ -145,27 +145,34 @@ def build_gold(
         silver = silver.select(*need).persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(silver)
     plan = gold_tables(silver, presence, spec, cache_shared=True)
-    if years is not None:
-        shared_root(spark)  # the merge checkpoints there
+    kept_years = sorted(set(everything) - set(presence))
 
     def write_one(name: str) -> WriteReport:
         path = gold_path(gold_root, name)
-        if years is None or not exists(spark, path):
+        if years is None:
             return write_table(plan.tables[name], path, table=name)
-        kept = spark.read.parquet(path).where(~F.col(spec.year_col).isin(sorted(presence)))
-        merged = kept.unionByName(plan.unsorted[name], allowMissingColumns=True)
-        merged = merged.select(*_canonical_columns(merged.columns, spec)).checkpoint(eager=True)
-        return write_table(merged.orderBy(*plan.orders[name]), path, table=name)
-
-    def write(names: list[str]) -> list[WriteReport]:
-        return [write_one(n) for n in names if n in plan.tables]
+        merged = spark.read.parquet(path).where(F.col(spec.year_col).isin(kept_years))
+        if name in plan.unsorted:
+            merged = merged.unionByName(plan.unsorted[name], allowMissingColumns=True)
+        wanted = [
+            F.col(f.name) if f.name in merged.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in whole.unsorted[name].schema.fields
+        ]
+        return write_table(merged.select(*wanted).orderBy(*whole.orders[name]), path, table=name)
+
+    def write(chain: list[str]) -> list[WriteReport]:
+        return [write_one(n) for n in chain if n in whole.tables]
 
     # Two independent chains run side by side: the means table fills the cached
     # shared aggregate that the ranking then reads; the profile table is separate.
     chains = [[spec.mean_table, spec.rank_table], [spec.profile_table]]
     try:
         with ThreadPoolExecutor(max_workers=len(chains)) as pool:
-            return [r for chain in pool.map(write, chains) for r in chain]
+            reports = [r for chain in pool.map(write, chains) for r in chain]
+        for name in stale:
+            delete(spark, gold_path(gold_root, name))
+        write_years(spark, record_path(gold_root), {y: versions.get(y) for y in everything})
+        return reports
     finally:
         plan.release()
         for df in cached:

@@ -37,21 +37,19 @@ def build_lake(
     """Run the chosen stages in bronze -> silver -> gold order; returns each stage's
     write reports. ``mode`` applies to bronze (skip finished years or overwrite).
 
-    With ``incremental``, silver and gold are recomputed only for the years bronze
-    wrote in this run (other years' rows are kept), and not at all if none was new."""
+    With ``incremental``, silver and gold are recomputed only for the years that they
+    lack in the version of the layer below, whether bronze wrote them in this run or in
+    an earlier one that ended early; other years' rows are kept. Layers that are up to
+    date report "skipped"."""
     unknown = set(stages) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages {sorted(unknown)}; choose from {STAGES}")
     bronze, silver, gold = (layer_path(lake_root, layer, spec) for layer in STAGES)
     out: dict[str, list[WriteReport]] = {}
-    years = None
+    years = [] if incremental else None
     if "bronze" in stages:
         ingest = build_bronze_from_archives if raw_format == "zip" else build_bronze
         out["bronze"] = ingest(spark, raw_root, bronze, spec, mode=mode)
-        if incremental:
-            years = [r.year for r in out["bronze"] if r.action == "written"]
-            if not years:
-                return out
     if "silver" in stages:
         out["silver"] = [build_silver(spark, bronze, silver, spec, years=years)]
     if "gold" in stages:

@@ -12,8 +12,6 @@ driver) for the gold stage.
 
 from __future__ import annotations
 
-import json
-
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -22,8 +20,8 @@ from pyspark.sql import functions as F
 from tierlake.functions.scores import is_malformed, is_nan, parse_score
 from tierlake.operators.columns import years_having
 from tierlake.sinks.parquet import WriteReport, write_partitioned
-from tierlake.sources.fs import exists, read_small_text, write_small_text
-from tierlake.sources.layers import leaf_schemas, read_layer
+from tierlake.sources.fs import delete, exists, read_years, write_years
+from tierlake.sources.layers import leaf_path, leaf_schemas, leaf_versions, leaf_years, read_layer
 from tierlake.spec import LakeSpec, YEAR_COL
 
 
@@ -64,10 +62,11 @@ def quality_metrics(presence: Mapping[int, Sequence[str]], spec: LakeSpec) -> di
         having = years_having(presence, [c])
         if not having:
             continue
-        in_year = F.col(y).isin(having)
-        out[f"filled_{c}"] = F.sum((in_year & F.col(c).isNull()).cast("long"))
-        out[f"malformed_{c}"] = F.sum((in_year & is_malformed(c)).cast("long"))
-        out[f"nan_{c}"] = F.sum((in_year & is_nan(c)).cast("long"))
+        everywhere = set(having) == set(presence)
+        among = (lambda e: e) if everywhere else (lambda e, h=having: F.col(y).isin(h) & e)
+        out[f"filled_{c}"] = F.sum(among(F.col(c).isNull()).cast("long"))
+        out[f"malformed_{c}"] = F.sum(among(is_malformed(c)).cast("long"))
+        out[f"nan_{c}"] = F.sum(among(is_nan(c)).cast("long"))
     return out
 
 
@@ -76,40 +75,64 @@ def silver_frame(
 ) -> tuple[DataFrame, dict[int, list[str]], dict[str, Column]]:
     """(silver DataFrame, presence map, quality metrics over the raw columns)."""
     schemas = leaf_schemas(spark, bronze_root, spec.year_col)
-    if years is not None:
+    subset = None  # no filter when every year is read
+    if years is not None and set(int(v) for v in years) != set(schemas):
         schemas = {y: s for y, s in schemas.items() if y in set(int(v) for v in years)}
+        subset = sorted(schemas)
     if not schemas:
         raise FileNotFoundError(f"no bronze years under {bronze_root}")
     presence = kept_presence({y: s.fieldNames() for y, s in schemas.items()}, spec)
-    subset = sorted(presence) if years is not None else None  # no filter when every year is read
     bronze = read_layer(spark, bronze_root, years=subset, year_col=spec.year_col, schemas=schemas)
     return bronze, presence, quality_metrics(presence, spec)
 
 
+def record_path(root: str) -> str:
+    """Which version of each year a layer was built from; written last."""
+    return root.rstrip("/") + "_years.json"
+
+
 def build_silver(
     spark: SparkSession, bronze_root: str, silver_root: str, spec: LakeSpec, years: Sequence[int] | None = None
 ) -> WriteReport:
-    """Write silver partitioned by year (only the years read are replaced) and its
-    presence table. Returns the write report with the quality counts."""
-    bronze, presence, metrics = silver_frame(spark, bronze_root, spec, years)
-    quality = Observation(f"{spec.name}:silver-quality")
-    raw = bronze.observe(quality, *[e.alias(k) for k, e in metrics.items()]) if metrics else bronze
-    silver = raw.select(*clean_columns(bronze, presence, spec), F.col(spec.year_col))
-    report = write_partitioned(silver, silver_root, spec.year_col, table=f"{spec.name}:silver")
-    if metrics:
-        report.metrics.update({k: int(v or 0) for k, v in quality.get.items()})
-
-    ppath = presence_path(silver_root)
-    if years is not None and exists(spark, ppath):
-        # Re-running some years keeps the other years' entries.
-        merged = load_presence(spark, silver_root, spec.year_col)
-        merged.update(presence)
-        presence = merged
-    write_small_text(spark, ppath, json.dumps({str(y): cols for y, cols in sorted(presence.items())}))
+    """Write silver partitioned by year and its presence map. Returns the write report
+    with the quality counts.
+
+    Without ``years`` every committed bronze year is written. With ``years`` (also an
+    empty list) those are, and besides all that silver lacks in bronze's version: years
+    of a run that ended early, years ingested again. In either case years that bronze no
+    longer has, or that came without rows, leave silver."""
+    versions = leaf_versions(spark, bronze_root, spec.year_col)
+    record = read_years(spark, record_path(silver_root)) if exists(spark, silver_root) else None
+    if years is None or record is None:
+        todo = set(versions)
+    else:
+        todo = {y for y in versions if y in set(int(v) for v in years) or record.get(y) != versions[y]}
+    done = {y: v for y, v in (record or {}).items() if y in versions and y not in todo}
+    old = load_presence(spark, silver_root, spec.year_col) if done else {}
+    # From here on a crash leaves these years marked as not built.
+    write_years(spark, record_path(silver_root), done)
+    report = WriteReport(f"{spec.name}:silver", silver_root, "skipped", rows=0)
+    presence: dict[int, list[str]] = {}
+    if todo:
+        bronze, presence, metrics = silver_frame(spark, bronze_root, spec, sorted(todo))
+        quality = Observation(f"{spec.name}:silver-quality")
+        raw = bronze.observe(quality, *[e.alias(k) for k, e in metrics.items()]) if metrics else bronze
+        silver = raw.select(*clean_columns(bronze, presence, spec), F.col(spec.year_col))
+        report = write_partitioned(silver, silver_root, spec.year_col, table=f"{spec.name}:silver", years=sorted(todo))
+        if metrics:
+            report.metrics.update({k: int(v or 0) for k, v in quality.get.items()})
+    for y in leaf_years(spark, silver_root, spec.year_col):
+        if y not in versions:
+            delete(spark, leaf_path(silver_root, y, spec.year_col))
+    presence = {**{y: cols for y, cols in old.items() if y in done}, **presence}
+    write_years(spark, presence_path(silver_root), presence)
+    write_years(spark, record_path(silver_root), {**done, **{y: versions[y] for y in todo}})
     return report
 
 
 def load_presence(spark: SparkSession, silver_root: str, year_col: str = YEAR_COL) -> dict[int, list[str]]:
     """The presence map (years x kept columns: small by construction)."""
-    raw = json.loads(read_small_text(spark, presence_path(silver_root)))
-    return {int(y): list(cols) for y, cols in raw.items()}
+    found = read_years(spark, presence_path(silver_root))
+    if found is None:
+        raise FileNotFoundError(f"no presence map beside {silver_root}")
+    return {y: list(cols) for y, cols in found.items()}

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tierlake.sources.fs import delete, swap
 from tierlake.sources.layers import leaf_path
 from tierlake.spec import YEAR_COL
 
@@ -30,6 +31,7 @@ class WriteReport:
     year: int | None = None
     rows: int | None = None
     metrics: dict = field(default_factory=dict)
+    year_rows: dict = field(default_factory=dict)
 
 
 def _observed(df: DataFrame, name: str, metrics: Mapping[str, Column] | None) -> tuple[DataFrame, Observation]:
@@ -61,14 +63,17 @@ def write_partitioned(
     year_col: str = YEAR_COL,
     table: str = "",
     metrics: Mapping[str, Column] | None = None,
+    years: Sequence[int] = (),
 ) -> WriteReport:
     """One job for all years, ``partitionBy(year)``; dynamic partition overwrite
     replaces only the years present in ``df`` and leaves the others intact.
 
     No shuffle by year first: that would send a whole year to one task. Each task
     writes the years its rows belong to (the writer sorts within the task), and
-    scan splits rarely span years, so a task opens few leaves."""
-    observed, obs = _observed(df, table or root, metrics)
+    scan splits rarely span years, so a task opens few leaves. With ``years``, rows
+    are counted for each of them, and the leaf of a year without rows is removed."""
+    by_year = {f"_rows_{int(y)}": F.sum((F.col(year_col) == int(y)).cast("long")) for y in years}
+    observed, obs = _observed(df, table or root, {**(metrics or {}), **by_year})
     (
         observed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -77,7 +82,11 @@ def write_partitioned(
         .parquet(root)
     )
     got = dict(obs.get)
-    return WriteReport(table, root, "written", None, int(got.pop("rows")), got)
+    rows = {int(y): int(got.pop(f"_rows_{int(y)}") or 0) for y in years}
+    for y, n in rows.items():
+        if not n:
+            delete(df.sparkSession, leaf_path(root, y, year_col))
+    return WriteReport(table, root, "written", None, int(got.pop("rows")), got, rows)
 
 
 def write_table(
@@ -86,14 +95,17 @@ def write_table(
     table: str = "",
     metrics: Mapping[str, Column] | None = None,
 ) -> WriteReport:
-    """Overwrite a flat (unpartitioned) table."""
+    """Overwrite a flat (unpartitioned) table: written beside, then swapped in, so a
+    failed write keeps the old table and ``df`` may read the table that it replaces."""
     observed, obs = _observed(df, table or path, metrics)
-    observed.write.mode("overwrite").option("compression", CODEC).parquet(path)
+    new = f"{path.rstrip('/')}._new"
+    observed.write.mode("overwrite").option("compression", CODEC).parquet(new)
+    swap(df.sparkSession, new, path)
     got = dict(obs.get)
     return WriteReport(table, path, "written", None, int(got.pop("rows")), got)
 
 
-def reports_frame(spark, reports: Sequence[WriteReport]) -> DataFrame:
+def reports_frame(spark, reports: Sequence[WriteReport], year_col: str = YEAR_COL) -> DataFrame:
     """The reports as a small DataFrame (one row per write)."""
     rows = [(r.table, r.year, r.action, r.rows, r.path) for r in reports]
-    return spark.createDataFrame(rows, "table string, ano int, action string, rows long, path string")
+    return spark.createDataFrame(rows, f"table string, {year_col} int, action string, rows long, path string")

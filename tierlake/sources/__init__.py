@@ -1,12 +1,11 @@
 from tierlake.sources.csv import discover_years, read_year_csv
-from tierlake.sources.layers import layer_years, leaf_columns, leaf_path, leaf_years, read_layer
+from tierlake.sources.layers import layer_years, leaf_path, leaf_years, read_layer
 from tierlake.sources.zipcsv import ZipCsvDataSource, register as register_zipcsv
 
 __all__ = [
     "ZipCsvDataSource",
     "discover_years",
     "layer_years",
-    "leaf_columns",
     "leaf_path",
     "leaf_years",
     "read_layer",

@@ -4,6 +4,7 @@ bounded by the number of folders and files, never by rows."""
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -54,19 +55,21 @@ def first_data_file(spark: SparkSession, path: str) -> str | None:
     return None
 
 
-def has_data_files(spark: SparkSession, path: str) -> bool:
-    """A folder holding at least one visible file."""
-    return first_data_file(spark, path) is not None
-
-
 def is_complete(spark: SparkSession, path: str) -> bool:
     """A leaf whose writer committed: it carries the ``_SUCCESS`` marker."""
     return exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
-def mkdirs(spark: SparkSession, path: str) -> None:
+def modified(spark: SparkSession, path: str) -> int:
+    """Time of the last change, in milliseconds."""
     fs, p = _fs(spark, path)
-    fs.mkdirs(p)
+    return int(fs.getFileStatus(p).getModificationTime())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder; nothing happens if it does not exist."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def rename(spark: SparkSession, src: str, dst: str) -> None:
@@ -77,25 +80,52 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
+def _beside(path: str) -> str:
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}.new"
+
+
 def write_small_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small metadata file from the driver, atomically (temp + rename)."""
+    """Write a small metadata file from the driver: beside it, then moved into place.
+    A crash between removing the old file and the move leaves the new one beside, where
+    ``read_small_text`` finds it."""
     fs, p = _fs(spark, path)
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p.getParent(), "." + p.getName() + ".tmp")
-    out = fs.create(tmp, True)
+    _, new = _fs(spark, _beside(path))
+    out = fs.create(new, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
     if fs.exists(p):
         fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise OSError(f"rename failed: {tmp} -> {path}")
+    if not fs.rename(new, p):
+        raise OSError(f"rename failed: {new.toString()} -> {path}")
 
 
 def read_small_text(spark: SparkSession, path: str) -> str:
+    if not exists(spark, path) and exists(spark, _beside(path)):
+        path = _beside(path)
     fs, p = _fs(spark, path)
     stream = fs.open(p)
     try:
         return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def read_years(spark: SparkSession, path: str) -> dict[int, object] | None:
+    """A JSON map by year, or None if it was never written."""
+    if not exists(spark, path) and not exists(spark, _beside(path)):
+        return None
+    return {int(y): v for y, v in json.loads(read_small_text(spark, path)).items()}
+
+
+def write_years(spark: SparkSession, path: str, by_year: dict[int, object]) -> None:
+    write_small_text(spark, path, json.dumps({str(y): v for y, v in sorted(by_year.items())}))
+
+
+def swap(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished folder in the place of another. A crash leaves either the old
+    folder, or none and the new one beside."""
+    delete(spark, path)
+    rename(spark, new, path)

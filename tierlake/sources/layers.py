@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tierlake.sources.fs import exists, first_data_file, list_dir
+from tierlake.sources.fs import exists, first_data_file, is_complete, list_dir, modified
 from tierlake.spec import YEAR_COL
 
 
@@ -63,8 +63,30 @@ def union_schema(schemas, year_col: str = YEAR_COL) -> StructType:
 
 
 def layer_years(spark: SparkSession, root: str, year_col: str = YEAR_COL) -> DataFrame:
-    """Distinct years that have rows, ascending. A missing layer raises."""
-    return read_layer(spark, root, year_col=year_col, merge_schema=False).select(year_col).distinct().orderBy(year_col)
+    """Years with a leaf, ascending, header-only ones too: from the folder names, without
+    a scan. A missing layer raises."""
+    if not exists(spark, root):
+        raise FileNotFoundError(f"layer not found: {root}")
+    years = [(y,) for y in leaf_years(spark, root, year_col)]
+    return spark.createDataFrame(years, StructType([StructField(year_col, IntegerType())]))
+
+
+def leaf_versions(spark: SparkSession, root: str, year_col: str = YEAR_COL) -> dict[int, str]:
+    """year -> version of its committed leaf. A leaf is committed by its own ``_SUCCESS``,
+    or by the root's, or by a stream's metadata log; one that is not raises."""
+    by_root = is_complete(spark, root) or exists(spark, f"{root.rstrip('/')}/_spark_metadata")
+    out, open_ = {}, []
+    for y in leaf_years(spark, root, year_col):
+        leaf = leaf_path(root, y, year_col)
+        if is_complete(spark, leaf):
+            out[y] = str(modified(spark, f"{leaf}/_SUCCESS"))
+        elif by_root:
+            out[y] = str(modified(spark, leaf))
+        else:
+            open_.append(y)
+    if open_:
+        raise ValueError(f"years {open_} under {root} were not committed; ingest them again")
+    return out
 
 
 def _leaf_files(spark: SparkSession, root: str, year_col: str) -> dict[int, str]:
@@ -96,12 +118,3 @@ def leaf_schemas(spark: SparkSession, root: str, year_col: str = YEAR_COL) -> di
 
     with ThreadPoolExecutor(max_workers=max(1, min(8, len(years)))) as pool:
         return dict(zip(years, pool.map(schema, years)))
-
-
-def leaf_columns(spark: SparkSession, root: str, year_col: str = YEAR_COL) -> dict[int, list[str]]:
-    """Column names each year's leaf physically has, from its Parquet footers.
-
-    This is the per-year presence map: a merged read of the whole root shows every
-    column in every year, so it cannot tell "absent that year" from "NULL values".
-    """
-    return {y: s.fieldNames() for y, s in leaf_schemas(spark, root, year_col).items()}
