@@ -2,16 +2,20 @@
 
 import random
 import statistics
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tierlake.operators import (
     broadcast_if_small,
+    density_by_group,
     exact_median,
     fill_scores,
+    histogram_by_group,
     mean_median_by_group,
     preview,
+    region_compare,
     select_present,
     union_years,
     value_counts,
@@ -29,9 +33,7 @@ def test_exact_median_matches_brute_force_with_a_hot_group(spark):
         rows += [(g, float(rnd.randint(0, 5))) for _ in range(n)]
     rows += [("nulls", None), ("nulls", None), (None, 3.0), (None, 5.0)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(13)
-    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v", max_distinct=None).collect()}
-    fast = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v").collect()}
-    assert fast == pytest.approx(got, rel=1e-12)
+    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v").collect()}
     want = {}
     for g in {r[0] for r in rows}:
         vals = [v for k, v in rows if k == g and v is not None]
@@ -49,7 +51,7 @@ def test_exact_median_with_a_dominant_value(spark):
     rows = [("hot", 0.0)] * 6000 + [("hot", float(rnd.randint(1, 50))) for _ in range(6001)]
     rows += [("even", 1.0), ("even", 2.0), ("even", 2.0), ("even", 9.0)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(9)
-    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v", max_distinct=None).collect()}
+    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v").collect()}
     for g in ("hot", "even"):
         assert got[g] == statistics.median([v for k, v in rows if k == g])
 
@@ -59,7 +61,7 @@ def test_exact_median_reads_one_materialised_sort(spark):
     try:
         rows = [("hot", float(i)) for i in range(4000)] + [("x", 1.0)]
         df = spark.createDataFrame(rows, "g string, v double").repartition(8)
-        med = exact_median(df, ["g"], "v", max_distinct=1000)  # 4000 distinct: over the bound
+        med = exact_median(df, ["g"], "v")
         assert {r["g"]: r["median"] for r in med.collect()}["hot"] == 1999.5
         # The range-sorted pairs were materialised once; the query reads them back
         # and never sorts them again.
@@ -69,20 +71,39 @@ def test_exact_median_reads_one_materialised_sort(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-@pytest.mark.parametrize("max_distinct", [None, 1_000_000])
-def test_mean_median_keeps_groups_without_values(spark, max_distinct):
+def test_mean_median_keeps_groups_without_values(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None)], "g string, v double")
-    out = mean_median_by_group(df, ["g"], ["v"], max_distinct=max_distinct)
+    out = mean_median_by_group(df, ["g"], ["v"])
     got = {r["g"]: (r["media_v"], r["mediana_v"]) for r in out.collect()}
     assert got == {"a": (2.0, 2.0), "b": (None, None)}
 
 
-def test_hll_bound_picks_the_path(spark):
-    from tierlake.operators.median import small_enough_for_builtin
+def test_mean_median_of_two_measures_without_keys_and_of_decimals(spark):
+    rows = [(Decimal("1.50"), 3, float("nan")), (Decimal("2.50"), None, 1.0), (None, 8, 2.0)]
+    df = spark.createDataFrame(rows, "d decimal(10,2), i int, f double")
+    out = mean_median_by_group(df, [], ["d", "i", "f"])
+    (r,) = out.collect()
+    assert (float(r["media_d"]), r["mediana_d"], r["media_i"], r["mediana_i"], r["mediana_f"]) == (2.0, 2.0, 5.5, 5.5, 2.0)
+    assert {t for n, t in out.dtypes if n.startswith("mediana_")} == {"double"}
+    (e,) = mean_median_by_group(df.limit(0), [], ["d"]).collect()
+    assert tuple(e) == (None, None)
 
-    df = spark.createDataFrame([("hot", float(i)) for i in range(5000)] + [("x", 1.0)], "g string, v double")
-    assert small_enough_for_builtin(df, ["g"], ["v"], 10_000)
-    assert not small_enough_for_builtin(df, ["g"], ["v"], 5_000)
+
+def test_bins_of_large_and_missing_values(spark):
+    df = spark.createDataFrame([("a", 1e12), ("a", float("nan")), ("a", float("inf")), ("a", None), ("a", 3.0), ("a", -3.0)], "g string, v double")
+    got = {(r["g"], r["bin"]): r["total"] for r in histogram_by_group(df, "g", "v", 10).collect()}
+    assert got == {("a", 100_000_000_000): 1, ("a", None): 2, ("a", 0): 1, ("a", -1): 1}
+    shares = {r["bin"]: r["share"] for r in density_by_group(df, "g", "v", 10).collect()}
+    assert shares == {100_000_000_000: 0.2, None: 0.4, 0: 0.2, -1: 0.2}
+
+
+def test_region_compare_counts_every_fact_once(spark):
+    facts = spark.createDataFrame([(1, 10.0), (2, 20.0), (None, 30.0), (9, 40.0), (1, None)], "k int, v double")
+    places = spark.createDataFrame([(1, "ASIA"), (2, "EUROPE")], "p int, r string")
+    got = {r["grupo"]: (r["media_v"], r["total"]) for r in region_compare(facts, "k", "v", places, "p", "r", "ASIA").collect()}
+    assert got == {"ASIA": (10.0, 2), "OUTRAS": (30.0, 3)}
+    with pytest.raises(ValueError, match="repeats"):
+        region_compare(facts, "k", "v", places.union(places), "p", "r", "ASIA")
 
 
 def test_union_years_aligns_by_name(spark):
@@ -133,3 +154,24 @@ def test_broadcast_bound_counts_bytes_too(spark):
     assert bounded(wide, max_rows=100, max_bytes=1 << 20)
     assert not bounded(wide, max_rows=100, max_bytes=10_000)  # few rows, too many bytes
     assert not bounded(wide, max_rows=10)
+
+
+def test_broadcast_probe_sends_sums_only(spark):
+    from tierlake.operators import joins
+
+    seen = []
+
+    class Spy:
+        """Stands for a DataFrame and keeps the plan of its aggregate."""
+
+        def __init__(self, df):
+            self.df, self.schema = df, df.schema
+
+        def agg(self, *a):
+            out = self.df.agg(*a)
+            seen.append(out._jdf.queryExecution().executedPlan().toString())
+            return out
+
+    assert joins.bounded(Spy(spark.range(1000).withColumn("s", F.lit("x"))), 5000)
+    below = seen[0].split("Exchange SinglePartition", 1)[1]
+    assert "partial_count" in below and "Limit" not in seen[0]

@@ -4,8 +4,7 @@ from tierlake.functions.scores import (
     is_nan,
     parse_score,
     positive,
-    rounded_mean,
     year_of,
 )
 
-__all__ = ["bin_of", "is_malformed", "is_nan", "parse_score", "positive", "rounded_mean", "year_of"]
+__all__ = ["bin_of", "is_malformed", "is_nan", "parse_score", "positive", "year_of"]

@@ -32,18 +32,16 @@ def is_nan(c: str | Column) -> Column:
     return F.isnan(_col(c).try_cast("double"))
 
 
-def rounded_mean(c: str | Column, digits: int) -> Column:
-    return F.round(F.avg(_col(c)), digits)
-
-
 def positive(c: str | Column) -> Column:
     """The ranking predicate: NULL and zero both fail it."""
     return _col(c) > 0
 
 
 def bin_of(c: str | Column, width: float) -> Column:
-    """Fixed-width histogram bin index."""
-    return F.floor(_col(c) / F.lit(float(width))).cast("int")
+    """Fixed-width histogram bin index as bigint; NULL for NaN and infinite values."""
+    value = _col(c).cast("double")
+    unplaced = F.isnan(value) | (F.abs(value) == float("inf"))
+    return F.when(~unplaced, F.floor(value / F.lit(float(width))).cast("bigint"))
 
 
 def year_of(c: str | Column) -> Column:

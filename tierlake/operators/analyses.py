@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.functions.scores import bin_of
-from tierlake.operators.joins import join_dimension, join_null_safe
-from tierlake.operators.median import DEFAULT_MAX_DISTINCT, exact_median, small_enough_for_builtin
+from tierlake.operators.joins import join_dimension, join_null_safe, unique_keys
+from tierlake.operators.median import exact_medians
 
 
 def mean_median_by_group(
@@ -21,33 +21,18 @@ def mean_median_by_group(
     digits: int = 2,
     mean_prefix: str = "media_",
     median_prefix: str = "mediana_",
-    max_distinct: int | None = DEFAULT_MAX_DISTINCT,
 ) -> DataFrame:
     """Central tendency per group: rounded mean and exact median per measure.
 
-    When every group is proven to hold at most ``max_distinct`` distinct values
-    (one HLL-sketch aggregate), means and medians come from one aggregate with
-    Spark's exact ``median``; otherwise each median takes the range-sort path and
-    is joined back (both sides have one row per group)."""
+    Means are one aggregate, all medians one range-sort (``exact_medians``); both have
+    one row per group and are merged by a last aggregate, which also holds without keys
+    and for groups whose measures are all NULL (median NULL there)."""
     keys = list(keys)
-    mean_cols = [F.round(F.avg(m), digits).alias(f"{mean_prefix}{m}") for m in measures]
-    if max_distinct is not None and small_enough_for_builtin(df, keys, measures, max_distinct):
-        return df.groupBy(*keys).agg(
-            *mean_cols, *[F.round(F.median(m), digits).alias(f"{median_prefix}{m}") for m in measures]
-        )
-    means = df.groupBy(*keys).agg(*mean_cols)
-    medians = [
-        exact_median(df, keys, m, "_med", max_distinct=None).select(
-            *keys, F.round("_med", digits).alias(f"{median_prefix}{m}")
-        )
-        for m in measures
-    ]
-    # Both sides have one row per group; a group whose measure is all NULL has no
-    # median row, so a left join keeps every mean row (median NULL there).
-    out = means
-    for med in medians:
-        out = join_null_safe(out, med, keys, how="left")
-    return out
+    means = df.groupBy(*keys).agg(*[F.round(F.avg(m), digits).alias(f"{mean_prefix}{m}") for m in measures])
+    medians = exact_medians(df, keys, {f"{median_prefix}{m}": m for m in measures})
+    medians = medians.select(*keys, *[F.round(f"{median_prefix}{m}", digits).alias(f"{median_prefix}{m}") for m in measures])
+    both = means.unionByName(medians, allowMissingColumns=True)
+    return both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in both.columns if c not in keys])
 
 
 def top_groups(df: DataFrame, key: str, measure: str, k: int = 5, digits: int = 2, name: str | None = None) -> DataFrame:
@@ -73,9 +58,11 @@ def region_compare(
     digits: int = 2,
 ) -> DataFrame:
     """D3: roll places up to regions through a small dimension and compare one region
-    with all others: rounded mean and row count per side."""
+    with all others: rounded mean and row count per side. Facts without a place, or with
+    one that the dimension lacks, count among the others; a place that the dimension has
+    twice is an error, since its facts would count twice."""
     dim = places.select(F.col(dim_key).alias(place_key), F.col(region_col).alias("_region"))
-    rolled = join_dimension(facts.select(place_key, measure), dim, on=place_key)
+    rolled = join_dimension(facts.select(place_key, measure), unique_keys(dim, place_key), on=place_key, how="left")
     label = F.when(F.col("_region") == F.lit(focus), F.lit(focus)).otherwise(F.lit(rest_label))
     return rolled.groupBy(label.alias("grupo")).agg(
         F.round(F.avg(measure), digits).alias(f"media_{measure}"),
@@ -101,7 +88,8 @@ def corr_external(
 
 
 def histogram_by_group(df: DataFrame, group: str, value: str, width: float, name: str = "total") -> DataFrame:
-    """Counts per (group, fixed-width bin)."""
+    """Counts per (group, fixed-width bin). NULL values are left out; NaN and infinite
+    ones count in the group's NULL bin."""
     return (
         df.where(F.col(value).isNotNull())
         .groupBy(group, bin_of(value, width).alias("bin"))

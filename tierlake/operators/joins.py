@@ -12,19 +12,22 @@ DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
 def bounded(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows whose encoded size (as JSON text)
-    sums to at most ``max_bytes``. Only ``max_rows + 1`` rows are ever looked at, so
-    the check itself stays small whatever the input."""
-    size = F.octet_length(F.to_json(F.struct(*df.columns))) if df.columns else F.lit(0)
-    probe = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")
-    ).first()
+    """True when ``df`` has at most ``max_rows`` rows, and at most ``max_bytes`` counting
+    the bytes of its strings and eight for any other value. One aggregate over the
+    dimension: each task sends one row of sums, never data rows."""
+    sizes = [F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() in ("string", "binary") else F.lit(8) for f in df.schema.fields]
+    size = sum(sizes, F.lit(0)).cast("long")
+    probe = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
     return probe["n"] <= max_rows and probe["bytes"] <= max_bytes
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (at most max+1 rows are read)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def unique_keys(dim: DataFrame, key: str) -> DataFrame:
+    """``dim``, or an error that names some keys which it has more than once."""
+    twice = dim.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) & F.col(key).isNotNull()).limit(5)
+    found = [r[0] for r in twice.collect()]
+    if found:
+        raise ValueError(f"dimension key {key} repeats: {found}")
+    return dim
 
 
 def broadcast_if_small(

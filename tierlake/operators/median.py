@@ -18,8 +18,9 @@ column can hold one value (0.0 for absentees) in a quarter of all rows. So:
    chunk; only those chunks (each at most one sorted partition) get a running count
    per pair, which picks the pair covering each middle rank.
 
-When an HLL sketch proves that no group holds more than ``max_distinct`` distinct
-values, the built-in exact ``median`` is used instead: its buffer is then bounded.
+There is one path for every size and type of input. All measures of a call are unpivoted
+to (measure, value) first, so they share the aggregate, the sort and the two checkpoints.
+Values are taken as double.
 
 The sorted, id-tagged pairs are checkpointed (reliably, to the shared checkpoint
 folder) before they are used: range bounds are sampled, so a recomputation could
@@ -31,7 +32,7 @@ under the broadcast threshold and shuffles otherwise.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -42,34 +43,6 @@ from tierlake.session import shared_root
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
-# A group's exact-median buffer (Spark's built-in ``median``) holds one entry per
-# distinct value of the group. Below this many distinct values per group that is
-# a bounded, safe buffer; above it the range-sort path is used.
-DEFAULT_MAX_DISTINCT = 1_000_000
-# approx_count_distinct's relative standard deviation; the bound keeps 4 of them
-# (20 %) as margin, so a group over the limit is not mistaken for one under it.
-# 0.05 keeps each group's sketch near 400 bytes, which matters with many groups.
-_RSD = 0.05
-
-
-def widest_group(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> int:
-    """Estimated number of distinct values in the widest group, over ``values``
-    (HyperLogLog sketches: bounded memory per group, one aggregate job)."""
-    row = (
-        df.groupBy(*keys)
-        .agg(*[F.approx_count_distinct(v, _RSD).alias(f"_d{i}") for i, v in enumerate(values)])
-        .agg(*[F.max(f"_d{i}").alias(f"_m{i}") for i in range(len(values))])
-        .first()
-    )
-    return max([int(row[i] or 0) for i in range(len(values))] or [0])
-
-
-def small_enough_for_builtin(
-    df: DataFrame, keys: Sequence[str], values: Sequence[str], max_distinct: int = DEFAULT_MAX_DISTINCT
-) -> bool:
-    """Proof that every group's distinct values fit one buffer, with margin."""
-    return widest_group(df, keys, values) * (1 + 4 * _RSD) <= max_distinct
-
 
 def _match(left: DataFrame, right: DataFrame, cols: Sequence[str], prefix: str) -> Column:
     """Null-safe equality of ``cols`` between ``left`` and ``right`` (whose copies of
@@ -77,37 +50,37 @@ def _match(left: DataFrame, right: DataFrame, cols: Sequence[str], prefix: str)
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[prefix + c]) for c in cols])
 
 
-def exact_median(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    name: str = "median",
-    max_distinct: int | None = DEFAULT_MAX_DISTINCT,
-) -> DataFrame:
-    """(keys..., name): the median of ``value`` per group, NULLs skipped (a group
-    with no value has no row); the mean of the two middle values when the count is
-    even (same as linear interpolation).
-
-    With ``max_distinct`` set, groups proven to hold at most that many distinct
-    values use Spark's built-in exact ``median`` (one aggregate); otherwise, or
-    with ``max_distinct=None``, the range-sort path below."""
+def exact_medians(df: DataFrame, keys: Sequence[str], values: Mapping[str, str]) -> DataFrame:
+    """(keys..., one column for each entry name -> measure of ``values``): medians per
+    group, NULLs skipped; the mean of the two middle values when the count is even (same
+    as linear interpolation). A group without a value in any measure has no row; without
+    keys there is one row. NaN counts as the largest value."""
     keys = list(keys)
-    if max_distinct is not None and small_enough_for_builtin(df, keys, [value], max_distinct):
-        return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.median(value).alias(name))
-    return _median_by_ranks(df, keys, value, name)
-
-
-def _median_by_ranks(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    names = list(values)
+    pairs = F.array(*[F.struct(F.lit(i).alias("m"), F.col(c).cast("double").alias("v")) for i, c in enumerate(values.values())])
     freq = (
-        df.select(*keys, F.col(value).alias("_v"))
+        df.select(*keys, F.explode(pairs).alias("_p"))
+        .select(*keys, F.col("_p.m").alias("_m"), F.col("_p.v").alias("_v"))
         .where(F.col("_v").isNotNull())
-        .groupBy(*keys, "_v")
+        .groupBy(*keys, "_m", "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
+    picked = _picked(freq, [*keys, "_m"])
+    middle = [F.avg(F.when(F.col("_m") == i, F.col("_v"))).alias(n) for i, n in enumerate(names)]
+    return picked.groupBy(*keys).agg(*middle)
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
+    """(keys..., name): the median of one measure."""
+    return exact_medians(df, keys, {name: value})
+
+
+def _picked(freq: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., _v): the one or two middle values of each group of (keys, _v, _c)."""
     # Materialised once (reliable checkpoint in the shared checkpoint folder): the
     # ids depend on the range bounds, which are sampled, so every later use must
     # see this one sort rather than recompute it.
-    shared_root(df.sparkSession)
+    shared_root(freq.sparkSession)
     ordered = (
         freq.orderBy(*keys, "_v")
         .withColumn("_id", F.monotonically_increasing_id())
@@ -144,17 +117,14 @@ def _median_by_ranks(df: DataFrame, keys: list[str], value: str, name: str) -> D
         # checkpointed pairs are scanned twice in all (chunk counts, candidates).
         .checkpoint(eager=True)
     )
-    in_target_chunk = (ordered["_part"] == targets["_t_part"]) & _match(ordered, targets, keys, "_t_") if keys else (
-        ordered["_part"] == targets["_t_part"]
-    )
+    in_target_chunk = (ordered["_part"] == targets["_t_part"]) & _match(ordered, targets, keys, "_t_")
     cand = ordered.join(targets.select("_t_part", *["_t_" + k for k in keys]).distinct(), in_target_chunk, "left_semi")
     in_chunk = Window.partitionBy("_part", *keys).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     cand = cand.withColumn("_hi", F.sum("_c").over(in_chunk)).withColumn("_lo", F.col("_hi") - F.col("_c"))
     covers = (
         (cand["_part"] == targets["_t_part"])
-        & (_match(cand, targets, keys, "_t_") if keys else F.lit(True))
+        & _match(cand, targets, keys, "_t_")
         & (targets["_t_local"] >= cand["_lo"])
         & (targets["_t_local"] < cand["_hi"])
     )
-    picked = cand.join(targets, covers, "inner").select(*[cand[k] for k in keys], cand["_v"])
-    return picked.groupBy(*keys).agg(F.avg("_v").alias(name))
+    return cand.join(targets, covers, "inner").select(*[cand[k] for k in keys], cand["_v"])

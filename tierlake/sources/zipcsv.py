@@ -17,16 +17,18 @@ from __future__ import annotations
 
 import csv
 import io
+import logging
 import zipfile
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tierlake.spec import YEAR_COL, year_from_name
 
 FORMAT = "zipcsv"
+log = logging.getLogger(__name__)
 
 
 def _filesystem(path: str):
@@ -36,6 +38,8 @@ def _filesystem(path: str):
         return pafs.LocalFileSystem(), path[len("file://"):]
     if path.startswith("file:"):
         return pafs.LocalFileSystem(), path[len("file:"):]
+    if path.startswith(("s3a://", "s3n://")):
+        path = "s3://" + path.split("://", 1)[1]  # Hadoop's names of the same store
     if "://" in path:
         return pafs.FileSystem.from_uri(path)
     return pafs.LocalFileSystem(), path
@@ -67,7 +71,8 @@ class MemberPartition(InputPartition):
 
 
 def list_members(options: dict) -> list[MemberPartition]:
-    """First matching member of each archive whose name ends in ``_<yyyy>.zip``."""
+    """First matching member of each archive whose name ends in ``_<yyyy>.zip``; with
+    ``members=all`` every matching member. Members left out are warned of."""
     import pyarrow.fs as pafs
 
     roots = [p for p in options.get("path", "").split(",") if p]
@@ -89,15 +94,19 @@ def list_members(options: dict) -> list[MemberPartition]:
             full = root if single else root.rstrip("/") + "/" + f.path[len(base.rstrip("/")):].lstrip("/")
             found.append((fs, f.path, full, year))
 
-    def first_member(item) -> MemberPartition | None:
+    every = options.get("members", "first") == "all"
+
+    def members(item) -> list[MemberPartition]:
         fs, path, full, year = item
         # Reads only the archive's central directory, not its data.
         with fs.open_input_file(path) as handle, zipfile.ZipFile(handle) as zf:
-            member = next((n for n in zf.namelist() if matches(n)), None)
-        return MemberPartition(full, member, year) if member is not None else None
+            names = [n for n in zf.namelist() if matches(n)]
+        if len(names) > 1 and not every:
+            log.warning("%s: reading %s only, not %s; members=all reads them", full, names[0], names[1:])
+        return [MemberPartition(full, n, year) for n in (names if every else names[:1])]
 
     with ThreadPoolExecutor(max_workers=max(1, min(16, len(found)))) as pool:
-        return [m for m in pool.map(first_member, found) if m is not None]
+        return [m for ms in pool.map(members, found) for m in ms]
 
 
 def _open_records(part: MemberPartition, options: dict):
@@ -109,10 +118,15 @@ def _open_records(part: MemberPartition, options: dict):
     return (handle, zf, raw, text), csv.reader(text, **_csv_kwargs(options))
 
 
+def _names(record: list) -> list[str]:
+    """Column names of a header record, without a byte order mark."""
+    return [(h or "").removeprefix("\ufeff") if i == 0 else (h or "") for i, h in enumerate(record)]
+
+
 def read_header(part: MemberPartition, options: dict) -> list[str]:
     closers, records = _open_records(part, options)
     try:
-        return [h if h is not None else "" for h in next(records, [])]
+        return _names(next(records, []))
     finally:
         for c in reversed(closers):
             c.close()
@@ -141,19 +155,30 @@ class ZipCsvReader(DataSourceReader):
             return
         import pyarrow as pa
 
-        emitted = False
+        done = 0
         try:
             for batch in self._read_arrow(partition, header):
-                emitted = True
+                done += batch.num_rows
                 yield batch
-        except pa.ArrowInvalid as err:
-            # A record longer than the parse block: before anything was emitted the
-            # member can be read again with the row parser; after, that would repeat rows.
-            if emitted:
-                raise ValueError(
-                    f"{partition.archive}!{partition.member}: {err}; raise the block_bytes option"
-                ) from err
-            yield from self._read_python(partition)
+        except pa.ArrowInvalid:
+            # A record longer than the parse block: the row parser goes on after the
+            # records that were handed out, wherever the long one stands.
+            yield from self._read_python(partition, skip=done)
+
+    def pushFilters(self, filters):
+        """Takes equality and IN on the year: archives of other years are not opened."""
+        year_col = self.options.get("year_col", YEAR_COL)
+        asked = None
+        for f in filters:
+            values = [f.value] if isinstance(f, EqualTo) else list(f.value) if isinstance(f, In) else None
+            if values is not None and f.attribute == (year_col,) and all(isinstance(v, int) for v in values):
+                asked = set(values) if asked is None else asked & set(values)
+            else:
+                yield f
+        if asked is not None:
+            given = {int(y) for y in self.options.get("years", "").split(",") if y.strip()}
+            asked = asked & given if given else asked
+            self.options["years"] = ",".join(map(str, sorted(asked))) or "-1"
 
     # -- shared -------------------------------------------------------------------
     def _layout(self):
@@ -228,8 +253,11 @@ class ZipCsvReader(DataSourceReader):
         fs, path = _filesystem(partition.archive)
         with fs.open_input_file(path) as handle, zipfile.ZipFile(handle) as zf, zf.open(partition.member) as raw:
             for batch in pacsv.open_csv(raw, read_options=read, parse_options=parse, convert_options=convert):
+                names = _names(batch.schema.names)
+                if set(names) != set(header):
+                    raise ValueError(f"{partition.archive}!{partition.member}: parsed columns {names} are not the header {header}")
                 if batch.num_rows:
-                    yield self._batch(partition, dict(zip(batch.schema.names, batch.columns)), batch.num_rows)
+                    yield self._batch(partition, dict(zip(names, batch.columns)), batch.num_rows)
                 if odd:
                     rows = [next(csv.reader(io.StringIO(t), **kw), []) for t in odd]
                     odd.clear()
@@ -243,13 +271,14 @@ class ZipCsvReader(DataSourceReader):
                     yield extra
 
     # -- standard library ------------------------------------------------------------
-    def _read_python(self, partition: MemberPartition):
+    def _read_python(self, partition: MemberPartition, skip: int = 0):
         batch_rows = int(self.options.get("batch_rows", "8192"))
         closers, records = _open_records(partition, self.options)
         try:
             header = next(records, None)
             if header is None:
                 return
+            header = _names(header)
             first: dict[str, int] = {}
             for i, h in enumerate(header):
                 first.setdefault(h, i)
@@ -261,6 +290,9 @@ class ZipCsvReader(DataSourceReader):
             for row in records:
                 if not row:
                     continue
+                if skip:
+                    skip -= 1
+                    continue
                 width = len(row)
                 for j, i in enumerate(index):
                     buf[j].append((row[i] or None) if 0 <= i < width else None)
@@ -281,8 +313,8 @@ class ZipCsvDataSource(DataSource):
     ``quote``, ``escape``, ``member_tokens`` (comma list of substrings the member
     name must contain), ``member_suffix``, ``year_col``, ``years`` (comma list: read
     only those years' archives; others are not opened), ``parser`` (``arrow`` or
-    ``python``), ``block_bytes`` (arrow block; must exceed the longest record),
-    ``batch_rows`` (python parser)."""
+    ``python``), ``block_bytes`` (arrow block; from a longer record on, a member is read
+    by the row parser), ``batch_rows`` (python parser), ``members`` (``first`` or ``all``)."""
 
     @classmethod
     def name(cls) -> str:
@@ -319,4 +351,5 @@ def register(spark) -> None:
     from tierlake.session import ship_package
 
     ship_package(spark)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")  # the year reaches the listing
     spark.dataSource.register(ZipCsvDataSource)

@@ -50,11 +50,13 @@ def ingest_stream(
         .options(**opts)
         .option("enforceSchema", "false")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.[cC][sS][vV]")
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    source = f"{raw_root.rstrip('/')}/*" + (f"/{spec.data_dir}" if spec.data_dir else "")
+    # Only the spec's own files, as the batch ingest finds them; other files may lie beside.
+    exts = ",".join(spec.file_exts)
+    folder = f"{raw_root.rstrip('/')}/*_[0-9][0-9][0-9][0-9]" + (f"/{spec.data_dir}" if spec.data_dir else "")
+    source = f"{folder}/{spec.file_stem}_[0-9][0-9][0-9][0-9]{{{exts}}}"
     after = (spec.data_dir + "/") if spec.data_dir else ""
     year = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d{4})/" + after, 1)
     stream = reader.csv(source).withColumn(spec.year_col, year.cast("int"))
