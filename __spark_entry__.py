@@ -43,7 +43,7 @@ from tierlake.operators import (  # noqa: E402
     value_counts,
     with_year,
 )
-from tierlake.operators.models import classify_top, cluster_scores  # noqa: E402
+from tierlake.operators.models import classify_top, cluster_scores, evaluate_clusters, evaluate_top  # noqa: E402
 from tierlake.plans import (  # noqa: E402
     build_bronze,
     build_bronze_from_archives,
@@ -52,10 +52,12 @@ from tierlake.plans import (  # noqa: E402
     build_silver,
     gold_path,
     load_archives,
+    load_archives_typed,
 )
 from tierlake.session import run_dir  # noqa: E402
 from tierlake.sinks import write_partitioned, write_table  # noqa: E402
-from tierlake.sources import discover_years, layer_years, read_layer, read_year_csv  # noqa: E402
+from tierlake.sources import discover_years, layer_years, leaf_path, read_layer, read_year_csv  # noqa: E402
+from tierlake.sources.fs import delete, list_dir, rename, write_small_text  # noqa: E402
 from tierlake.spec import DOCUMENTS_SPEC, EXAM_SPEC, LINEITEM_SPEC  # noqa: E402
 from tierlake.streaming import ingest_stream  # noqa: E402
 
@@ -69,6 +71,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 LI = LINEITEM_SPEC
 DOC = DOCUMENTS_SPEC
 DRIFT = {1997: ["l_discount"]}
+EMPTIED, KEYLESS = 1997, 1996
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -195,9 +198,32 @@ def q_mean_median_by_group(spark, sf_dir):
 
 
 def q_mean_median_by_group_sorted(spark, sf_dir):
-    """D1 through the range-sort median path (the one used past the distinct-value
-    bound), so the oracle checks it too."""
-    return mean_median_by_group(_t(spark, sf_dir, "orders"), ["o_orderpriority"], ["o_totalprice"], max_distinct=None)
+    """D1 over several measures of one sort, some with NaN and NULL, without keys."""
+    li = _t(spark, sf_dir, "lineitem").withColumn("l_quantity", F.when(F.col("l_linenumber") != 7, F.col("l_quantity")))
+    return mean_median_by_group(li, [], ["l_quantity", "l_extendedprice", "l_linenumber"])
+
+
+def q_histogram_unplaced(spark, sf_dir):
+    """D5 with NaN measures: their own NULL bin, so the totals are all rows."""
+    li = _t(spark, sf_dir, "lineitem").withColumn("l_tax", F.when(F.col("l_linenumber") == 7, F.lit(float("nan"))).otherwise(F.col("l_tax") * 1e14))
+    return histogram_by_group(li, "l_returnflag", "l_tax", 1e3)
+
+
+def q_density_unplaced(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem").withColumn("l_tax", F.when(F.col("l_linenumber") == 7, F.lit(float("nan"))).otherwise(F.col("l_tax")))
+    return density_by_group(li, "l_returnflag", "l_tax", 0.02)
+
+
+def q_region_compare_unmatched(spark, sf_dir):
+    """D3 with facts whose place is absent or unknown: they count among the others."""
+    key = F.when(F.col("c_custkey") % 5 == 0, F.lit(None)).when(F.col("c_custkey") % 5 == 1, F.lit(-1)).otherwise(F.col("c_nationkey"))
+    places = join_dimension(
+        _t(spark, sf_dir, "nation"),
+        _t(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey"),
+        on="n_regionkey",
+    )
+    facts = _t(spark, sf_dir, "customer").withColumn("place", key)
+    return region_compare(facts, "place", "c_acctbal", places, "n_nationkey", "r_name", "ASIA")
 
 
 def q_top_groups(spark, sf_dir):
@@ -319,8 +345,6 @@ def q_ingest_skip(spark, sf_dir):
     fx.write_raw_csv(spark, raw, f"{d}/raw", DOC, "docs", years=first, max_records_per_file=5000)
     build_bronze(spark, f"{d}/raw", f"{d}/bronze", DOC)
     fx.write_raw_csv(spark, raw, f"{d}/raw2", DOC, "docs", years=second, max_records_per_file=5000)
-    from tierlake.sources.fs import list_dir, rename
-
     for e in list_dir(spark, f"{d}/raw2"):
         rename(spark, e.path, f"{d}/raw/{e.name}")
     reports = build_bronze(spark, f"{d}/raw", f"{d}/bronze", DOC, mode="skip")
@@ -337,6 +361,20 @@ def q_src_zip(spark, sf_dir):
     return load_archives(spark, f"{d}/zips", DOC)
 
 
+def q_src_zip_typed(spark, sf_dir):
+    """Raw survey archives cleaned as silver: scores parsed and filled."""
+    d = run_dir(spark, "src-zip-typed")
+    fx.write_raw_zips(fx.lineitem_raw(_t(spark, sf_dir, "lineitem")), f"{d}/zips", LI, "lineitem").collect()
+    return load_archives_typed(spark, f"{d}/zips", LI)
+
+
+def q_src_zip_year(spark, sf_dir):
+    """A filter on the year opens that year's archives only."""
+    d = run_dir(spark, "src-zip-year")
+    fx.write_raw_zips(fx.lineitem_raw(_t(spark, sf_dir, "lineitem")), f"{d}/zips", LI, "lineitem").collect()
+    return load_archives(spark, f"{d}/zips", LI).where(F.col("ano") == 1996)
+
+
 def q_bronze_from_zip(spark, sf_dir):
     """Raw zip archives straight to bronze, year by year, then read back."""
     d = run_dir(spark, "bronze-from-zip")
@@ -358,14 +396,64 @@ def q_stream_ingest(spark, sf_dir):
     fx.write_raw_csv(spark, raw, f"{d}/raw", LI, "lineitem", years=half)
     ingest_stream(spark, f"{d}/raw", f"{d}/bronze", f"{d}/_checkpoint", LI)
     fx.write_raw_csv(spark, raw, f"{d}/raw2", LI, "lineitem", years=[y for y in years if y not in half])
-    from tierlake.sources.fs import list_dir, rename
-
     for e in list_dir(spark, f"{d}/raw2"):
         rename(spark, e.path, f"{d}/raw/{e.name}")
     ingest_stream(spark, f"{d}/raw", f"{d}/bronze", f"{d}/_checkpoint", LI)
     return spark.read.parquet(f"{d}/bronze")
 
 
+def changed_lake(spark: SparkSession, sf_dir: str) -> str:
+    """A lake over the whole lineitem table that grew and changed by incremental runs:
+    half of the years, then the rest with a run that ended after bronze, then a gold
+    table lost, then one year emptied and one without its place column."""
+
+    def build() -> str:
+        d = run_dir(spark, "changed-lake")
+        raw = fx.lineitem_raw(_t(spark, sf_dir, "lineitem"))
+        years = sorted(int(r[0]) for r in raw.select("ano").distinct().collect())
+        half = years[: len(years) // 2]
+        fx.write_raw_csv(spark, raw, f"{d}/raw", LI, "lineitem", years=half)
+        build_lake(spark, f"{d}/raw", f"{d}/lake", LI, incremental=True)
+        rest = [y for y in years if y not in half]
+        fx.write_raw_csv(spark, raw, f"{d}/more", LI, "lineitem", years=rest)
+        for e in list_dir(spark, f"{d}/more"):
+            rename(spark, e.path, f"{d}/raw/{e.name}")
+        build_lake(spark, f"{d}/raw", f"{d}/lake", LI, stages=["bronze"])
+        build_lake(spark, f"{d}/raw", f"{d}/lake", LI, incremental=True)
+        delete(spark, gold_path(f"{d}/lake/gold/{LI.name}", LI.profile_table))
+        fx.write_raw_csv(spark, raw.where(F.col("ano") != EMPTIED), f"{d}/new", LI, "lineitem", years=[KEYLESS], drop={KEYLESS: [LI.place]})
+        for y in (EMPTIED, KEYLESS):
+            delete(spark, f"{d}/raw/lineitem_{y}")
+            delete(spark, leaf_path(f"{d}/lake/bronze/{LI.name}", y, LI.year_col))
+        rename(spark, f"{d}/new/lineitem_{KEYLESS}", f"{d}/raw/lineitem_{KEYLESS}")
+        header = LI.dialect.sep.join(c for c in raw.columns if c != "ano")
+        write_small_text(spark, LI.raw_files(f"{d}/raw/lineitem_{EMPTIED}", EMPTIED)[0], header + "\n")
+        build_lake(spark, f"{d}/raw", f"{d}/lake", LI, incremental=True)
+        return f"{d}/lake"
+
+    return _memo(("changed", sf_dir, spark.sparkContext.applicationId), build)
+
+
+def _changed_gold(spark, sf_dir, table):
+    return spark.read.parquet(gold_path(f"{changed_lake(spark, sf_dir)}/gold/{LI.name}", table))
+
+
+def q_incremental_gold(spark, sf_dir):
+    return _changed_gold(spark, sf_dir, LI.mean_table)
+
+
+def q_incremental_profile(spark, sf_dir):
+    return _changed_gold(spark, sf_dir, LI.profile_table)
+
+
+def q_incremental_ranking(spark, sf_dir):
+    return _changed_gold(spark, sf_dir, LI.rank_table)
+
+
+def q_incremental_silver(spark, sf_dir):
+    return read_layer(spark, f"{changed_lake(spark, sf_dir)}/silver/{LI.name}")
+
+
 def q_silver_layer(spark, sf_dir):
     return read_layer(spark, f"{lineitem_lake(spark, sf_dir)}/silver")
 
@@ -412,6 +500,42 @@ def q_exam_mean_median_by_age(spark, sf_dir):
     return mean_median_by_group(_exam_silver(spark, sf_dir), ["TP_FAIXA_ETARIA"], ["NU_NOTA_CN"])
 
 
+def q_exam_mean_median_by_school(spark, sf_dir):
+    """D1 over two scores of one sort: the gap between the kinds of school."""
+    return mean_median_by_group(_exam_silver(spark, sf_dir), ["TP_ESCOLA"], ["NU_NOTA_MT", "NU_NOTA_REDACAO"])
+
+
+def q_exam_histogram_by_race(spark, sf_dir):
+    return histogram_by_group(_exam_silver(spark, sf_dir), "TP_COR_RACA", "NU_NOTA_CN", 10)
+
+
+def q_exam_density_by_marital(spark, sf_dir):
+    return density_by_group(_exam_silver(spark, sf_dir), "TP_ESTADO_CIVIL", "NU_NOTA_CN", 10)
+
+
+def q_exam_trial_takers(spark, sf_dir):
+    """Trial takers against the others, all five scores."""
+    return compare_flag(_exam_silver(spark, sf_dir), "IN_TREINEIRO", EXAM_SPEC.scores)
+
+
+def q_exam_region_compare(spark, sf_dir):
+    """D3: one place's region against all others; one place is not in the dimension."""
+    silver = _exam_silver(spark, sf_dir)
+    places = silver.where("SG_UF_PROVA != 'N'").select(F.col("SG_UF_PROVA").alias("uf"), F.concat(F.lit("R-"), "SG_UF_PROVA").alias("region")).distinct()
+    return region_compare(silver, "SG_UF_PROVA", "NU_NOTA_MT", places, "uf", "region", "R-A")
+
+
+def q_ml_classify_eval(spark, sf_dir):
+    """D9 judged on rows it was not fitted on: which rows lack a readable tax."""
+    silver = read_layer(spark, f"{lineitem_lake(spark, sf_dir)}/silver")
+    return evaluate_top(silver, ["l_orderkey", "l_linenumber"], [LI.place, "l_linestatus", "l_linenumber"], F.col("l_tax").isNull())
+
+
+def q_ml_cluster_eval(spark, sf_dir):
+    silver = read_layer(spark, f"{lineitem_lake(spark, sf_dir)}/silver")
+    return evaluate_clusters(silver, ["l_orderkey", "l_linenumber"], LI.scores, k=4)
+
+
 def q_ml_classify(spark, sf_dir):
     silver = read_layer(spark, f"{lineitem_lake(spark, sf_dir)}/silver")
     return classify_top(
@@ -479,6 +603,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "exam_gold_ranking": q_exam_gold_ranking,
         "exam_abstention_by_sex": q_exam_abstention_by_sex,
         "exam_mean_median_by_age": q_exam_mean_median_by_age,
+        "histogram_unplaced": q_histogram_unplaced,
+        "density_unplaced": q_density_unplaced,
+        "region_compare_unmatched": q_region_compare_unmatched,
+        "src_zip_typed": q_src_zip_typed,
+        "src_zip_year": q_src_zip_year,
+        "incremental_gold": q_incremental_gold,
+        "incremental_profile": q_incremental_profile,
+        "incremental_ranking": q_incremental_ranking,
+        "incremental_silver": q_incremental_silver,
+        "exam_mean_median_by_school": q_exam_mean_median_by_school,
+        "exam_histogram_by_race": q_exam_histogram_by_race,
+        "exam_density_by_marital": q_exam_density_by_marital,
+        "exam_trial_takers": q_exam_trial_takers,
+        "exam_region_compare": q_exam_region_compare,
+        "ml_classify_eval": q_ml_classify_eval,
+        "ml_cluster_eval": q_ml_cluster_eval,
         "ml_classify": q_ml_classify,
         "ml_cluster": q_ml_cluster,
     }
@@ -528,6 +668,13 @@ _DOCS_RAW = r"""
          2000 + cast(regexp_extract(source, '(\d+)$', 1) as int) as ano
   from documents"""
 
+_EXAM_SILVER = f"""
+  select {_YEAR_LI} as ano, l_returnflag as SG_UF_PROVA, cast(l_suppkey % 5 as varchar) as TP_ESTADO_CIVIL,
+         cast(l_partkey % 6 as varchar) as TP_COR_RACA, cast(l_suppkey % 3 as varchar) as TP_ESCOLA,
+         cast(l_orderkey % 2 as varchar) as IN_TREINEIRO, cast(l_linenumber as varchar) as TP_FAIXA_ETARIA, l_linestatus as TP_SEXO,
+         {', '.join(f"case when l_linenumber <> 7 then {e} end as NU_NOTA_{n}" for n, e in (("CN", "l_quantity"), ("CH", "l_extendedprice"), ("LC", "l_discount"), ("MT", "round(l_discount * 100, 0)"), ("REDACAO", "l_tax")))}
+  from lineitem"""
+
 _QUALITY = ", ".join(
     f"sum(case when {c} is null then 1 else 0 end)::bigint as filled_{c}, "
     f"sum(case when {c} is not null and try_cast({c} as double) is null then 1 else 0 end)::bigint as malformed_{c}, "
@@ -555,13 +702,60 @@ def oracle_sql() -> dict[str, str]:
             select 2023 as ano, s_suppkey as key, s_name as name, s_nationkey as nationkey, s_acctbal as acctbal from supplier""",
         "mean_median_by_group": "select o_orderpriority, round(avg(o_totalprice), 2) as media_o_totalprice, "
         "round(median(o_totalprice), 2) as mediana_o_totalprice from orders group by all",
-        "mean_median_by_group_sorted": "select o_orderpriority, round(avg(o_totalprice), 2) as media_o_totalprice, "
-        "round(median(o_totalprice), 2) as mediana_o_totalprice from orders group by all",
+        "mean_median_by_group_sorted": """
+            with s as (select case when l_linenumber <> 7 then l_quantity end as l_quantity, l_extendedprice, l_linenumber from lineitem)
+            select """
+        + ", ".join(
+            f"round(avg({c}), 2) as media_{c}, round(median({c}::double), 2) as mediana_{c}"
+            for c in ("l_quantity", "l_extendedprice", "l_linenumber")
+        )
+        + " from s",
+        "histogram_unplaced": """
+            with s as (select l_returnflag, case when l_linenumber <> 7 then cast(floor(l_tax * 1e14 / 1e3) as bigint) end as bin from lineitem)
+            select l_returnflag, bin, count(*) as total from s group by all""",
+        "density_unplaced": """
+            with s as (select l_returnflag, case when l_linenumber <> 7 then cast(floor(l_tax / 0.02) as bigint) end as bin from lineitem),
+                 h as (select l_returnflag, bin, count(*) as total from s group by all)
+            select l_returnflag, bin, total, round(total / sum(total) over (partition by l_returnflag), 6) as share from h""",
+        "region_compare_unmatched": """
+            with f as (select case when c_custkey % 5 = 0 then null when c_custkey % 5 = 1 then -1 else c_nationkey end as place, c_acctbal from customer),
+                 d as (select n_nationkey, r_name from nation join region on n_regionkey = r_regionkey)
+            select case when r_name = 'ASIA' then 'ASIA' else 'OUTRAS' end as grupo, round(avg(c_acctbal), 2) as media_c_acctbal, count(*) as total
+            from f left join d on place = n_nationkey group by all""",
+        "src_zip_typed": _silver_sql(),
+        "src_zip_year": f"select * from ({_LI_RAW}) where ano = 1996",
+        "incremental_gold": f"select ano, l_returnflag, {_MEANS} from ({_silver_sql()}) where ano not in ({EMPTIED}, {KEYLESS}) group by all",
+        "incremental_profile": f"""select ano, case when ano <> {KEYLESS} then l_returnflag end as l_returnflag, l_linestatus, l_linenumber, count(*) as total
+            from ({_silver_sql()}) where ano <> {EMPTIED} group by all""",
+        "incremental_ranking": f"""select ano, l_returnflag, round(avg(l_tax), 2) as media_tax, count(*) as total
+            from ({_silver_sql()}) where l_tax > 0 and ano not in ({EMPTIED}, {KEYLESS}) group by all""",
+        "incremental_silver": f"select * replace (case when ano <> {KEYLESS} then l_returnflag end as l_returnflag) from ({_silver_sql()}) where ano <> {EMPTIED}",
+        "exam_mean_median_by_school": f"""with s as ({_EXAM_SILVER}) select TP_ESCOLA, round(avg(NU_NOTA_MT), 2) as media_NU_NOTA_MT,
+                round(median(NU_NOTA_MT), 2) as mediana_NU_NOTA_MT, round(avg(NU_NOTA_REDACAO), 2) as media_NU_NOTA_REDACAO,
+                round(median(NU_NOTA_REDACAO), 2) as mediana_NU_NOTA_REDACAO from s group by all""",
+        "exam_histogram_by_race": f"with s as ({_EXAM_SILVER}) select TP_COR_RACA, cast(floor(NU_NOTA_CN / 10) as bigint) as bin, count(*) as total from s where NU_NOTA_CN is not null group by all",
+        "exam_density_by_marital": f"""with s as ({_EXAM_SILVER}),
+                 h as (select TP_ESTADO_CIVIL, cast(floor(NU_NOTA_CN / 10) as bigint) as bin, count(*) as total from s where NU_NOTA_CN is not null group by all)
+            select TP_ESTADO_CIVIL, bin, total, round(total / sum(total) over (partition by TP_ESTADO_CIVIL), 6) as share from h""",
+        "exam_trial_takers": f"with s as ({_EXAM_SILVER}) select IN_TREINEIRO, "
+        + ", ".join(
+            f"round(avg({c}) filter (where {c} > 0), 4) as media_{c}, round(stddev_samp({c}) filter (where {c} > 0), 4) as desvio_{c}"
+            for c in EXAM_SPEC.scores
+        )
+        + " from s group by all",
+        "exam_region_compare": f"""with s as ({_EXAM_SILVER}) select case when SG_UF_PROVA = 'A' then 'R-A' else 'OUTRAS' end as grupo,
+            round(avg(NU_NOTA_MT), 2) as media_NU_NOTA_MT, count(*) as total from s group by all""",
+        "ml_classify_eval": f"""with s as ({_silver_sql()}),
+                 h as (select * from s where ('0x' || substr(md5(l_orderkey || '|' || l_linenumber), 1, 8))::bigint % 100 < 30)
+            select count(*) as rows, count(*) filter (where l_tax is null) as positives, true as adds_up, true as beats_majority from h""",
+        "ml_cluster_eval": f"""with s as ({_silver_sql()})
+            select count(*) as rows, count(*) filter (where l_quantity + l_extendedprice + l_discount + l_tax is not null) as placed,
+                   4::bigint as clusters, 0::bigint as misplaced from s""",
         "top_groups": "select c_nationkey, round(avg(c_acctbal), 2) as media_c_acctbal from customer group by all "
         "order by media_c_acctbal desc, c_nationkey limit 5",
-        "histogram_by_group": "select o_orderstatus, cast(floor(o_totalprice / 50000) as int) as bin, count(*) as total from orders group by all",
+        "histogram_by_group": "select o_orderstatus, cast(floor(o_totalprice / 50000) as bigint) as bin, count(*) as total from orders group by all",
         "density_by_group": """
-            with h as (select o_orderstatus, cast(floor(o_totalprice / 50000) as int) as bin, count(*) as total from orders group by all)
+            with h as (select o_orderstatus, cast(floor(o_totalprice / 50000) as bigint) as bin, count(*) as total from orders group by all)
             select o_orderstatus, bin, total, round(total / sum(total) over (partition by o_orderstatus), 6) as share from h""",
         "abstention_rate": "select l_returnflag, round(avg(cast(l_tax = 0 as double)), 4) as taxa_abstencao from lineitem group by all",
         "corr_external": """
@@ -602,14 +796,12 @@ def oracle_sql() -> dict[str, str]:
         "gold_ranking": f"with s as ({_silver_sql()}) select ano, l_returnflag, round(avg(l_tax), 2) as media_tax, count(*) as total from s where l_tax > 0 group by all",
         "drift_silver": _silver_sql(drift=True),
         "drift_gold": f"with s as ({_silver_sql(drift=True)}) select ano, l_returnflag, {_MEANS} from s group by all",
-        "exam_gold_means": f"""with s as ({_silver_sql()})
-            select ano, l_returnflag as SG_UF_PROVA, round(avg(l_quantity), 2) as MEDIA_CN,
-                   round(avg(l_extendedprice), 2) as MEDIA_CH, round(avg(l_discount), 2) as MEDIA_LC,
-                   round(avg(l_tax), 2) as MEDIA_REDACAO
-            from s group by all""",
-        "exam_gold_profile": f"""with s as ({_silver_sql()})
-            select ano, l_linenumber as TP_FAIXA_ETARIA, l_linestatus as TP_SEXO, count(*) as TOTAL_CANDIDATOS
+        "exam_gold_means": f"""with s as ({_EXAM_SILVER})
+            select ano, SG_UF_PROVA, round(avg(NU_NOTA_CN), 2) as MEDIA_CN, round(avg(NU_NOTA_CH), 2) as MEDIA_CH,
+                   round(avg(NU_NOTA_LC), 2) as MEDIA_LC, round(avg(NU_NOTA_MT), 2) as MEDIA_MT, round(avg(NU_NOTA_REDACAO), 2) as MEDIA_REDACAO
             from s group by all""",
+        "exam_gold_profile": f"""with s as ({_EXAM_SILVER})
+            select ano, TP_FAIXA_ETARIA, TP_SEXO, TP_COR_RACA, count(*) as TOTAL_CANDIDATOS from s group by all""",
         "exam_gold_ranking": f"""with s as ({_silver_sql()})
             select ano, l_returnflag as SG_UF_PROVA, round(avg(l_tax), 2) as MEDIA_REDACAO, count(*) as TOTAL_PARTICIPANTES
             from s where l_tax > 0 group by all""",

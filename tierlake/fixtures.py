@@ -53,18 +53,26 @@ def lineitem_raw(lineitem: DataFrame, year_col: str = YEAR_COL) -> DataFrame:
 
 def exam_raw(lineitem: DataFrame, year_col: str = YEAR_COL) -> DataFrame:
     """lineitem under the exam source's column names, as raw text, so the exam spec
-    itself runs over a whole driver table: place = return flag, sex = line status,
-    age band = line number, the four measures and the tax (as essay) are scores."""
+    itself runs over a whole driver table, all of its columns filled: place = return
+    flag, sex = line status, age band = line number, the four measures and the tax (as
+    essay) are scores, the mathematics score is the discount in percent; race, marital
+    status, school and trial taker come from the part, supplier and order keys."""
     text = {c: raw_score_text(c) for c in LINEITEM_SCORES}
-    return lineitem.select(
+    part = lambda c, k: (F.col(c) % k).cast("string")
+    return lineitem.withColumn("l_math", F.round(F.col("l_discount") * 100, 0)).select(
         year_of("l_shipdate").alias(year_col),
         F.col("l_orderkey").cast("string").alias("NU_INSCRICAO"),
         F.col("l_linenumber").cast("string").alias("TP_FAIXA_ETARIA"),
         F.col("l_linestatus").alias("TP_SEXO"),
+        part("l_suppkey", 5).alias("TP_ESTADO_CIVIL"),
+        part("l_partkey", 6).alias("TP_COR_RACA"),
+        part("l_suppkey", 3).alias("TP_ESCOLA"),
+        part("l_orderkey", 2).alias("IN_TREINEIRO"),
         F.col("l_returnflag").alias("SG_UF_PROVA"),
         text["l_quantity"].alias("NU_NOTA_CN"),
         text["l_extendedprice"].alias("NU_NOTA_CH"),
         text["l_discount"].alias("NU_NOTA_LC"),
+        raw_score_text("l_math").alias("NU_NOTA_MT"),
         text["l_tax"].alias("NU_NOTA_REDACAO"),
     )
 
