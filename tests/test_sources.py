@@ -3,6 +3,7 @@
 import io
 import os
 import zipfile
+from types import SimpleNamespace
 
 from conftest import write_text
 from pyspark.sql import functions as F
@@ -217,3 +218,73 @@ def test_stream_ingest_in_several_micro_batches_writes_each_row_once(spark, work
     out = spark.read.parquet(f"{workdir}/bronze").select(*raw.columns)
     assert out.count() == raw.count()
     assert out.exceptAll(raw).count() == 0 and raw.exceptAll(out).count() == 0
+
+
+def _zip_frame(spark, workdir, **options):
+    from tierlake.plans.archives import archive_options
+    from tierlake.sources.zipcsv import FORMAT, register
+
+    register(spark)
+    return spark.read.format(FORMAT).options(**{**archive_options(S, f"{workdir}/z"), **options}).load()
+
+
+def test_zip_header_with_a_byte_order_mark(spark, workdir):
+    os.makedirs(f"{workdir}/z")
+    with zipfile.ZipFile(f"{workdir}/z/survey_2020.zip", "w") as zf:
+        zf.writestr("DADOS/RESULTADOS_2020.csv", "\ufeffNU_INSCRICAO;V\n1;a\n2;b\n".encode())
+    for parser in ("arrow", "python"):
+        df = _zip_frame(spark, workdir, encoding="UTF-8", parser=parser)
+        assert df.columns == ["ano", "NU_INSCRICAO", "V"]
+        assert sorted((r["NU_INSCRICAO"], r["V"]) for r in df.collect()) == [("1", "a"), ("2", "b")]
+
+
+def test_a_long_record_at_any_place(spark, workdir):
+    os.makedirs(f"{workdir}/z")
+    for where in (0, 150, 299):
+        rows = [f"{i};{'x' * (9000 if i == where else 20)}" for i in range(300)]
+        rows[60] = "60"  # a short row, padded
+        make_zip(f"{workdir}/z/survey_2020.zip", [("DADOS/RESULTADOS_2020.csv", "K;TXT\n" + "\n".join(rows) + "\n")])
+        got = {r["K"]: r["TXT"] for r in _zip_frame(spark, workdir, block_bytes="1024").collect()}
+        assert len(got) == 300 and len(got[str(where)]) == 9000 and got["60"] is None
+        assert _zip_frame(spark, workdir, block_bytes="1024").count() == 300
+
+
+def test_year_filter_reaches_the_listing(spark, workdir):
+    os.makedirs(f"{workdir}/z")
+    for y in (2020, 2021):
+        make_zip(f"{workdir}/z/survey_{y}.zip", [(f"DADOS/RESULTADOS_{y}.csv", f"K\n{y}\n")])
+    df = _zip_frame(spark, workdir)
+    with open(f"{workdir}/z/survey_2021.zip", "wb") as f:
+        f.write(b"no archive any more")  # would fail if it were opened
+    assert [r["K"] for r in df.where(F.col("ano") == 2020).collect()] == ["2020"]
+    assert [r["K"] for r in df.where(F.col("ano").isin(2019, 2020)).collect()] == ["2020"]
+
+
+def test_further_members_are_warned_of_or_read(spark, workdir, caplog):
+    from tierlake.plans.archives import archive_options
+    from tierlake.sources.zipcsv import list_members
+
+    os.makedirs(f"{workdir}/z")
+    make_zip(f"{workdir}/z/survey_2020.zip", [("DADOS/RESULTADOS_a.csv", "K\n1\n"), ("DADOS/RESULTADOS_b.csv", "K\n2\n")])
+    assert len(list_members(archive_options(S, f"{workdir}/z"))) == 1
+    assert "RESULTADOS_b.csv" in caplog.text
+    assert sorted(r["K"] for r in _zip_frame(spark, workdir, members="all").collect()) == ["1", "2"]
+
+
+def test_hadoop_names_of_the_object_store(monkeypatch):
+    import pyarrow.fs as pafs
+
+    from tierlake.sources.zipcsv import _filesystem
+
+    asked = []
+    monkeypatch.setattr(pafs, "FileSystem", SimpleNamespace(from_uri=lambda uri: asked.append(uri) or (None, uri)))
+    _filesystem("s3a://bucket/a.zip")
+    assert asked == ["s3://bucket/a.zip"]
+
+
+def test_stream_takes_the_specs_files_only(spark, workdir):
+    write_text(f"{workdir}/raw/x_2020/DADOS/MICRODADOS_ENEM_2020.csv", "SG_UF_PROVA;NU_NOTA_CN\nSP;1\n")
+    write_text(f"{workdir}/raw/x_2020/DADOS/ITENS_PROVA_2020.csv", "CO_ITEM;TX\n9;z\n")
+    write_text(f"{workdir}/raw/x_2020/README.csv", "other\n1\n")
+    ingest_stream(spark, f"{workdir}/raw", f"{workdir}/bronze", f"{workdir}/_ckpt", S)
+    assert [tuple(r) for r in spark.read.parquet(f"{workdir}/bronze").collect()] == [("SP", "1", 2020)]
