@@ -2,9 +2,10 @@
 
 Tokens are summed into cells of (source, language, topic). Raking then scales the cells'
 weights to each margin's targets in turn, ``rounds`` times. A document's factor is its
-cell's raked over its observed tokens; its probability is the factor over the largest
-factor, so every probability is at most 1 and the expected token shares of the sample are
-the raked ones. A document is taken when the hash of its id and the seed, as a number in
+cell's raked over its observed tokens. Its probability is factor / ``MOST``, at most 1; where a
+rare cell would need more, the rest is the document's weight, so that probability times
+weight is proportional to the factor everywhere and the expected weighted token shares of
+the sample are the raked ones. A document is taken when the hash of its id and the seed, as a number in
 [0, 1), is below its probability, so the sample does not depend on partitions or retries.
 
 Only cells are joined and shuffled during raking, and each margin's sums are a partial
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from tierlake.session import run_dir
 
 ALPHA, ROUNDS, SEED = 0.7, 8, "mix-1"
+#: The factor that is taken for sure; documents of factor 1 are taken with 1 / MOST.
+MOST = 1.5
 MARGINS = ("source", "lang", "topic")
 WORD = r"[^ \t\n\r]+"
 
@@ -82,8 +85,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, folder: s
     return cells
 
 
-def mix(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: float = ALPHA, given: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS, seed: str = SEED) -> DataFrame:
-    """``docs`` with topic, n_tokens, factor, prob and sampled. ``columns`` gives the
+def mix(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: float = ALPHA, given: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS, seed: str = SEED, most: float = MOST) -> DataFrame:
+    """``docs`` with topic, n_tokens, factor, prob, weight and sampled. ``columns`` gives the
     expressions of source, lang, topic and tokens where they are not the usual ones."""
     spark = docs.sparkSession
     folder = run_dir(spark, "mixing")
@@ -97,12 +100,11 @@ def mix(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: float
     targets = {m: spark.read.parquet(f"{folder}/target-{m}") for m in MARGINS}
     raked = rake(cells, targets, rounds, folder)
     factor = F.col("w") / F.col("observed")
-    (most,) = scalar(raked, F.max(factor))
     rates = raked.select(*[F.col(m).alias(f"_mix_{m}") for m in MARGINS], factor.alias("_mix_factor"))
-    out = keyed.drop("topic", "n_tokens", "factor", "prob", "sampled").join(rates, [f"_mix_{m}" for m in MARGINS])
+    out = keyed.drop("topic", "n_tokens", "factor", "prob", "weight", "sampled").join(rates, [f"_mix_{m}" for m in MARGINS])
     digest = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f"|{seed}")))
     chance = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
-    out = out.withColumns({"topic": F.col("_mix_topic"), "n_tokens": F.col("_mix_tokens"), "factor": F.col("_mix_factor"), "prob": F.col("_mix_factor") / F.lit(most or 1.0)})
+    out = out.withColumns({"topic": F.col("_mix_topic"), "n_tokens": F.col("_mix_tokens"), "factor": F.col("_mix_factor"), "prob": F.least(F.lit(1.0), F.col("_mix_factor") / F.lit(most)), "weight": F.greatest(F.lit(1.0), F.col("_mix_factor") / F.lit(most))})
     out = out.withColumn("sampled", chance < F.col("prob"))
     return out.drop("_mix_factor", "_mix_tokens", *[f"_mix_{m}" for m in MARGINS])
 
@@ -110,13 +112,13 @@ def mix(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: float
 def sample(docs: DataFrame, **settings) -> DataFrame:
     """The documents taken, with the columns of ``docs``."""
     taken = mix(docs, **settings).where("sampled")
-    made = [c for c in ("topic", "n_tokens", "factor", "prob", "sampled") if c in docs.columns]
+    made = [c for c in ("topic", "n_tokens", "factor", "prob", "weight", "sampled") if c in docs.columns]
     if made:
         raise ValueError(f"columns {made} are made here; rename them first")
     return taken.select(*docs.columns)
 
 
-def mix_sql(alpha: float = ALPHA, rounds: int = ROUNDS, seed: str = SEED) -> str:
+def mix_sql(alpha: float = ALPHA, rounds: int = ROUNDS, seed: str = SEED, most: float = MOST) -> str:
     """The same result for ``documents`` in DuckDB SQL: raking as a chain of windows."""
     ctes = [
         r"""base as (select doc_id, coalesce(source, '') as source, coalesce(lang, '') as lang, coalesce(text, '') as text from documents),
@@ -136,9 +138,9 @@ def mix_sql(alpha: float = ALPHA, rounds: int = ROUNDS, seed: str = SEED) -> str
             ctes.append(f"{name} as (select a.* exclude (w), a.w * (t.target / sum(a.w) over (partition by a.{m})) as w from {at} a join t_{m} t using ({m}))")
             at = name
     return f"""with {', '.join(ctes)},
-        f as (select source, lang, topic, w / observed as factor, max(w / observed) over () as most from {at})
-        select doc_id, source, lang, topic, n_tokens, round(factor, 9) as factor, round(factor / most, 9) as prob,
-               ('0x' || substr(md5(coalesce(doc_id::varchar, '') || '|{seed}'), 1, 13))::bigint / 4503599627370496.0 < factor / most as sampled
+        f as (select source, lang, topic, w / observed as factor from {at})
+        select doc_id, source, lang, topic, n_tokens, round(factor, 9) as factor, round(least(1.0, factor / {most}), 9) as prob, round(greatest(1.0, factor / {most}), 9) as weight,
+               ('0x' || substr(md5(coalesce(doc_id::varchar, '') || '|{seed}'), 1, 13))::bigint / 4503599627370496.0 < least(1.0, factor / {most}) as sampled
         from docs join f using (source, lang, topic)"""
 
 

@@ -47,8 +47,8 @@ def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    exact = {c: F.round(c, 9) for c in ("factor", "prob")}
-    return mixed.withColumns(exact).select("doc_id", "source", "lang", "topic", "n_tokens", "factor", "prob", "sampled")
+    exact = {c: F.round(c, 9) for c in ("factor", "prob", "weight")}
+    return mixed.withColumns(exact).select("doc_id", "source", "lang", "topic", "n_tokens", "factor", "prob", "weight", "sampled")
 
 
 def op9_toxicity_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
