@@ -246,7 +246,8 @@ def test_mixing_equals_sql_and_meets_targets(spark):
     m = mixing.mix(df, given=given, rounds=20).groupBy(F.coalesce("source", F.lit("")).alias("s")).agg(F.sum(F.col("prob") * F.col("weight") * F.col("n_tokens")).alias("t")).collect()
     total = sum(r.t for r in m)
     assert all(abs(r.t / total - 0.25) < 0.01 for r in m)
-    assert mixing.sample(df.drop("n_tokens")).columns == ["doc_id", "text", "lang", "source"]
+    taken = mixing.sample(df.withColumn("prob", F.lit("mine")))
+    assert taken.columns == [*df.columns, "prob"] and taken.where("prob = 'mine'").count() == got.where("sampled").count()
 
 
 def test_hot_rows_take_part_like_others(spark):

@@ -85,37 +85,42 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, folder: s
     return cells
 
 
-def mix(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: float = ALPHA, given: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS, seed: str = SEED, most: float = MOST) -> DataFrame:
-    """``docs`` with topic, n_tokens, factor, prob, weight and sampled. ``columns`` gives the
-    expressions of source, lang, topic and tokens where they are not the usual ones."""
+def assigned(docs: DataFrame, columns: dict[str, Column] | None, alpha: float, given: dict[str, dict[str, float]] | None, rounds: int, seed: str, most: float) -> DataFrame:
+    """``docs`` with columns of the prefix ``_mix_``: labels, tokens, factor, prob, taken."""
     spark = docs.sparkSession
     folder = run_dir(spark, "mixing")
     asked = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic_of(F.col("text")), "tokens": token_count(F.col("text"))} | (columns or {})
     keyed = docs.withColumns({f"_mix_{m}": F.coalesce(asked[m].cast("string"), F.lit("")) for m in MARGINS} | {"_mix_tokens": asked["tokens"]})
     cells_of(keyed).write.parquet(f"{folder}/cells")
     cells = spark.read.parquet(f"{folder}/cells")
-    targets = {m: targets_of(cells, m, alpha, (given or {}).get(m)) for m in MARGINS}
-    for m, t in targets.items():
-        t.write.parquet(f"{folder}/target-{m}")
-    targets = {m: spark.read.parquet(f"{folder}/target-{m}") for m in MARGINS}
-    raked = rake(cells, targets, rounds, folder)
-    factor = F.col("w") / F.col("observed")
-    rates = raked.select(*[F.col(m).alias(f"_mix_{m}") for m in MARGINS], factor.alias("_mix_factor"))
-    out = keyed.drop("topic", "n_tokens", "factor", "prob", "weight", "sampled").join(rates, [f"_mix_{m}" for m in MARGINS])
+    for m in MARGINS:
+        targets_of(cells, m, alpha, (given or {}).get(m)).write.parquet(f"{folder}/target-{m}")
+    raked = rake(cells, {m: spark.read.parquet(f"{folder}/target-{m}") for m in MARGINS}, rounds, folder)
+    rates = raked.select(*[F.col(m).alias(f"_mix_{m}") for m in MARGINS], (F.col("w") / F.col("observed")).alias("_mix_factor"))
+    out = keyed.join(rates, [f"_mix_{m}" for m in MARGINS])
     digest = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f"|{seed}")))
     chance = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
-    out = out.withColumns({"topic": F.col("_mix_topic"), "n_tokens": F.col("_mix_tokens"), "factor": F.col("_mix_factor"), "prob": F.least(F.lit(1.0), F.col("_mix_factor") / F.lit(most)), "weight": F.greatest(F.lit(1.0), F.col("_mix_factor") / F.lit(most))})
-    out = out.withColumn("sampled", chance < F.col("prob"))
-    return out.drop("_mix_factor", "_mix_tokens", *[f"_mix_{m}" for m in MARGINS])
+    return out.withColumn("_mix_prob", F.least(F.lit(1.0), F.col("_mix_factor") / F.lit(most))).withColumn("_mix_taken", chance < F.col("_mix_prob"))
 
 
-def sample(docs: DataFrame, **settings) -> DataFrame:
+def mix(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: float = ALPHA, given: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS, seed: str = SEED, most: float = MOST) -> DataFrame:
+    """``docs`` with topic, n_tokens, factor, prob, weight and sampled. ``columns`` gives the
+    expressions of source, lang, topic and tokens where they are not the usual ones."""
+    made = {
+        "topic": F.col("_mix_topic"),
+        "n_tokens": F.col("_mix_tokens"),
+        "factor": F.col("_mix_factor"),
+        "prob": F.col("_mix_prob"),
+        "weight": F.greatest(F.lit(1.0), F.col("_mix_factor") / F.lit(most)),
+        "sampled": F.col("_mix_taken"),
+    }
+    out = assigned(docs, columns, alpha, given, rounds, seed, most)
+    return out.select(*[c for c in docs.columns if c not in made], *[c.alias(name) for name, c in made.items()])
+
+
+def sample(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: float = ALPHA, given: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS, seed: str = SEED, most: float = MOST) -> DataFrame:
     """The documents taken, with the columns of ``docs``."""
-    taken = mix(docs, **settings).where("sampled")
-    made = [c for c in ("topic", "n_tokens", "factor", "prob", "weight", "sampled") if c in docs.columns]
-    if made:
-        raise ValueError(f"columns {made} are made here; rename them first")
-    return taken.select(*docs.columns)
+    return assigned(docs, columns, alpha, given, rounds, seed, most).where("_mix_taken").select(*docs.columns)
 
 
 def mix_sql(alpha: float = ALPHA, rounds: int = ROUNDS, seed: str = SEED, most: float = MOST) -> str:
