@@ -9,15 +9,17 @@ similarity. Processes advance together and stop once they are later than the lat
 
 1. Equal texts are one node (128-bit digest). Each node's signature is cut into ``BANDS``
    bands of ``ROWS`` bins; equal bands are a bucket.
-2. Each node is verified with one hub, the smallest of the smallest nodes of its buckets:
-   at most one pair for each node, whatever the size of a bucket.
-3. Links make components. Buckets that still hold several components are looked at again:
-   their nodes' signatures are compared across components, block by block, and pairs that
-   agree in at least ``ESTIMATE`` of the bins are verified. Components are made anew.
-
-So every pair that shares a bucket either lies in one class or has been compared; what is
-never made is all pairs of a group. Verification is exact: sum of minima over sum of maxima
-of the shingles' counts, at least ``SIMILARITY``.
+2. Each node is verified with one hub: of the nodes that lead its buckets the one that
+   shares most, by the summed sizes of its buckets. In a group of copies that is mostly the
+   text that the others were made from. At most one pair for each node.
+3. Links make components. In each bucket that still holds several, all nodes outside its
+   largest component meet all others, in blocks of bounded size: shingles' postings add up
+   exact overlaps, and a link is given out only where it joins two components, so a block
+   gives fewer links than it has components. Components are made anew.
+
+So every pair that shares a bucket either lies in one class or has been compared; all pairs
+of a group are never made. Verification is exact: sum of minima over sum of maxima of the
+shingles' counts, at least ``SIMILARITY``.
 
 Cases: texts of one to four words are one shingle; texts without words (null, empty) are
 linked to equal texts only, null counts as empty; a class is named by its smallest doc_id
@@ -42,10 +44,8 @@ from tierlake.session import run_dir, ship_package
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
 BINS = BANDS * ROWS
-#: Share of equal bins from which a pair across components is verified: four deviations below 0.8.
-ESTIMATE = 0.65
-#: Nodes of a block of a bucket that is compared across components.
-BLOCK = 2048
+#: Nodes and bytes of text of a block of a bucket with several components.
+BLOCK_NODES, BLOCK_BYTES = 1024, 4 << 20
 MAX_WORDS = 400_000
 GOLDEN = 0x9E3779B97F4A7C15
 
@@ -151,7 +151,7 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, bands, sketch): the sketch is a byte of each bin; both empty without words."""
+    """(doc_id, node, bands); bands are empty without words."""
     ship_package(docs.sparkSession)
     rows = pick(docs, doc_id="long", text="string").withColumn("node", node_of(F.col("text")))
 
@@ -160,82 +160,106 @@ def signed(docs: DataFrame) -> DataFrame:
             for at, texts in text_chunks(batch):
                 t, s, c = shingles(texts)
                 some = np.bincount(t, minlength=len(texts)) > 0
-                sig = signatures(t, s, c, len(texts))
-                keys = band_keys(sig)
-                low = mixed(sig.view(np.uint64)).astype(np.uint8)
+                keys = band_keys(signatures(t, s, c, len(texts)))
                 part = batch.slice(at, len(texts))
                 bands = pa.array([k if ok else [] for k, ok in zip(keys, some)], pa.list_(pa.int64()))
-                sketch = pa.array([x.tobytes() if ok else b"" for x, ok in zip(low, some)], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), bands, sketch], names=["doc_id", "node", "bands", "sketch"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), bands], names=["doc_id", "node", "bands"])
 
-    return rows.mapInArrow(run, "doc_id long, node binary, bands array<long>, sketch binary")
+    return rows.mapInArrow(run, "doc_id long, node binary, bands array<long>")
 
 
 def node_of(text):
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, folder: str, similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes whose texts' multisets overlap enough."""
-    spark = docs.sparkSession
-    pairs.write.parquet(f"{folder}/pairs")
-    pairs = spark.read.parquet(f"{folder}/pairs")
-    need = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sorted shingles and counts of each text."""
+    out = []
+    for _, part in text_chunks(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])):
+        t, s, c = shingles(part)
+        cut = np.searchsorted(t, np.arange(len(part) + 1))
+        out += [(s[i:j], c[i:j]) for i, j in zip(cut[:-1], cut[1:])]
+    return out
+
+
+def alike(least: np.ndarray | int, most: np.ndarray | int, similarity: float):
+    return (most > 0) & (least >= similarity * most - 1e-9)
+
+
+def texts_of(need: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of the nodes asked for. Equal texts meet in a partial aggregate."""
     texts = pick(docs, text="string").withColumn("node", node_of(F.col("text"))).join(need, "node", "left_semi")
-    # One row for each node: equal texts meet in a partial aggregate before the shuffle.
-    texts.groupBy("node").agg(F.max("text").alias("text")).write.parquet(f"{folder}/texts")
-    texts = spark.read.parquet(f"{folder}/texts")
+    return texts.groupBy("node").agg(F.max("text").alias("text"))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes whose texts' multisets overlap enough."""
     both = pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a").join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            step = 512
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 left, right = part.column(2).to_pylist(), part.column(3).to_pylist()
-                ok = []
                 distinct = list(dict.fromkeys([*left, *right]))
-                place = {t: i for i, t in enumerate(distinct)}
-                sets = []
-                for _, texts in text_chunks(pa.RecordBatch.from_arrays([pa.array(distinct, pa.string())], names=["text"])):
-                    t, s, c = shingles(texts)
-                    cut = np.searchsorted(t, np.arange(len(texts) + 1))
-                    sets += [(s[i:j], c[i:j]) for i, j in zip(cut[:-1], cut[1:])]
-                for x, y in zip(left, right):
-                    least, most = overlap(sets[place[x]], sets[place[y]])
-                    ok.append(most > 0 and least >= similarity * most - 1e-9)
+                known = dict(zip(distinct, bags(distinct)))
+                ok = [bool(alike(*overlap(known[x], known[y]), similarity)) for x, y in zip(left, right)]
                 yield part.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
 
 
-def across(nodes: DataFrame) -> DataFrame:
-    """Pairs of nodes of one bucket but different components whose sketches agree enough.
-    ``nodes``: bucket, size, node, comp, sketch. Buckets are dealt into blocks of bounded
-    size; a pair of blocks is a task's unit."""
-    blocks = F.greatest(F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"), F.lit(1))
-    dealt = nodes.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "sketch")
+def joining(texts: list[str], comps: list, left: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
+    """Links from the texts marked ``left`` to any other text that join two components, by
+    adding up postings of shingles; ``comps`` are the components so far."""
+    sets = bags(texts)
+    sizes = np.array([int(c.sum()) for _, c in sets])
+    text = np.repeat(np.arange(len(sets)), [len(x) for x, _ in sets])
+    count = np.concatenate([c for _, c in sets]) if sets else np.zeros(0, np.int64)
+    _, term = np.unique(np.concatenate([x for x, _ in sets]), return_inverse=True)
+    order = np.argsort(term, kind="stable")
+    start = np.append(0, np.cumsum(np.bincount(term)))
+    cut = np.append(0, np.cumsum([len(x) for x, _ in sets]))
+    comp = np.unique(np.array(comps, dtype="U"), return_inverse=True)[1]
+    for x in np.flatnonzero(left):
+        mine = term[cut[x] : cut[x + 1]]
+        lengths = start[mine + 1] - start[mine]
+        at = order[np.arange(lengths.sum()) + np.repeat(start[mine] - np.cumsum(lengths) + lengths, lengths)]
+        least = np.bincount(text[at], np.minimum(count[at], np.repeat(count[cut[x] : cut[x + 1]], lengths)), minlength=len(sets))
+        for y in np.flatnonzero(alike(least, sizes + sizes[x] - least, similarity) & (comp != comp[x])):
+            if comp[y] != comp[x]:
+                comp[comp == comp[y]] = comp[x]
+                yield int(x), int(y)
+
+
+def across(nodes: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) between components of one bucket. ``nodes``: bucket, node, comp."""
+    counts = nodes.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+    split = counts.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    held = nodes.join(split.select("bucket", "largest"), "bucket").withColumn("rest", F.col("comp") != F.col("largest"))
+    held = held.join(texts.select("node", "text", F.octet_length("text").alias("bytes")), "node")
+    blocks = lambda of: F.greatest(F.lit(1), F.ceil(F.count(F.when(of, 1)) / F.lit(BLOCK_NODES)), F.ceil(F.coalesce(F.sum(F.when(of, F.col("bytes"))), F.lit(0)) / F.lit(BLOCK_BYTES))).cast("int")
+    many = held.groupBy("bucket").agg(blocks(F.col("rest")).alias("r"), blocks(~F.col("rest")).alias("g"))
+    place = lambda k: F.pmod(F.xxhash64("node"), F.col(k)).cast("int")
+    seats = lambda k, f: F.transform(F.sequence(F.lit(0), F.col(k) - 1), f)
+    seat = lambda i, j, main, left: F.struct(i.alias("i"), j.alias("j"), F.lit(main).alias("main"), left.alias("left"))
+    own = F.col("own")
+    # A block of the rest meets each block of the largest component, and each block of the rest.
+    of_rest = F.concat(
+        seats("g", lambda j: seat(own, j, True, F.lit(True))),
+        seats("r", lambda k: seat(F.least(own, k), F.greatest(own, k), False, own <= k)),
+    )
+    of_main = seats("r", lambda i: seat(i, own, True, F.lit(False)))
+    dealt = held.join(many, "bucket").withColumn("own", F.when(F.col("rest"), place("r")).otherwise(place("g")))
+    dealt = dealt.withColumn("seat", F.explode(F.when(F.col("rest"), of_rest).otherwise(of_main)))
+    dealt = dealt.select("bucket", "seat.i", "seat.j", "seat.main", "seat.left", "node", "comp", "text")
 
     def run(table: pa.Table) -> pa.Table:
-        own, i, j = (table.column(c).to_numpy() for c in ("own", "i", "j"))
-        node = table.column("node").to_pylist()
-        comp = np.unique(np.array([c.hex() for c in table.column("comp").to_pylist()]), return_inverse=True)[1]
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(node), BINS)
-        left = np.flatnonzero(own == i)
-        right = np.flatnonzero(own == j)
-        a, b = [], []
-        for x in left:
-            near = right[(comp[right] != comp[x]) & ((right > x) if i[0] == j[0] else True)]
-            near = near[(sketch[near] == sketch[x]).sum(1) >= ESTIMATE * BINS]
-            for y in near:
-                p, q = sorted((node[x], node[y]))
-                a.append(p)
-                b.append(q)
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(run, "a binary, b binary").distinct()
+        node, comp, text = (table.column(c).to_pylist() for c in ("node", "comp", "text"))
+        links = list(joining(text, [c.hex() for c in comp], table.column("left").to_numpy(), similarity))
+        return pa.table({"a": pa.array([node[x] for x, _ in links], pa.binary()), "b": pa.array([node[y] for _, y in links], pa.binary())})
+
+    return dealt.groupBy("bucket", "i", "j", "main").applyInArrow(run, "a binary, b binary").distinct()
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -244,26 +268,22 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     folder = run_dir(spark, "bagminhash")
     signed(docs).write.parquet(f"{folder}/signed")
     rows = spark.read.parquet(f"{folder}/signed")
-    nodes = rows.groupBy("node").agg(F.max("bands").alias("bands"), F.max("sketch").alias("sketch"))
-    nodes.write.parquet(f"{folder}/nodes")
-    nodes = spark.read.parquet(f"{folder}/nodes")
-    members = nodes.select("node", F.explode("bands").alias("bucket"))
-    hubs = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members.join(hubs, "bucket").write.parquet(f"{folder}/crowded")
-    crowded = spark.read.parquet(f"{folder}/crowded")
-    first = crowded.groupBy("node").agg(F.min("hub").alias("hub")).where("hub < node")
-    links = verified(first.select(F.col("hub").alias("a"), F.col("node").alias("b")), docs, f"{folder}/first", similarity)
-    links.write.parquet(f"{folder}/links-1")
-    links = spark.read.parquet(f"{folder}/links-1")
-    comps = components(links, f"{folder}/comps-1")
-    named = crowded.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    named.write.parquet(f"{folder}/named")
-    named = spark.read.parquet(f"{folder}/named")
-    split = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("bucket")
-    again = named.join(split, "bucket", "left_semi").join(nodes.select("node", "sketch"), "node")
-    more = verified(across(again.select("bucket", "size", "node", "comp", "sketch")), docs, f"{folder}/second", similarity)
-    more.unionByName(links).write.parquet(f"{folder}/links-2")
-    comps = components(spark.read.parquet(f"{folder}/links-2"), f"{folder}/comps-2")
+    read = lambda name: spark.read.parquet(f"{folder}/{name}")
+    rows.groupBy("node").agg(F.max("bands").alias("bands")).select("node", F.explode("bands").alias("bucket")).write.parquet(f"{folder}/members")
+    sizes = read("members").groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    read("members").join(sizes, "bucket").write.parquet(f"{folder}/crowded")
+    shared = read("crowded").groupBy("node").agg(F.sum("size").alias("weight"))
+    shared.write.parquet(f"{folder}/shared")
+    texts_of(read("shared").select("node"), docs).write.parquet(f"{folder}/texts")
+    weighed = read("crowded").join(read("shared"), "node")
+    leads = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("lead"))
+    hubs = read("crowded").join(leads, "bucket").where("node != lead.node").groupBy("node").agg(F.max("lead").alias("hub"))
+    hubs.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).write.parquet(f"{folder}/pairs")
+    verified(read("pairs"), read("texts"), similarity).write.parquet(f"{folder}/links-1")
+    comps = components(read("links-1"), f"{folder}/comps-1")
+    read("crowded").select("bucket", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).write.parquet(f"{folder}/named")
+    across(read("named"), read("texts"), similarity).unionByName(read("links-1")).write.parquet(f"{folder}/links-2")
+    comps = components(read("links-2"), f"{folder}/comps-2")
     found = rows.select("doc_id", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = found.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     return found.join(named, "comp").select("doc_id", "node", "comp", "class_id", "class_size")
