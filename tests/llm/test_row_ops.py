@@ -307,3 +307,22 @@ def test_queries_equal_their_sql(spark, name):
 def test_all_queries_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in se.queries() if n.startswith("op"))
     assert numbers == list(range(1, 11)) and "pipeline" in se.queries()
+
+
+def test_stages_on_odd_and_empty_tables(spark):
+    """Nulls in any column, empty and very long texts, repeated rows, clashing columns."""
+    text = "plain words of a calm text about rivers and stones and light " * 3
+    rows = [(1, text, "en", "s0", 5), (1, text, "en", "s0", 5), (2, None, None, None, None), (3, "", "en", "s0", 0), (None, text + "x", "en", None, 9), (4, text * 3000, "de", "s1", 1), (5, "mail a@b.org", None, "s0", 12)]
+    odd = spark.createDataFrame([(*r, "mine", 0.5, 7) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, topic string, score double, start long")
+    for docs in (odd, odd.limit(0)):
+        columns = docs.columns
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, SF)
+            assert out.columns == columns, name
+            got = out.collect()
+            assert {r.topic for r in got} <= {"mine"}
+            if name == "near_duplicates" and got:
+                assert Counter(r.doc_id for r in got)[1] <= 1
+            docs = spark.createDataFrame(got, docs.schema)
+        name, stage = corpus_pipeline.STAGES[-1]
+        assert stage(spark, docs, SF).count() == docs.count()

@@ -12,10 +12,11 @@ similarity. Processes advance together and stop once they are later than the lat
 2. Each node is verified with one hub: of the nodes that lead its buckets the one that
    shares most, by the summed sizes of its buckets. In a group of copies that is mostly the
    text that the others were made from. At most one pair for each node.
-3. Links make components. In each bucket that still holds several, all nodes outside its
-   largest component meet all others, in blocks of bounded size: shingles' postings add up
-   exact overlaps, and a link is given out only where it joins two components, so a block
-   gives fewer links than it has components. Components are made anew.
+3. Links make components. Buckets that still hold several are put together by their
+   largest component. All nodes of such a group outside that component meet all others, in
+   blocks of bounded size: shingles' postings add up exact overlaps, and a link is given
+   out only where it joins two components, so a block gives fewer links than it has
+   components. Components are made anew.
 
 So every pair that shares a bucket either lies in one class or has been compared; all pairs
 of a group are never made. Verification is exact: sum of minima over sum of maxima of the
@@ -233,13 +234,14 @@ def joining(texts: list[str], comps: list, left: np.ndarray, similarity: float)
 
 
 def across(nodes: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Links (a, b) between components of one bucket. ``nodes``: bucket, node, comp."""
+    """Links (a, b) between components that share a bucket. ``nodes``: bucket, node, comp."""
     counts = nodes.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     split = counts.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    held = nodes.join(split.select("bucket", "largest"), "bucket").withColumn("rest", F.col("comp") != F.col("largest"))
-    held = held.join(texts.select("node", "text", F.octet_length("text").alias("bytes")), "node")
+    # Buckets of one largest component go together, so a node's text travels once for each.
+    held = nodes.join(split.select("bucket", F.col("largest").alias("group")), "bucket").select("group", "node", "comp").distinct()
+    held = held.withColumn("rest", F.col("comp") != F.col("group")).join(texts.select("node", F.octet_length("text").alias("bytes")), "node")
     blocks = lambda of: F.greatest(F.lit(1), F.ceil(F.count(F.when(of, 1)) / F.lit(BLOCK_NODES)), F.ceil(F.coalesce(F.sum(F.when(of, F.col("bytes"))), F.lit(0)) / F.lit(BLOCK_BYTES))).cast("int")
-    many = held.groupBy("bucket").agg(blocks(F.col("rest")).alias("r"), blocks(~F.col("rest")).alias("g"))
+    many = held.groupBy("group").agg(blocks(F.col("rest")).alias("r"), blocks(~F.col("rest")).alias("g"))
     place = lambda k: F.pmod(F.xxhash64("node"), F.col(k)).cast("int")
     seats = lambda k, f: F.transform(F.sequence(F.lit(0), F.col(k) - 1), f)
     seat = lambda i, j, main, left: F.struct(i.alias("i"), j.alias("j"), F.lit(main).alias("main"), left.alias("left"))
@@ -250,16 +252,16 @@ def across(nodes: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -
         seats("r", lambda k: seat(F.least(own, k), F.greatest(own, k), False, own <= k)),
     )
     of_main = seats("r", lambda i: seat(i, own, True, F.lit(False)))
-    dealt = held.join(many, "bucket").withColumn("own", F.when(F.col("rest"), place("r")).otherwise(place("g")))
+    dealt = held.join(many, "group").withColumn("own", F.when(F.col("rest"), place("r")).otherwise(place("g")))
     dealt = dealt.withColumn("seat", F.explode(F.when(F.col("rest"), of_rest).otherwise(of_main)))
-    dealt = dealt.select("bucket", "seat.i", "seat.j", "seat.main", "seat.left", "node", "comp", "text")
+    dealt = dealt.select("group", "seat.i", "seat.j", "seat.main", "seat.left", "node", "comp").join(texts.select("node", "text"), "node")
 
     def run(table: pa.Table) -> pa.Table:
         node, comp, text = (table.column(c).to_pylist() for c in ("node", "comp", "text"))
         links = list(joining(text, [c.hex() for c in comp], table.column("left").to_numpy(), similarity))
         return pa.table({"a": pa.array([node[x] for x, _ in links], pa.binary()), "b": pa.array([node[y] for _, y in links], pa.binary())})
 
-    return dealt.groupBy("bucket", "i", "j", "main").applyInArrow(run, "a binary, b binary").distinct()
+    return dealt.groupBy("group", "i", "j", "main").applyInArrow(run, "a binary, b binary").distinct()
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
