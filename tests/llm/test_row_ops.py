@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as se
 import corpus_pipeline
 from tierlake.llm import ann, bagminhash, mixing, suffix_dedup, topk
+from tierlake.llm.common import pack
 from tierlake.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -147,7 +148,7 @@ def test_components_of_one_bucket_are_joined(spark, monkeypatch, block):
             texts.append(" ".join(t))
     node = lambda i: i.to_bytes(2, "big")
     nodes = spark.createDataFrame([(1, node(i), node(i if i % 3 else 0)) for i in range(32)], "bucket long, node binary, comp binary")
-    named = spark.createDataFrame([(node(i), t) for i, t in enumerate(texts)], "node binary, text string")
+    named = spark.createDataFrame([(node(i), pack(t)) for i, t in enumerate(texts)], "node binary, text binary")
     links = bagminhash.across(nodes, named).collect()
     parent = {node(i): node(i if i % 3 else 0) for i in range(32)}
 

@@ -38,15 +38,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import pick, text_chunks
+from tierlake.llm.common import packed, pick, text_chunks, unpack, unpacked
 from tierlake.llm.components import components
 from tierlake.session import run_dir, ship_package
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
 BINS = BANDS * ROWS
-#: Nodes and bytes of text of a block of a bucket with several components.
-BLOCK_NODES, BLOCK_BYTES = 1024, 4 << 20
+#: Nodes and bytes of packed text of a block of a bucket with several components.
+BLOCK_NODES, BLOCK_BYTES = 1024, 2 << 20
 MAX_WORDS = 400_000
 GOLDEN = 0x9E3779B97F4A7C15
 
@@ -173,10 +173,10 @@ def node_of(text):
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Sorted shingles and counts of each text."""
+def bags(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sorted shingles and counts of each packed text."""
     out = []
-    for _, part in text_chunks(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])):
+    for _, part in text_chunks(pa.RecordBatch.from_arrays([pa.array(map(unpack, texts), pa.string())], names=["text"])):
         t, s, c = shingles(part)
         cut = np.searchsorted(t, np.arange(len(part) + 1))
         out += [(s[i:j], c[i:j]) for i, j in zip(cut[:-1], cut[1:])]
@@ -188,8 +188,9 @@ def alike(least: np.ndarray | int, most: np.ndarray | int, similarity: float):
 
 
 def texts_of(need: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, text) of the nodes asked for. Equal texts meet in a partial aggregate."""
-    texts = pick(docs, text="string").withColumn("node", node_of(F.col("text"))).join(need, "node", "left_semi")
+    """(node, packed text) of the nodes asked for. Equal texts meet in a partial aggregate."""
+    texts = pick(docs, text="string").withColumn("text", F.coalesce("text", F.lit(""))).withColumn("node", node_of(F.col("text")))
+    texts = packed(texts).join(need, "node", "left_semi")
     return texts.groupBy("node").agg(F.max("text").alias("text"))
 
 
@@ -210,7 +211,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
 
 
-def joining(texts: list[str], comps: list, left: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
+def joining(texts: list[bytes], comps: list, left: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
     """Links from the texts marked ``left`` to any other text that join two components, by
     adding up postings of shingles; ``comps`` are the components so far."""
     sets = bags(texts)
@@ -301,8 +302,8 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     names = docs.columns
     keyed = docs.withColumn("_node", node_of(F.col("text"))).withColumn("_id", F.col("doc_id").cast("long"))
     # Repeated rows of one id and text are one document.
-    kept = keyed.join(one, F.expr("_id <=> _id2 and _node = _node2"), "left_semi")
-    return kept.dropDuplicates(["_id", "_node"]).select(*names)
+    kept = packed(keyed).join(one, F.expr("_id <=> _id2 and _node = _node2"), "left_semi")
+    return unpacked(kept.dropDuplicates(["_id", "_node"]).select(*names))
 
 
 __all__ = ["classes", "deduplicated", "overlap", "shingles", "signatures"]

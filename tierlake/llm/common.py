@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 #: Code points of text that a Python task holds as word lists at one time.
 CHUNK_CHARS = 1 << 20
@@ -50,3 +52,33 @@ def text_chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_
         size += len(t)
     if part:
         yield at, part
+
+
+def _mapped(df: DataFrame, column: str, kind, arrow: pa.DataType, change) -> DataFrame:
+    schema = StructType([StructField(f.name, kind, True) if f.name == column else f for f in df.schema.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(column)
+            columns = list(batch.columns)
+            columns[at] = pa.array([None if v is None else change(v) for v in columns[at].to_pylist()], arrow)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def pack(text: str) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(text.encode("utf-8", "surrogatepass"))
+
+
+def unpack(data: bytes) -> str:
+    return zstandard.ZstdDecompressor().decompress(data).decode("utf-8", "surrogatepass")
+
+
+def packed(df: DataFrame, column: str = "text") -> DataFrame:
+    """A text column compressed, for shuffles that carry whole texts; equal texts stay equal."""
+    return _mapped(df, column, BinaryType(), pa.binary(), pack)
+
+
+def unpacked(df: DataFrame, column: str = "text") -> DataFrame:
+    return _mapped(df, column, StringType(), pa.string(), unpack)
