@@ -30,8 +30,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are sampled by their calibrated probabilities."""
-    return mixing.sample(docs)
+    """Documents are drawn by their raked factors; those of rare cells may come several times."""
+    return mixing.drawn(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

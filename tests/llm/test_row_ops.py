@@ -251,6 +251,29 @@ def test_mixing_equals_sql_and_meets_targets(spark):
     assert taken.columns == [*df.columns, "prob"] and taken.where("prob = 'mine'").count() == got.where("sampled").count()
 
 
+def test_drawn_rows_meet_the_raked_shares(spark):
+    """The rows themselves, without weights, where rare cells have factors far over MOST."""
+    rows = [(i, "w " * 40, "en" if i % 3 else "de", "s0" if i % 40 else "rare") for i in range(8000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("prob", F.lit("mine"))
+    given = {"source": {"s0": 0.8, "rare": 0.2}}
+    factors = {r.doc_id: r.factor for r in mixing.mix(df, given=given).collect()}
+    assert max(factors.values()) > 4 * mixing.MOST
+    out = mixing.drawn(df, given=given)
+    assert out.columns == df.columns
+    times = Counter(r.doc_id for r in out.collect())
+    assert all(abs(times[i] - f / mixing.MOST) < 1 for i, f in factors.items())
+    share = lambda test: sum(n for i, n in times.items() if test(rows[i])) / sum(times.values())
+    assert abs(share(lambda r: r[3] == "rare") - 0.2) < 0.01
+    raked = sum(f for i, f in factors.items() if rows[i][2] == "en") / sum(factors.values())
+    assert abs(share(lambda r: r[2] == "en") - raked) < 0.02
+    assert mixing.drawn(df.limit(0)).count() == 0
+    # The pipeline's stage draws such rows.
+    staged = Counter(r.doc_id for r in corpus_pipeline.mix(spark, df, SF).collect())
+    plain = {r.doc_id: r.factor for r in mixing.mix(df).collect()}
+    assert max(plain.values()) > mixing.MOST
+    assert all(abs(staged[i] - f / mixing.MOST) < 1 for i, f in plain.items())
+
+
 def test_hot_rows_take_part_like_others(spark):
     """A third of all rows under one text, one id and one source."""
     rows = [(7, "same words here again and again " * 9, "en", "hot")] * 60 + [(i, f"text {i} " * 20, "en", f"s{i % 5}") for i in range(100, 220)]

@@ -7,6 +7,8 @@ rare cell would need more, the rest is the document's weight, so that probabilit
 weight is proportional to the factor everywhere and the expected weighted token shares of
 the sample are the raked ones. A document is taken when the hash of its id and the seed, as a number in
 [0, 1), is below its probability, so the sample does not depend on partitions or retries.
+``drawn`` needs no weight: a document becomes the whole part of factor / ``MOST`` rows, and one
+more when that number is below the fraction, so the expected shares of the rows are the raked ones.
 
 Only cells are joined and shuffled during raking, and each margin's sums are a partial
 aggregate; a hot source is one row for each language and topic. Each round's cells are
@@ -86,7 +88,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, folder: s
 
 
 def assigned(docs: DataFrame, columns: dict[str, Column] | None, alpha: float, given: dict[str, dict[str, float]] | None, rounds: int, seed: str, most: float) -> DataFrame:
-    """``docs`` with columns of the prefix ``_mix_``: labels, tokens, factor, prob, taken."""
+    """``docs`` with columns of the prefix ``_mix_``: labels, tokens, factor, chance, prob, taken."""
     spark = docs.sparkSession
     folder = run_dir(spark, "mixing")
     asked = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic_of(F.col("text")), "tokens": token_count(F.col("text"))} | (columns or {})
@@ -100,7 +102,8 @@ def assigned(docs: DataFrame, columns: dict[str, Column] | None, alpha: float, g
     out = keyed.join(rates, [f"_mix_{m}" for m in MARGINS])
     digest = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f"|{seed}")))
     chance = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
-    return out.withColumn("_mix_prob", F.least(F.lit(1.0), F.col("_mix_factor") / F.lit(most))).withColumn("_mix_taken", chance < F.col("_mix_prob"))
+    out = out.withColumn("_mix_chance", chance).withColumn("_mix_prob", F.least(F.lit(1.0), F.col("_mix_factor") / F.lit(most)))
+    return out.withColumn("_mix_taken", F.col("_mix_chance") < F.col("_mix_prob"))
 
 
 def mix(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: float = ALPHA, given: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS, seed: str = SEED, most: float = MOST) -> DataFrame:
@@ -119,10 +122,21 @@ def mix(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: float
 
 
 def sample(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: float = ALPHA, given: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS, seed: str = SEED, most: float = MOST) -> DataFrame:
-    """The documents taken, with the columns of ``docs``."""
+    """The documents taken, once each, with the columns of ``docs``. Without the weights their
+    token shares fall short where a factor is over ``most``; rows that need none: ``drawn``."""
     return assigned(docs, columns, alpha, given, rounds, seed, most).where("_mix_taken").select(*docs.columns)
 
 
+def drawn(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: float = ALPHA, given: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS, seed: str = SEED, most: float = MOST) -> DataFrame:
+    """The documents as rows, with the columns of ``docs``: on average factor / ``most`` rows
+    each, so that the rows themselves have the raked token shares."""
+    out = assigned(docs, columns, alpha, given, rounds, seed, most)
+    whole = F.floor(F.col("_mix_factor") / F.lit(most))
+    more = F.col("_mix_chance") < F.col("_mix_factor") / F.lit(most) - whole
+    copies = F.sequence(F.lit(1).cast("long"), whole + more.cast("long"))
+    return out.where((whole > 0) | more).withColumn("_mix_copy", F.explode(copies)).select(*docs.columns)
+
+
 def mix_sql(alpha: float = ALPHA, rounds: int = ROUNDS, seed: str = SEED, most: float = MOST) -> str:
     """The same result for ``documents`` in DuckDB SQL: raking as a chain of windows."""
     ctes = [
@@ -149,4 +163,4 @@ def mix_sql(alpha: float = ALPHA, rounds: int = ROUNDS, seed: str = SEED, most:
         from docs join f using (source, lang, topic)"""
 
 
-__all__ = ["mix", "mix_sql", "sample", "topic_of"]
+__all__ = ["drawn", "mix", "mix_sql", "sample", "topic_of"]
