@@ -196,6 +196,19 @@ def test_channel_restores_words():
     assert list(toxicity.closed("you s c u m!", lm)) == ["scum"]
 
 
+def test_channel_reads_gaps_doubles_long_words_and_punctuation():
+    counts = toxicity.gram_counts(["you idiot was pathetic and a moron, you are stupid trash of a scum " * 30])
+    lm = toxicity.CharModel(pd.DataFrame({"gram": np.flatnonzero(counts), "n": counts[counts > 0]}))
+    for text in ("i d 1 0 t", "m 0 r 0 n", "$ c u m", "y o u i d i o t", "y.o.u.i.d.1.0.t", "a " + "y o u a r e s t u p i d " * 20 + "i d i o t"):
+        assert {"idiot", "moron", "scum"} & set(toxicity.closed(text, lm)), text
+    assert "you" in set(toxicity.closed("y o u i d i o t", lm))
+    assert not list(toxicity.closed("1 2 3 4 | 5", lm))
+    for token in ("id" + "i" * 100 + "ot", "idiiot", "iddiot", "you,idiot", "you/1d10t", "id-iot", "was...idiot!", "you,id-iot"):
+        assert "idiot" in toxicity.readings(token, lm), token
+    assert toxicity.readings("stupid", lm) == ["stupid"] and "good" in toxicity.readings("good", lm)
+    toxicity.decode("1d" * 20_000, lm)  # linear in the word
+
+
 def test_quality_on_held_out_rows(spark, messy, empty):
     rng = random.Random(8)
     junk = [lambda: " ".join(w + "$$$" for w in prose(rng, 60).split()), lambda: (prose(rng, 8).upper() + "!!\n") * 9, lambda: " | ".join(prose(rng, 50).split())]

@@ -3,10 +3,12 @@
 1. Language model: 4-gram counts of characters over all documents, in an alphabet of 32
    symbols (letters without accents, other letters, digits, edges), summed by Spark. The
    table has at most 32^4 entries whatever the corpus, and interpolates shorter contexts.
-2. Channel: words with digits or signs among the letters, with repeated letters, or spelled
-   with gaps are lattices: each character offers the letters that it may stand for, each run
-   of a letter its shorter forms, each sign also nothing, at a cost. A Viterbi search finds
-   the path of least cost under the language model. Plain words stand for themselves.
+2. Channel: words with digits or signs among the letters, with repeated letters, with inner
+   punctuation, or spelled with gaps are lattices: each character offers the letters that it
+   may stand for, each run of a letter its shorter forms, each sign also nothing, each gap or
+   punctuation also a border of words, at a cost. A Viterbi search finds the path of least
+   cost under the language model, in time linear in the word. Plain words stand for
+   themselves, those with doubled letters or inner punctuation also beside what is found.
 3. Scorer: the restored words and their first 4 and 5 letters are features. Their weights
    are lower confidence bounds of the log odds between toxic and clean labelled documents;
    a logistic curve over the largest weight and the sum of the five largest, fitted on
@@ -27,7 +29,7 @@ import heapq
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -56,9 +58,13 @@ STANDS_FOR = {
 READ, DROP, SHORTEN, CLOSE = 1.0, 4.0, 0.7, 0.5
 SIGNS = re.compile(r"[0-9@$!|+(<*#%&€£]")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
-GAPPED = re.compile(r"(?<![\w])(?:[^\W\d_][ ._*-]){2,}[^\W\d_](?![\w])")
+DOUBLED = re.compile(r"([^\W\d_])\1")
+#: Units of a spelled word: letters, digits and signs that may stand for letters.
+GAPPED = re.compile(r"(?<![\w])(?:[^\W_]|[@$!|+(<*#%&€£])(?:[ ._*-](?:[^\W_]|[@$!|+(<*#%&€£])){2,}(?![\w])")
+INNER = re.compile(r"[^\w@$!|+(<*#%&€£]+|_+")
 LEAD = re.compile(r"^(?:\W{3,}|[^\w@$!|+(<*#%&€£]+)")
 TAIL = re.compile(r"(?:\W{3,}|[.,;:?!\"')\]_-]+)$")
+#: A longer token is read through the channel only where that is likelier than letters apart.
 LONGEST = 64
 
 
@@ -76,6 +82,11 @@ def symbols() -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=1)
+def symbol_bytes() -> bytes:
+    return symbols().tobytes()
+
+
 def plain(word: str) -> str:
     """Letters of a word without case and accents; other letters stay."""
     if word.isascii():
@@ -142,24 +153,54 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def decode(word: str, lm: CharModel) -> str:
-    """The restored word: the cheapest path through its lattice."""
-    table, cost = symbols(), lm.cost
-    beams: dict[int, tuple[float, str]] = {0: (0.0, "")}
-    for place in lattice(word[:LONGEST]) if len(word) <= LONGEST else []:
-        after: dict[int, tuple[float, str]] = {}
-        for context, (sofar, text) in beams.items():
+def cheapest(places: Iterable[list[tuple[str, float]]], lm: CharModel) -> str:
+    """The text of the cheapest path through a lattice; time and memory linear in its length."""
+    table, cost = symbol_bytes(), memoryview(lm.cost)
+    # A path is a chain of its last reading and the path before; paths share what they have in common.
+    beams: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
+    for place in places:
+        after: dict[int, tuple[float, tuple | None]] = {}
+        for context, (sofar, path) in beams.items():
             for reading, price in place:
                 at, total = context, sofar + price
                 for c in reading:
-                    gram = at * 32 + int(table[ord(c)])
-                    total += float(cost[gram])
+                    gram = at * 32 + table[ord(c)]
+                    total += cost[gram]
                     at = gram % 32768
                 if at not in after or total < after[at][0]:
-                    after[at] = (total, text + reading)
+                    after[at] = (total, (reading, path) if reading else path)
         beams = after
-    ended = [(total + float(cost[context * 32]), text) for context, (total, text) in beams.items()]
-    return min(ended)[1] if ended and len(word) <= LONGEST else word
+    ended = []
+    for context, (total, path) in beams.items():
+        ended.append((total + cost[context * 32], path))
+    least = min(total for total, _ in ended)
+    return min(spelled(path) for total, path in ended if total == least)
+
+
+def spelled(path: tuple | None) -> str:
+    out = []
+    while path is not None:
+        out.append(path[0])
+        path = path[1]
+    return "".join(reversed(out))
+
+
+def gain(letters: str, lm: CharModel) -> float:
+    """By how many nats the letters are likelier as one word than each apart."""
+    whole = apart = 0.0
+    at = 0
+    for c in letters:
+        x = int(symbols()[ord(c)])
+        whole += float(lm.cost[at * 32 + x])
+        at = (at * 32 + x) % 32768
+        apart += float(lm.cost[x]) + float(lm.cost[x * 32])
+    return apart - whole - float(lm.cost[at * 32])
+
+
+def decode(word: str, lm: CharModel) -> str:
+    """The restored word: the cheapest path through its lattice."""
+    text = cheapest(lattice(word), lm)
+    return text if len(word) <= LONGEST or gain(text, lm) > 0 else word
 
 
 def core(token: str) -> str:
@@ -177,19 +218,39 @@ def restored(token: str, lm: CharModel) -> str:
     return decode(word, lm)
 
 
+def readings(token: str, lm: CharModel) -> list[str]:
+    """All words that a token may be: as restored; its parts at inner punctuation, and the
+    words that the channel finds across it; with doubled letters as they are and shortened."""
+    word = plain(core(token))
+    if word.isalpha():
+        return list(dict.fromkeys((restored(word, lm), decode(word, lm)))) if DOUBLED.search(word) else [word]
+    out = [restored(token, lm)]
+    if not any(c.isalpha() for c in word):
+        return out
+    parts = [p for p in INNER.split(word) if p]
+    if len(parts) > 1:
+        out += [restored(p, lm) for p in parts]
+        across = [place if any(c for c, _ in place) else [*place, (" ", 0.0)] for place in lattice(word)]
+        out += cheapest(across, lm).split()
+    out += [decode(p, lm) for p in parts if DOUBLED.search(p)]
+    return list(dict.fromkeys(w for w in out if w))
+
+
 def closed(text: str, lm: CharModel) -> Iterator[str]:
-    """Words spelled with gaps, where the closed word is likelier than letters apart."""
+    """Words spelled with gaps. A gap is closed or a border of words, whichever is likelier."""
     for m in GAPPED.finditer(text):
-        letters = plain(re.sub(r"[ ._*-]", "", m.group()))
-        if 3 <= len(letters) <= LONGEST:
-            s = [int(symbols()[ord(c)]) for c in letters]
-            whole, apart, at = CLOSE * len(s), 0.0, 0
-            for x in s:
-                whole += float(lm.cost[at * 32 + x])
-                at = (at * 32 + x) % 32768
-                apart += float(lm.cost[x]) + float(lm.cost[x * 32])
-            if whole + float(lm.cost[at * 32]) < apart:
-                yield decode(letters, lm)
+        units = m.group()[::2]
+        if not any(c.isalpha() for c in units):
+            continue
+        places: list[list[tuple[str, float]]] = []
+        for c in units:
+            if places:
+                places.append([("", CLOSE), (" ", 0.0)])
+            as_is = [(plain(c), 0.0 if c.isalpha() else READ)] if c.isalnum() else [("", DROP)]
+            places.append([*as_is, *((x, READ) for x in STANDS_FOR.get(c, ""))])
+        for word in cheapest(places, lm).split():
+            if len(word) > 1:
+                yield from dict.fromkeys((decode(word, lm), word) if DOUBLED.search(word) else (word,))
 
 
 def features_of(word: str) -> list[str]:
@@ -210,7 +271,7 @@ class Reader:
         self.lm, self.weights, self.known = lm, weights, {}
 
     def token(self, token: str) -> list[str] | float:
-        names = features_of(restored(token, self.lm))
+        names = [n for word in readings(token, self.lm) for n in features_of(word)]
         return names if self.weights is None else max((self.weights.get(n, 0.0) for n in names), default=0.0)
 
     def read(self, text: str) -> list:
