@@ -226,6 +226,25 @@ def test_repeated_strings_equal_brute_force(spark, monkeypatch, seed, buckets, c
     assert suffix_dedup.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_hot_tokens_go_by_windows(spark, monkeypatch):
+    """A passage in all documents, in different surroundings, is no task's group."""
+    monkeypatch.setattr(suffix_dedup, "HOT_LEAST", 20)
+    rng = random.Random(12)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = noise(180)
+    rows = [(i, noise(rng.randrange(50, 150)) + passage[rng.randrange(20) :] + noise(rng.randrange(50, 150))) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    hot = suffix_dedup.hot_tokens(suffix_dedup.keyed(df), 100, 16, sum(len(t) for _, t in rows))
+    assert hot and all(t.decode() in passage for t in hot)
+    sender = suffix_dedup.Sender(suffix_dedup.Splitters(np.empty((0, 2), np.uint64)), 100, hot, 16)
+    sent = [*sender.add([(i, 0, 0, t.encode()) for i, t in rows]), *sender.flush()]
+    assert len({x[0] for x in sent if x[0] >= 16}) > 16
+    got = {r.doc_id: r.kept for r in suffix_dedup.remove_repeats(df, buckets=16, texts=True).collect()}
+    plain = [(i, t.encode()) for i, t in rows]
+    assert got == {i: bytes(np.frombuffer(t, np.uint8)[~gone]) for (i, t), gone in zip(plain, repeated(plain))}
+    assert suffix_dedup.bucket_count(1 << 40, 8) == (1 << 40) // suffix_dedup.BUCKET_BYTES and suffix_dedup.bucket_count(9, 8) == 16
+
+
 def test_mixing_equals_sql_and_meets_targets(spark):
     rng = random.Random(9)
     rows = [(i if i % 50 else None, rng.choice([None, "", "a b c", "x | y", "call me @ home", "w " * rng.randrange(2500)]), rng.choice(["en", "en", None]), rng.choice(["s0"] * 5 + ["s1", "s2", None]), 7) for i in range(500)]

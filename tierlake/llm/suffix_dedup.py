@@ -15,6 +15,9 @@ documents and are judged on the input.
 3. Range partition. Splitters are quantiles of the leading tokens of a sample of documents;
    records are dealt by them into buckets, packed by task and bucket. The splitters compare
    whole leading tokens, so equal ones never lie on two sides of a border.
+   Hot tokens are counted first (blocks give their frequent tokens, which are summed): their
+   records go as windows, each by its digest, with only the earliest of a digest from each
+   flush, so no task gets all records of a hot token. Buckets grow in number with the bytes.
 4. Buckets sort locally by multikey quicksort, eight bytes at a time over all runs at once;
    strings that are alone leave the sort. Of records equal in all bytes all but the earliest
    are repeats. The others can only share windows where they share ``length / 2`` bytes after
@@ -48,9 +51,15 @@ LENGTH, TOKEN = 100, 16
 CHUNK, FLUSH = 1 << 21, 1 << 25
 #: Documents and leading tokens that the splitters are taken from, at most.
 SAMPLE_DOCS, SAMPLE_TOKENS = 2_000, 100_000
+#: Bytes of text for a bucket on average, at most; a token is hot where it has more than a
+#: HOT_SHARE-th of a bucket's records, and at least HOT_LEAST; records counted together.
+BUCKET_BYTES, HOT_SHARE, HOT_LEAST, BLOCK = 1 << 25, 16, 2_000, 1 << 20
+#: Buckets of windows for each bucket of records, and windows that a task compares together.
+WINDOW_BUCKETS, WINDOWS = 8, 1 << 22
 LAST = np.iinfo(np.int64).max
 LOW24 = np.uint64((1 << 24) - 1)
 RECORD = np.dtype([("doc", "<i8"), ("row", "<u4"), ("lo", "<u4"), ("off", "u1"), ("size", "u1")])
+WINDOW = np.dtype([("doc", "<i8"), ("row", "<u4"), ("lo", "<u4")])
 ROUTED = "bucket int, doc long, row long, meta binary, blob binary"
 ROUTED_ARROW = pa.schema([("bucket", pa.int32()), ("doc", pa.int64()), ("row", pa.int64()), ("meta", pa.binary()), ("blob", pa.binary())])
 SPANS_ARROW = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("starts", pa.binary()), ("ends", pa.binary())])
@@ -157,8 +166,10 @@ def laid_out(part: list[tuple[int, int, int, bytes]], length: int):
 class Sender:
     """Packs records by bucket, spans by text."""
 
-    def __init__(self, splitters: Splitters, length: int):
-        self.splitters, self.length = splitters, length
+    def __init__(self, splitters: Splitters, length: int, hot: frozenset[bytes] = frozenset(), buckets: int = 1):
+        self.splitters, self.length, self.hot, self.buckets = splitters, length, hot, buckets
+        self.digests: list[bytes] = []
+        self.windows: list[np.ndarray] = []
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]] = []
         self.size = 0
 
@@ -183,6 +194,10 @@ class Sender:
             r = np.array(repeat)
             for doc, row, a, b in spans_by_text(docs[text[r]], rows[text[r]], lo[r], lo[r] + (last - first)[r] + self.length):
                 yield -1, doc, row, a, b
+        if keep and self.hot:
+            cold = [whole[x : x + TOKEN] not in self.hot for x in place[keep].tolist()]
+            self.spread(whole, [j for j, c in zip(keep, cold) if not c], first, last, docs[text], rows[text], lo)
+            keep, segments = [j for j, c in zip(keep, cold) if c], [x for x, c in zip(segments, cold) if c]
         if keep:
             k = np.array(keep)
             record = np.empty(len(k), RECORD)
@@ -191,10 +206,37 @@ class Sender:
             w0, w1 = words_at(data, place[k]), words_at(data, place[k] + 8)
             self.parts.append((self.splitters.buckets(w0, w1), w0, record, segments))
             self.size += sum(map(len, segments))
-            if self.size > FLUSH:
-                yield from self.flush()
+        if self.size > FLUSH:
+            yield from self.flush()
+
+    def spread(self, whole: bytes, hot: list[int], first: np.ndarray, last: np.ndarray, docs: np.ndarray, rows: np.ndarray, lo: np.ndarray) -> None:
+        """Records of hot tokens as their windows, each by its digest."""
+        for j in hot:
+            a, n = int(first[j]), int(last[j] - first[j]) + 1
+            self.digests += [hashlib.blake2b(whole[x : x + self.length], digest_size=16).digest() for x in range(a, a + n)]
+            window = np.empty(n, WINDOW)
+            window["doc"], window["row"], window["lo"] = docs[j], rows[j], lo[j] + np.arange(n)
+            self.windows.append(window)
+            self.size += n * (16 + WINDOW.itemsize)
 
     def flush(self) -> Iterator[tuple]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        if self.windows:
+            window, digest = np.concatenate(self.windows), b"".join(self.digests)
+            self.windows, self.digests, self.size = [], [], 0
+            again = repeated_windows(window, digest)
+            if again.any():
+                w, lo = window[again], window["lo"][again].astype(np.int64)
+                for span in spans_by_text(w["doc"], w["row"], lo, lo + self.length):
+                    yield -1, *span
+            words = np.frombuffer(digest, "<u8").reshape(-1, 2)
+            bucket = (words[:, 0] % np.uint64(WINDOW_BUCKETS * self.buckets)).astype(np.int64)
+            order = np.flatnonzero(~again)
+            order = order[np.argsort(bucket[order], kind="stable")]
+            at = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1]))
+            for a, b in zip(at, np.append(at[1:], len(order))):
+                mine = order[a:b]
+                yield self.buckets + int(bucket[mine[0]]), None, 0, pack(window[mine].tobytes()), pack(words[mine].tobytes())
         if not self.parts:
             return
         bucket, w0, record = (np.concatenate([p[i] for p in self.parts]) for i in range(3))
@@ -202,7 +244,6 @@ class Sender:
         self.parts, self.size = [], 0
         order = np.lexsort((w0, bucket))
         bucket = bucket[order]
-        pack = zstandard.ZstdCompressor(level=3).compress
         at = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
         for a, b in zip(at, np.append(at[1:], len(bucket))):
             mine = order[a:b]
@@ -249,6 +290,34 @@ def later(labels: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.nd
     return repeat, ~repeat
 
 
+def repeated_windows(window: np.ndarray, digest: bytes) -> np.ndarray:
+    """Mask over windows: those that are not the earliest of their digest."""
+    words = np.frombuffer(digest, "<u8").reshape(-1, 2)
+    order = np.lexsort((words[:, 1], words[:, 0]))
+    new = np.append(True, (words[order][1:] != words[order][:-1]).any(1))
+    labels = np.empty(len(window), np.int64)
+    labels[order] = np.cumsum(new)
+    return later(labels, window["doc"], window["lo"])[0]
+
+
+def window_spans(metas: list[bytes], blobs: list[bytes], length: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """Spans that repeat, by text, from all windows of a bucket of hot tokens."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    window = np.frombuffer(b"".join(map(unpack, metas)), WINDOW)
+    again = window[repeated_windows(window, b"".join(map(unpack, blobs)))]
+    lo = again["lo"].astype(np.int64)
+    return spans_by_text(again["doc"], again["row"], lo, lo + length)
+
+
+def in_blocks(groups: np.ndarray, counts: np.ndarray, limit: int) -> Iterator[np.ndarray]:
+    """Places of whole groups whose counts sum to about ``limit`` or to one group's."""
+    order = np.argsort(groups, kind="stable")
+    new = np.flatnonzero(np.append(True, groups[order][1:] != groups[order][:-1])) if len(order) else order
+    before = (np.cumsum(counts[order]) - counts[order])[new] // limit
+    cuts = new[np.flatnonzero(before[1:] != before[:-1]) + 1]
+    return (x for x in np.split(order, cuts) if len(x))
+
+
 def repeats(metas: list[bytes], blobs: list[bytes], length: int) -> Iterator[tuple[int, int, bytes, bytes]]:
     """Spans that repeat, by text, from all records of a bucket."""
     unpack = zstandard.ZstdDecompressor()
@@ -296,16 +365,18 @@ def repeats(metas: list[bytes], blobs: list[bytes], length: int) -> Iterator[tup
         shift = -half if side else TOKEN
         alike = split_runs(token[mine], lambda i, k, m=mine, s=shift: words_at(data, np.minimum(place[m[i]] + s + 8 * k, place[m[i]] + (-8 if s < 0 else half - 8))), (half + 7) // 8 if side else (half - TOKEN + 7) // 8)
         mine, alike = mine[alike >= 0], alike[alike >= 0]
-        counts = (high - low + 1)[mine]
-        which = np.repeat(np.arange(len(mine)), counts)
-        d = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts) + low[mine][which]
-        at = place[mine][which] - d
-        equal = split_runs(alike[which] * 256 + d, lambda i, k, at=at: words_at(data, at[i] + np.minimum(8 * k, length - 8)), (length + 7) // 8)
-        who = mine[which]
-        start = lo[who] + off[who] - d
-        again, _ = later(equal, doc[who], start)
-        who, start = who[again], start[again]
-        out.append((doc[who], row[who], start, start + length))
+        for block in in_blocks(alike, (high - low + 1)[mine], WINDOWS):
+            some_of, kind = mine[block], alike[block]
+            counts = (high - low + 1)[some_of]
+            which = np.repeat(np.arange(len(some_of)), counts)
+            d = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts) + low[some_of][which]
+            at = place[some_of][which] - d
+            equal = split_runs(kind[which] * 256 + d, lambda i, k, at=at: words_at(data, at[i] + np.minimum(8 * k, length - 8)), (length + 7) // 8)
+            who = some_of[which]
+            start = lo[who] + off[who] - d
+            again, _ = later(equal, doc[who], start)
+            who, start = who[again], start[again]
+            out.append((doc[who], row[who], start, start + length))
     yield from spans_by_text(*(np.concatenate(x) for x in zip(*out)))
 
 
@@ -336,18 +407,60 @@ def sampled_splitters(rows: DataFrame, buckets: int, length: int) -> Splitters:
     return Splitters(np.unique(borders, axis=0))
 
 
-def repeated_spans(rows: DataFrame, length: int, buckets: int) -> DataFrame:
+def hot_tokens(rows: DataFrame, length: int, buckets: int, n_bytes: int) -> frozenset[bytes]:
+    """Tokens with at least 2 x ``share`` of all records, and none with less than ``share``.
+    A token of 2 x share has at least share among the blocks of records where it has it."""
+    share = max(1 / (2 * HOT_SHARE * buckets), HOT_LEAST / 2 / max(1.0, n_bytes / ((length - TOKEN + 2) / 2)))
+
+    def counted(parts: list[np.ndarray]) -> pa.RecordBatch:
+        words = np.concatenate(parts)
+        words = words[np.lexsort((words[:, 1], words[:, 0]))]
+        at = np.flatnonzero(np.append(True, (words[1:] != words[:-1]).any(1)))
+        n = np.diff(np.append(at, len(words)))
+        often = n >= share * len(words)
+        tokens = [None, *(w.astype(">u8").tobytes() for w in words[at[often]])]
+        return pa.RecordBatch.from_arrays([pa.array(tokens, pa.binary()), pa.array([len(words), *n[often].tolist()], pa.int64())], names=["token", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, n = [], 0
+        for part in chunks(batches, length, CHUNK):
+            data, _, (_, place, _, _) = laid_out(part, length)
+            if len(place):
+                parts.append(np.stack([words_at(data, place), words_at(data, place + 8)], 1))
+                n += len(place)
+            if n >= BLOCK:
+                yield counted(parts)
+                parts, n = [], 0
+        if n:
+            yield counted(parts)
+
+    folder = run_dir(rows.sparkSession, "suffix-tokens")
+    rows.select("doc", "row", "text").mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")).write.parquet(folder)
+    sums = rows.sparkSession.read.parquet(folder)
+    total = sums.where("token is null").first()
+    # At most 1 / share tokens.
+    return frozenset(bytes(r.token) for r in sums.where("token is not null").where(F.col("n") >= share * total.n).collect()) if total else frozenset()
+
+
+def bucket_count(n_bytes: int, parts: int) -> int:
+    return max(2 * parts, -(-n_bytes // BUCKET_BYTES))
+
+
+def repeated_spans(rows: DataFrame, length: int, buckets: int | None) -> DataFrame:
     """(doc, row, starts, ends): spans of texts that repeat, several rows for a text."""
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = buckets or bucket_count(n_bytes, shuffle_parts(rows.sparkSession))
+    hot = hot_tokens(rows, length, buckets, n_bytes)
     splitters = sampled_splitters(rows, buckets, length)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender, out = Sender(splitters, length), []
+        sender, out = Sender(splitters, length, hot, buckets), []
         for part in chunks(batches, length, CHUNK):
             out += [(x[2] % buckets, *x[1:]) if x[0] < 0 else x for x in sender.add(part)]
             if sum(len(x[4]) for x in out) > FLUSH // 4:
                 yield routed(out)
                 out = []
-        out += sender.flush()
+        out += [(x[2] % buckets, *x[1:]) if x[0] < 0 else x for x in sender.flush()]
         if out:
             yield routed(out)
 
@@ -355,7 +468,9 @@ def repeated_spans(rows: DataFrame, length: int, buckets: int) -> DataFrame:
         known = table.filter(pc.is_valid(table.column("doc")))
         fresh = table.filter(pc.is_null(table.column("doc")))
         out = list(zip(*(known.column(c).to_pylist() for c in ("doc", "row", "meta", "blob")))) if known.num_rows else []
-        if fresh.num_rows:
+        if fresh.num_rows and fresh.column("row").null_count == 0:
+            out += window_spans(fresh.column("meta").to_pylist(), fresh.column("blob").to_pylist(), length)
+        elif fresh.num_rows:
             out += repeats(fresh.column("meta").to_pylist(), fresh.column("blob").to_pylist(), length)
         columns = zip(*out) if out else [[]] * 4
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SPANS_ARROW)], schema=SPANS_ARROW)
@@ -369,7 +484,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, buckets: int | None =
     the remaining bytes (``kept``). ``length``: even, 2 x TOKEN to 130 bytes."""
     spark = docs.sparkSession
     ship_package(spark)
-    buckets = buckets or 2 * shuffle_parts(spark)
     rows = keyed(docs)
     folder = run_dir(spark, "suffix-dedup")
     repeated_spans(rows, length, buckets).write.parquet(folder)
