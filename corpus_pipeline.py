@@ -16,7 +16,7 @@ from tierlake.session import run_dir
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    return quality.classify(docs, table(spark, sf_dir, "labels")).where("keep").select(*docs.columns)
+    return quality.kept(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

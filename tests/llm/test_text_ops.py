@@ -226,6 +226,14 @@ def test_quality_on_held_out_rows(spark, messy, empty):
     assert quality.classify(empty, labels).count() == 0
 
 
+def test_quality_keeps_input_columns_named_like_its_own(messy):
+    labels = messy.select(F.col("doc_id"), (F.col("doc_id") % 2).cast("int").alias("quality")).limit(0)
+    docs = messy.drop("score").withColumns({"score": F.lit(7.25), "keep": F.lit("mine"), "host_rate": F.lit("h"), "path_rate": F.lit("p"), "evidence": F.lit("e")})
+    out = quality.kept(docs, labels)
+    assert out.columns == docs.columns and out.count() == docs.count()
+    assert {tuple(r) for r in out.select("score", "keep", "host_rate", "path_rate", "evidence").collect()} == {(7.25, "mine", "h", "p", "e")}
+
+
 def test_sparse_sites_shrink_towards_the_global_rate(spark):
     rows = [("big", "a", 0.2)] * 400 + [("good", "a", 0.9)] * 300 + [("one", "a", 0.0), ("good", "b", 0.1)]
     scored = spark.createDataFrame(rows, "_q_host string, _q_path string, _q_p double")

@@ -17,7 +17,8 @@ Spark broadcasts only while their table is small.
 Cases: a null text is empty, null hosts and paths are the empty label; documents without a
 label only get a score; contradicting labels of one document all count; without any label
 (or with one class only) evidence is the site-free prior of 0.5 and nothing is rejected;
-an empty table gives an empty result; input columns stay, ``_q_``-names are reserved.
+an empty table gives an empty result; input columns stay, those named like an output are
+replaced by ``classify`` and stay in ``kept``; ``_q_``-names are reserved.
 """
 
 from __future__ import annotations
@@ -107,13 +108,12 @@ def sites(scored: DataFrame) -> DataFrame:
     return paths.select("_q_host", "_q_path", "host_rate", ((F.lit(k) * F.col("host_rate") + F.col("s")) / (F.lit(k) + F.col("n"))).alias("path_rate"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None, threshold: float = THRESHOLD, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """``docs`` with evidence, host_rate, path_rate, score and keep. Host and path default
-    to ``source`` and ``lang``; for web pages pass ``parse_url`` expressions."""
+def judged(docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None, threshold: float = THRESHOLD, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """``docs`` with the columns of ``OUT`` under the prefix ``_q_``; all input columns stay."""
     spark = docs.sparkSession
     host = F.col("source") if host is None else host
     path = F.col("lang") if path is None else path
-    keyed = docs.drop(*OUT).withColumns({"_q_host": F.coalesce(host.cast("string"), F.lit("")), "_q_path": F.coalesce(path.cast("string"), F.lit(""))})
+    keyed = docs.withColumns({"_q_host": F.coalesce(host.cast("string"), F.lit("")), "_q_path": F.coalesce(path.cast("string"), F.lit(""))})
     made = measures(F.col("text"))
     names = [f"_q_{m}" for m in made]
     folder = run_dir(spark, "quality-measures")
@@ -131,9 +131,23 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, pat
     score = lambda columns: sum((F.lit(float(w)) * c for w, c in zip(weights, columns)), F.lit(float(intercept[0])))
     evidence = F.greatest(F.least(score(made.values()), F.lit(30.0)), F.lit(-30.0))
     of_site = sites(rows.withColumn("_q_p", sigmoid(score([F.col(n) for n in names]))))
-    out = keyed.withColumn("evidence", evidence).join(of_site, ["_q_host", "_q_path"])
-    out = out.withColumn("score", sigmoid(F.col("evidence") - F.lit(base) + logit(F.col("path_rate"))))
-    return out.withColumn("keep", F.col("score") >= F.lit(threshold)).drop("_q_host", "_q_path")
+    of_site = of_site.withColumnsRenamed({c: f"_q_{c}" for c in ("host_rate", "path_rate")})
+    out = keyed.withColumn("_q_evidence", evidence).join(of_site, ["_q_host", "_q_path"])
+    out = out.withColumn("_q_score", sigmoid(F.col("_q_evidence") - F.lit(base) + logit(F.col("_q_path_rate"))))
+    return out.withColumn("_q_keep", F.col("_q_score") >= F.lit(threshold))
+
+
+def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None, threshold: float = THRESHOLD, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """``docs`` with evidence, host_rate, path_rate, score and keep, in place of columns of
+    these names. Host and path default to ``source`` and ``lang``; for web pages pass
+    ``parse_url`` expressions."""
+    out = judged(docs, labels, host, path, threshold, max_labelled)
+    return out.select(*[c for c in docs.columns if c not in OUT], *[F.col(f"_q_{c}").alias(c) for c in OUT])
+
+
+def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are not rejected, with the columns and values of ``docs``."""
+    return judged(docs, labels).where("_q_keep").select(*docs.columns)
 
 
-__all__ = ["classify", "fit", "measures", "sites"]
+__all__ = ["classify", "fit", "judged", "kept", "measures", "sites"]
