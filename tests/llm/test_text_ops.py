@@ -143,6 +143,12 @@ def test_personal_data_is_found_added_and_masked(spark, messy, empty):
     assert pii.find(empty, pii.learn(empty)).count() == 0
 
 
+def test_all_numbers_inside_a_long_address_count_as_covered():
+    text = "_".join(["10.0.0.1"] * 20) + "@example.com and 10.0.0.2"
+    covered = [pii.unpacked(code)[1][-1] == pii.NO for k, _, _, code, _ in pii.candidates(text)[1] if k == 1]
+    assert covered == [True] * 20 + [False]
+
+
 def test_expectation_finds_the_unreliable_labeler():
     rng = np.random.default_rng(3)
     truth = rng.random(4000) < 0.4

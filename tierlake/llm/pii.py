@@ -23,7 +23,7 @@ import hashlib
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -130,7 +130,7 @@ def loose_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def votes(text: str, kind: int, start: int, end: int, strict: bool, others: list[tuple[int, int, int]]) -> list[int]:
+def votes(text: str, kind: int, start: int, end: int, strict: bool, overlapped: bool) -> list[int]:
     """The labelers' votes on a candidate, in the order of ``LABELERS``."""
     name, span = KINDS[kind], text[start:end]
     before = text[max(0, start - 32) : start].casefold()
@@ -150,7 +150,7 @@ def votes(text: str, kind: int, start: int, end: int, strict: bool, others: list
     counter = NO if any(t in words or (not t.isalnum() and t in before[-12:]) for t in COUNTER[name]) else ABSTAIN
     left, right = text[start - 1 : start], text[end : end + 1]
     edges = NO if left.isalnum() or right.isalnum() or left in ("=", "_") else YES
-    covered = NO if any(k != kind and a < end and start < b for k, a, b in others) else ABSTAIN
+    covered = NO if overlapped else ABSTAIN
     return [YES if strict else ABSTAIN, checksum, gazetteer, trigger, counter, edges, covered]
 
 
@@ -180,20 +180,24 @@ def unpacked(code: int) -> tuple[int, list[int], int]:
 def candidates(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int, bool]]]:
     """Strict spans, and all candidates as (kind, start, end, pattern, strict)."""
     strict = strict_spans(text)
-    # Only neighbours can overlap: sorted starts and the furthest end so far keep this linear.
-    ordered = sorted(strict, key=lambda x: x[1])
-    starts = [x[1] for x in ordered]
-    reach = list(accumulate((x[2] for x in ordered), max))
-    loose = []
-    for k, a, b in loose_spans(text):
-        before = bisect_left(starts, b)
-        if not before or reach[before - 1] <= a:
-            loose.append((k, a, b))
+    # By kind, sorted starts and the furthest end so far tell overlaps without a look at each span.
+    starts: list[list[int]] = [[] for _ in KINDS]
+    reach: list[list[int]] = [[] for _ in KINDS]
+    for k in {x[0] for x in strict}:
+        mine = sorted(x[1:] for x in strict if x[0] == k)
+        starts[k], reach[k] = [x[0] for x in mine], list(accumulate((x[1] for x in mine), max))
+
+    def met(kinds: Iterable[int], a: int, b: int) -> bool:
+        """Whether a strict span of these kinds overlaps [a, b)."""
+        return any(starts[k] and (n := bisect_left(starts[k], b)) and reach[k][n - 1] > a for k in kinds)
+
+    every = range(len(KINDS))
+    loose = [(k, a, b) for k, a, b in loose_spans(text) if not met(every, a, b)]
     out = []
     for spans, is_strict in ((strict, True), (loose, False)):
         for k, a, b in spans:
-            near = ordered[max(0, bisect_left(starts, a) - 8) : bisect_left(starts, b)]
-            out.append((k, a, b, packed(k, votes(text, k, a, b, is_strict, near), shape(text, a, b)), is_strict))
+            overlapped = met((j for j in every if j != k), a, b)
+            out.append((k, a, b, packed(k, votes(text, k, a, b, is_strict, overlapped), shape(text, a, b)), is_strict))
     return strict, out
 
 
