@@ -226,6 +226,16 @@ def test_repeated_strings_equal_brute_force(spark, monkeypatch, seed, buckets, c
     assert suffix_dedup.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_borders_come_from_all_partitions(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SAMPLE_TOKENS", 200)
+    rng = random.Random(13)
+    rows = [(i, "".join(rng.choice("abcd" if i < 100 else "wxyz") for _ in range(600))) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).sortWithinPartitions("doc_id")
+    borders = suffix_dedup.sampled_splitters(suffix_dedup.keyed(df), 16, 100).w0
+    late = (borders >> np.uint64(56)) >= ord("w")
+    assert 4 <= late.sum() <= len(borders) - 4
+
+
 def test_hot_tokens_go_by_windows(spark, monkeypatch):
     """A passage in all documents, in different surroundings, is no task's group."""
     monkeypatch.setattr(suffix_dedup, "HOT_LEAST", 20)

@@ -394,12 +394,14 @@ def sampled_splitters(rows: DataFrame, buckets: int, length: int) -> Splitters:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, length, CHUNK):
-            data, _, (_, place, _, _) = laid_out(part, length)
+            data, starts, (text, place, _, _) = laid_out(part, length)
+            docs, froms = (np.array([p[i] for p in part], np.int64)[text] for i in (0, 2))
             w = [words_at(data, place + 8 * k).view(np.int64) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in w], names=["w0", "w1"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*w, docs, place - starts[text] + froms)], names=["w0", "w1", "doc", "at"])
 
     some = rows.select("doc", "row", "text").sample(min(1.0, SAMPLE_DOCS / max(n, 1)), 11)
-    got = some.mapInArrow(run, "w0 long, w1 long").limit(SAMPLE_TOKENS).toPandas()
+    # Thinned by a hash of the place, so that all partitions give borders.
+    got = some.mapInArrow(run, "w0 long, w1 long, doc long, at long").orderBy(F.xxhash64("doc", "at"), "w0", "w1").limit(SAMPLE_TOKENS).toPandas()
     w0, w1 = (got[c].to_numpy(np.int64).view(np.uint64) for c in ("w0", "w1"))
     order = np.lexsort((w1, w0))
     at = order[np.linspace(0, len(order), buckets + 1)[1:-1].astype(int)] if len(order) >= buckets else order[:0]
