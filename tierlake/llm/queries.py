@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import ann, bagminhash, bpe, mixing, pii, quality, suffix_dedup, token_files, topk, toxicity
+from tierlake.llm import ann, bagminhash, bpe, lines, mixing, pii, quality, suffix_dedup, token_files, topk, toxicity
 from tierlake.llm.common import table
 from tierlake.session import run_dir
 
@@ -60,6 +60,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op13_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digests(table(spark, sf_dir, "documents"))
+
+
 _TOPK_SQL = """
 with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as w
            from embeddings
@@ -84,8 +88,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing_raking": op8_mixing_raking,
         "op9_toxicity_channel": op9_toxicity_channel,
         "op10_byte_bpe": op10_byte_bpe,
+        "op13_line_runs": op13_line_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_topk_exhaustive": _TOPK_SQL, "op8_mixing_raking": mixing.mix_sql()}
+    return {"op6_topk_exhaustive": _TOPK_SQL, "op8_mixing_raking": mixing.mix_sql(), "op13_line_runs": lines.SQL}
