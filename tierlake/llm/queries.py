@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import ann, bagminhash, bpe, lines, mixing, pii, quality, suffix_dedup, token_files, topk, toxicity
+from tierlake.llm import ann, bagminhash, bpe, conversations, lines, mixing, phrases, pii, quality, suffix_dedup, token_files, topk, toxicity
 from tierlake.llm.common import table
 from tierlake.session import run_dir
 
@@ -60,6 +60,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op11_phrase_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.report(phrases.collocations(phrases.mine(table(spark, sf_dir, "documents"))))
+
+
+def op12_lightest_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.Repair(conversations.damaged(table(spark, sf_dir, "conversations"))).summary()
+
+
 def op13_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(table(spark, sf_dir, "documents"))
 
@@ -88,9 +96,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing_raking": op8_mixing_raking,
         "op9_toxicity_channel": op9_toxicity_channel,
         "op10_byte_bpe": op10_byte_bpe,
+        "op11_phrase_stripes": op11_phrase_stripes,
+        "op12_lightest_repair": op12_lightest_repair,
         "op13_line_runs": op13_line_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_topk_exhaustive": _TOPK_SQL, "op8_mixing_raking": mixing.mix_sql(), "op13_line_runs": lines.SQL}
+    return {"op6_topk_exhaustive": _TOPK_SQL, "op8_mixing_raking": mixing.mix_sql(), "op11_phrase_stripes": phrases.SQL, "op13_line_runs": lines.SQL}
