@@ -247,3 +247,37 @@ def test_sparse_sites_shrink_towards_the_global_rate(spark):
     assert abs(got["big", "a"].path_rate - 0.2) < 0.02 and abs(got["good", "a"].path_rate - 0.9) < 0.05
     assert 0.1 < got["one", "a"].host_rate < 0.5
     assert 0.2 < got["good", "b"].path_rate < 0.9
+
+
+def test_piece_numbers_equal_the_library(monkeypatch):
+    """Gathered ids are the library's, also when the memory of pieces is given up often."""
+    from tokenizers import Tokenizer
+
+    rng, tok = random.Random(8), Tokenizer.from_file(JSON)
+    alphabet = "abc  dé日ªʰ½٣.'\n\t🙂"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(80))) for _ in range(300)] + [t or "" for t in TEXTS if t is not LONG]
+    for limit in (64 << 20, 2000):
+        monkeypatch.setattr(token_files, "MAX_BYTES", limit)
+        encoder = token_files.PieceEncoder(JSON)
+        for i in range(0, len(texts), 23):
+            part = texts[i : i + 23]
+            want = [tok.encode(t, add_special_tokens=False).ids for t in part]
+            ids, ends = encoder.encode(part, 2)
+            assert ids.tolist() == [x for w in want for x in [*w, 2]]
+            assert ends.tolist() == np.cumsum([len(w) + 1 for w in want]).tolist()
+            plain, ends = encoder.encode(part)
+            assert len(plain) == sum(map(len, want)) == ends[-1]
+
+
+def test_parts_follow_the_bytes_and_rows_of_one_id_stay_apart(spark, workdir, monkeypatch):
+    monkeypatch.setattr(token_files, "PART_BYTES", 200)
+    monkeypatch.setattr(token_files, "READ_DOCS", 3)
+    rows = [(i // 3, f"text {i} of some words", i) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, part long").repartition(3)
+    manifest = token_files.write_tokens(df, f"{workdir}/set", JSON, end_id=2)
+    assert manifest.count() > 8
+    got = token_files.read_tokens(spark, f"{workdir}/set").orderBy("start").collect()
+    assert [g.doc_id for g in got] == sorted(r[0] for r in rows)
+    assert [g.start for g in got] == np.append(0, np.cumsum([g.n_tokens for g in got]))[:-1].tolist()
+    again = token_files.write_tokens(df.repartition(5), f"{workdir}/again", JSON, end_id=2)
+    assert sorted(r.n_ids for r in again.collect()) and token_files.read_tokens(spark, f"{workdir}/again").orderBy("start").collect()[0].ids_crc32 == got[0].ids_crc32
