@@ -280,6 +280,20 @@ def test_mixing_equals_sql_and_meets_targets(spark):
     assert taken.columns == [*df.columns, "prob"] and taken.where("prob = 'mine'").count() == got.where("sampled").count()
 
 
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_sampled_rows_meet_every_margin_without_weights(spark, sf):
+    """Expected token shares of the sampled rows against the margins' targets."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    out = mixing.mix(docs)
+    assert out.agg(F.max("weight"), F.max("prob")).first() == (1.0, 1.0)
+    for m in mixing.MARGINS:
+        rows = out.groupBy(m).agg(F.sum("n_tokens").alias("seen"), F.sum(F.col("prob") * F.col("n_tokens")).alias("expected")).collect()
+        power = {r[m]: r.seen**mixing.ALPHA for r in rows}
+        for r in rows:
+            want = power[r[m]] / sum(power.values())
+            assert abs(r.expected / sum(x.expected for x in rows) - want) < 0.01 * want
+
+
 def test_drawn_rows_meet_the_raked_shares(spark):
     """The rows themselves, without weights, where rare cells have factors far over MOST."""
     rows = [(i, "w " * 40, "en" if i % 3 else "de", "s0" if i % 40 else "rare") for i in range(8000)]
@@ -379,3 +393,70 @@ def test_stages_on_odd_and_empty_tables(spark):
             docs = spark.createDataFrame(got, docs.schema)
         name, stage = corpus_pipeline.STAGES[-1]
         assert stage(spark, docs, SF).count() == docs.count()
+
+
+def test_a_hub_of_many_near_copies_and_long_compressible_texts(spark):
+    """One hub's seats are bounded; classes are those of comparing all texts."""
+    from tierlake.llm.common import unpack
+
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*base, f"x{i}"])) for i in range(3000)]
+    rows += [(5000 + i, f"line {i % 2} of a long text that repeats itself\n" * 30_000) for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.class_id, r.class_size) for r in bagminhash.classes(df).collect()}
+    assert {got[i] for i in range(3000)} == {(0, 3000)}
+    assert [got[5000 + i] for i in range(4)] == [(5000, 2), (5001, 2), (5000, 2), (5001, 2)]
+
+    texts = bagminhash.texts_of(df.select(bagminhash.node_of(F.col("text")).alias("node")), df)
+    sizes = {unpack(r.text)[:6]: r["bytes"] for r in texts.collect()}
+    assert sizes["line 0"] == len(rows[3000][1]) and texts.count() == 3002
+    nodes = texts.select("node", "bytes").where("bytes < 10000").orderBy("node").collect()
+    pairs = spark.createDataFrame([(nodes[0].node, r.node) for r in nodes[1:]], "a binary, b binary")
+    assert bagminhash.verified(pairs, texts, 0.8).count() == 2999
+    counts = bagminhash.blocks_of(F.lit(3000), F.lit(sum(r["bytes"] for r in nodes)))
+    assert spark.range(1).select(counts).first()[0] == 3
+    assert bagminhash.verified(pairs.limit(0), texts, 0.8).count() == 0
+
+
+def test_bags_unpack_a_chunk_at_a_time(monkeypatch):
+    from tierlake.llm import common
+
+    held = []
+    monkeypatch.setattr(bagminhash, "unpack", lambda t: held.append(1) or common.unpack(t))
+    texts = [common.pack(f"text {i} " + "word " * 100_000) for i in range(12)]
+    out = bagminhash.bags(texts)
+    next(out)
+    assert len(held) < 5 and len(list(out)) == 11
+
+
+def test_words_remember_a_bounded_number_of_bytes(monkeypatch):
+    monkeypatch.setattr(bagminhash, "MAX_WORDS", 10_000)
+    known = bagminhash.Words()
+    first = known["a"]
+    for i in range(1000):
+        known["x" * 100 + str(i)]
+    assert len(known) < 100 and known["a"] == first
+
+
+def test_far_more_buckets_than_sampled_tokens(spark, monkeypatch):
+    """Borders never vanish, and each bucket stays small, whatever the number asked for."""
+    rng = random.Random(14)
+    rows = [(i, "".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(120, 260)))) for i in range(300)]
+    rows += [(500 + i, rows[i][1][20:]) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    keyed = suffix_dedup.keyed(df)
+    some = suffix_dedup.sampled_splitters(keyed, 40, 100)
+    monkeypatch.setattr(suffix_dedup, "SAMPLE_TOKENS", 50)
+    few = suffix_dedup.sampled_splitters(keyed, 20_000, 100)
+    tokens = np.array([rng.getrandbits(64) for _ in range(2 * 40_000)], np.uint64).reshape(2, -1)
+    assert len(some.w0) == 39 and some.each == 1 and len(few.w0) >= 45 and few.each > 300
+    for splitters, most in ((some, 40), (few, 20_000)):
+        at = splitters.buckets(few.w0.repeat(2000)[: tokens.shape[1]], tokens[1])
+        assert 0 <= at.min() and at.max() < most and (at == splitters.buckets(few.w0.repeat(2000)[: tokens.shape[1]], tokens[1])).all()
+    spread = np.bincount(few.buckets(np.full(40_000, few.w0[0]), tokens[1]))
+    assert spread.max() < 40_000 / 300 * 2
+    monkeypatch.setattr(suffix_dedup, "MAX_RANGES", 8)
+    assert len(suffix_dedup.sampled_splitters(keyed, 20_000, 100).w0) == 7
+    plain = [(i, t.encode()) for i, t in rows]
+    want = {i: bytes(np.frombuffer(t, np.uint8)[~gone]) for (i, t), gone in zip(plain, repeated(plain))}
+    assert {r.doc_id: bytes(r.kept) for r in suffix_dedup.remove_repeats(df, buckets=3000, texts=True).collect()} == want

@@ -11,7 +11,8 @@ similarity. Processes advance together and stop once they are later than the lat
    bands of ``ROWS`` bins; equal bands are a bucket.
 2. Each node is verified with one hub: of the nodes that lead its buckets the one that
    shares most, by the summed sizes of its buckets. In a group of copies that is mostly the
-   text that the others were made from. At most one pair for each node.
+   text that the others were made from. At most one pair for each node. A hub's pairs are
+   dealt into seats of bounded size; its text goes once to each seat, not to each pair.
 3. Links make components. Buckets that still hold several are put together by their
    largest component. All nodes of such a group outside that component meet all others, in
    blocks of bounded size: shingles' postings add up exact overlaps, and a link is given
@@ -29,7 +30,7 @@ linked to equal texts only, null counts as empty; a class is named by its smalle
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -38,16 +39,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import packed, pick, text_chunks, unpack, unpacked
+from tierlake.llm.common import CHUNK_CHARS, packed, pick, text_chunks, unpack, unpacked
 from tierlake.llm.components import components
 from tierlake.session import run_dir, ship_package
+from tierlake.sources.fs import delete
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
 BINS = BANDS * ROWS
-#: Nodes and bytes of packed text of a block of a bucket with several components.
-BLOCK_NODES, BLOCK_BYTES = 1024, 2 << 20
-MAX_WORDS = 400_000
+#: Nodes and bytes of text (as read, not as packed) of a hub's seat, and of a block of a
+#: bucket with several components.
+BLOCK_NODES, BLOCK_BYTES = 1024, 4 << 20
+#: Bytes of words that a task remembers the hashes of.
+MAX_WORDS = 8 << 20
 GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -63,14 +67,21 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Words(dict):
-    """64-bit hashes of words, remembered up to a bound."""
+    """64-bit hashes of words, remembered up to a bound in bytes and for one task."""
+
+    size = 0
 
     def __missing__(self, word: str) -> int:
-        if len(self) > MAX_WORDS:
-            self.clear()
+        if self.size > MAX_WORDS:
+            self.forget()
         value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        self.size += 120 + len(word)
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.size = 0
+
 
 @lru_cache(maxsize=1)
 def words() -> Words:
@@ -165,6 +176,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 part = batch.slice(at, len(texts))
                 bands = pa.array([k if ok else [] for k, ok in zip(keys, some)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), bands], names=["doc_id", "node", "bands"])
+        words().forget()
 
     return rows.mapInArrow(run, "doc_id long, node binary, bands array<long>")
 
@@ -173,14 +185,23 @@ def node_of(text):
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def bags(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Sorted shingles and counts of each packed text."""
-    out = []
-    for _, part in text_chunks(pa.RecordBatch.from_arrays([pa.array(map(unpack, texts), pa.string())], names=["text"])):
+def bags(texts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted shingles and counts of each packed text; texts are unpacked a chunk at a time."""
+
+    def some(part: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         t, s, c = shingles(part)
         cut = np.searchsorted(t, np.arange(len(part) + 1))
-        out += [(s[i:j], c[i:j]) for i, j in zip(cut[:-1], cut[1:])]
-    return out
+        yield from ((s[i:j], c[i:j]) for i, j in zip(cut[:-1], cut[1:]))
+
+    part, size = [], 0
+    for text in map(unpack, texts):
+        if part and size + len(text) > CHUNK_CHARS:
+            yield from some(part)
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield from some(part)
 
 
 def alike(least: np.ndarray | int, most: np.ndarray | int, similarity: float):
@@ -188,33 +209,50 @@ def alike(least: np.ndarray | int, most: np.ndarray | int, similarity: float):
 
 
 def texts_of(need: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, packed text) of the nodes asked for. Equal texts meet in a partial aggregate."""
+    """(node, packed text, bytes) of the nodes asked for. Equal texts meet in a partial
+    aggregate before anything is shuffled."""
     texts = pick(docs, text="string").withColumn("text", F.coalesce("text", F.lit(""))).withColumn("node", node_of(F.col("text")))
-    texts = packed(texts).join(need, "node", "left_semi")
-    return texts.groupBy("node").agg(F.max("text").alias("text"))
+    texts = packed(texts.withColumn("bytes", F.octet_length("text"))).groupBy("node").agg(F.max("text").alias("text"), F.max("bytes").alias("bytes"))
+    return texts.join(need.hint("merge"), "node", "left_semi")
+
+
+def blocks_of(nodes, size):
+    """How many blocks take so many nodes of so many bytes."""
+    return F.greatest(F.lit(1), F.ceil(nodes / F.lit(BLOCK_NODES)), F.ceil(F.coalesce(size, F.lit(0)) / F.lit(BLOCK_BYTES))).cast("int")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes whose texts' multisets overlap enough."""
-    both = pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a").join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
+    """Pairs (a, b) of nodes whose texts' multisets overlap enough; each b is in one pair.
+
+    A seat (a, seat) gets the text of ``a`` once and those of its own ``b``; sorted, so that a
+    task holds one hub's shingles and passes over the others'. Joins that carry texts are
+    merge joins at every size: what they move grows as the texts."""
+    sized = pairs.join(texts.select(F.col("node").alias("b"), "bytes"), "b")
+    seats = sized.groupBy("a").agg(blocks_of(F.count(F.lit(1)), F.sum("bytes")).alias("seats")).where("seats > 1")
+    dealt = pairs.join(seats, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("seats", F.lit(1))).cast("int").alias("seat"))
+    others = dealt.join(texts.select(F.col("node").alias("b"), "text").hint("merge"), "b").select("a", "seat", "b", "text")
+    hubs = dealt.select("a", "seat").distinct().join(texts.select(F.col("node").alias("a"), "text").hint("merge"), "a")
+    rows = others.unionByName(hubs.withColumn("b", F.lit(None).cast("binary")))
+    rows = rows.repartition("a", "seat").sortWithinPartitions("a", "seat", F.col("b").isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub = None
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                left, right = part.column(2).to_pylist(), part.column(3).to_pylist()
-                distinct = list(dict.fromkeys([*left, *right]))
-                known = dict(zip(distinct, bags(distinct)))
-                ok = [bool(alike(*overlap(known[x], known[y]), similarity)) for x, y in zip(left, right)]
-                yield part.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            ok = []
+            for b, bag in zip(batch.column(2).to_pylist(), bags(x.as_py() for x in batch.column(3))):
+                if b is None:
+                    hub = bag
+                ok.append(b is not None and bool(alike(*overlap(hub, bag), similarity)))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        words().forget()
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
+    return rows.select("a", "seat", "b", "text").mapInArrow(run, "a binary, b binary")
 
 
 def joining(texts: list[bytes], comps: list, left: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
     """Links from the texts marked ``left`` to any other text that join two components, by
     adding up postings of shingles; ``comps`` are the components so far."""
-    sets = bags(texts)
+    sets = list(bags(texts))
     sizes = np.array([int(c.sum()) for _, c in sets])
     text = np.repeat(np.arange(len(sets)), [len(x) for x, _ in sets])
     count = np.concatenate([c for _, c in sets]) if sets else np.zeros(0, np.int64)
@@ -240,8 +278,8 @@ def across(nodes: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -
     split = counts.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
     # Buckets of one largest component go together, so a node's text travels once for each.
     held = nodes.join(split.select("bucket", F.col("largest").alias("group")), "bucket").select("group", "node", "comp").distinct()
-    held = held.withColumn("rest", F.col("comp") != F.col("group")).join(texts.select("node", F.octet_length("text").alias("bytes")), "node")
-    blocks = lambda of: F.greatest(F.lit(1), F.ceil(F.count(F.when(of, 1)) / F.lit(BLOCK_NODES)), F.ceil(F.coalesce(F.sum(F.when(of, F.col("bytes"))), F.lit(0)) / F.lit(BLOCK_BYTES))).cast("int")
+    held = held.withColumn("rest", F.col("comp") != F.col("group")).join(texts.select("node", F.col("bytes") if "bytes" in texts.columns else F.octet_length("text").alias("bytes")), "node")
+    blocks = lambda of: blocks_of(F.count(F.when(of, 1)), F.sum(F.when(of, F.col("bytes"))))
     many = held.groupBy("group").agg(blocks(F.col("rest")).alias("r"), blocks(~F.col("rest")).alias("g"))
     place = lambda k: F.pmod(F.xxhash64("node"), F.col(k)).cast("int")
     seats = lambda k, f: F.transform(F.sequence(F.lit(0), F.col(k) - 1), f)
@@ -255,11 +293,12 @@ def across(nodes: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -
     of_main = seats("r", lambda i: seat(i, own, True, F.lit(False)))
     dealt = held.join(many, "group").withColumn("own", F.when(F.col("rest"), place("r")).otherwise(place("g")))
     dealt = dealt.withColumn("seat", F.explode(F.when(F.col("rest"), of_rest).otherwise(of_main)))
-    dealt = dealt.select("group", "seat.i", "seat.j", "seat.main", "seat.left", "node", "comp").join(texts.select("node", "text"), "node")
+    dealt = dealt.select("group", "seat.i", "seat.j", "seat.main", "seat.left", "node", "comp").join(texts.select("node", "text").hint("merge"), "node")
 
     def run(table: pa.Table) -> pa.Table:
         node, comp, text = (table.column(c).to_pylist() for c in ("node", "comp", "text"))
         links = list(joining(text, [c.hex() for c in comp], table.column("left").to_numpy(), similarity))
+        words().forget()
         return pa.table({"a": pa.array([node[x] for x, _ in links], pa.binary()), "b": pa.array([node[y] for _, y in links], pa.binary())})
 
     return dealt.groupBy("group", "i", "j", "main").applyInArrow(run, "a binary, b binary").distinct()
@@ -284,8 +323,12 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     hubs.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).write.parquet(f"{folder}/pairs")
     verified(read("pairs"), read("texts"), similarity).write.parquet(f"{folder}/links-1")
     comps = components(read("links-1"), f"{folder}/comps-1")
+    for done in ("members", "shared", "pairs"):
+        delete(spark, f"{folder}/{done}")
     read("crowded").select("bucket", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).write.parquet(f"{folder}/named")
     across(read("named"), read("texts"), similarity).unionByName(read("links-1")).write.parquet(f"{folder}/links-2")
+    for done in ("crowded", "named", "texts", "comps-1"):
+        delete(spark, f"{folder}/{done}")
     comps = components(read("links-2"), f"{folder}/comps-2")
     found = rows.select("doc_id", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = found.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
@@ -298,12 +341,13 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     classes(docs, similarity).write.parquet(folder)
     found = docs.sparkSession.read.parquet(folder)
     one = found.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("one"))
-    one = one.select(F.col("one.doc_id").alias("_id2"), F.col("one.node").alias("_node2"))
-    names = docs.columns
-    keyed = docs.withColumn("_node", node_of(F.col("text"))).withColumn("_id", F.col("doc_id").cast("long"))
-    # Repeated rows of one id and text are one document.
-    kept = packed(keyed).join(one, F.expr("_id <=> _id2 and _node = _node2"), "left_semi")
-    return unpacked(kept.dropDuplicates(["_id", "_node"]).select(*names))
+    # A document's name: its id, if it has one, and its text's node. Repeated rows of one
+    # name are one document; joining and dropping them go by one shuffle of the texts.
+    named = lambda doc_id, node: F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), F.hex(node))
+    one = one.select(named(F.col("one.doc_id"), F.col("one.node")).alias("_name"))
+    keyed = packed(docs.withColumn("_name", named(F.col("doc_id").cast("long"), node_of(F.col("text")))))
+    kept = keyed.join(one.hint("merge"), "_name", "left_semi").dropDuplicates(["_name"])
+    return unpacked(kept.select(*docs.columns))
 
 
 __all__ = ["classes", "deduplicated", "overlap", "shingles", "signatures"]
