@@ -28,6 +28,7 @@ from tierlake.operators.aggregates import count_by_group
 from tierlake.operators.columns import restrict_years, years_having
 from tierlake.plans.silver import load_presence, record_path
 from tierlake.sinks.parquet import WriteReport, write_table
+from tierlake.sinks.versions import VersionedTables, is_versioned
 from tierlake.sources.fs import delete, exists, read_years, write_years
 from tierlake.sources.layers import read_layer
 from tierlake.spec import LakeSpec
@@ -53,11 +54,6 @@ class GoldPlan:
             df.unpersist()
 
 
-def _only(df: DataFrame, year_col: str, years: list[int]) -> DataFrame:
-    """Restrict to ``years`` (a partition filter)."""
-    return restrict_years(df, years, year_col)
-
-
 def gold_tables(silver: DataFrame, presence: dict[int, list[str]], spec: LakeSpec, cache_shared: bool = False) -> GoldPlan:
     """The gold tables of ``silver`` as lazy DataFrames (sorted and unsorted), for
     the years and columns that ``presence`` says each table may use."""
@@ -81,7 +77,7 @@ def gold_tables(silver: DataFrame, presence: dict[int, list[str]], spec: LakeSpe
                 F.round(F.avg(F.when(hit, F.col(rank))), d).alias("_rank_mean"),
                 F.count(F.when(hit, F.lit(1))).alias("_rank_n"),
             ]
-        shared = _only(silver, y, mean_years).groupBy(y, place).agg(*aggs)
+        shared = restrict_years(silver, mean_years, y).groupBy(y, place).agg(*aggs)
         if cache_shared:
             shared = shared.persist(StorageLevel.MEMORY_AND_DISK)
             plan.cached.append(shared)
@@ -95,7 +91,7 @@ def gold_tables(silver: DataFrame, presence: dict[int, list[str]], spec: LakeSpe
             plan.add(spec.rank_table, ranking, [F.col(y), F.col(mean_col).desc(), F.col(place)])
     if profile_years and profile_any:
         keys = [y, *profile_any]
-        counts = count_by_group(_only(silver, y, profile_years), keys, spec.count_name)
+        counts = count_by_group(restrict_years(silver, profile_years, y), keys, spec.count_name)
         plan.add(spec.profile_table, counts, [F.col(k) for k in keys])
     return plan
 
@@ -104,6 +100,69 @@ def gold_path(gold_root: str, table: str) -> str:
     return f"{gold_root.rstrip('/')}/{table}"
 
 
+def read_gold(spark: SparkSession, gold_root: str, table: str) -> DataFrame:
+    """A gold table, whether it is kept by commits or as a plain folder."""
+    if is_versioned(spark, gold_root):
+        return VersionedTables(spark, gold_root).read(table)
+    return spark.read.parquet(gold_path(gold_root, table))
+
+
+class PlainGold:
+    """Gold as one folder for each table, swapped one by one; the years' versions beside."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+
+    def has(self, name: str) -> bool:
+        return exists(self.spark, gold_path(self.root, name))
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(gold_path(self.root, name))
+
+    def record(self) -> dict[int, object]:
+        return read_years(self.spark, record_path(self.root)) or {}
+
+    def begin(self, kept: dict[int, object]) -> None:
+        write_years(self.spark, record_path(self.root), kept)
+
+    def write(self, df: DataFrame, name: str) -> WriteReport:
+        return write_table(df, gold_path(self.root, name), table=name)
+
+    def finish(self, reports: list[WriteReport], stale: list[str], versions: dict[int, object]) -> None:
+        for name in stale:
+            delete(self.spark, gold_path(self.root, name))
+        write_years(self.spark, record_path(self.root), versions)
+
+
+class CommittedGold:
+    """Gold whose tables and years' versions change together, by one commit."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.store = VersionedTables(spark, root)
+        self.base = self.store.current()
+
+    def has(self, name: str) -> bool:
+        return self.base is not None and name in self.base.tables
+
+    def read(self, name: str) -> DataFrame:
+        return self.store.read(name, self.base.version)
+
+    def record(self) -> dict[int, object]:
+        return {int(y): v for y, v in (self.base.meta.get("years", {}) if self.base else {}).items()}
+
+    def begin(self, kept: dict[int, object]) -> None:
+        pass  # until the commit nothing of the current version changes
+
+    def write(self, df: DataFrame, name: str) -> WriteReport:
+        return self.store.stage(df, name)
+
+    def finish(self, reports: list[WriteReport], stale: list[str], versions: dict[int, object]) -> None:
+        self.store.commit(reports, self.base, drop=stale, meta={"years": {str(y): v for y, v in versions.items()}})
+        self.store.clean()
+        for r in reports:
+            r.action = "written"
+
+
 def build_gold(
     spark: SparkSession,
     silver_root: str,
@@ -111,6 +170,7 @@ def build_gold(
     spec: LakeSpec,
     persist_silver: bool = False,
     years=None,
+    versioned: bool = False,
 ) -> list[WriteReport]:
     """Compute and overwrite the gold tables. ``persist_silver`` caches the projected
     silver columns across the writes (helps when silver is re-read from slow
@@ -121,23 +181,28 @@ def build_gold(
     table keeps its rows of the other years that silver still has. If a table is missing,
     everything is recomputed. The result equals a full rebuild: a table's columns are
     those that all years call for, years whose rows or keys are gone lose theirs, and a
-    table that no year supports any more is removed. Tables are written beside the old
-    ones and swapped in."""
+    table that no year supports any more is removed.
+
+    Tables are written beside the old ones and swapped in one by one; with ``versioned``
+    all three become visible by one commit (``read_gold`` reads either), so readers never
+    find a table missing or tables of two runs. A gold folder is kept the one way or the
+    other; one with commits goes on with them."""
     everything = load_presence(spark, silver_root, spec.year_col)
     versions = read_years(spark, record_path(silver_root)) or {}
-    record = read_years(spark, record_path(gold_root)) or {}
+    store = CommittedGold(spark, gold_root) if versioned or is_versioned(spark, gold_root) else PlainGold(spark, gold_root)
+    record = store.record()
     whole = gold_tables(read_layer(spark, silver_root, year_col=spec.year_col), everything, spec)
-    missing = [n for n in whole.tables if not exists(spark, gold_path(gold_root, n))]
+    missing = [n for n in whole.tables if not store.has(n)]
     if years is None or missing or not record:
         years, presence = None, everything
     else:
         todo = {int(v) for v in years} | {y for y in everything if record.get(y) != versions.get(y)}
         presence = {y: cols for y, cols in everything.items() if y in todo}
     names = (spec.mean_table, spec.rank_table, spec.profile_table)
-    stale = [n for n in names if n not in whole.tables and exists(spark, gold_path(gold_root, n))]
+    stale = [n for n in names if n not in whole.tables and store.has(n)]
     if years is not None and not presence and not stale and set(record) == set(everything):
         return [WriteReport(n, gold_path(gold_root, n), "skipped") for n in whole.tables]
-    write_years(spark, record_path(gold_root), {y: v for y, v in record.items() if years is not None and y not in presence})
+    store.begin({y: v for y, v in record.items() if years is not None and y not in presence})
     silver = read_layer(spark, silver_root, years=None if years is None else sorted(presence), year_col=spec.year_col)
     cached = []
     if persist_silver:
@@ -148,17 +213,16 @@ def build_gold(
     kept_years = sorted(set(everything) - set(presence))
 
     def write_one(name: str) -> WriteReport:
-        path = gold_path(gold_root, name)
         if years is None:
-            return write_table(plan.tables[name], path, table=name)
-        merged = spark.read.parquet(path).where(F.col(spec.year_col).isin(kept_years))
+            return store.write(plan.tables[name], name)
+        merged = store.read(name).where(F.col(spec.year_col).isin(kept_years))
         if name in plan.unsorted:
             merged = merged.unionByName(plan.unsorted[name], allowMissingColumns=True)
         wanted = [
             F.col(f.name) if f.name in merged.columns else F.lit(None).cast(f.dataType).alias(f.name)
             for f in whole.unsorted[name].schema.fields
         ]
-        return write_table(merged.select(*wanted).orderBy(*whole.orders[name]), path, table=name)
+        return store.write(merged.select(*wanted).orderBy(*whole.orders[name]), name)
 
     def write(chain: list[str]) -> list[WriteReport]:
         return [write_one(n) for n in chain if n in whole.tables]
@@ -169,9 +233,7 @@ def build_gold(
     try:
         with ThreadPoolExecutor(max_workers=len(chains)) as pool:
             reports = [r for chain in pool.map(write, chains) for r in chain]
-        for name in stale:
-            delete(spark, gold_path(gold_root, name))
-        write_years(spark, record_path(gold_root), {y: versions.get(y) for y in everything})
+        store.finish(reports, stale, {y: versions.get(y) for y in everything})
         return reports
     finally:
         plan.release()

@@ -33,6 +33,7 @@ def build_lake(
     mode: str = "skip",
     raw_format: str = "csv",
     incremental: bool = False,
+    versioned: bool = False,
 ) -> dict[str, list[WriteReport]]:
     """Run the chosen stages in bronze -> silver -> gold order; returns each stage's
     write reports. ``mode`` applies to bronze (skip finished years or overwrite).
@@ -40,7 +41,7 @@ def build_lake(
     With ``incremental``, silver and gold are recomputed only for the years that they
     lack in the version of the layer below, whether bronze wrote them in this run or in
     an earlier one that ended early; other years' rows are kept. Layers that are up to
-    date report "skipped"."""
+    date report "skipped". With ``versioned``, gold's tables change together by commits."""
     unknown = set(stages) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages {sorted(unknown)}; choose from {STAGES}")
@@ -53,5 +54,5 @@ def build_lake(
     if "silver" in stages:
         out["silver"] = [build_silver(spark, bronze, silver, spec, years=years)]
     if "gold" in stages:
-        out["gold"] = build_gold(spark, silver, gold, spec, years=years)
+        out["gold"] = build_gold(spark, silver, gold, spec, years=years, versioned=versioned)
     return out

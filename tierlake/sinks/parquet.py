@@ -13,8 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tierlake.sources.fs import delete, swap
-from tierlake.sources.layers import leaf_path
+from tierlake.sources.fs import delete, exists, swap, write_small_text
+from tierlake.sources.layers import COMMIT_FILE, leaf_path, leaf_years, mark_commit
 from tierlake.spec import YEAR_COL
 
 CODEC = "snappy"
@@ -53,6 +53,7 @@ def write_leaf(
     path = leaf_path(root, year, year_col)
     observed, obs = _observed(df.drop(year_col) if year_col in df.columns else df, f"{table}:{year}", metrics)
     observed.write.mode("overwrite").option("compression", CODEC).parquet(path)
+    mark_commit(df.sparkSession, path)
     got = dict(obs.get)
     return WriteReport(table, path, "written", int(year), int(got.pop("rows")), got)
 
@@ -86,6 +87,13 @@ def write_partitioned(
     for y, n in rows.items():
         if not n:
             delete(df.sparkSession, leaf_path(root, y, year_col))
+    # Overwriting took the old marks of the leaves that this job wrote with it.
+    spark = df.sparkSession
+    for y in leaf_years(spark, root, year_col):
+        leaf = leaf_path(root, y, year_col)
+        if not exists(spark, f"{leaf}/{COMMIT_FILE}"):
+            mark_commit(spark, leaf)
+            write_small_text(spark, f"{leaf}/_SUCCESS", "")
     return WriteReport(table, root, "written", None, int(got.pop("rows")), got, rows)
 
 

@@ -4,7 +4,9 @@ bounded by the number of folders and files, never by rows."""
 
 from __future__ import annotations
 
+import hashlib
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -60,10 +62,25 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
-def modified(spark: SparkSession, path: str) -> int:
-    """Time of the last change, in milliseconds."""
+def data_files(spark: SparkSession, path: str) -> Iterator[tuple[str, int]]:
+    """(name, size) of a folder's visible files, streamed from its listing."""
     fs, p = _fs(spark, path)
-    return int(fs.getFileStatus(p).getModificationTime())
+    it = fs.listStatusIterator(p)
+    while it.hasNext():
+        status = it.next()
+        name = status.getPath().getName()
+        if not status.isDirectory() and not name.startswith(("_", ".")):
+            yield name, int(status.getLen())
+
+
+def listing_digest(spark: SparkSession, path: str) -> str:
+    """A digest of the names and sizes of a folder's data files. Writers name every file
+    anew, so it changes with the content, and not with the folder's time."""
+    count, mixed = 0, 0
+    for name, size in data_files(spark, path):
+        count += 1
+        mixed ^= int.from_bytes(hashlib.sha1(f"{name}:{size}".encode()).digest()[:8], "little")
+    return f"files:{count}:{mixed:016x}"
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -102,6 +119,24 @@ def write_small_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"rename failed: {new.toString()} -> {path}")
 
 
+def create_small_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small metadata file under a name that does not exist yet; False if it does."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return False
+    try:
+        out = fs.create(p, False)
+    except Exception as e:
+        if fs.exists(p):
+            return False
+        raise e
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
 def read_small_text(spark: SparkSession, path: str) -> str:
     if not exists(spark, path) and exists(spark, _beside(path)):
         path = _beside(path)

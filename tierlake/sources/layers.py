@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tierlake.sources.fs import exists, first_data_file, is_complete, list_dir, modified
+from tierlake.sources.fs import exists, first_data_file, is_complete, list_dir, listing_digest, read_small_text, write_small_text
 from tierlake.spec import YEAR_COL
+from tierlake.widening import fitted, widened_schema
 
 
 def leaf_path(root: str, year: int, year_col: str = YEAR_COL) -> str:
@@ -24,6 +29,7 @@ def read_layer(
     year_col: str = YEAR_COL,
     merge_schema: bool = True,
     schemas: dict[int, StructType] | None = None,
+    widen: bool = False,
 ) -> DataFrame:
     """The whole layer with its year partition column; with ``years`` the filter on
     the partition column prunes the other leaves at planning time.
@@ -31,9 +37,13 @@ def read_layer(
     With ``merge_schema`` the schema is the by-name union of the leaves' schemas,
     one footer per year (``leaf_schemas``), handed to the reader: Spark's own
     ``mergeSchema`` would instead run a job reading the footer of every file.
-    ``schemas`` passes leaf schemas the caller has already read."""
+    ``schemas`` passes leaf schemas the caller has already read. A column whose type drifts
+    over the years is an error, or, with ``widen``, takes the widest of its types: years of
+    one schema are then read together, each group cast, and joined by name."""
     if not exists(spark, root):
         raise FileNotFoundError(f"layer not found: {root}")
+    if widen:
+        return _read_widened(spark, root, years, year_col, schemas if schemas is not None else leaf_schemas(spark, root, year_col))
     if merge_schema:
         schemas = schemas if schemas is not None else leaf_schemas(spark, root, year_col)
         if not schemas:
@@ -46,6 +56,25 @@ def read_layer(
     return df
 
 
+def _read_widened(spark: SparkSession, root: str, years: Sequence[int] | None, year_col: str, schemas: dict[int, StructType]) -> DataFrame:
+    """Each group of years with one set of column types is one scan of its leaves only."""
+    if not schemas:
+        raise FileNotFoundError(f"layer has no year leaves: {root}")
+    year = StructField(year_col, IntegerType(), True)
+    bare = {y: StructType([f for f in s.fields if f.name != year_col]) for y, s in schemas.items()}
+    whole = StructType([*widened_schema(bare[y] for y in sorted(bare)).fields, year])
+    wanted = sorted(schemas) if years is None else sorted({int(y) for y in years} & set(schemas))
+    groups: dict[tuple, list[int]] = {}
+    for y in wanted:
+        groups.setdefault(tuple((f.name, f.dataType.json()) for f in bare[y].fields), []).append(y)
+    parts = []
+    for of in groups.values():
+        own = StructType([*bare[of[0]].fields, year])
+        rows = spark.read.schema(own).option("basePath", root.rstrip("/")).parquet(*[leaf_path(root, y, year_col) for y in of])
+        parts.append(fitted(rows, whole))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], whole)
+
+
 def union_schema(schemas, year_col: str = YEAR_COL) -> StructType:
     """By-name union of leaf schemas in first-seen order, plus the year partition
     column. The same name with two types is an error, never a silent cast."""
@@ -71,24 +100,62 @@ def layer_years(spark: SparkSession, root: str, year_col: str = YEAR_COL) -> Dat
     return spark.createDataFrame(years, StructType([StructField(year_col, IntegerType())]))
 
 
+#: A leaf's own commit id; written beside its data when the write has succeeded.
+COMMIT_FILE = "_commit_id"
+STREAM_LOG = "_spark_metadata"
+
+
+def mark_commit(spark: SparkSession, leaf: str) -> str:
+    """Give a written leaf a commit id of its own."""
+    commit = uuid.uuid4().hex
+    write_small_text(spark, f"{leaf.rstrip('/')}/{COMMIT_FILE}", commit)
+    return commit
+
+
 def leaf_versions(spark: SparkSession, root: str, year_col: str = YEAR_COL) -> dict[int, str]:
-    """year -> version of its committed leaf. A leaf is committed by its own ``_SUCCESS``,
-    or by the root's, or by a stream's metadata log; one that is not raises."""
-    by_root = is_complete(spark, root) or exists(spark, f"{root.rstrip('/')}/_spark_metadata")
+    """year -> version of its committed leaf, from what it holds and never from times.
+
+    A leaf that a stream wrote has the digest of its files in the stream's own log; one
+    that a batch wrote has its commit id, or, without one, the digest of its listing. A
+    leaf is committed by its own ``_SUCCESS``, by the root's, or by the stream's log; one
+    that is not raises."""
+    by_root = is_complete(spark, root)
+    logged = stream_versions(spark, root, year_col)
     out, open_ = {}, []
     for y in leaf_years(spark, root, year_col):
         leaf = leaf_path(root, y, year_col)
-        if is_complete(spark, leaf):
-            out[y] = str(modified(spark, f"{leaf}/_SUCCESS"))
-        elif by_root:
-            out[y] = str(modified(spark, leaf))
-        else:
+        if y in logged:
+            out[y] = logged[y]
+        elif not (by_root or is_complete(spark, leaf)):
             open_.append(y)
+        elif exists(spark, f"{leaf}/{COMMIT_FILE}"):
+            out[y] = read_small_text(spark, f"{leaf}/{COMMIT_FILE}")
+        else:
+            out[y] = listing_digest(spark, leaf)
     if open_:
         raise ValueError(f"years {open_} under {root} were not committed; ingest them again")
     return out
 
 
+def stream_files(spark: SparkSession, root: str, year_col: str = YEAR_COL) -> list[tuple[int, str]]:
+    """(year, name) of the files that a stream committed under ``root``: those of its own
+    log, which is what Spark's reader of such a folder goes by. Listing only, no job."""
+    files = spark.read.schema(StructType([StructField(year_col, IntegerType())])).parquet(root).inputFiles()
+    hits = (re.search(rf"/{re.escape(year_col)}=(\d+)/([^/]+)$", f) for f in files)
+    return sorted((int(h[1]), h[2]) for h in hits if h)
+
+
+def stream_versions(spark: SparkSession, root: str, year_col: str = YEAR_COL) -> dict[int, str]:
+    """year -> digest of the files that the stream's log names for it; file names are of
+    one write each, so the digest changes with the content."""
+    if not exists(spark, f"{root.rstrip('/')}/{STREAM_LOG}"):
+        return {}
+    by_year: dict[int, list[str]] = {}
+    for y, name in stream_files(spark, root, year_col):
+        by_year.setdefault(y, []).append(name)
+    return {y: f"stream:{len(names)}:{hashlib.sha1('/'.join(names).encode()).hexdigest()}" for y, names in by_year.items()}
+
+
 def _leaf_files(spark: SparkSession, root: str, year_col: str) -> dict[int, str]:
     """year -> one data file of that year's leaf (listing only, no job)."""
     prefix = f"{year_col}="
