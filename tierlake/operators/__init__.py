@@ -28,6 +28,7 @@ from tierlake.operators.columns import (
 )
 from tierlake.operators.joins import broadcast_if_small, join_dimension, join_null_safe
 from tierlake.operators.median import exact_median
+from tierlake.operators.sketches import median_sketch_by_group, merge_by_group, quantile_of, rank_bounds, rank_error, sketches_by_group
 
 __all__ = [
     "abstention_rate",
@@ -43,13 +44,19 @@ __all__ = [
     "join_null_safe",
     "mean_by_group",
     "mean_median_by_group",
+    "median_sketch_by_group",
+    "merge_by_group",
     "present",
     "present_only",
     "preview",
+    "quantile_of",
+    "rank_bounds",
     "rank_by_mean",
+    "rank_error",
     "region_compare",
     "restrict_years",
     "select_present",
+    "sketches_by_group",
     "table_shape",
     "top_groups",
     "union_years",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tierlake.functions.scores import positive
 from tierlake.spec import YEAR_COL
+from tierlake.widening import fitted, widened_schema
 
 
 def mean_by_group(
@@ -73,8 +74,9 @@ def preview(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def union_years(frames: Mapping[int, DataFrame] | Sequence[DataFrame], year_col: str = YEAR_COL) -> DataFrame:
-    """Concatenate yearly tables by column name; a column one year lacks is NULL.
+def union_years(frames: Mapping[int, DataFrame] | Sequence[DataFrame], year_col: str = YEAR_COL, widen: bool = False) -> DataFrame:
+    """Concatenate yearly tables by column name; a column one year lacks is NULL. With
+    ``widen``, a column whose type drifts takes the widest of its types (``widening``).
 
     With a mapping, each frame is tagged with its year first. Positional union is
     never used: two years with the same column count but other names would
@@ -86,4 +88,7 @@ def union_years(frames: Mapping[int, DataFrame] | Sequence[DataFrame], year_col:
         parts = list(frames)
     if not parts:
         raise ValueError("union_years needs at least one frame")
+    if widen:
+        schema = widened_schema(p.schema for p in parts)
+        parts = [fitted(p, schema) for p in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
