@@ -8,9 +8,11 @@ one line per archive), so a score a year lacked stays NULL instead of being fill
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tierlake.plans.silver import clean_columns
 from tierlake.sinks.parquet import WriteReport, write_leaf
@@ -37,12 +39,35 @@ def archive_options(spec: LakeSpec, folder: str) -> dict[str, str]:
 def load_archives(spark: SparkSession, folder: str, spec: LakeSpec, years=None) -> DataFrame:
     """All archives as one all-string DataFrame: the year column, then the union of
     the members' columns. With ``years``, only those years' archives are listed into
-    the read (the year is in the archive name), so other archives are never opened."""
+    the read (the year is in the archive name), so other archives are never opened.
+
+    Each year is a read of its own with the year as a constant, and the whole their union:
+    any filter on the year folds the other years away while the query is planned, also if
+    the frame is used several times in one query with different years. (Spark 4.1 keeps a
+    Python source's pushed filters at the source, not at the scan, so scans of one frame
+    would take each other's.)"""
     register(spark)
     opts = archive_options(spec, folder)
     if years is not None:
         opts["years"] = ",".join(str(int(y)) for y in years)
-    return spark.read.format(FORMAT).options(**opts).load()
+    parts = list_members(opts)
+    if not parts:
+        return spark.read.format(FORMAT).options(**opts).load()  # says what was looked for
+    with ThreadPoolExecutor(max_workers=max(1, min(16, len(parts)))) as pool:
+        headers = list(pool.map(lambda p: read_header(p, opts), parts))
+    y = spec.year_col
+    names = dict.fromkeys(h for header in headers for h in header if h != y)
+    schema = StructType([StructField(y, IntegerType())] + [StructField(n, StringType()) for n in names])
+    by_year: dict[int, list[str]] = {}
+    for part in parts:
+        by_year.setdefault(part.year, []).append(part.archive)
+
+    def one(year: int) -> DataFrame:
+        of_year = {**opts, "path": ",".join(dict.fromkeys(by_year[year])), "years": ""}
+        rows = spark.read.format(FORMAT).schema(schema).options(**of_year).load()
+        return rows.select(F.lit(year).alias(y), *[F.col(f"`{n}`") for n in names])
+
+    return reduce(DataFrame.unionByName, [one(year) for year in sorted(by_year)])
 
 
 def archive_presence(folder: str, spec: LakeSpec) -> dict[int, list[str]]:

@@ -22,7 +22,7 @@ import zipfile
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, In, InputPartition
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tierlake.spec import YEAR_COL, year_from_name
@@ -70,13 +70,12 @@ class MemberPartition(InputPartition):
     year: int
 
 
-def list_members(options: dict) -> list[MemberPartition]:
-    """First matching member of each archive whose name ends in ``_<yyyy>.zip``; with
-    ``members=all`` every matching member. Members left out are warned of."""
+def list_archives(options: dict) -> list[tuple]:
+    """(file system, path on it, URI, year) of each archive whose name ends in
+    ``_<yyyy>.zip``, by listing alone; with ``years`` of those years only."""
     import pyarrow.fs as pafs
 
     roots = [p for p in options.get("path", "").split(",") if p]
-    matches = _member_filter(options)
     wanted = {int(y) for y in options.get("years", "").split(",") if y.strip()}
     found = []
     for root in roots:
@@ -93,7 +92,14 @@ def list_members(options: dict) -> list[MemberPartition]:
             # The archive's URI in the form the caller gave (scheme and authority kept).
             full = root if single else root.rstrip("/") + "/" + f.path[len(base.rstrip("/")):].lstrip("/")
             found.append((fs, f.path, full, year))
+    return found
 
+
+def list_members(options: dict, archives: set[str] | None = None) -> list[MemberPartition]:
+    """First matching member of each archive (of ``archives``, if given); with
+    ``members=all`` every matching member. Members left out are warned of."""
+    found = [item for item in list_archives(options) if archives is None or item[2] in archives]
+    matches = _member_filter(options)
     every = options.get("members", "first") == "all"
 
     def members(item) -> list[MemberPartition]:
@@ -146,7 +152,9 @@ class ZipCsvReader(DataSourceReader):
     def partitions(self):
         return list_members(self.options)
 
-    def read(self, partition: MemberPartition):
+    def read(self, partition: MemberPartition | None):
+        if partition is None:  # no archive matches; Spark then asks for one absent partition
+            return
         header = read_header(partition, self.options)
         if not header:
             return
@@ -308,6 +316,33 @@ class ZipCsvReader(DataSourceReader):
                 c.close()
 
 
+class ZipCsvStreamReader(DataSourceStreamReader):
+    """Archives as a stream: an offset is the set of archives seen, so one that comes late
+    is read whatever its name sorts after, and none is read twice."""
+
+    def __init__(self, options: dict, schema: StructType):
+        self.batch = ZipCsvReader(options, schema)
+
+    def initialOffset(self) -> dict:
+        return {"archives": []}
+
+    def latestOffset(self) -> dict:
+        return {"archives": sorted(item[2] for item in list_archives(self.batch.options))}
+
+    def partitions(self, start: dict, end: dict) -> list[MemberPartition]:
+        new = set(end["archives"]) - set(start["archives"])
+        return list_members(self.batch.options, new) if new else []
+
+    def read(self, partition: MemberPartition | None):
+        if partition is None:
+            return
+        known = {f.name for f in self.batch.schema.fields}
+        unknown = [h for h in read_header(partition, self.batch.options) if h not in known]
+        if unknown:
+            raise ValueError(f"{partition.archive}!{partition.member} has columns {unknown} that the stream was not started with")
+        yield from self.batch.read(partition)
+
+
 class ZipCsvDataSource(DataSource):
     """Options: ``path`` (folder, archive, or comma list), ``sep``, ``encoding``,
     ``quote``, ``escape``, ``member_tokens`` (comma list of substrings the member
@@ -344,6 +379,9 @@ class ZipCsvDataSource(DataSource):
     def reader(self, schema: StructType) -> ZipCsvReader:
         return ZipCsvReader(self.options, schema)
 
+    def streamReader(self, schema: StructType) -> ZipCsvStreamReader:
+        return ZipCsvStreamReader(self.options, schema)
+
 
 def register(spark) -> None:
     """Make ``format("zipcsv")`` available in this session (idempotent); the
