@@ -127,6 +127,32 @@ def write_raw_csv(
     return years
 
 
+def write_raw_lines(spark: SparkSession, lines: DataFrame, header: Sequence[str], raw_root: str, spec: LakeSpec, prefix: str) -> None:
+    """Write (year, line) as yearly raw files of these very lines below the header, so that
+    lines which do not fit the header can be among them."""
+    y, staging = spec.year_col, f"{raw_root.rstrip('/')}_staging"
+    # One column named as the header, in a dialect that quotes and separates nothing.
+    whole = lines.select(y, F.col("line").alias(spec.dialect.sep.join(header)))
+    options = {"header": "true", "sep": "\u0001", "quote": "", "escape": "", "encoding": spec.dialect.encoding}
+    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": ""}
+    whole.write.mode("overwrite").options(**options, **keep).partitionBy(y).csv(staging)
+    for e in list_dir(spark, staging):
+        if e.is_dir and e.name.startswith(f"{y}="):
+            yr = int(e.name.split("=", 1)[1])
+            rename(spark, e.path, spec.raw_files(f"{raw_root.rstrip('/')}/{prefix}_{yr}", yr)[0])
+
+
+def broken_lines(raw: DataFrame, spec: LakeSpec) -> DataFrame:
+    """(year, line): the raw records as lines, those of line number 6 cut behind their fourth
+    field and those of line number 5 with two fields too many."""
+    names = [c for c in raw.columns if c != spec.year_col]
+    texts = [F.coalesce(F.col(c), F.lit("")) for c in names]
+    sep = spec.dialect.sep
+    n = F.col("l_linenumber")
+    line = F.when(n == "6", F.concat_ws(sep, *texts[:4])).when(n == "5", F.concat_ws(sep, *texts, F.lit("more"), F.lit(""))).otherwise(F.concat_ws(sep, *texts))
+    return raw.select(spec.year_col, line.alias("line"))
+
+
 def _zip_writer(cols: list[str], year_col: str, folder: str, prefix: str, spec: LakeSpec):
     def run(batches):
         from pyspark import TaskContext
