@@ -2,11 +2,12 @@
 
 Tokens are summed into cells of (source, language, topic). Raking then scales the cells'
 weights to each margin's targets in turn, ``rounds`` times. A document's factor is its
-cell's raked over its observed tokens. Its probability is factor / ``MOST``, at most 1; where a
-rare cell would need more, the rest is the document's weight, so that probability times
-weight is proportional to the factor everywhere and the expected weighted token shares of
-the sample are the raked ones. A document is taken when the hash of its id and the seed, as a number in
-[0, 1), is below its probability, so the sample does not depend on partitions or retries.
+cell's raked over its observed tokens. Its probability is its factor over the largest factor of
+all cells, so no probability is cut and the expected token shares of the sampled rows are the
+raked ones, without weights. A document is taken when the hash of its id and the seed, as a
+number in [0, 1), is below its probability, so the sample does not depend on partitions or
+retries. With a smaller ``most`` given in place of the largest factor more documents are taken,
+probabilities end at 1 and the rest of the factor is the document's ``weight``.
 ``drawn`` needs no weight: a document becomes the whole part of factor / ``MOST`` rows, and one
 more when that number is below the fraction, so the expected shares of the rows are the raked ones.
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from tierlake.session import run_dir
 
 ALPHA, ROUNDS, SEED = 0.7, 8, "mix-1"
-#: The factor that is taken for sure; documents of factor 1 are taken with 1 / MOST.
+#: The factor that ``drawn`` makes one row on average of.
 MOST = 1.5
 MARGINS = ("source", "lang", "topic")
 WORD = r"[^ \t\n\r]+"
@@ -87,7 +88,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, folder: s
     return cells
 
 
-def assigned(docs: DataFrame, columns: dict[str, Column] | None, alpha: float, given: dict[str, dict[str, float]] | None, rounds: int, seed: str, most: float) -> DataFrame:
+def assigned(docs: DataFrame, columns: dict[str, Column] | None, alpha: float, given: dict[str, dict[str, float]] | None, rounds: int, seed: str, most: float | None) -> DataFrame:
     """``docs`` with columns of the prefix ``_mix_``: labels, tokens, factor, chance, prob, taken."""
     spark = docs.sparkSession
     folder = run_dir(spark, "mixing")
@@ -99,14 +100,17 @@ def assigned(docs: DataFrame, columns: dict[str, Column] | None, alpha: float, g
         targets_of(cells, m, alpha, (given or {}).get(m)).write.parquet(f"{folder}/target-{m}")
     raked = rake(cells, {m: spark.read.parquet(f"{folder}/target-{m}") for m in MARGINS}, rounds, folder)
     rates = raked.select(*[F.col(m).alias(f"_mix_{m}") for m in MARGINS], (F.col("w") / F.col("observed")).alias("_mix_factor"))
-    out = keyed.join(rates, [f"_mix_{m}" for m in MARGINS])
+    if most is None:
+        (most,) = scalar(rates, F.max("_mix_factor"))
+    most = most or 1.0
+    out = keyed.join(rates, [f"_mix_{m}" for m in MARGINS]).withColumn("_mix_most", F.lit(float(most)))
     digest = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f"|{seed}")))
     chance = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
-    out = out.withColumn("_mix_chance", chance).withColumn("_mix_prob", F.least(F.lit(1.0), F.col("_mix_factor") / F.lit(most)))
+    out = out.withColumn("_mix_chance", chance).withColumn("_mix_prob", F.least(F.lit(1.0), F.col("_mix_factor") / F.col("_mix_most")))
     return out.withColumn("_mix_taken", F.col("_mix_chance") < F.col("_mix_prob"))
 
 
-def mix(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: float = ALPHA, given: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS, seed: str = SEED, most: float = MOST) -> DataFrame:
+def mix(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: float = ALPHA, given: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS, seed: str = SEED, most: float | None = None) -> DataFrame:
     """``docs`` with topic, n_tokens, factor, prob, weight and sampled. ``columns`` gives the
     expressions of source, lang, topic and tokens where they are not the usual ones."""
     made = {
@@ -114,16 +118,15 @@ def mix(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: float
         "n_tokens": F.col("_mix_tokens"),
         "factor": F.col("_mix_factor"),
         "prob": F.col("_mix_prob"),
-        "weight": F.greatest(F.lit(1.0), F.col("_mix_factor") / F.lit(most)),
+        "weight": F.greatest(F.lit(1.0), F.col("_mix_factor") / F.col("_mix_most")),
         "sampled": F.col("_mix_taken"),
     }
     out = assigned(docs, columns, alpha, given, rounds, seed, most)
     return out.select(*[c for c in docs.columns if c not in made], *[c.alias(name) for name, c in made.items()])
 
 
-def sample(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: float = ALPHA, given: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS, seed: str = SEED, most: float = MOST) -> DataFrame:
-    """The documents taken, once each, with the columns of ``docs``. Without the weights their
-    token shares fall short where a factor is over ``most``; rows that need none: ``drawn``."""
+def sample(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: float = ALPHA, given: dict[str, dict[str, float]] | None = None, rounds: int = ROUNDS, seed: str = SEED, most: float | None = None) -> DataFrame:
+    """The documents taken, once each, with the columns of ``docs``."""
     return assigned(docs, columns, alpha, given, rounds, seed, most).where("_mix_taken").select(*docs.columns)
 
 
@@ -137,7 +140,7 @@ def drawn(docs: DataFrame, columns: dict[str, Column] | None = None, alpha: floa
     return out.where((whole > 0) | more).withColumn("_mix_copy", F.explode(copies)).select(*docs.columns)
 
 
-def mix_sql(alpha: float = ALPHA, rounds: int = ROUNDS, seed: str = SEED, most: float = MOST) -> str:
+def mix_sql(alpha: float = ALPHA, rounds: int = ROUNDS, seed: str = SEED) -> str:
     """The same result for ``documents`` in DuckDB SQL: raking as a chain of windows."""
     ctes = [
         r"""base as (select doc_id, coalesce(source, '') as source, coalesce(lang, '') as lang, coalesce(text, '') as text from documents),
@@ -157,10 +160,11 @@ def mix_sql(alpha: float = ALPHA, rounds: int = ROUNDS, seed: str = SEED, most:
             ctes.append(f"{name} as (select a.* exclude (w), a.w * (t.target / sum(a.w) over (partition by a.{m})) as w from {at} a join t_{m} t using ({m}))")
             at = name
     return f"""with {', '.join(ctes)},
-        f as (select source, lang, topic, w / observed as factor from {at})
-        select doc_id, source, lang, topic, n_tokens, round(factor, 9) as factor, round(least(1.0, factor / {most}), 9) as prob, round(greatest(1.0, factor / {most}), 9) as weight,
-               ('0x' || substr(md5(coalesce(doc_id::varchar, '') || '|{seed}'), 1, 13))::bigint / 4503599627370496.0 < least(1.0, factor / {most}) as sampled
-        from docs join f using (source, lang, topic)"""
+        f as (select source, lang, topic, w / observed as factor from {at}),
+        p as (select *, factor / (select max(factor) from f) as prob from f)
+        select doc_id, source, lang, topic, n_tokens, round(factor, 9) as factor, round(prob, 9) as prob, 1.0::double as weight,
+               ('0x' || substr(md5(coalesce(doc_id::varchar, '') || '|{seed}'), 1, 13))::bigint / 4503599627370496.0 < prob as sampled
+        from docs join p using (source, lang, topic)"""
 
 
 __all__ = ["drawn", "mix", "mix_sql", "sample", "topic_of"]
