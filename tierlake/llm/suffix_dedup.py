@@ -51,6 +51,8 @@ LENGTH, TOKEN = 100, 16
 CHUNK, FLUSH = 1 << 21, 1 << 25
 #: Documents and leading tokens that the splitters are taken from, at most.
 SAMPLE_DOCS, SAMPLE_TOKENS = 2_000, 100_000
+#: Ranges of leading tokens, at most; further buckets split them by a hash of the token.
+MAX_RANGES = 1 << 14
 #: Bytes of text for a bucket on average, at most; a token is hot where it has more than a
 #: HOT_SHARE-th of a bucket's records, and at least HOT_LEAST; records counted together.
 BUCKET_BYTES, HOT_SHARE, HOT_LEAST, BLOCK = 1 << 25, 16, 2_000, 1 << 20
@@ -120,12 +122,20 @@ def spans_by_text(doc: np.ndarray, row: np.ndarray, lo: np.ndarray, hi: np.ndarr
 
 
 class Splitters:
-    """Buckets of leading tokens; a border compares both words of a token."""
+    """Buckets of leading tokens; a border compares both words of a token. Where more buckets
+    are asked for than borders are held, a range is dealt over several by a hash of the
+    token, so that all suffixes of a token stay together."""
 
-    def __init__(self, borders: np.ndarray):
+    def __init__(self, borders: np.ndarray, buckets: int = 1):
         self.w0, self.w1 = borders[:, 0].copy(), borders[:, 1].copy()
+        self.ranges = len(self.w0) + 1
+        self.each = max(1, buckets // self.ranges)
 
     def buckets(self, w0: np.ndarray, w1: np.ndarray) -> np.ndarray:
+        mixed = (w0 ^ (w1 * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
+        return self.range_of(w0, w1) + self.ranges * ((mixed >> np.uint64(33)) % np.uint64(self.each)).astype(np.int64)
+
+    def range_of(self, w0: np.ndarray, w1: np.ndarray) -> np.ndarray:
         low, high = np.searchsorted(self.w0, w0, "left"), np.searchsorted(self.w0, w0, "right")
         for i in np.unique(low[low < high]):
             same = (low == i) & (low < high)
@@ -389,7 +399,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def sampled_splitters(rows: DataFrame, buckets: int, length: int) -> Splitters:
     """Quantiles of the leading tokens of at most ``SAMPLE_DOCS`` documents on average, and at
-    most ``SAMPLE_TOKENS`` tokens; they only decide how even the buckets are."""
+    most ``SAMPLE_TOKENS`` tokens; they only decide how even the buckets are. Borders are at
+    most ``MAX_RANGES``, so what tasks are sent is bounded whatever the number of buckets."""
     n = rows.count()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -404,9 +415,10 @@ def sampled_splitters(rows: DataFrame, buckets: int, length: int) -> Splitters:
     got = some.mapInArrow(run, "w0 long, w1 long, doc long, at long").orderBy(F.xxhash64("doc", "at"), "w0", "w1").limit(SAMPLE_TOKENS).toPandas()
     w0, w1 = (got[c].to_numpy(np.int64).view(np.uint64) for c in ("w0", "w1"))
     order = np.lexsort((w1, w0))
-    at = order[np.linspace(0, len(order), buckets + 1)[1:-1].astype(int)] if len(order) >= buckets else order[:0]
+    ranges = min(buckets, MAX_RANGES, len(order))
+    at = order[np.linspace(0, len(order), ranges + 1)[1:-1].astype(int)] if ranges else order[:0]
     borders = np.stack([w0[at], w1[at]], 1).reshape(-1, 2)
-    return Splitters(np.unique(borders, axis=0))
+    return Splitters(np.unique(borders, axis=0), buckets)
 
 
 def hot_tokens(rows: DataFrame, length: int, buckets: int, n_bytes: int) -> frozenset[bytes]:
