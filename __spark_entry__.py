@@ -13,6 +13,7 @@ import json
 import sys
 import threading
 from collections.abc import Callable
+from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +52,7 @@ from tierlake.operators import (  # noqa: E402
     with_year,
 )
 from tierlake.operators.models import classify_top, cluster_scores, evaluate_clusters, evaluate_top  # noqa: E402
+from tierlake.operators.selection import select_classifier  # noqa: E402
 from tierlake.plans.gate import QualityGate  # noqa: E402
 from tierlake.plans import (  # noqa: E402
     build_bronze,
@@ -76,11 +78,21 @@ from tierlake.spec import DOCUMENTS_SPEC, EXAM_SPEC, LINEITEM_SPEC  # noqa: E402
 from tierlake.specfile import read_spec, to_json  # noqa: E402
 from tierlake.streaming import ingest_archives_stream, ingest_stream  # noqa: E402
 
-try:  # the training-data operators are an optional part
+
+
+def _has_llm() -> bool:
+    """Whether the training-data operators, an optional part, are there. If they are, a
+    module that they lack is an error of its own."""
+    try:
+        return find_spec("tierlake.llm.queries") is not None and find_spec("corpus_pipeline") is not None
+    except ModuleNotFoundError:
+        return False
+
+
+llm = corpus_pipeline = None
+if _has_llm():
     import corpus_pipeline
     from tierlake.llm import queries as llm
-except ImportError:
-    llm = corpus_pipeline = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 LI = LINEITEM_SPEC
@@ -551,6 +563,15 @@ def q_ml_cluster_eval(spark, sf_dir):
     return evaluate_clusters(silver, ["l_orderkey", "l_linenumber"], LI.scores, k=4)
 
 
+def q_ml_model_selection(spark, sf_dir):
+    """D9 with settings chosen by average precision: the answer for every held-out row. The
+    target follows from the profile, so a right model answers as the rows themselves do."""
+    silver = read_layer(spark, f"{lineitem_lake(spark, sf_dir)}/silver")
+    grid = [{"num_trees": 1, "max_depth": 0}, {"num_trees": 5, "max_depth": 4}]
+    found = select_classifier(silver, ["l_orderkey", "l_linenumber"], [LI.place, "l_linestatus", "l_linenumber"], F.col("l_tax").isNull(), grid)
+    return found.scored.select("l_orderkey", "l_linenumber", F.col("prediction").cast("int").alias("predicted"))
+
+
 def q_ml_classify(spark, sf_dir):
     silver = read_layer(spark, f"{lineitem_lake(spark, sf_dir)}/silver")
     return classify_top(
@@ -855,6 +876,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "codec_report": q_codec_report,
         "quality_gate": q_quality_gate,
         "spec_file_gold": q_spec_file_gold,
+        "ml_model_selection": q_ml_model_selection,
         "ml_classify": q_ml_classify,
         "ml_cluster": q_ml_cluster,
     }
@@ -984,6 +1006,9 @@ def oracle_sql() -> dict[str, str]:
         "ml_classify_eval": f"""with s as ({_silver_sql()}),
                  h as (select * from s where ('0x' || substr(md5(l_orderkey || '|' || l_linenumber), 1, 8))::bigint % 100 < 30)
             select count(*) as rows, count(*) filter (where l_tax is null) as positives, true as adds_up, true as beats_majority from h""",
+        "ml_model_selection": f"""with s as ({_silver_sql()})
+            select l_orderkey, l_linenumber, cast(l_tax is null as int) as predicted from s
+            where ('0x' || substr(md5(l_orderkey || '|' || l_linenumber), 1, 8))::bigint % 100 < 30""",
         "ml_cluster_eval": f"""with s as ({_silver_sql()})
             select count(*) as rows, count(*) filter (where l_quantity + l_extendedprice + l_discount + l_tax is not null) as placed,
                    4::bigint as clusters, 0::bigint as misplaced from s""",

@@ -97,7 +97,8 @@ def classify_top(
         *id_cols,
         "label",
         "prediction",
-        vector_to_array("probability")[1].alias("p_positive"),
+        # A forest that saw no positive row knows one class only.
+        F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0)).alias("p_positive"),
     )
 
 
