@@ -191,7 +191,8 @@ def build_gold(
     versions = read_years(spark, record_path(silver_root)) or {}
     store = CommittedGold(spark, gold_root) if versioned or is_versioned(spark, gold_root) else PlainGold(spark, gold_root)
     record = store.record()
-    whole = gold_tables(read_layer(spark, silver_root, year_col=spec.year_col), everything, spec)
+    layer = read_layer(spark, silver_root, year_col=spec.year_col)
+    whole = gold_tables(layer, everything, spec, cache_shared=not persist_silver)
     missing = [n for n in whole.tables if not store.has(n)]
     if years is None or missing or not record:
         years, presence = None, everything
@@ -201,15 +202,19 @@ def build_gold(
     names = (spec.mean_table, spec.rank_table, spec.profile_table)
     stale = [n for n in names if n not in whole.tables and store.has(n)]
     if years is not None and not presence and not stale and set(record) == set(everything):
+        whole.release()
         return [WriteReport(n, gold_path(gold_root, n), "skipped") for n in whole.tables]
     store.begin({y: v for y, v in record.items() if years is not None and y not in presence})
-    silver = read_layer(spark, silver_root, years=None if years is None else sorted(presence), year_col=spec.year_col)
+    silver = layer if years is None else read_layer(spark, silver_root, years=sorted(presence), year_col=spec.year_col)
     cached = []
     if persist_silver:
         need = [c for c in dict.fromkeys([spec.year_col, spec.place, *spec.scores, *spec.profile]) if c in silver.columns]
         silver = silver.select(*need).persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(silver)
-    plan = gold_tables(silver, presence, spec, cache_shared=True)
+    plan = whole
+    if years is not None or persist_silver:
+        whole.release()
+        plan = gold_tables(silver, presence, spec, cache_shared=True)
     kept_years = sorted(set(everything) - set(presence))
 
     def write_one(name: str) -> WriteReport:
