@@ -373,7 +373,7 @@ def test_queries_equal_their_sql(spark, name):
 
 def test_all_queries_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in se.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in se.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in se.queries()
 
 
 def test_stages_on_odd_and_empty_tables(spark):
