@@ -58,3 +58,14 @@ def test_kmeans_is_seeded_and_keeps_rows_it_cannot_place(spark):
     assert a.where("cluster is not null").count() == complete < df.count() == len(rows_a)  # malformed scores (line 7)
     assert rows_a == sorted(map(repr, b.collect()))
     assert {r["cluster"] for r in a.collect()} <= {0, 1, 2, None}
+
+
+def test_training_rows_come_in_bounded_parts(spark):
+    from tierlake.operators.models import training_parts
+
+    same = spark.range(0, 4000, 1, 1).select(F.lit(1.0).alias("x"))  # equal rows, one part
+    with training_parts(same, 4000, most=250) as rows:
+        sizes = [r[0] for r in rows.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert sum(sizes) == 4000 and max(sizes) <= 500 and len(sizes) >= 12
+    with training_parts(same, 4000) as rows:
+        assert rows is same

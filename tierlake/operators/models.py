@@ -7,9 +7,10 @@ model, two class counts, and the categories of the features, whose number is che
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
@@ -21,6 +22,29 @@ from pyspark.sql import functions as F
 #: Categories of one feature that the forest takes; they are model state on the driver.
 MAX_CATEGORIES = 10_000
 
+#: Training rows in one part. Spark ML keeps the rows of a part as objects, some hundred
+#: bytes each, in a cached block that a task reads whole in every pass; a part of the scan
+#: may hold millions of rows, which take few bytes each in the file.
+TRAINING_ROWS = 500_000
+
+
+@contextmanager
+def training_parts(rows: DataFrame, n: int, most: int = TRAINING_ROWS) -> Iterator[DataFrame]:
+    """The ``n`` training rows in parts of about ``most`` at most, as they are if one would
+    do. Rows are dealt by their place in the input, so equal rows do not meet in a part.
+    They are kept within the block, as a fit plans its input several times."""
+    parts = -(-n // most)
+    if parts <= 1:
+        yield rows
+        return
+    parts = max(parts, rows.sparkSession.sparkContext.defaultParallelism)
+    placed = rows.withColumn("_place", F.monotonically_increasing_id())
+    dealt = placed.repartition(parts, "_place").drop("_place").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield dealt
+    finally:
+        dealt.unpersist()
+
 
 def in_holdout(id_cols: Sequence[str], percent: int = 30) -> Column:
     """A fixed share of the rows by a digest of their ids, the same in every engine."""
@@ -72,27 +96,24 @@ def classify_top(
     w_pos = float(n - pos) / pos if pos else 1.0
     data = data.withColumn("weight", F.when(F.col("label") == 1.0, F.lit(w_pos)).otherwise(F.lit(1.0)))
     idx_cols = [f"{c}_idx" for c in features]
-    pipeline = Pipeline(
-        stages=[
-            StringIndexer(inputCols=cats, outputCols=idx_cols, handleInvalid="keep"),
-            VectorAssembler(inputCols=idx_cols, outputCol="features"),
-            RandomForestClassifier(
-                labelCol="label",
-                featuresCol="features",
-                weightCol="weight",
-                numTrees=num_trees,
-                maxDepth=max_depth,
-                maxBins=bins,
-                seed=seed,
-            ),
-        ]
+    indexer = StringIndexer(inputCols=cats, outputCols=idx_cols, handleInvalid="keep").fit(data.where("_train"))
+    assembler = VectorAssembler(inputCols=idx_cols, outputCol="features")
+    forest = RandomForestClassifier(
+        labelCol="label",
+        featuresCol="features",
+        weightCol="weight",
+        numTrees=num_trees,
+        maxDepth=max_depth,
+        maxBins=bins,
+        seed=seed,
     )
-    fitted = pipeline.fit(data.where("_train"))
+    training = indexer.transform(data.where("_train")).select(*idx_cols, "label", "weight")
+    with training_parts(training, n) as rows:
+        fitted = forest.fit(assembler.transform(rows))
     # Score with a copy of the forest: the copy carries no training summary, which
     # holds the session and cannot be shipped to tasks once the session has used an
     # Observation.
-    model = PipelineModel(stages=[*fitted.stages[:-1], fitted.stages[-1].copy()])
-    scored = model.transform(data)
+    scored = fitted.copy().transform(assembler.transform(indexer.transform(data)))
     return scored.select(
         *id_cols,
         "label",
@@ -144,18 +165,15 @@ def _clustered(df: DataFrame, id_cols: Sequence[str], scores: Sequence[str], k:
     for s in scores:
         complete = complete & F.col(s).isNotNull() & ~F.isnan(F.col(s))
     data = df.select(*id_cols, *scores)
-    pipeline = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(scores), outputCol="raw"),
-            StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-            KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed),
-        ]
-    )
-    fitted = pipeline.fit(data.where(complete))
-    model = PipelineModel(stages=[*fitted.stages[:-1], fitted.stages[-1].copy()])
-    placed = model.transform(data.where(complete))
+    rows = data.where(complete)
+    assembler = VectorAssembler(inputCols=list(scores), outputCol="raw")
+    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(assembler.transform(rows))
+    means = KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed)
+    with training_parts(rows.select(*scores), rows.count()) as training:
+        fitted = means.fit(scaler.transform(assembler.transform(training)))
+    placed = fitted.copy().transform(scaler.transform(assembler.transform(rows)))
     unplaced = data.where(~F.coalesce(complete, F.lit(False)))
-    return placed, unplaced, fitted.stages[-1]
+    return placed, unplaced, fitted
 
 
 def cluster_scores(
