@@ -50,3 +50,12 @@ def test_equal_candidates_and_an_empty_grid(rows):
     assert select_classifier(rows, ["id"], ["a"], F.lit(False), GRID).settings == GRID[0]
     with pytest.raises(ValueError):
         select_classifier(rows, ["id"], ["a"], F.lit(False), [])
+
+
+def test_parts_are_found_once(spark):
+    df = spark.range(400).select("id", F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("f"))
+    found = select_classifier(df, ["id"], ["f"], F.col("f") == "a", [{"num_trees": 1, "max_depth": 1}])
+    assert found.scored.columns == ["id", "label", "prediction", "p_positive"]
+    assert "md5" not in found.scored._jdf.queryExecution().executedPlan().toString()
+    assert found.scored.count() == df.where(part_of(["id"]) == "test").count()
+    assert found.scored.where("label != prediction").count() == 0

@@ -13,8 +13,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tierlake.operators.models import classify_top
+from tierlake.session import run_dir, unsorted_leaves
 
 TEST, VALID = 30, 20
 
@@ -55,14 +57,22 @@ def select_classifier(
     equal candidates the first wins."""
     if not grid:
         raise ValueError("the grid is empty")
-    part = part_of(id_cols, test, valid)
+    # Every fit and every judgement goes over the rows several times: their parts and labels
+    # are found once, and the rows of each part lie apart, so that a pass reads those it is of.
+    spark, path = df.sparkSession, run_dir(df.sparkSession, "selection")
+    own = list(dict.fromkeys([*id_cols, *features]))
+    rows = df.select(*own, label.cast("double").alias("_label"), part_of(id_cols, test, valid).alias("_part"))
+    with unsorted_leaves(spark):
+        rows.write.partitionBy("_part").parquet(path)
+    rows = spark.read.schema(StructType([*rows.schema.fields])).parquet(path)
+    part, target = F.col("_part"), F.col("_label")
     found = []
     for settings in grid:
-        scored = classify_top(df, id_cols, features, label, train=part == "train", seed=seed, **settings)
+        scored = classify_top(rows, [*id_cols, "_part"], features, target, train=part == "train", seed=seed, **settings)
         found.append(average_precision(scored.where(part == "valid")))
     best = max(range(len(grid)), key=lambda i: (found[i], -i))
-    final = classify_top(df, id_cols, features, label, train=part != "test", seed=seed, **grid[best])
-    return Selection(final.where(part == "test"), dict(grid[best]), tuple(found))
+    final = classify_top(rows, [*id_cols, "_part"], features, target, train=part != "test", seed=seed, **grid[best])
+    return Selection(final.where(part == "test").drop("_part"), dict(grid[best]), tuple(found))
 
 
 def confusion(scored: DataFrame) -> DataFrame:

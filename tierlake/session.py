@@ -8,6 +8,8 @@ import tempfile
 import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -68,6 +70,34 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{root}/tierlake/{label}-{uuid.uuid4().hex[:12]}"
 
 
+#: Leaves that one task of a partitioned write holds open; rows of more are sorted.
+OPEN_LEAVES = 32
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+_WRITING: dict[str, int] = {}
+_WRITE_LOCK = threading.Lock()
+
+
+@contextmanager
+def unsorted_leaves(spark: SparkSession) -> Iterator[None]:
+    """Within it, a task of a partitioned write has a file open for each leaf its rows belong
+    to. By default Spark sorts all rows of the task by leaf first, in its memory, to have one
+    file open at a time. A setting of the session's own stays."""
+    app = spark.sparkContext.applicationId
+    with _WRITE_LOCK:
+        own = not _WRITING.get(app) and spark.conf.get(_WRITERS, "0") != "0"
+        if not own:
+            _WRITING[app] = _WRITING.get(app, 0) + 1
+            spark.conf.set(_WRITERS, str(OPEN_LEAVES))
+    try:
+        yield
+    finally:
+        if not own:
+            with _WRITE_LOCK:
+                _WRITING[app] -= 1
+                if not _WRITING[app]:
+                    spark.conf.unset(_WRITERS)
+
+
 def to_local(path: str) -> str:
     """Strip a ``file:`` scheme for Python-side file access in tests."""
     if path.startswith("file://"):
@@ -114,4 +144,4 @@ def ship_package(spark: SparkSession) -> None:
         _SHIPPED.add(sc.applicationId)
 
 
-__all__ = ["local_session", "ship_package", "shared_root", "run_dir", "to_local"]
+__all__ = ["local_session", "ship_package", "shared_root", "run_dir", "to_local", "unsorted_leaves"]
