@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.functions.scores import year_of
-from tierlake.session import ship_package
+from tierlake.session import ship_package, unsorted_leaves
 from tierlake.sources.fs import list_dir, rename
 from tierlake.spec import LakeSpec, YEAR_COL
 
@@ -118,7 +118,8 @@ def write_raw_csv(
         writer = part.write.mode("overwrite").options(**spec.dialect.write_options())
         if max_records_per_file:
             writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
-        writer.partitionBy(y).csv(out)
+        with unsorted_leaves(spark):
+            writer.partitionBy(y).csv(out)
         for e in list_dir(spark, out):
             if e.is_dir and e.name.startswith(f"{y}="):
                 yr = int(e.name.split("=", 1)[1])
@@ -135,7 +136,8 @@ def write_raw_lines(spark: SparkSession, lines: DataFrame, header: Sequence[str]
     whole = lines.select(y, F.col("line").alias(spec.dialect.sep.join(header)))
     options = {"header": "true", "sep": "\u0001", "quote": "", "escape": "", "encoding": spec.dialect.encoding}
     keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": ""}
-    whole.write.mode("overwrite").options(**options, **keep).partitionBy(y).csv(staging)
+    with unsorted_leaves(spark):
+        whole.write.mode("overwrite").options(**options, **keep).partitionBy(y).csv(staging)
     for e in list_dir(spark, staging):
         if e.is_dir and e.name.startswith(f"{y}="):
             yr = int(e.name.split("=", 1)[1])

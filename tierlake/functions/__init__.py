@@ -2,9 +2,10 @@ from tierlake.functions.scores import (
     bin_of,
     is_malformed,
     is_nan,
+    number,
     parse_score,
     positive,
     year_of,
 )
 
-__all__ = ["bin_of", "is_malformed", "is_nan", "parse_score", "positive", "year_of"]
+__all__ = ["bin_of", "is_malformed", "is_nan", "number", "parse_score", "positive", "year_of"]

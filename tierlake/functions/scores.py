@@ -11,25 +11,36 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_score(c: str | Column, fill: float = 0.0) -> Column:
-    """Absent score (NULL raw text) becomes ``fill``; anything else is cast to double.
+def number(c: str | Column) -> Column:
+    """The text as a double, NULL for text that is not a number.
+
+    Every number holds a digit, or the n of NaN and of infinity. Text without any is not
+    tried: a cast that fails raises an exception inside, at many times the cost of one
+    that does not."""
+    raw = _col(c)
+    return F.when(raw.cast("string").rlike("[0-9nN]"), raw.try_cast("double"))
+
+
+def parse_score(c: str | Column, fill: float = 0.0, value: Column | None = None) -> Column:
+    """Absent score (NULL raw text) becomes ``fill``; anything else is cast to double, or is
+    ``value`` where the caller has ``number(c)`` already.
 
     The NULL test is on the raw value, so text that is not a number stays NULL rather
     than turning into ``fill``. ``try_cast`` keeps that true under ANSI mode, where a
     plain cast would raise instead.
     """
     raw = _col(c)
-    return F.when(raw.isNull(), F.lit(float(fill))).otherwise(raw.try_cast("double"))
+    return F.when(raw.isNull(), F.lit(float(fill))).otherwise(number(raw) if value is None else value)
 
 
-def is_malformed(c: str | Column) -> Column:
+def is_malformed(c: str | Column, value: Column | None = None) -> Column:
     """Raw text present but not a number."""
     raw = _col(c)
-    return raw.isNotNull() & raw.try_cast("double").isNull()
+    return raw.isNotNull() & (number(raw) if value is None else value).isNull()
 
 
-def is_nan(c: str | Column) -> Column:
-    return F.isnan(_col(c).try_cast("double"))
+def is_nan(c: str | Column, value: Column | None = None) -> Column:
+    return F.isnan(number(c) if value is None else value)
 
 
 def positive(c: str | Column) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tierlake.functions.scores import is_malformed, is_nan
 from tierlake.operators.columns import years_having
 from tierlake.plans.gold import build_gold
-from tierlake.plans.silver import build_silver, silver_frame
+from tierlake.plans.silver import build_silver, silver_frame, with_numbers
 from tierlake.sinks.parquet import WriteReport
 from tierlake.sinks.versions import VersionedTables
 from tierlake.spec import LakeSpec
@@ -47,9 +47,11 @@ def quality_by_year(spark: SparkSession, bronze_root: str, spec: LakeSpec, years
     if not scores:
         return spark.createDataFrame([], f"{y} int, score string, rows long, filled long, malformed long, nan long")
     count = lambda c: F.count(F.when(c, F.lit(1)))
+    bronze, numbers = with_numbers(bronze, presence, spec)
     aggs = [F.count(F.lit(1)).alias("rows")]
     for s in scores:
-        aggs += [count(F.col(s).isNull()).alias(f"filled_{s}"), count(is_malformed(s)).alias(f"malformed_{s}"), count(is_nan(s)).alias(f"nan_{s}")]
+        n = numbers[s]
+        aggs += [count(F.col(s).isNull()).alias(f"filled_{s}"), count(is_malformed(s, n)).alias(f"malformed_{s}"), count(is_nan(s, n)).alias(f"nan_{s}")]
     wide = bronze.groupBy(y).agg(*aggs)
     each = F.array(*[F.struct(F.lit(s).alias("score"), F.col(y).isin(years_having(presence, [s])).alias("has"), *[F.col(f"{k}_{s}").alias(k) for k in KINDS]) for s in scores])
     return wide.select(y, "rows", F.explode(each).alias("e")).where("e.has").select(y, "e.score", "rows", *[f"e.{k}" for k in KINDS])

@@ -17,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.functions.scores import is_malformed, is_nan, parse_score
+from tierlake.functions.scores import is_malformed, is_nan, number, parse_score
 from tierlake.operators.columns import years_having
 from tierlake.sinks.parquet import WriteReport, write_partitioned
 from tierlake.sources.fs import delete, exists, read_years, write_years
@@ -33,9 +33,18 @@ def kept_presence(cols_by_year: Mapping[int, Sequence[str]], spec: LakeSpec) ->
     return {int(y): [c for c in spec.keep if c in set(cols)] for y, cols in cols_by_year.items()}
 
 
-def clean_columns(df: DataFrame, presence: Mapping[int, Sequence[str]], spec: LakeSpec) -> list[Column]:
+def with_numbers(df: DataFrame, presence: Mapping[int, Sequence[str]], spec: LakeSpec) -> tuple[DataFrame, dict[str, Column]]:
+    """The raw frame with the number of each score's text beside it, cast once for all that
+    ask for it, and those columns by score."""
+    names = {c: f"_number_{c}" for c in spec.scores if years_having(presence, [c])}
+    return df.withColumns({n: number(c) for c, n in names.items()}) if names else df, {c: F.col(n) for c, n in names.items()}
+
+
+def clean_columns(df: DataFrame, presence: Mapping[int, Sequence[str]], spec: LakeSpec, numbers: Mapping[str, Column] | None = None) -> list[Column]:
     """Silver column expressions over a merged raw frame: allow-list order, scores
-    parsed and filled only in the years that had them."""
+    parsed and filled only in the years that had them. ``numbers`` are those of
+    ``with_numbers``, if ``df`` has them."""
+    numbers = numbers or {}
     y = spec.year_col
     all_years = set(presence)
     out = []
@@ -44,7 +53,7 @@ def clean_columns(df: DataFrame, presence: Mapping[int, Sequence[str]], spec: La
         if not having or c not in df.columns:
             continue
         if c in spec.scores:
-            e = parse_score(c, spec.fill_value)
+            e = parse_score(c, spec.fill_value, numbers.get(c))
             if set(having) != all_years:
                 # Absent that year: the union read gives NULL, which must stay NULL.
                 e = F.when(F.col(y).isin(having), e)
@@ -54,9 +63,9 @@ def clean_columns(df: DataFrame, presence: Mapping[int, Sequence[str]], spec: La
     return out
 
 
-def quality_metrics(presence: Mapping[int, Sequence[str]], spec: LakeSpec) -> dict[str, Column]:
+def quality_metrics(presence: Mapping[int, Sequence[str]], spec: LakeSpec, numbers: Mapping[str, Column] | None = None) -> dict[str, Column]:
     """Per score: raw NULLs filled, raw text that is not a number, NaN text."""
-    y = spec.year_col
+    y, numbers = spec.year_col, numbers or {}
     out = {}
     for c in spec.scores:
         having = years_having(presence, [c])
@@ -65,8 +74,8 @@ def quality_metrics(presence: Mapping[int, Sequence[str]], spec: LakeSpec) -> di
         everywhere = set(having) == set(presence)
         among = (lambda e: e) if everywhere else (lambda e, h=having: F.col(y).isin(h) & e)
         out[f"filled_{c}"] = F.sum(among(F.col(c).isNull()).cast("long"))
-        out[f"malformed_{c}"] = F.sum(among(is_malformed(c)).cast("long"))
-        out[f"nan_{c}"] = F.sum(among(is_nan(c)).cast("long"))
+        out[f"malformed_{c}"] = F.sum(among(is_malformed(c, numbers.get(c))).cast("long"))
+        out[f"nan_{c}"] = F.sum(among(is_nan(c, numbers.get(c))).cast("long"))
     return out
 
 
@@ -114,10 +123,12 @@ def build_silver(
     report = WriteReport(f"{spec.name}:silver", silver_root, "skipped", rows=0)
     presence: dict[int, list[str]] = {}
     if todo:
-        bronze, presence, metrics = silver_frame(spark, bronze_root, spec, sorted(todo))
+        bronze, presence, _ = silver_frame(spark, bronze_root, spec, sorted(todo))
+        bronze, numbers = with_numbers(bronze, presence, spec)
+        metrics = quality_metrics(presence, spec, numbers)
         quality = Observation(f"{spec.name}:silver-quality")
         raw = bronze.observe(quality, *[e.alias(k) for k, e in metrics.items()]) if metrics else bronze
-        silver = raw.select(*clean_columns(bronze, presence, spec), F.col(spec.year_col))
+        silver = raw.select(*clean_columns(bronze, presence, spec, numbers), F.col(spec.year_col))
         report = write_partitioned(silver, silver_root, spec.year_col, table=f"{spec.name}:silver", years=sorted(todo))
         if metrics:
             report.metrics.update({k: int(v or 0) for k, v in quality.get.items()})

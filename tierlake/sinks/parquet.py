@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tierlake.session import unsorted_leaves
 from tierlake.sources.fs import delete, exists, swap, write_small_text
 from tierlake.sources.layers import COMMIT_FILE, leaf_path, leaf_years, mark_commit
 from tierlake.spec import YEAR_COL
@@ -70,18 +71,19 @@ def write_partitioned(
     replaces only the years present in ``df`` and leaves the others intact.
 
     No shuffle by year first: that would send a whole year to one task. Each task
-    writes the years its rows belong to (the writer sorts within the task), and
+    writes the years its rows belong to (a file open for each, ``unsorted_leaves``), and
     scan splits rarely span years, so a task opens few leaves. With ``years``, rows
     are counted for each of them, and the leaf of a year without rows is removed."""
     by_year = {f"_rows_{int(y)}": F.sum((F.col(year_col) == int(y)).cast("long")) for y in years}
     observed, obs = _observed(df, table or root, {**(metrics or {}), **by_year})
-    (
-        observed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", CODEC)
-        .partitionBy(year_col)
-        .parquet(root)
-    )
+    with unsorted_leaves(df.sparkSession):
+        (
+            observed.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", CODEC)
+            .partitionBy(year_col)
+            .parquet(root)
+        )
     got = dict(obs.get)
     rows = {int(y): int(got.pop(f"_rows_{int(y)}") or 0) for y in years}
     for y, n in rows.items():

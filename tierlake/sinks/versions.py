@@ -28,6 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierlake.session import unsorted_leaves
 from tierlake.sinks.parquet import CODEC, WriteReport, _observed
 from tierlake.sources.fs import create_small_text, delete, exists, list_dir, read_small_text
 from tierlake.sources.layers import union_schema
@@ -147,7 +148,8 @@ class VersionedTables:
         by_year = {f"_rows_{y}": F.sum((F.col(self.year_col) == y).cast("long")) for y in years}
         observed, obs = _observed(df.where(F.col(self.year_col).isin(years)), table, {**(metrics or {}), **by_year})
         path = f"{self.root}/v={self._attempt(self.current())}"
-        observed.write.option("compression", CODEC).partitionBy(self.year_col).parquet(path)
+        with unsorted_leaves(self.spark):
+            observed.write.option("compression", CODEC).partitionBy(self.year_col).parquet(path)
         got = dict(obs.get)
         rows = {y: int(got.pop(f"_rows_{y}") or 0) for y in years}
         return WriteReport(table, path, "staged", None, int(got.pop("rows")), got, rows)
