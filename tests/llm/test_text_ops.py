@@ -281,3 +281,18 @@ def test_parts_follow_the_bytes_and_rows_of_one_id_stay_apart(spark, workdir, mo
     assert [g.start for g in got] == np.append(0, np.cumsum([g.n_tokens for g in got]))[:-1].tolist()
     again = token_files.write_tokens(df.repartition(5), f"{workdir}/again", JSON, end_id=2)
     assert sorted(r.n_ids for r in again.collect()) and token_files.read_tokens(spark, f"{workdir}/again").orderBy("start").collect()[0].ids_crc32 == got[0].ids_crc32
+
+
+def test_a_worker_gives_back_what_other_operators_remember():
+    import public_tokenizers
+
+    from tierlake.llm import bpe
+    from tierlake.llm.common import give_back
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    bpe.codec(path)
+    give_back("bpe")
+    assert bpe.codec.cache_info().currsize == 1
+    give_back()
+    assert bpe.codec.cache_info().currsize == 0
+    assert bpe.codec(path).encode(["a b"])  # and it is there again when asked for

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import CHUNK_CHARS, packed, pick, text_chunks, unpack, unpacked
+from tierlake.llm.common import give_back, CHUNK_CHARS, packed, pick, text_chunks, unpack, unpacked
 from tierlake.llm.components import components
 from tierlake.session import run_dir, ship_package
 from tierlake.sources.fs import delete
@@ -177,6 +177,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 bands = pa.array([k if ok else [] for k, ok in zip(keys, some)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), bands], names=["doc_id", "node", "bands"])
         words().forget()
+        give_back()
 
     return rows.mapInArrow(run, "doc_id long, node binary, bands array<long>")
 
@@ -245,6 +246,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
                 ok.append(b is not None and bool(alike(*overlap(hub, bag), similarity)))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
         words().forget()
+        give_back()
 
     return rows.select("a", "seat", "b", "text").mapInArrow(run, "a binary, b binary")
 

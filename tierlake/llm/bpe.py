@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tierlake.llm.common import pick, text_chunks
+from tierlake.llm.common import give_back, remembers, pick, text_chunks
 from tierlake.llm.pieces import pieces
 from tierlake.session import ship_package
 
@@ -267,6 +267,9 @@ def codec(path: str) -> Codec:
     return Codec(read_ranks(path))
 
 
+remembers("bpe", codec.cache_clear)
+
+
 def encode_documents(docs: DataFrame, vocab_path: str, ids_column: str = "ids", text_column: str = "text") -> DataFrame:
     """``docs`` with the ids of its whole texts: a binary column of little-endian unsigned
     32-bit integers. All other columns stay; a column of the same name is replaced."""
@@ -282,6 +285,7 @@ def encode_documents(docs: DataFrame, vocab_path: str, ids_column: str = "ids",
             for at, texts in text_chunks(batch, text_column):
                 part = batch.slice(at, len(texts))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(c.encode(texts), pa.binary())], names=[*part.schema.names, ids_column])
+        give_back("bpe")
 
     return docs.mapInArrow(run, schema)
 
@@ -311,6 +315,7 @@ def digests(docs: DataFrame, vocab_path: str) -> DataFrame:
                     same.append(restored == text)
                 part = batch.slice(at, len(texts))
                 yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, (n, ids_sha, text_sha, chars, same))], schema=pa.schema(fields))
+        give_back("bpe")
 
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, decoded_chars long, round_trip boolean")
 
