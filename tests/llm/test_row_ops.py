@@ -3,10 +3,12 @@
 import hashlib
 import random
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 import __spark_entry__ as se
@@ -14,6 +16,7 @@ import corpus_pipeline
 from tierlake.llm import ann, bagminhash, mixing, suffix_dedup, topk
 from tierlake.llm.common import pack
 from tierlake.llm.components import components
+from tierlake.session import to_local
 
 SF = "/root/testdata/sf0.001"
 
@@ -317,6 +320,24 @@ def test_drawn_rows_meet_the_raked_shares(spark):
     assert all(abs(staged[i] - f / mixing.MOST) < 1 for i, f in plain.items())
 
 
+def test_plans_of_a_raking_stay_small(spark, monkeypatch):
+    """However many rounds, no plan joins more than the cells with their three targets; steps
+    that are read are gone."""
+    rows = [(i, "w " * (1 + i % 9), "en" if i % 3 else "de", f"s{i % 4}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    joins, folders, parquet = [], [], DataFrameWriter.parquet
+
+    def noted(self, path, *args, **kwargs):
+        joins.append(self._df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        folders.append(path)
+        return parquet(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    assert mixing.mix(df, rounds=5).count() == 200
+    assert max(joins) == 3 and max(joins[-15:]) == 1
+    assert [Path(to_local(f)).exists() for f in folders if "/step-" in f] == [False] * 15 + [True]
+
+
 def test_hot_rows_take_part_like_others(spark):
     """A third of all rows under one text, one id and one source."""
     rows = [(7, "same words here again and again " * 9, "en", "hot")] * 60 + [(i, f"text {i} " * 20, "en", f"s{i % 5}") for i in range(100, 220)]

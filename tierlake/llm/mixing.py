@@ -12,8 +12,8 @@ probabilities end at 1 and the rest of the factor is the document's ``weight``.
 more when that number is below the fraction, so the expected shares of the rows are the raked ones.
 
 Only cells are joined and shuffled during raking, and each margin's sums are a partial
-aggregate; a hot source is one row for each language and topic. Each round's cells are
-written to the shared folder, which cuts the lineage.
+aggregate; a hot source is one row for each language and topic. After each margin the cells are
+written to the shared folder, which cuts the lineage: all plans of a raking are small.
 
 Targets: observed shares to the power ``alpha`` (below 1: flatter), or given shares for
 the labels of a margin; labels that are not given keep their observed shares of the rest.
@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.session import run_dir
+from tierlake.sources.fs import delete
 
 ALPHA, ROUNDS, SEED = 0.7, 8, "mix-1"
 #: The factor that ``drawn`` makes one row on average of.
@@ -75,16 +76,23 @@ def targets_of(cells: DataFrame, margin: str, alpha: float, given: dict[str, flo
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int, folder: str) -> DataFrame:
-    """Cells with their raked weight ``w``; each round is written under ``folder``."""
+    """Cells with their raked weight ``w``. Each margin's step is written under ``folder`` and
+    read again, as it reads its cells twice: the plans of steps in one would double with each."""
     spark = cells.sparkSession
     cells = cells.withColumn("w", F.col("observed").cast("double"))
-    for i in range(rounds):
-        for margin, target in targets.items():
-            sums = cells.groupBy(margin).agg(F.sum("w").alias("_sum")).join(target, margin)
-            scale = sums.select(margin, F.when(F.col("_sum") > 0, F.col("target") / F.col("_sum")).otherwise(0.0).alias("_scale"))
-            cells = cells.join(scale, margin).withColumn("w", F.col("w") * F.col("_scale")).drop("_scale")
-        cells.write.parquet(f"{folder}/round-{i}")
-        cells = spark.read.parquet(f"{folder}/round-{i}")
+    for margin, target in targets.items():
+        cells = cells.join(target.withColumnRenamed("target", f"_target_{margin}"), margin)
+    at = f"{folder}/step-0"
+    cells.write.parquet(at)
+    cells = spark.read.schema(cells.schema).parquet(at)
+    for i, margin in enumerate([*targets] * rounds, 1):
+        sums = cells.groupBy(margin).agg(F.sum("w").alias("_sum"), F.max(f"_target_{margin}").alias("_target"))
+        scale = sums.select(margin, F.when(F.col("_sum") > 0, F.col("_target") / F.col("_sum")).otherwise(0.0).alias("_scale"))
+        cells = cells.join(scale, margin).withColumn("w", F.col("w") * F.col("_scale")).drop("_scale")
+        before, at = at, f"{folder}/step-{i}"
+        cells.write.parquet(at)
+        cells = spark.read.schema(cells.schema).parquet(at)
+        delete(spark, before)
     return cells
 
 
